@@ -28,7 +28,8 @@ def parse_frames(df: DataFrame, line: str) -> DataFrame:
 
     A malformed frame keeps its row with ``valid`` false and the reason in ``parseError``.
     """
-    parts = F.split(F.col(line), r"\|", -1)
+    df = df.withColumn("__parts", F.split(F.col(line), r"\|", -1))
+    parts = F.col("__parts")
 
     def field(i: int) -> Column:
         return F.try_element_at(parts, F.lit(i))
@@ -57,7 +58,7 @@ def parse_frames(df: DataFrame, line: str) -> DataFrame:
         }
     )
     parsed = parsed.withColumns({"valid": F.col("parseError").isNull(), "measurements": F.when(F.col("parseError").isNull(), entries)})
-    return parsed.drop("__body", line)
+    return parsed.drop("__body", "__parts", line)
 
 
 def measurement_map(entries: Column | str) -> Column:
@@ -120,7 +121,8 @@ def quality_gate(readings: DataFrame, now: Column | None = None) -> DataFrame:
 
 def parse_rules(df: DataFrame, line: str) -> DataFrame:
     """RULE|UPSERT, RULE|DELETE, CAREPLAN|UPSERT and CAREPLAN|DELETE lines; anything else gives no row."""
-    parts = F.split(F.col(line), r"\|", -1)
+    df = df.withColumn("__parts", F.split(F.col(line), r"\|", -1))
+    parts = F.col("__parts")
 
     def field(i: int) -> Column:
         return F.try_element_at(parts, F.lit(i))
@@ -149,4 +151,4 @@ def parse_rules(df: DataFrame, line: str) -> DataFrame:
         | (plan & upsert & (n == 6) & bounds)
         | (plan & delete & (n == 4))
     )
-    return parsed.where(good).drop(line)
+    return parsed.where(good).drop("__parts", line)

@@ -164,11 +164,11 @@ def dynamic_capacity(
 ) -> DataFrame:
     """Status changes when capacities change too: an update re-evaluates the key at once.
 
-    ``updates`` has the key, the time and the new capacity.  Steps before a key's first
+    ``updates`` has the key, the time, the ties and the new capacity.  Steps before a key's first
     update are ignored, as for an unknown key.  At equal times updates come first.
     """
     steps = deltas.withColumns({"__new": F.lit(None).cast("int"), "__order": F.when(F.col(delta) > 0, 1).otherwise(2)})
-    sizes = updates.select(key, ts, F.col(capacity).cast("int").alias("__new")).withColumns(
+    sizes = updates.select(key, ts, *ties, F.col(capacity).cast("int").alias("__new")).withColumns(
         {delta: F.lit(0), "__order": F.lit(0)}
     )
     both = steps.drop(capacity).unionByName(sizes, allowMissingColumns=True)

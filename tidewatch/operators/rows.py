@@ -73,7 +73,8 @@ def route_by_type(df: DataFrame, line: str) -> DataFrame:
 
     Lines of any other type, or without the fields of their type, give no row.
     """
-    parts = F.split(F.col(line), ",", -1)
+    df = df.withColumn("__parts", F.split(F.col(line), ",", -1))
+    parts = F.col("__parts")
     kind = parts[0]
     purchase = kind == "PURCHASE"
     well_formed = (kind.isin("LOGIN", "LOGOUT") & (F.size(parts) >= 2)) | (purchase & (F.size(parts) >= 4))
@@ -89,7 +90,7 @@ def route_by_type(df: DataFrame, line: str) -> DataFrame:
             }
         )
         .where((F.col("kind") != "PURCHASE") | F.col("amount").isNotNull())
-        .drop(line)
+        .drop("__parts", line)
     )
 
 

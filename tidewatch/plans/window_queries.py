@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.registry import with_registry
+from tidewatch.functions.user import aggregate_with, describe_windows, warn_batches
 from tidewatch.operators import admissions as adm_ops
 from tidewatch.operators import joins, keys, running, windows
 from tidewatch.operators.rows import drop_faulty, split_words
-from tidewatch.operators.timeline import Timeline, total
 from tidewatch.plans import inputs
 from tidewatch.plans.catalog import query
 from tidewatch.plans.inputs import ADM, EV, STAYED
 from tidewatch.plans.row_queries import WORDS, faulty_readings
+from tidewatch.plans.state_queries import discharges
 from tidewatch.sources.tables import read_table
 
 ROWS_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -372,8 +374,6 @@ def word_count_running(spark: SparkSession, folder: str) -> DataFrame:
 )
 def duration_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Count, mean and longest stay per region after every discharge."""
-    from tidewatch.plans.state_queries import discharges
-
     done = discharges(spark, folder).withColumn("stay_ms", inputs.stay_ms())
     rows = done.select("event_id", "region", "due_time", "stay_ms")
     return running.running_stats(rows, ["region"], "due_time", "stay_ms", ["event_id"]).drop("stay_ms")
@@ -385,8 +385,6 @@ def duration_stats(spark: SparkSession, folder: str) -> DataFrame:
       sum(stay_ms)::DOUBLE / count(*) AS mean_value, max(stay_ms) AS max_value FROM stayed WHERE due_us <= (SELECT us FROM mark) GROUP BY ALL""",
 )
 def duration_stats_window(spark: SparkSession, folder: str) -> DataFrame:
-    from tidewatch.plans.state_queries import discharges
-
     done = discharges(spark, folder).withColumn("stay_ms", inputs.stay_ms())
     aggs = {"n": n_rows(), "mean_value": F.sum("stay_ms").cast("double") / n_rows(), "max_value": F.max("stay_ms")}
     return windows.tumbling(done, "due_time", "1 day", ["region"], aggs).drop("window_end")
@@ -537,10 +535,6 @@ def interval_left_join(spark: SparkSession, folder: str) -> DataFrame:
 )
 def udaf_avg(spark: SparkSession, folder: str) -> DataFrame:
     """A user accumulator in Python: partial per Arrow batch, merged per key."""
-    from tidewatch.functions.user import aggregate_with
-
-    import pandas as pd
-
     def add(rows: pd.DataFrame) -> dict:
         return {"s": int(rows["cents"].sum()), "n": len(rows)}
 
@@ -561,8 +555,6 @@ def udaf_avg(spark: SparkSession, folder: str) -> DataFrame:
 )
 def udtf_warnings(spark: SparkSession, folder: str) -> DataFrame:
     """The free-form door: a user flatMap over Arrow batches."""
-    from tidewatch.functions.user import warn_batches
-
     valid = drop_faulty(faulty_readings(spark, folder), "temperature").select("user_id", "event_id", "value")
     return valid.mapInPandas(warn_batches, "user_id bigint, event_id bigint, level string, value double")
 
@@ -574,7 +566,5 @@ def udtf_warnings(spark: SparkSession, folder: str) -> DataFrame:
 )
 def window_apply(spark: SparkSession, folder: str) -> DataFrame:
     """A user window function that gets the window's pre-aggregated row, bounds and key."""
-    from tidewatch.functions.user import describe_windows
-
     sums = windows.tumbling(inputs.events(spark, folder), "ts", "1 day", ["user_id"], {"s": F.sum("cents"), "n": n_rows()})
     return sums.mapInPandas(describe_windows, "window_start timestamp, user_id bigint, line string")
