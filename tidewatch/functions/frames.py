@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.operators.rows import once
+
 FRAME_VERSION = "VW1"
 # Level of consciousness as a number.
 CONSCIOUSNESS = {"A": 0.0, "C": 1.0, "V": 2.0, "P": 3.0, "U": 4.0}
@@ -121,7 +123,7 @@ def quality_gate(readings: DataFrame, now: Column | None = None) -> DataFrame:
 
 def parse_rules(df: DataFrame, line: str) -> DataFrame:
     """RULE|UPSERT, RULE|DELETE, CAREPLAN|UPSERT and CAREPLAN|DELETE lines; anything else gives no row."""
-    df = df.withColumn("__parts", F.split(F.col(line), r"\|", -1))
+    df = once(df, "__parts", F.split(F.col(line), r"\|", -1))
     parts = F.col("__parts")
 
     def field(i: int) -> Column:

@@ -12,6 +12,14 @@ WARM_FROM = 28
 HOT_ABOVE = 32
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    A plain column is copied into every filter pushed below it; a generated one is not.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def drop_faulty(df: DataFrame, column: str, sentinel: float = FAULTY) -> DataFrame:
     return df.where(F.col(column) != F.lit(sentinel))
 
@@ -60,7 +68,7 @@ def unnest(df: DataFrame, records: str) -> DataFrame:
 def parse_delimited(df: DataFrame, line: str, fields: Sequence[tuple[str, str]], separator: str = ",") -> DataFrame:
     """Typed columns from a delimited line; a wrong field count or an unreadable field drops the row."""
     pattern = "\\" + separator if separator in "|.$*+?()[]{}^\\" else separator
-    parsed = df.withColumn("__parts", F.split(F.col(line), pattern, -1)).where(F.size("__parts") == len(fields))
+    parsed = once(df, "__parts", F.split(F.col(line), pattern, -1)).where(F.size("__parts") == len(fields))
     parsed = parsed.withColumns({name: F.col("__parts")[i].try_cast(kind) for i, (name, kind) in enumerate(fields)})
     complete = F.lit(True)
     for name, _ in fields:
@@ -73,7 +81,7 @@ def route_by_type(df: DataFrame, line: str) -> DataFrame:
 
     Lines of any other type, or without the fields of their type, give no row.
     """
-    df = df.withColumn("__parts", F.split(F.col(line), ",", -1))
+    df = once(df, "__parts", F.split(F.col(line), ",", -1))
     parts = F.col("__parts")
     kind = parts[0]
     purchase = kind == "PURCHASE"

@@ -233,9 +233,9 @@ def _cut(df: DataFrame, keys: list[str], order: str, limit: int) -> tuple[DataFr
     for level in range(MAX_LEVELS):
         groups = keys if level == 0 else [*keys, SEG]
         profiled = rows if level == 0 else rows.where(F.col(SEG).isNotNull())
-        measured = profiled.select(*groups, place.alias("__at")).groupBy(*groups)
+        measured = profiled.select(*groups, place.alias("__place")).groupBy(*groups)
         hot = (
-            measured.agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__lo"), F.max("__at").alias("__hi"))
+            measured.agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__lo"), F.max("__place").alias("__hi"))
             .where((F.col("__n") > limit) & (F.col("__hi") > F.col("__lo")))
             .orderBy(F.desc("__n"))
             .limit(MAX_HOT_KEYS)
@@ -250,8 +250,8 @@ def _cut(df: DataFrame, keys: list[str], order: str, limit: int) -> tuple[DataFr
             plan.append((*[row[g] for g in groups], row["__lo"], width))
             widest = max(widest, pieces)
             segments += pieces
-        inner = F.expr("(__at - __h_lo) div __h_width")
-        placed = rows.withColumn("__at", place)
+        inner = F.expr("(__place - __h_lo) div __h_width")
+        placed = rows.withColumn("__place", place)
         if groups:
             fields = [T.StructField(f"__h_{g}", rows.schema[g].dataType) for g in groups]
             fields += [T.StructField("__h_lo", T.LongType()), T.StructField("__h_width", T.LongType())]
@@ -261,5 +261,5 @@ def _cut(df: DataFrame, keys: list[str], order: str, limit: int) -> tuple[DataFr
         else:
             placed = placed.withColumns({"__h_lo": F.lit(plan[0][0]), "__h_width": F.lit(plan[0][1])})
         segment = inner if level == 0 else F.col(SEG) * (widest + 1) + F.coalesce(inner, F.lit(0))
-        rows = placed.withColumn(SEG, segment).drop("__at", "__h_lo", "__h_width", *[f"__h_{g}" for g in groups])
+        rows = placed.withColumn(SEG, segment).drop("__place", "__h_lo", "__h_width", *[f"__h_{g}" for g in groups])
     return rows, segments
