@@ -18,8 +18,9 @@ def window_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: s
     a watermark each; unmatched rows of an outer join carry nulls on the other side.
     """
     if left.isStreaming or right.isStreaming:
-        a = left.withColumn("__w", F.window(left_ts, width))
-        b = right.withColumn("__w", F.window(right_ts, width))
+        # the window alone carries the watermark: a join may output one event-time column only
+        a = left.withColumn("__w", F.window(left_ts, width)).withColumn(left_ts, _unmarked(left_ts))
+        b = right.withColumn("__w", F.window(right_ts, width)).withColumn(right_ts, _unmarked(right_ts))
         return a.join(b, ["__w", *on], how).withColumn("window_start", F.col("__w.start")).drop("__w")
     a = left.withColumn("window_start", window_start(left_ts, width))
     b = right.withColumn("window_start", window_start(right_ts, width))
@@ -46,7 +47,7 @@ def interval_join(
         near = (F.col(right_ts) >= F.col(left_ts) + F.expr(f"interval {lo} microseconds")) & (
             F.col(right_ts) <= F.col(left_ts) + F.expr(f"interval {hi} microseconds")
         )
-        return left.join(other, same & near, how).drop(*names)
+        return left.join(other, same & near, how).withColumn(right_ts, _unmarked(right_ts)).drop(*names)
     width = max(hi - lo, 1_000_000)
     a = left.withColumn("__at", F.unix_micros(F.col(left_ts))).withColumn("__bucket", F.expr(f"(__at - pmod(__at, {width})) div {width}"))
     spread = other.withColumn("__at_r", F.unix_micros(F.col(right_ts)))
@@ -63,6 +64,11 @@ def enrich(df: DataFrame, reference: DataFrame, on: str, defaults: dict[str, obj
     return joined.withColumns({name: F.coalesce(F.col(name), F.lit(value)) for name, value in defaults.items()})
 
 
+def _unmarked(ts: str) -> Column:
+    """The same time as a column without a watermark."""
+    return F.timestamp_micros(F.unix_micros(F.col(ts)))
+
+
 def _equal(left: Sequence[str], right: Sequence[str]) -> Column:
     same = F.lit(True)
     for a, b in zip(left, right):
