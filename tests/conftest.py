@@ -16,7 +16,7 @@ MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", "tidewatch-tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session("4", "tidewatch-tests", **{"spark.sql.shuffle.partitions": "2"})
     yield session
     session.stop()
 

@@ -30,7 +30,7 @@ def parse_frames(df: DataFrame, line: str) -> DataFrame:
 
     A malformed frame keeps its row with ``valid`` false and the reason in ``parseError``.
     """
-    df = df.withColumn("__parts", F.split(F.col(line), r"\|", -1))
+    df = once(df, "__parts", F.split(F.col(line), r"\|", -1))
     parts = F.col("__parts")
 
     def field(i: int) -> Column:
@@ -63,20 +63,26 @@ def parse_frames(df: DataFrame, line: str) -> DataFrame:
     return parsed.drop("__body", "__parts", line)
 
 
-def measurement_map(entries: Column | str) -> Column:
-    """Raw measurements as a map; the last entry of a repeated code wins."""
+def last_entries(entries: Column | str) -> Column:
+    """Measurement entries with only the last one of a repeated code."""
     entries = F.col(entries) if isinstance(entries, str) else entries
+    distinct = F.size(F.array_distinct(F.transform(entries, lambda e: e["code"])))
     last_only = F.filter(
         entries,
         lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["code"] == e["code"]),
     )
-    return F.map_from_entries(last_only)
+    return F.when(distinct == F.size(entries), entries).otherwise(last_only)
+
+
+def measurement_map(entries: Column | str) -> Column:
+    """Raw measurements as a map from code to text."""
+    return F.map_from_entries(last_entries(entries))
 
 
 def explode_frames(frames: DataFrame) -> DataFrame:
     """One reading per readable measurement in normalized units; a bad one drops only itself."""
     one = frames.where("valid").select(
-        "patientId", "wardId", "deviceId", "timestamp", F.inline(F.map_entries(measurement_map("measurements")).cast("array<struct<vitalCode:string,raw:string>>"))
+        "patientId", "wardId", "deviceId", "timestamp", F.inline(last_entries("measurements")).alias("vitalCode", "raw")
     )
     return one.withColumn("value", normalized(F.col("vitalCode"), F.col("raw"))).where(F.col("value").isNotNull()).drop("raw")
 

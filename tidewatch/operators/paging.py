@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from tidewatch.operators.windows import span_us
 ALERT_COLUMNS = ["patient_id", "alert_type", "severity", "alert_time"]
 PAGE_SIZE = 10
 REPEAT_WITHIN = "2 minutes"
+NOWHERE = 2**63 - 1
 
 
 def union_alerts(*streams: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def page_batches(
 
 
 def suppress_repeats(
-    alerts: DataFrame, keys: Sequence[str], ts: str, within: str = REPEAT_WITHIN, ties: Sequence[str] = (), hot_rows: int | None = None
+    alerts: DataFrame | Timeline, keys: Sequence[str], ts: str, within: str = REPEAT_WITHIN, ties: Sequence[str] = (), hot_rows: int | None = None
 ) -> DataFrame:
     """Keep an alert only if the key's last *kept* alert is at least ``within`` back.
 
@@ -73,50 +74,55 @@ def suppress_repeats(
     from its entry.
     """
     step = span_us(within)
-    line = Timeline.of(alerts, keys, ts, ties, hot_rows).scan(__prev=previous(ts))
+    line = alerts if isinstance(alerts, Timeline) else Timeline.of(alerts, keys, ts, ties, hot_rows)
+    names = [c for c in line.rows.columns if c != SEG]
+    line = line.scan(__prev=previous(ts))
     apart = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("__prev"))
     line = line.with_columns(__us=F.unix_micros(F.col(ts)), __opens=F.coalesce(apart >= step, F.lit(True)))
     line = line.scan(__run=latest(F.when(F.col("__opens"), F.col("__us"))))
-    rows = line.rows.drop("__prev")
-    openers = rows.where("__opens").select(*alerts.columns)
-    if not line.segments:
-        rows = rows.withColumn(SEG, F.lit(None).cast("long"))
-    open_rows = rows.where(F.col("__us") - F.col("__run") >= step).drop("__opens")
-    group = [*keys, "__run", SEG]
-    walked = open_rows.withColumn("__enter", F.col("__run") + step)
+    walked = line.rows.where(F.col("__opens") | (F.col("__us") - F.col("__run") >= step)).drop("__prev", "__opens")
+    group = [*keys, "__run"]
     if line.segments:
-        starts = _chain(_segment_exits(open_rows, keys, step), keys, step)
-        entered = open_rows.join(starts, _same(group), "left").drop(*[f"__s_{c}" for c in group])
-        walked = entered.withColumn("__enter", F.coalesce(F.col("__enter"), F.col("__run") + step))
+        group.append(SEG)
+        starts = _chain(_segment_exits(walked, group, step), group, step)
+        walked = walked.join(starts, _same(group), "left").drop(*[f"__s_{c}" for c in group])
+        # a segment that is not entered keeps nothing
+        skipped = F.when(F.col(SEG).isNull(), F.col("__run")).otherwise(F.lit(NOWHERE))
+        walked = walked.withColumn("__enter", F.coalesce("__enter", skipped))
+    else:
+        walked = walked.withColumn("__enter", F.col("__run"))
+    # rows of a group lie together and in order; the walk is one pass that holds one number
     order = ["__us", *ties]
-    out = walked.drop("__enter", "__us", "__run", SEG).schema
-    names = out.names
+    placed = walked.repartition(*group).sortWithinPartitions(*group, *order)
+    first = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) == 1
+    marked = placed.withColumn("__first", first).select(*names, "__us", "__enter", "__first")
+    out = marked.select(*names).schema
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # one group is at most one segment of a run, so it fits the task
-        pdf = pd.concat(list(batches)).sort_values(order, kind="stable", ignore_index=True)
-        us = pdf["__us"].to_numpy(dtype=np.int64)
-        at = int(np.searchsorted(us, pdf["__enter"].iloc[0]))
-        picked = []
-        while at < len(us):
-            picked.append(at)
-            at = int(np.searchsorted(us, us[at] + step))
-        yield pdf.iloc[picked][names]
+        need = 0
+        for batch in batches:
+            picked = []
+            for i, (us, opens, enter) in enumerate(zip(batch["__us"].tolist(), batch["__first"].tolist(), batch["__enter"].tolist())):
+                if opens:
+                    need = enter
+                if us >= need:
+                    picked.append(i)
+                    need = us + step
+            yield batch.iloc[picked][names]
 
-    return openers.unionByName(walked.groupBy(*group).applyInPandas(keep, out))
+    return marked.mapInPandas(keep, out)
 
 
 def _same(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in columns])
 
 
-def _segment_exits(rows: DataFrame, keys: Sequence[str], step: int) -> DataFrame:
+def _segment_exits(rows: DataFrame, group: Sequence[str], step: int) -> DataFrame:
     """Per segment and possible entry time: the last kept time if the walk enters there.
 
     A walk coming from an earlier segment enters no later than the first alert one step
     after the segment's first alert, so only those entries are listed.
     """
-    group = [*keys, "__run", SEG]
     fields = [rows.schema[c] for c in group]
     out = T.StructType([*fields, T.StructField("__entry", T.LongType()), T.StructField("__exit", T.LongType())])
 
@@ -129,33 +135,36 @@ def _segment_exits(rows: DataFrame, keys: Sequence[str], step: int) -> DataFrame
             if after[i] < len(us):
                 last[i] = last[after[i]]
         heads = min(int(after[0]) + 1, len(us))
-        first = pdf[group].iloc[[0] * heads].reset_index(drop=True)
+        first = pdf[list(group)].iloc[[0] * heads].reset_index(drop=True)
         yield first.assign(__entry=us[:heads], __exit=last[:heads])
 
     hot = rows.where(F.col(SEG).isNotNull()).select(*group, "__us")
     return hot.groupBy(*group).applyInPandas(exits, out)
 
 
-def _chain(entries: DataFrame, keys: Sequence[str], step: int) -> DataFrame:
-    """Entry time of every segment of a run, walking segment by segment through the exit lists."""
-    group = [*keys, "__run"]
-    names = [*group, SEG]
-    fields = [T.StructField(f"__s_{c}", entries.schema[c].dataType) for c in names]
+def _chain(entries: DataFrame, group: Sequence[str], step: int) -> DataFrame:
+    """Entry time of every segment of a run that the walk enters, in one ordered pass over the lists."""
+    run = [c for c in group if c != SEG]
+    order = [SEG, "__entry"]
+    placed = entries.repartition(*run).sortWithinPartitions(*run, *order)
+    first = F.row_number().over(Window.partitionBy(*run).orderBy(*order)) == 1
+    listed = placed.withColumn("__first", first)
+    fields = [T.StructField(f"__s_{c}", entries.schema[c].dataType) for c in group]
     out = T.StructType([*fields, T.StructField("__enter", T.LongType())])
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches)).sort_values([SEG, "__entry"], ignore_index=True)
-        need = int(pdf["__run"].iloc[0]) + step
-        picked = []
-        for _, part in pdf.groupby(SEG, sort=True):
-            at = int(np.searchsorted(part["__entry"].to_numpy(), need))
-            row = part.iloc[[min(at, len(part) - 1)]]
-            inside = at < len(part)
-            # past the last listed entry nothing of this segment is kept
-            picked.append(row[names].assign(__enter=row["__entry"].iloc[0] if inside else np.iinfo(np.int64).max))
-            need = int(row["__exit"].iloc[0]) + step if inside else need
-        done = pd.concat(picked)
-        done.columns = [f.name for f in out.fields]
-        yield done
-
-    return entries.groupBy(*group).applyInPandas(walk, out)
+        need, entered = 0, None
+        for batch in batches:
+            picked = []
+            columns = zip(*[batch[c].tolist() for c in ("__first", "__run", SEG, "__entry", "__exit")])
+            for i, (opens, start, segment, entry, leave) in enumerate(columns):
+                if opens:
+                    need, entered = start, None
+                if segment != entered and entry >= need:
+                    picked.append(i)
+                    need, entered = leave + step, segment
+            found = batch.iloc[picked][[*group, "__entry"]]
+            found.columns = out.names
+            yield found
+
+    return listed.mapInPandas(walk, out)

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.registry import small_side
 from tidewatch.operators.detect import sustained_breach
 from tidewatch.operators.timeline import Timeline, latest, previous
 
 ANY_WARD = "*"
+RECORD = ["ruleId", "wardId", "min", "max", "sustainSeconds", "severity", "valid_from", "valid_to", "life_end"]
 RULE_FIELDS = ["wardId", "vitalCode", "min", "max", "sustainSeconds", "severity"]
 
 
@@ -58,11 +60,15 @@ def match_rules(readings: DataFrame, rules: DataFrame, ts: str, max_rows: int =
     Rules are packed into one array per vital (counted to be small first), so readings are
     matched in place, without a shuffle.
     """
-    total = rules.limit(max_rows + 1).count()
-    if total > max_rows:
+    held = rules.select("vitalCode", *RECORD).limit(max_rows + 1).collect()
+    if len(held) > max_rows:
         raise ValueError(f"more than {max_rows} rule versions; use match_rules_large")
-    record = F.struct("ruleId", "wardId", "min", "max", "sustainSeconds", "severity", "valid_from", "valid_to", "life_end")
-    packed = rules.groupBy(F.col("vitalCode").alias("__vital")).agg(F.collect_list(record).alias("__rules"))
+    by_vital: dict[str, list] = {}
+    for row in held:
+        by_vital.setdefault(row["vitalCode"], []).append(tuple(row[c] for c in RECORD))
+    kind = T.ArrayType(T.StructType([rules.schema[c] for c in RECORD]))
+    schema = T.StructType([T.StructField("__vital", T.StringType()), T.StructField("__rules", kind)])
+    packed = readings.sparkSession.createDataFrame(list(by_vital.items()), schema)
     joined = readings.join(F.broadcast(packed), F.col("vitalCode") == F.col("__vital"))
 
     def in_force(rule: Column) -> Column:

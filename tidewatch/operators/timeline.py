@@ -111,6 +111,13 @@ class Timeline:
     def frame(self) -> DataFrame:
         return self.rows.drop(SEG)
 
+    def where(self, condition: Column) -> Timeline:
+        """Fewer rows on the same segments."""
+        return self._with(self.rows.where(condition))
+
+    def drop(self, *columns: str) -> Timeline:
+        return self._with(self.rows.drop(*columns))
+
     def with_columns(self, **columns: Column) -> Timeline:
         return self._with(self.rows.withColumns(columns))
 

@@ -72,6 +72,7 @@ def news2_unavailable(
     """Which signs keep a patient from being scored, at most one notice per ``notice_every``."""
     line = latest_vitals(readings, patient, ts, code, value, ties, hot_rows)
     missing = F.array_compact(F.array(*[F.when(~_fresh(name, ts, fresh_for), F.lit(name)) for name in news2.VITALS]))
-    gaps = line.frame().withColumn("missing", F.concat_ws(",", missing)).where(F.col("missing") != "")
-    notices = gaps.select(patient, ts, *ties, "missing")
-    return suppress_repeats(notices, [patient], ts, notice_every, ties, hot_rows)
+    gaps = line.with_columns(missing=F.concat_ws(",", missing)).where(F.col("missing") != "")
+    notices = gaps.drop(*[f"__{name}" for name in news2.VITALS])
+    kept = suppress_repeats(notices, [patient], ts, notice_every, ties)
+    return kept.select(patient, ts, *ties, "missing")

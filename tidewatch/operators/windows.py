@@ -94,9 +94,7 @@ def session_marks(line: Timeline, gap: str, at_gap: bool = False) -> Timeline:
     apart = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("__prev_ts"))
     parted = apart >= span_us(gap) if at_gap else apart > span_us(gap)
     line = line.scan(__prev_ts=previous(ts)).with_columns(session_opens=F.coalesce(parted, F.lit(True)))
-    line = line.scan(session_start=latest(F.when(F.col("session_opens"), F.col(ts))))
-    line.rows = line.rows.drop("__prev_ts")
-    return line
+    return line.scan(session_start=latest(F.when(F.col("session_opens"), F.col(ts)))).drop("__prev_ts")
 
 
 def top_k(df: DataFrame, ts: str, width: str, keys: Sequence[str], k: int, by: str, ties: Sequence[str]) -> DataFrame:
