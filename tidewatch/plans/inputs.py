@@ -39,8 +39,14 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
     return listed.select(F.col("n_name").alias("hospital"), F.col("r_name").alias("region"), beds.cast("int").alias("capacity"))
 
 
-def admissions(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with hospital, region and capacity; unknown hospitals get a null region and -1.
+def event_stream(spark: SparkSession, folder: str, delay: str = "1 millisecond") -> DataFrame:
+    # as a pattern the path may be one file or a directory of files
+    rows = read_events(spark, f"{folder}/event*.parquet", stream=True, delay=delay)
+    return rows.withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+
+
+def admissions(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
+    """Events (or the given rows of the same columns) with hospital, region and capacity; unknown hospitals get a null region and -1.
 
     customer grows with the data and is joined as Catalyst sees fit (adaptive skew join);
     nation and the registry are at most 25 rows and broadcast.
@@ -48,7 +54,8 @@ def admissions(spark: SparkSession, folder: str) -> DataFrame:
     customer = read_table(spark, folder, "customer", "c_custkey", "c_nationkey")
     nation = F.broadcast(read_table(spark, folder, "nation", "n_nationkey", "n_name"))
     listed = F.broadcast(registry(spark, folder))
-    rows = events(spark, folder).join(customer, F.col("user_id") == F.col("c_custkey"), "left")
+    rows = events(spark, folder) if rows is None else rows
+    rows = rows.join(customer, F.col("user_id") == F.col("c_custkey"), "left")
     rows = rows.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     rows = rows.withColumnRenamed("n_name", "hospital").join(listed, "hospital", "left")
     kept = ["event_id", "ts", "user_id", "event_type", "value", "cents", "hospital", "region"]

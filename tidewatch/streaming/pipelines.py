@@ -15,6 +15,7 @@ from tidewatch.operators.windows import sliding, span_us, window_start
 from tidewatch.streaming import processors as p
 
 NEVER_US = 2**62
+SLOT = "1 minute"
 
 
 def run(rows: DataFrame, keys: str | Sequence[str], processor, output: str, mode: str = "append", time: str = "EventTime") -> DataFrame:
@@ -24,6 +25,10 @@ def run(rows: DataFrame, keys: str | Sequence[str], processor, output: str, mode
     )
 
 
+def _ms(span: str) -> int:
+    return span_us(span) // 1000
+
+
 def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts)).alias("us")
 
@@ -37,7 +42,7 @@ def _at(df: DataFrame, ts: str = "ts", us: str = "us") -> DataFrame:
 
 
 def occupancy_alerts(
-    admissions: DataFrame, key: str, ts: str, wait_ms: Column, capacity: str, region: str, tie: str
+    admissions: DataFrame, key: str, ts: str, wait_ms: Column, capacity: str, region: str, tie: str, slot: str = SLOT
 ) -> DataFrame:
     """Admissions in, status changes out.  Both steps of a stay go to one processor as pending rows.
 
@@ -51,7 +56,7 @@ def occupancy_alerts(
     rows = steps.select(
         key, ts, "__step.us", "__step.last", F.col(tie).alias("tie"), F.col(capacity).alias("capacity"), F.col(region).alias("region")
     )
-    out = run(rows, key, p.OccupancyMonitor(key), p.OccupancyMonitor.OUTPUT.format(key=key))
+    out = run(rows, key, p.OccupancyMonitor(key, _ms(slot)), p.OccupancyMonitor.OUTPUT.format(key=key))
     return _at(out).withColumn("occupancy_pct", F.col("occupied").cast("double") / F.col("capacity") * 100.0)
 
 
@@ -62,12 +67,12 @@ def capacity_alerts(admissions: DataFrame, key: str, ts: str, capacity: str, tie
     return _at(run(rows, key, p.CapacityAlert(key, ratio), output, time="None"))
 
 
-def deferred_emit(df: DataFrame, key: str, ts: str, wait_ms: Column, payload: Sequence[str]) -> DataFrame:
+def deferred_emit(df: DataFrame, key: str, ts: str, wait_ms: Column, payload: Sequence[str], slot: str = SLOT) -> DataFrame:
     """Every row again once the watermark reaches its event time plus ``wait_ms``."""
     kinds = [(c, _kind(df, c)) for c in payload]
     rows = df.select(key, ts, (F.unix_micros(F.col(ts)) + wait_ms * 1000).alias("us"), *payload)
     output = ", ".join([f"{key} {_kind(df, key)}", "us bigint", *[f"{n} {k}" for n, k in kinds]])
-    return _at(run(rows, key, p.DeferredEmit(key, kinds), output), "due_time")
+    return _at(run(rows, key, p.DeferredEmit(key, kinds, _ms(slot)), output), "due_time")
 
 
 def deferred_slot(df: DataFrame, key: str, ts: str, wait_ms: Column, payload: Sequence[str]) -> DataFrame:
@@ -79,10 +84,10 @@ def deferred_slot(df: DataFrame, key: str, ts: str, wait_ms: Column, payload: Se
     return _at(run(rows, key, p.DeferredSlot(key, kinds), output), "due_time", "due_us")
 
 
-def silence_resume(df: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
+def silence_resume(df: DataFrame, key: str, ts: str, gap: str, slot: str = SLOT) -> DataFrame:
     rows = df.select(key, ts, micros(ts))
     output = f"{key} {_kind(df, key)}, alert string, us bigint"
-    return _at(run(rows, key, p.SilenceDetector(key, span_us(gap)), output), "alert_time")
+    return _at(run(rows, key, p.SilenceDetector(key, span_us(gap), _ms(slot)), output), "alert_time")
 
 
 def idle_keys(df: DataFrame, key: str, gap: str) -> DataFrame:
@@ -91,15 +96,15 @@ def idle_keys(df: DataFrame, key: str, gap: str) -> DataFrame:
     return run(df.select(key), key, p.IdleDetector(key, span_us(gap) // 1000), output, mode="update", time="ProcessingTime")
 
 
-def sustained_breach(df: DataFrame, key: str, ts: str, breach: Column, sustain: str, tie: str) -> DataFrame:
+def sustained_breach(df: DataFrame, key: str, ts: str, breach: Column, sustain: str, tie: str, slot: str = SLOT) -> DataFrame:
     rows = df.select(
         key, ts, micros(ts), F.col(tie).alias("tie"), F.lit("breach").alias("rule"), F.coalesce(breach, F.lit(False)).alias("breach"),
         F.lit(span_us(sustain)).alias("wait_us"), F.lit(NEVER_US).alias("limit_us"),
     )
-    return _breaches(rows, key).drop("rule")
+    return _breaches(rows, key, slot).drop("rule")
 
 
-def sustained_rule_breach(matched: DataFrame, key: str, ts: str, tie: str, us_per_second: int = 1_000_000) -> DataFrame:
+def sustained_rule_breach(matched: DataFrame, key: str, ts: str, tie: str, us_per_second: int = 1_000_000, slot: str = SLOT) -> DataFrame:
     """Readings matched to rules (and care plans) in, sustained alerts per rule out."""
     rows = matched.select(
         key, ts, micros(ts), F.col(tie).alias("tie"), F.col("ruleId").alias("rule"),
@@ -107,41 +112,41 @@ def sustained_rule_breach(matched: DataFrame, key: str, ts: str, tie: str, us_pe
         (F.col("rule_sustainSeconds").cast("bigint") * us_per_second).alias("wait_us"),
         F.coalesce(F.unix_micros("rule_life_end"), F.lit(NEVER_US)).alias("limit_us"),
     )
-    return _breaches(rows, key).withColumnRenamed("rule", "ruleId")
+    return _breaches(rows, key, slot).withColumnRenamed("rule", "ruleId")
 
 
-def _breaches(rows: DataFrame, key: str) -> DataFrame:
+def _breaches(rows: DataFrame, key: str, slot: str) -> DataFrame:
     output = f"{key} {_kind(rows, key)}, rule string, start_us bigint, us bigint"
-    out = run(rows, key, p.SustainedBreach(key), output)
+    out = run(rows, key, p.SustainedBreach(key, _ms(slot)), output)
     return _at(_at(out, "breach_start", "start_us"), "alert_time")
 
 
 def news2_scores(
     df: DataFrame, patient: str, ts: str, code: str, value: str, tie: str,
-    fresh_for: str = "5 minutes", notice_every: str = "1 minute", evict_after: str = "30 minutes",
+    fresh_for: str = "5 minutes", notice_every: str = "1 minute", evict_after: str = "30 minutes", slot: str = SLOT,
 ) -> DataFrame:
     """Score changes (tag ``score``) and missing-sign notices (tag ``unavailable``)."""
     points = news2.points_by_code(F.col(code), F.col(value).cast("double")).alias("points")
     rows = df.select(patient, ts, micros(ts), F.col(tie).alias("tie"), F.col(code).alias("code"), points).where(F.col("points").isNotNull())
     output = f"{patient} {_kind(df, patient)}, us bigint, tie bigint, tag string, total int, band string, missing string"
-    scorer = p.News2Scorer(patient, span_us(fresh_for), span_us(notice_every), span_us(evict_after))
+    scorer = p.News2Scorer(patient, span_us(fresh_for), span_us(notice_every), span_us(evict_after), _ms(slot))
     return _at(run(rows, patient, scorer, output))
 
 
 def pages(
-    alerts: DataFrame, shard: str, ts: str, who: Column, urgent: Column, tie: str, within: str = REPEAT_WITHIN, size: int = PAGE_SIZE
+    alerts: DataFrame, shard: str, ts: str, who: Column, urgent: Column, tie: str, within: str = REPEAT_WITHIN, size: int = PAGE_SIZE, slot: str = SLOT
 ) -> DataFrame:
     """One row per paged alert with the page it went out on."""
     rows = alerts.select(shard, ts, micros(ts), F.col(tie).alias("tie"), who.alias("who"), urgent.alias("urgent"))
     output = f"{shard} {_kind(alerts, shard)}, page bigint, us bigint, tie bigint, who string, flushed_us bigint"
-    out = run(rows, shard, p.Pager(shard, span_us(within), size), output)
+    out = run(rows, shard, p.Pager(shard, span_us(within), size, _ms(slot)), output)
     return _at(_at(out), "flushed_at", "flushed_us")
 
 
-def expiring_sum(df: DataFrame, key: str, ts: str, amount: str, ttl: str, tie: str) -> DataFrame:
+def expiring_sum(df: DataFrame, key: str, ts: str, amount: str, ttl: str, tie: str, slot: str = SLOT) -> DataFrame:
     rows = df.select(key, ts, micros(ts), F.col(tie).alias("tie"), F.col(amount).alias("amount"))
     output = f"{key} {_kind(df, key)}, us bigint, tie bigint, live_sum bigint, live_count bigint"
-    return _at(run(rows, key, p.ExpiringSum(key, span_us(ttl)), output))
+    return _at(run(rows, key, p.ExpiringSum(key, span_us(ttl), _ms(slot)), output))
 
 
 def early_fire(df: DataFrame, key: str, ts: str, width: str, nth: int) -> DataFrame:
@@ -162,10 +167,10 @@ def late_routes(df: DataFrame, shard: str, ts: str, width: str, bound: str, late
     return _at(run(rows, shard, router, output))
 
 
-def baseline_outliers(df: DataFrame, key: str, ts: str, value: str, tie: str, sigmas: float = 3.0) -> DataFrame:
+def baseline_outliers(df: DataFrame, key: str, ts: str, value: str, tie: str, sigmas: float = 3.0, slot: str = SLOT) -> DataFrame:
     rows = df.select(key, ts, micros(ts), F.col(tie).alias("tie"), F.col(value).cast("double").alias("x"))
     output = f"{key} {_kind(df, key)}, us bigint, tie bigint, baseline_n bigint, is_outlier boolean"
-    return _at(run(rows, key, p.BaselineOutliers(key, sigmas), output))
+    return _at(run(rows, key, p.BaselineOutliers(key, sigmas, _ms(slot)), output))
 
 
 def sliding_crossings(df: DataFrame, key: str, ts: str, width: str, slide: str, value: str, limit: float) -> DataFrame:

@@ -33,62 +33,79 @@ class Buffered(StatefulProcessor):
     """Holds each row until the watermark reaches it, then applies rows in event-time order.
 
     Whatever order rows arrive in within the watermark delay, the result is that of the
-    sorted rows.  State is one map entry per distinct pending millisecond, removed on
-    release; timers fire in time order, one per entry.
+    sorted rows.  Rows wait in time slots of ``slot_ms``: one map entry and one timer (at
+    its earliest row) per key and slot, so state calls grow with slots, not rows.  Slots
+    are disjoint and timers fire in time order, hence a slot is applied as far as the
+    watermark goes before the next one is touched.
     """
 
     order = 2  # rows are sorted by this many leading columns
 
-    def __init__(self, key: str, payload: Sequence[tuple[str, str]]):
+    def __init__(self, key: str, payload: Sequence[tuple[str, str]], slot_ms: int = 60_000):
         self.key = key
         self.names = [name for name, _ in payload]
         self.columns = [("us", "bigint"), *payload]
-        self.layout = ", ".join(["us array<bigint>", *[f"{name} array<{kind}>" for name, kind in payload]])
+        self.layout = ", ".join(f"{name} array<{kind}>" for name, kind in self.columns)
+        self.slot_ms = slot_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "due_ms bigint", self.layout)
+        self.pending = handle.getMapState("pending", "slot bigint", self.layout)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
-            due = -(-batch["us"] // TICK_US)
-            for ms, part in batch.groupby(due, sort=True):
-                self.hold(int(ms), [plain(part[c], kind) for c, kind in self.columns])
+            slots = -(-batch["us"] // TICK_US) // self.slot_ms
+            for slot, part in batch.groupby(slots, sort=True):
+                self.hold(int(slot), [plain(part[c], kind) for c, kind in self.columns])
         return iter([])
 
-    def hold(self, ms: int, columns: list[list]) -> None:
-        slot = (ms,)
-        if self.pending.containsKey(slot):
-            held = self.pending.getValue(slot)
+    def hold(self, slot: int, columns: list[list]) -> None:
+        held = self.pending.getValue((slot,))
+        first = min(columns[0])
+        if held is not None:
+            if min(held[0]) <= first:
+                first = None
             columns = [list(old) + new for old, new in zip(held, columns)]
-        self.pending.updateValue(slot, tuple(columns))
-        self.handle.registerTimer(ms)
+        self.pending.updateValue((slot,), tuple(columns))
+        if first is not None:
+            self.handle.registerTimer(up_to_ms(first))
 
-    def released(self, ms: int) -> list[tuple]:
-        slot = (ms,)
-        if not self.pending.containsKey(slot):
+    def released(self, slot: int, mark_ms: int) -> list[tuple]:
+        held = self.pending.getValue((slot,))
+        if held is None:
             return []
-        columns = self.pending.getValue(slot)
-        self.pending.removeKey(slot)
-        return sorted(zip(*columns), key=lambda row: row[: self.order])
+        rows = sorted(zip(*held), key=lambda row: row[: self.order])
+        ready = [row for row in rows if up_to_ms(row[0]) <= mark_ms]
+        rest = rows[len(ready) :]
+        if rest:
+            if ready:
+                self.pending.updateValue((slot,), tuple(list(column) for column in zip(*rest)))
+            self.handle.registerTimer(up_to_ms(rest[0][0]))
+        else:
+            self.pending.removeKey((slot,))
+        return ready
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ms = expiredTimerInfo.getExpiryTimeInMs()
-        self.firing = ms
-        out = list(self.apply(key, self.released(ms), ms))
+        ms, mark_ms = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        slot = ms // self.slot_ms
+        rows = self.released(slot, mark_ms)
+        # every row of the key up to here has now been applied
+        self.now_ms = min(mark_ms, (slot + 1) * self.slot_ms - 1)
+        out = list(self.apply(key, rows, self.now_ms))
         if out:
             yield pd.DataFrame(out)
 
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
+        """Apply released rows; nothing else of the key happens up to ``ms``."""
         raise NotImplementedError
 
-    def set_alarm(self, old_ms: int | None, new_ms: int | None) -> None:
-        """Move the processor's own timer; a timer a pending row needs stays."""
-        stale = old_ms is not None and old_ms not in (new_ms, self.firing)
-        if stale and old_ms in set(self.handle.listTimers()) and not self.pending.containsKey((old_ms,)):
-            self.handle.deleteTimer(old_ms)
-        if new_ms is not None:
-            self.handle.registerTimer(new_ms)
+    def set_alarm(self, old_ms: int | None, new_ms: int) -> None:
+        """Move the processor's own timer; a timer a pending slot needs stays."""
+        if old_ms is not None and old_ms > self.now_ms and old_ms != new_ms:
+            held = self.pending.getValue((old_ms // self.slot_ms,))
+            if held is None or up_to_ms(min(held[0])) != old_ms:
+                self.handle.deleteTimer(old_ms)
+        self.handle.registerTimer(new_ms)
 
     def close(self) -> None:
         pass
@@ -100,8 +117,8 @@ class OccupancyMonitor(Buffered):
     order = 3
     OUTPUT = "{key} string, region string, us bigint, tie bigint, previous_status string, status string, occupied bigint, capacity int"
 
-    def __init__(self, key: str):
-        super().__init__(key, [("last", "int"), ("tie", "bigint"), ("capacity", "int"), ("region", "string")])
+    def __init__(self, key: str, slot_ms: int):
+        super().__init__(key, [("last", "int"), ("tie", "bigint"), ("capacity", "int"), ("region", "string")], slot_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
@@ -214,8 +231,8 @@ class DeferredSlot(StatefulProcessor):
 class SilenceDetector(Buffered):
     """SILENT one gap after the last row of a key, RESUMED at the next one, in event time."""
 
-    def __init__(self, key: str, gap_us: int):
-        super().__init__(key, [])
+    def __init__(self, key: str, gap_us: int, slot_ms: int):
+        super().__init__(key, [], slot_ms)
         self.gap_us = gap_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -282,10 +299,9 @@ class SustainedBreach(Buffered):
     An alert is not raised if its time is not before ``limit_us`` (the rule's delete).
     """
 
-    def __init__(self, key: str):
-        super().__init__(
-            key, [("tie", "bigint"), ("rule", "string"), ("breach", "boolean"), ("wait_us", "bigint"), ("limit_us", "bigint")]
-        )
+    def __init__(self, key: str, slot_ms: int):
+        payload = [("tie", "bigint"), ("rule", "string"), ("breach", "boolean"), ("wait_us", "bigint"), ("limit_us", "bigint")]
+        super().__init__(key, payload, slot_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
@@ -294,32 +310,33 @@ class SustainedBreach(Buffered):
         )
 
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
+        episodes = {tuple(e): tuple(v) for e, v in self.episodes.iterator()}
+        before = dict(episodes)
         for us, _, rule, breach, wait_us, limit_us in rows:
-            yield from self.expired(key, us)
+            yield from self.expired(key, episodes, us)
             episode = (rule, limit_us)
             if not breach:
-                if self.episodes.containsKey(episode):
-                    _, due, alerted = self.episodes.getValue(episode)
-                    self.episodes.removeKey(episode)
-                    if not alerted:
-                        self.forget_alarm(due)
-            elif not self.episodes.containsKey(episode):
-                self.episodes.updateValue(episode, (us, us + wait_us, False))
-                self.handle.registerTimer(up_to_ms(us + wait_us))
-        yield from self.expired(key, ms * TICK_US)
-
-    def expired(self, key, until_us: int) -> Iterator[dict]:
-        for episode, (start, due, alerted) in sorted(self.episodes.iterator()):
-            if not alerted and due <= until_us:
-                if due < episode[1]:
-                    yield {self.key: key[0], "rule": episode[0], "start_us": start, "us": due}
-                self.episodes.updateValue(episode, (start, due, True))
-
-    def forget_alarm(self, due_us: int) -> None:
-        ms = up_to_ms(due_us)
-        shared = self.pending.containsKey((ms,)) or any(up_to_ms(due) == ms for _, due, _ in self.episodes.values())
-        if not shared and ms in set(self.handle.listTimers()):
-            self.handle.deleteTimer(ms)
+                episodes.pop(episode, None)
+            elif episode not in episodes:
+                episodes[episode] = (us, us + wait_us, False)
+        yield from self.expired(key, episodes, ms * TICK_US)
+        for episode in before.keys() - episodes.keys():
+            self.episodes.removeKey(episode)
+        for episode, state in episodes.items():
+            if before.get(episode) != state:
+                self.episodes.updateValue(episode, state)
+        # one timer for the next deadline; a deadline that was reset finds its episode gone
+        waiting = [due for _, due, alerted in episodes.values() if not alerted]
+        if waiting:
+            self.handle.registerTimer(up_to_ms(min(waiting)))
+
+    def expired(self, key, episodes: dict, until_us: int) -> Iterator[dict]:
+        due_now = [(due, e) for e, (_, due, alerted) in episodes.items() if not alerted and due <= until_us]
+        for due, episode in sorted(due_now):
+            start = episodes[episode][0]
+            if due < episode[1]:
+                yield {self.key: key[0], "rule": episode[0], "start_us": start, "us": due}
+            episodes[episode] = (start, due, True)
 
 
 class News2Scorer(Buffered):
@@ -330,8 +347,8 @@ class News2Scorer(Buffered):
 
     SIGNS = ["RR", "SPO2", "O2", "SBP", "HR", "CONSC", "TEMP"]
 
-    def __init__(self, key: str, fresh_us: int, notice_us: int, evict_us: int):
-        super().__init__(key, [("tie", "bigint"), ("code", "string"), ("points", "int")])
+    def __init__(self, key: str, fresh_us: int, notice_us: int, evict_us: int, slot_ms: int):
+        super().__init__(key, [("tie", "bigint"), ("code", "string"), ("points", "int")], slot_ms)
         self.fresh_us, self.notice_us, self.evict_us = fresh_us, notice_us, evict_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -341,24 +358,34 @@ class News2Scorer(Buffered):
         self.noticed = handle.getValueState("lastUnavailable", "us bigint")
 
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
-        signs = {code[0]: value for code, value in self.latest.iterator()}
+        signs = {code[0]: tuple(value) for code, value in self.latest.iterator()}
+        before = dict(signs)
+        last = tuple(self.scored.get()) if self.scored.exists() else None
+        noticed = self.noticed.get()[0] if self.noticed.exists() else None
         for us, tie, code, points in rows:
             signs[code] = (us, points)
-            self.latest.updateValue((code,), (us, points))
-            self.handle.registerTimer(up_to_ms(us + self.evict_us))
             missing = [c for c in self.SIGNS if c not in signs or us - signs[c][0] > self.fresh_us]
             if missing:
-                if not self.noticed.exists() or us - self.noticed.get()[0] >= self.notice_us:
-                    self.noticed.update((us,))
+                if noticed is None or us - noticed >= self.notice_us:
+                    noticed = us
                     yield self.output(key, us, tie, "unavailable", None, None, ",".join(missing))
                 continue
             score = self.score([signs[c][1] for c in self.SIGNS])
-            if not self.scored.exists() or tuple(self.scored.get()) != score:
-                self.scored.update(score)
+            if score != last:
+                last = score
                 yield self.output(key, us, tie, "score", *score, None)
-        for code, (us, _) in signs.items():
-            if up_to_ms(us + self.evict_us) <= ms:
-                self.latest.removeKey((code,))
+        signs = {c: v for c, v in signs.items() if up_to_ms(v[0] + self.evict_us) > ms}
+        for code in before.keys() - signs.keys():
+            self.latest.removeKey((code,))
+        for code, state in signs.items():
+            if before.get(code) != state:
+                self.latest.updateValue((code,), state)
+        if last is not None:
+            self.scored.update(last)
+        if noticed is not None:
+            self.noticed.update((noticed,))
+        if signs:
+            self.handle.registerTimer(up_to_ms(min(us for us, _ in signs.values()) + self.evict_us))
 
     @staticmethod
     def score(points: list[int]) -> tuple[int, str]:
@@ -380,8 +407,8 @@ class Pager(Buffered):
     the shard, so both survive a restart and move with the shard.
     """
 
-    def __init__(self, key: str, within_us: int, size: int):
-        super().__init__(key, [("tie", "bigint"), ("who", "string"), ("urgent", "boolean")])
+    def __init__(self, key: str, within_us: int, size: int, slot_ms: int):
+        super().__init__(key, [("tie", "bigint"), ("who", "string"), ("urgent", "boolean")], slot_ms)
         self.within_us, self.size = within_us, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -393,11 +420,12 @@ class Pager(Buffered):
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
         held = [tuple(x) for x in self.buffer.get()] if self.buffer.exists() else []
         page = self.page.get()[0] if self.page.exists() else 0
+        before = {who[0]: us[0] for who, us in self.paged.iterator()}
+        paged = dict(before)
         for us, tie, who, urgent in rows:
-            if self.paged.containsKey((who,)) and us - self.paged.getValue((who,))[0] < self.within_us:
+            if who in paged and us - paged[who] < self.within_us:
                 continue
-            self.paged.updateValue((who,), (us,))
-            self.handle.registerTimer(up_to_ms(us + self.within_us))
+            paged[who] = us
             held.append((us, tie, who))
             if urgent or len(held) == self.size:
                 page += 1
@@ -409,17 +437,21 @@ class Pager(Buffered):
             self.buffer.put(held)
         else:
             self.buffer.clear()
-        if not rows:
-            for (who,), (us,) in list(self.paged.iterator()):
-                if up_to_ms(us + self.within_us) <= ms:
-                    self.paged.removeKey((who,))
+        live = {who: us for who, us in paged.items() if up_to_ms(us + self.within_us) > ms}
+        for who in before.keys() - live.keys():
+            self.paged.removeKey((who,))
+        for who, us in live.items():
+            if before.get(who) != us:
+                self.paged.updateValue((who,), (us,))
+        if live:
+            self.handle.registerTimer(up_to_ms(min(live.values()) + self.within_us))
 
 
 class ExpiringSum(Buffered):
     """Running sum per key that starts over after ``ttl_us`` without a row; state goes when it expires."""
 
-    def __init__(self, key: str, ttl_us: int):
-        super().__init__(key, [("tie", "bigint"), ("amount", "bigint")])
+    def __init__(self, key: str, ttl_us: int, slot_ms: int):
+        super().__init__(key, [("tie", "bigint"), ("amount", "bigint")], slot_ms)
         self.ttl_us = ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -505,8 +537,8 @@ class LateRouter(StatefulProcessor):
 class BaselineOutliers(Buffered):
     """Flags a reading far from the key's own earlier readings, from n, sum and square sum."""
 
-    def __init__(self, key: str, sigmas: float):
-        super().__init__(key, [("tie", "bigint"), ("x", "double")])
+    def __init__(self, key: str, sigmas: float, slot_ms: int):
+        super().__init__(key, [("tie", "bigint"), ("x", "double")], slot_ms)
         self.sigmas = sigmas
 
     def init(self, handle: StatefulProcessorHandle) -> None:
