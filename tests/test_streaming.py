@@ -140,7 +140,7 @@ def stay():
 
 
 def test_deferred_emit(spark, feed, scratch):
-    ours = drain(pipelines.deferred_emit(stream(spark, feed), "user_id", "ts", stay(), ["event_id", "hospital"]), "deferred", scratch)
+    ours = drain(pipelines.deferred_emit(stream(spark, feed), "user_id", "ts", stay(), ["event_id", "hospital"], "1 day"), "deferred", scratch)
     expected = occupancy.deferred_emit(batch(spark, feed), "ts", stay(), until(batch(spark, feed)))
     columns = ("user_id", "event_id", "hospital", "due_time")
     assert values(real(ours), *columns) == values(real(expected), *columns)
@@ -155,13 +155,13 @@ def test_deferred_slot_overwrites(spark, feed, scratch):
     assert real(ours).count() <= expected.count()
 
 
-@pytest.mark.parametrize("which", ["feed", "mixed_feed"])
-def test_occupancy_alerts(spark, request, scratch, which):
+@pytest.mark.parametrize("which, slot", [("feed", "1 minute"), ("mixed_feed", "1 day")])
+def test_occupancy_alerts(spark, request, scratch, which, slot):
     feed = request.getfixturevalue(which)
     delay = MS if which == "feed" else "6 hours"
     rows = batch(spark, feed).where("region is not null")
     ours = drain(
-        pipelines.occupancy_alerts(stream(spark, feed, delay), "hospital", "ts", stay(), "capacity", "region", "event_id"),
+        pipelines.occupancy_alerts(stream(spark, feed, delay), "hospital", "ts", stay(), "capacity", "region", "event_id", slot),
         f"beds_{which}", scratch,
     )
     steps = occupancy.stay_steps(rows, ["hospital", "region", "capacity", "event_id"], "ts", stay())
@@ -183,7 +183,7 @@ def test_silence(spark, feed, scratch):
 
 def test_sustained_breach(spark, mixed_feed, scratch):
     ours = drain(
-        pipelines.sustained_breach(stream(spark, mixed_feed, "6 hours"), "user_id", "ts", F.col("value") > 30, "6 hours", "event_id"),
+        pipelines.sustained_breach(stream(spark, mixed_feed, "6 hours"), "user_id", "ts", F.col("value") > 30, "6 hours", "event_id", "5 hours"),
         "breach", scratch,
     )
     rows = batch(spark, mixed_feed)
@@ -201,7 +201,7 @@ def coded(rows):
 
 def test_news2(spark, feed, scratch):
     ours = drain(
-        pipelines.news2_scores(coded(stream(spark, feed)), "user_id", "ts", "code", "v", "event_id", "5 days", "1 day", "9 days"),
+        pipelines.news2_scores(coded(stream(spark, feed)), "user_id", "ts", "code", "v", "event_id", "5 days", "1 day", "9 days", "2 days"),
         "news2", scratch,
     )
     rows = coded(batch(spark, feed))
@@ -221,7 +221,7 @@ def test_pages(spark, feed, scratch):
 
     who = F.concat_ws("|", F.col("user_id").cast("string"), F.col("event_type"))
     ours = drain(
-        pipelines.pages(alerts(stream(spark, feed)), "shard", "ts", who, F.col("value") > 150, "event_id", "1 day", 10), "pages", scratch
+        pipelines.pages(alerts(stream(spark, feed)), "shard", "ts", who, F.col("value") > 150, "event_id", "1 day", 10, "7 hours"), "pages", scratch
     )
     kept = paging.suppress_repeats(
         alerts(batch(spark, feed)).withColumn("who", who).select("event_id", "ts", "who", "shard", "value", "user_id"), ["who"], "ts", "1 day", ["event_id"]
@@ -234,7 +234,7 @@ def test_pages(spark, feed, scratch):
 
 
 def test_expiring_sum(spark, feed, scratch):
-    ours = drain(pipelines.expiring_sum(stream(spark, feed), "user_id", "ts", "cents", "12 hours", "event_id"), "expiring", scratch)
+    ours = drain(pipelines.expiring_sum(stream(spark, feed), "user_id", "ts", "cents", "12 hours", "event_id", "1 day"), "expiring", scratch)
     expected = running.expiring_sum(
         batch(spark, feed).select("user_id", "event_id", "ts", "cents"), ["user_id"], "ts", "cents", "12 hours", ["event_id"]
     ).withColumnRenamed("event_id", "tie")
@@ -243,7 +243,7 @@ def test_expiring_sum(spark, feed, scratch):
 
 
 def test_baseline_outliers(spark, feed, scratch):
-    ours = drain(pipelines.baseline_outliers(stream(spark, feed), "user_id", "ts", "cents", "event_id"), "baseline", scratch)
+    ours = drain(pipelines.baseline_outliers(stream(spark, feed), "user_id", "ts", "cents", "event_id", slot="3 days"), "baseline", scratch)
     expected = running.baseline_outliers(
         batch(spark, feed).select("user_id", "event_id", "ts", "cents"), ["user_id"], "ts", "cents", ["event_id"]
     ).withColumnRenamed("event_id", "tie")
