@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import draw, frames, news2, registry, render
 from tidewatch.operators import admissions, detect, keys, occupancy, paging, rows, rules, windows
-from tidewatch.operators.timeline import SEG, Timeline, highest, latest, lowest, previous, tally, total
+from tidewatch.operators.timeline import SEG, Sample, Timeline, highest, latest, lowest, planning_sample, previous, tally, total
 
 UTC = datetime.timezone.utc
 
@@ -279,6 +279,17 @@ def test_scan_is_the_same_for_every_cut(spark, shape):
         assert got == expected
 
 
+def test_cuts_from_a_sample_change_nothing(spark):
+    df = spark.range(2000).select((F.col("id") % 2).alias("k"), F.timestamp_millis(F.col("id") * F.col("id")).alias("ts"), "id")
+    sampled = df.where("id between 300 and 1500").sample(0.2, seed=1)
+    line = Timeline.of(df, ["k"], "ts", ["id"], 100, Sample(sampled, 5.0)).scan(s=total("id"))
+    assert line.segments > 4
+    plain = Timeline.of(df, ["k"], "ts", ["id"]).scan(s=total("id"))
+    assert sorted(map(tuple, line.frame().collect())) == sorted(map(tuple, plain.frame().collect()))
+    assert planning_sample(df, 500).weight == 4.0
+    assert planning_sample(df).rows is df
+
+
 def test_clamp_against_a_plain_walk(spark):
     rng = random.Random(3)
     walk = [rng.choice([1, -1, -1]) for _ in range(300)]

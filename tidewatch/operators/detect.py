@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.timeline import Timeline, latest, previous
+from tidewatch.operators.timeline import Sample, Timeline, latest, previous
 from tidewatch.operators.windows import shift, span_us
 
 
@@ -25,7 +25,7 @@ def silence_resume(df: DataFrame, keys: Sequence[str], ts: str, gap: str, until_
     its last row.
     """
     marked = with_closing_rows(df.select(*keys, ts, *ties), keys, ts, until_us)
-    line = Timeline.of(marked, keys, ts, ["__closing", *ties], hot_rows).scan(__prev=previous(ts))
+    line = Timeline.of(marked, keys, ts, ["__closing", *ties], hot_rows, measure=Sample(df)).scan(__prev=previous(ts))
     apart = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("__prev"))
     # a row exactly at the deadline still counts as in time; the closing mark at the deadline does not
     quiet_at = F.unix_micros(F.col("__prev")) + span_us(gap)
@@ -58,7 +58,7 @@ def sustained_breach(
     rows = df.select(
         *keys, ts, *ties, F.coalesce(breach, F.lit(False)).alias("__breach"), wait.alias("__wait"), limit.alias("__limit")
     )
-    line = Timeline.of(with_closing_rows(rows, keys, ts, until_us), keys, ts, ["__closing", *ties], hot_rows)
+    line = Timeline.of(with_closing_rows(rows, keys, ts, until_us), keys, ts, ["__closing", *ties], hot_rows, measure=Sample(rows))
     line = line.scan(__was=previous("__breach"))
     opens = F.col("__breach") & ~F.coalesce(F.col("__was"), F.lit(False))
     start = F.struct(

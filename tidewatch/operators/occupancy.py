@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.registry import ALERT_RATIO
-from tidewatch.operators.timeline import Timeline, latest, previous, total
+from tidewatch.operators.timeline import Sample, Timeline, latest, previous, total
 
 # Ratio to enter and to leave each status.
 HIGH_ENTER, HIGH_EXIT = 0.90, 0.85
@@ -105,7 +105,7 @@ def stay_steps(admissions: DataFrame, keep: Sequence[str], admit_ts: str, wait_m
 
 
 def occupancy(
-    deltas: DataFrame, key: str, ts: str, delta: str, capacity: str, ties: Sequence[str] = (), hot_rows: int | None = None
+    deltas: DataFrame, key: str, ts: str, delta: str, capacity: str, ties: Sequence[str] = (), hot_rows: int | None = None, measure: Sample | None = None
 ) -> Timeline:
     """Occupied beds after every step, floored at 0, with a flag where the floor was hit.
 
@@ -113,7 +113,7 @@ def occupancy(
     times admissions come before discharges.
     """
     known = deltas.where(F.col(capacity) > 0).withColumn("__last", -F.col(delta))
-    line = Timeline.of(known, [key], ts, ["__last", *ties], hot_rows)
+    line = Timeline.of(known, [key], ts, ["__last", *ties], hot_rows, measure)
     line = line.clamped_total(delta, "occupied", "underflow")
     return line.with_columns(occupied=F.col("occupied").cast("long"))
 
@@ -150,10 +150,10 @@ def status_changes(line: Timeline, ratio: Column) -> DataFrame:
 
 
 def occupancy_alerts(
-    deltas: DataFrame, key: str, ts: str, delta: str, capacity: str, ties: Sequence[str] = (), hot_rows: int | None = None
+    deltas: DataFrame, key: str, ts: str, delta: str, capacity: str, ties: Sequence[str] = (), hot_rows: int | None = None, measure: Sample | None = None
 ) -> DataFrame:
     """Status changes of every key's occupancy, with beds, percentage and time."""
-    line = occupancy(deltas, key, ts, delta, capacity, ties, hot_rows)
+    line = occupancy(deltas, key, ts, delta, capacity, ties, hot_rows, measure)
     ratio = F.col("occupied").cast("double") / F.col(capacity)
     changes = status_changes(line, ratio)
     return changes.withColumn("occupancy_pct", ratio * 100.0).drop("__last", "underflow", delta)
@@ -183,7 +183,7 @@ def dynamic_capacity(
 
 
 def littles_law(
-    deltas: DataFrame, key: str, ts: str, delta: str, ties: Sequence[str] = (), hot_rows: int | None = None
+    deltas: DataFrame, key: str, ts: str, delta: str, ties: Sequence[str] = (), hot_rows: int | None = None, measure: Sample | None = None
 ) -> DataFrame:
     """Time-weighted mean occupancy per key over the key's own span: area, span and arrivals.
 
@@ -191,7 +191,7 @@ def littles_law(
     occupied-microseconds, kept as a whole number.
     """
     ordered = deltas.withColumn("__last", -F.col(delta))
-    line = Timeline.of(ordered, [key], ts, ["__last", *ties], hot_rows)
+    line = Timeline.of(ordered, [key], ts, ["__last", *ties], hot_rows, measure)
     line = line.scan(__level=total(F.col(delta).cast("long"), before=True), __prev=previous(ts))
     step = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("__prev"))
     area = F.sum((F.coalesce(F.col("__level"), F.lit(0)) * F.coalesce(step, F.lit(0))).cast("decimal(38,0)"))

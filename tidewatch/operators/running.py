@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.timeline import Timeline, highest, latest, tally, total
+from tidewatch.operators.timeline import Sample, Timeline, highest, latest, tally, total
 from tidewatch.operators.windows import session_marks
 
 
@@ -18,13 +18,13 @@ def running(df: DataFrame, keys: Sequence[str], order: str, value: str, ties: Se
     return summed.withColumn("running_avg", F.try_divide(F.col("running_total"), F.col("running_count")))
 
 
-def running_count(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (), name: str = "running_count", hot_rows: int | None = None) -> DataFrame:
-    return Timeline.of(df, keys, order, ties, hot_rows).scan(**{name: tally(F.lit(True))}).frame()
+def running_count(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (), name: str = "running_count", hot_rows: int | None = None, measure: Sample | None = None) -> DataFrame:
+    return Timeline.of(df, keys, order, ties, hot_rows, measure).scan(**{name: tally(F.lit(True))}).frame()
 
 
-def running_stats(df: DataFrame, keys: Sequence[str], order: str, value: str, ties: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+def running_stats(df: DataFrame, keys: Sequence[str], order: str, value: str, ties: Sequence[str] = (), hot_rows: int | None = None, measure: Sample | None = None) -> DataFrame:
     """Count, mean and maximum of the key so far."""
-    line = Timeline.of(df, keys, order, ties, hot_rows)
+    line = Timeline.of(df, keys, order, ties, hot_rows, measure)
     done = line.scan(n=tally(F.lit(True)), __sum=total(value), max_value=highest(value)).frame()
     return done.withColumn("mean_value", F.col("__sum") / F.col("n")).drop("__sum")
 

@@ -13,6 +13,7 @@ Size of what is broadcast: one row per hot key and one per segment, both bounded
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -40,6 +41,24 @@ class Running:
     nullable_row: bool = False
 
 
+@dataclass(frozen=True)
+class Sample:
+    """Rows that stand for ``weight`` times as many when keys are counted for cutting."""
+
+    rows: DataFrame
+    weight: float = 1.0
+
+
+def planning_sample(table: DataFrame, rows: int = 100_000_000) -> Sample:
+    """About ``rows`` rows of a plain table, to count keys on where counting them all needs a join.
+
+    Only where hot keys are cut depends on it; every cut gives the same result.  The table's
+    own count comes from its file footers.
+    """
+    n = table.count()
+    return Sample(table) if n <= rows else Sample(table.sample(rows / n, seed=7), n / rows)
+
+
 def total(value: Column | str, before: bool = False) -> Running:
     return Running("sum", _col(value), before)
 
@@ -103,9 +122,15 @@ class Timeline:
         order: str,
         ties: Sequence[str] = (),
         hot_rows: int | None = None,
+        measure: Sample | None = None,
     ) -> Timeline:
+        """Order ``df`` by ``order`` (then ``ties``) within ``keys``, cutting long keys.
+
+        ``measure`` may be cheaper rows with the same key and order columns to count instead of
+        ``df``.  Where the cuts fall does not change any result.
+        """
         limit = hot_rows or configured_hot_rows(df.sparkSession)
-        rows, segments = _cut(df, list(keys), order, limit)
+        rows, segments = _cut(df, list(keys), order, limit, measure or Sample(df))
         return cls(rows, keys, order, ties, segments)
 
     def frame(self) -> DataFrame:
@@ -229,21 +254,21 @@ def _merge(op: Running, carry: Column, local: Column) -> Column:
     return F.least(carry, local) if op.kind == "min" else F.greatest(carry, local)
 
 
-def _cut(df: DataFrame, keys: list[str], order: str, limit: int) -> tuple[DataFrame, int]:
+def _cut(df: DataFrame, keys: list[str], order: str, limit: int, sample: Sample) -> tuple[DataFrame, int]:
     """Add the segment number of rows that belong to a hot key (null for all other rows).
 
     Each level cuts the groups that are still too long into equal spans of the order
     column, so a burst inside one span is cut again at the next level.
     """
     place = order_number(df, order)
-    rows, segments = df, 0
+    rows, segments, measure = df, 0, sample.rows
     for level in range(MAX_LEVELS):
         groups = keys if level == 0 else [*keys, SEG]
-        profiled = rows if level == 0 else rows.where(F.col(SEG).isNotNull())
+        profiled = measure if level == 0 else measure.where(F.col(SEG).isNotNull())
         measured = profiled.select(*groups, place.alias("__place")).groupBy(*groups)
         hot = (
             measured.agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__lo"), F.max("__place").alias("__hi"))
-            .where((F.col("__n") > limit) & (F.col("__hi") > F.col("__lo")))
+            .where((F.col("__n") * F.lit(sample.weight) > limit) & (F.col("__hi") > F.col("__lo")))
             .orderBy(F.desc("__n"))
             .limit(MAX_HOT_KEYS)
         )
@@ -252,21 +277,31 @@ def _cut(df: DataFrame, keys: list[str], order: str, limit: int) -> tuple[DataFr
             break
         plan, widest = [], 1
         for row in found:
-            pieces = min(-(-row["__n"] // limit) * OVERSPLIT, row["__hi"] - row["__lo"] + 1)
+            pieces = min(math.ceil(row["__n"] * sample.weight / limit) * OVERSPLIT, row["__hi"] - row["__lo"] + 1)
             width = -(-(row["__hi"] - row["__lo"] + 1) // pieces)
-            plan.append((*[row[g] for g in groups], row["__lo"], width))
+            plan.append((*[row[g] for g in groups], row["__lo"], width, pieces - 1))
             widest = max(widest, pieces)
             segments += pieces
-        inner = F.expr("(__place - __h_lo) div __h_width")
-        placed = rows.withColumn("__place", place)
-        if groups:
-            fields = [T.StructField(f"__h_{g}", rows.schema[g].dataType) for g in groups]
-            fields += [T.StructField("__h_lo", T.LongType()), T.StructField("__h_width", T.LongType())]
-            cuts = F.broadcast(df.sparkSession.createDataFrame(plan, T.StructType(fields)))
-            on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__h_{g}")) for g in groups])
-            placed = placed.join(cuts, on, "left")
-        else:
-            placed = placed.withColumns({"__h_lo": F.lit(plan[0][0]), "__h_width": F.lit(plan[0][1])})
-        segment = inner if level == 0 else F.col(SEG) * (widest + 1) + F.coalesce(inner, F.lit(0))
-        rows = placed.withColumn(SEG, segment).drop("__place", "__h_lo", "__h_width", *[f"__h_{g}" for g in groups])
+        fields = [T.StructField(f"__h_{g}", measure.schema[g].dataType) for g in groups]
+        fields += [T.StructField(f"__h_{name}", T.LongType()) for name in ("lo", "width", "last")]
+        cuts = df.sparkSession.createDataFrame(plan, T.StructType(fields))
+        scale = None if level == 0 else widest + 1
+        same = measure is rows
+        rows = _number(rows, groups, place, cuts, plan, scale)
+        measure = rows if same else _number(measure, groups, place, cuts, plan, scale)
     return rows, segments
+
+
+def _number(rows: DataFrame, groups: list[str], place: Column, cuts: DataFrame, plan: list[tuple], scale: int | None) -> DataFrame:
+    placed = rows.withColumn("__place", place)
+    if groups:
+        on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__h_{g}")) for g in groups])
+        placed = placed.join(F.broadcast(cuts), on, "left")
+    else:
+        lo, width, last = plan[0]
+        placed = placed.withColumns({"__h_lo": F.lit(lo), "__h_width": F.lit(width), "__h_last": F.lit(last)})
+    # a row outside the measured span goes to the first or last piece, so order is kept
+    piece = F.expr("greatest(0, least(__h_last, (__place - __h_lo) div __h_width))")
+    piece = F.when(F.col("__h_lo").isNotNull(), piece)
+    segment = piece if scale is None else F.col(SEG) * scale + F.coalesce(piece, F.lit(0))
+    return placed.withColumn(SEG, segment).drop("__place", "__h_lo", "__h_width", "__h_last", *[f"__h_{g}" for g in groups])

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.timeline import Timeline, highest, latest, previous, tally, total
+from tidewatch.operators.timeline import Sample, Timeline, highest, latest, previous, tally, total
 
 _UNIT_US = {
     "microsecond": 1,
@@ -106,8 +106,10 @@ def top_k(df: DataFrame, ts: str, width: str, keys: Sequence[str], k: int, by: s
 
 def crossings(averages: DataFrame, keys: Sequence[str], order: str, value: str, limit: float) -> DataFrame:
     """Rows where the value is above the limit and the key's previous value was not."""
-    line = Timeline.of(averages, keys, order).scan(previous_value=previous(value))
-    return line.frame().where((F.col(value) > limit) & (F.col("previous_value") <= limit))
+    # one row per key and window: a key has no more rows than the time span has windows
+    seen = Window.partitionBy(*keys).orderBy(order)
+    rising = averages.withColumn("previous_value", F.lag(value).over(seen))
+    return rising.where((F.col(value) > limit) & (F.col("previous_value") <= limit))
 
 
 def early_counts(df: DataFrame, ts: str, width: str, every: str, keys: Sequence[str], value: Column) -> DataFrame:
@@ -123,11 +125,13 @@ def early_counts(df: DataFrame, ts: str, width: str, every: str, keys: Sequence[
 
 
 def fire_every_nth(
-    df: DataFrame, ts: str, width: str, keys: Sequence[str], nth: int, ties: Sequence[str] = (), hot_rows: int | None = None
+    df: DataFrame, ts: str, width: str, keys: Sequence[str], nth: int, ties: Sequence[str] = (), hot_rows: int | None = None, measure: Sample | None = None
 ) -> DataFrame:
     """A row each time a window's count reaches a multiple of ``nth``."""
     placed = df.withColumn("window_start", window_start(ts, width))
-    line = Timeline.of(placed, ["window_start", *keys], ts, ties, hot_rows).scan(fired_count=tally(F.lit(True)))
+    if measure is not None:
+        measure = Sample(measure.rows.withColumn("window_start", window_start(ts, width)), measure.weight)
+    line = Timeline.of(placed, ["window_start", *keys], ts, ties, hot_rows, measure).scan(fired_count=tally(F.lit(True)))
     return line.frame().where(F.col("fired_count") % nth == 0)
 
 

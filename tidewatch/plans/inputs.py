@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.draw import length_of_stay_ms
 from tidewatch.operators.occupancy import closed_until
+from tidewatch.operators.timeline import Sample, planning_sample
 from tidewatch.sources.tables import read_events, read_table
 
 DAY_MS = 86_400_000
@@ -62,6 +63,12 @@ def admissions(spark: SparkSession, folder: str, rows: DataFrame | None = None)
     return rows.select(*kept, F.coalesce("capacity", F.lit(-1)).alias("capacity"))
 
 
+def admission_sample(spark: SparkSession, folder: str) -> Sample:
+    """Admissions for counting hospitals and regions without joining the whole stream."""
+    part = planning_sample(events(spark, folder))
+    return Sample(admissions(spark, folder, part.rows), part.weight)
+
+
 def stay_ms() -> Column:
     return length_of_stay_ms("event_id", "region", STAYS)
 

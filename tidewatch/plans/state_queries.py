@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import frames, news2, render
 from tidewatch.operators import detect, occupancy, paging, rules, running, vitals
 
+from tidewatch.operators.timeline import Sample
 from tidewatch.plans import inputs
 from tidewatch.plans.catalog import query
 from tidewatch.plans.inputs import ADM, EV, STAYED
@@ -27,7 +28,8 @@ HOUR_US = 3_600_000_000
 )
 def running_count(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.admissions(spark, folder).select("event_id", "ts", "hospital")
-    return running.running_count(rows, ["hospital"], "ts", ["event_id"], "occupied").drop("ts")
+    measure = inputs.admission_sample(spark, folder)
+    return running.running_count(rows, ["hospital"], "ts", ["event_id"], "occupied", measure=measure).drop("ts")
 
 
 ALERTED = f"""{ADM}, counted AS (SELECT *, row_number() OVER (PARTITION BY hospital ORDER BY ts, event_id) AS occupied FROM adm WHERE capacity > 0),
@@ -72,8 +74,8 @@ def render_alerts(spark: SparkSession, folder: str) -> DataFrame:
 # ---- deferred emission ----
 
 
-def discharges(spark: SparkSession, folder: str) -> DataFrame:
-    rows = inputs.admissions(spark, folder)
+def discharges(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = inputs.admissions(spark, folder) if rows is None else rows
     until = inputs.watermark(inputs.events(spark, folder))
     return occupancy.deferred_emit(rows, "ts", inputs.stay_ms(), until)
 
@@ -146,18 +148,28 @@ STATUS = f"""{STEPS}, {clamped_sql('hospital')}, rated AS (SELECT *, -delta AS o
     FROM moved WHERE status <> previous_status)"""
 
 
-def bed_steps(spark: SparkSession, folder: str) -> DataFrame:
-    rows = inputs.admissions(spark, folder)
+def bed_steps(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = inputs.admissions(spark, folder) if rows is None else rows
     until = inputs.watermark(inputs.events(spark, folder))
     return occupancy.stay_steps(rows, ["hospital", "region", "capacity", "event_id"], "ts", inputs.stay_ms(), until)
 
 
+def bed_line(spark: SparkSession, folder: str) -> dict:
+    """Steps of all known hospitals and what to count them on, as arguments of the occupancy operators."""
+    part = inputs.admission_sample(spark, folder)
+    measure = Sample(bed_steps(spark, folder, part.rows), part.weight)
+    return {
+        "deltas": bed_steps(spark, folder), "key": "hospital", "ts": "ts", "delta": "delta", "capacity": "capacity",
+        "ties": ["event_id"], "measure": measure,
+    }
+
+
 @query(
     "occupancy",
     f"WITH {STEPS}, {clamped_sql('hospital')} SELECT hospital, event_id, make_timestamp(us) AS ts, delta, occupied, underflow FROM occ",
 )
 def occupancy_levels(spark: SparkSession, folder: str) -> DataFrame:
-    line = occupancy.occupancy(bed_steps(spark, folder), "hospital", "ts", "delta", "capacity", ["event_id"])
+    line = occupancy.occupancy(**bed_line(spark, folder))
     return line.frame().select("hospital", "event_id", "ts", "delta", "occupied", "underflow")
 
 
@@ -179,7 +191,7 @@ def occupancy_floor(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bed_status_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return occupancy.occupancy_alerts(bed_steps(spark, folder), "hospital", "ts", "delta", "capacity", ["event_id"])
+    return occupancy.occupancy_alerts(**bed_line(spark, folder))
 
 
 @query("occupancy_alerts", f"WITH {STATUS} SELECT * FROM changes")
@@ -246,8 +258,13 @@ def littles_law(spark: SparkSession, folder: str) -> DataFrame:
     """Measured mean occupancy per region next to arrival rate x mean stay."""
     rows = inputs.admissions(spark, folder).where(F.col("region").isNotNull())
     until = inputs.watermark(inputs.events(spark, folder))
-    steps = occupancy.stay_steps(rows, ["region", "event_id"], "ts", inputs.stay_ms(), until)
-    measured = occupancy.littles_law(steps, "region", "ts", "delta", ["event_id"])
+    part = inputs.admission_sample(spark, folder)
+
+    def steps(admitted: DataFrame) -> DataFrame:
+        return occupancy.stay_steps(admitted, ["region", "event_id"], "ts", inputs.stay_ms(), until)
+
+    measure = Sample(steps(part.rows), part.weight)
+    measured = occupancy.littles_law(steps(rows), "region", "ts", "delta", ["event_id"], measure=measure)
     stays = rows.groupBy("region").agg(F.sum(inputs.stay_ms()).alias("stays"))
     both = measured.join(stays, "region")
     rate = F.col("arrivals").cast("double") / F.col("span_us")
@@ -265,7 +282,7 @@ def littles_law(spark: SparkSession, folder: str) -> DataFrame:
       count(*) FILTER (underflow) AS occupancy_underflows FROM occ""",
 )
 def metrics_counts(spark: SparkSession, folder: str) -> DataFrame:
-    line = occupancy.occupancy(bed_steps(spark, folder), "hospital", "ts", "delta", "capacity", ["event_id"])
+    line = occupancy.occupancy(**bed_line(spark, folder))
     return line.frame().agg(
         F.count_if(F.col("delta") > 0).alias("readings_processed"),
         F.count_if(F.col("delta") < 0).alias("discharges_emitted"),

@@ -11,6 +11,7 @@ from tidewatch.functions.user import aggregate_with, describe_windows, warn_batc
 from tidewatch.operators import admissions as adm_ops
 from tidewatch.operators import joins, keys, running, windows
 from tidewatch.operators.rows import drop_faulty, split_words
+from tidewatch.operators.timeline import Sample
 from tidewatch.plans import inputs
 from tidewatch.plans.catalog import query
 from tidewatch.plans.inputs import ADM, EV, STAYED
@@ -291,7 +292,8 @@ def early_results(spark: SparkSession, folder: str) -> DataFrame:
 def early_fire(spark: SparkSession, folder: str) -> DataFrame:
     """A speculative result each time a window's count reaches another fifty."""
     rows = inputs.admissions(spark, folder).select("event_id", "ts", "region")
-    return windows.fire_every_nth(rows, "ts", "1 day", ["region"], 50, ["event_id"])
+    measure = inputs.admission_sample(spark, folder)
+    return windows.fire_every_nth(rows, "ts", "1 day", ["region"], 50, ["event_id"], measure=measure)
 
 
 SHIFTED_US = "CASE WHEN event_id % 10 = 0 THEN (300 + cents % 2400) * 10000000 ELSE 0 END"
@@ -376,7 +378,9 @@ def duration_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Count, mean and longest stay per region after every discharge."""
     done = discharges(spark, folder).withColumn("stay_ms", inputs.stay_ms())
     rows = done.select("event_id", "region", "due_time", "stay_ms")
-    return running.running_stats(rows, ["region"], "due_time", "stay_ms", ["event_id"]).drop("stay_ms")
+    part = inputs.admission_sample(spark, folder)
+    measure = Sample(discharges(spark, folder, part.rows), part.weight)
+    return running.running_stats(rows, ["region"], "due_time", "stay_ms", ["event_id"], measure=measure).drop("stay_ms")
 
 
 @query(
