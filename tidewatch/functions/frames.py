@@ -84,7 +84,8 @@ def explode_frames(frames: DataFrame) -> DataFrame:
     one = frames.where("valid").select(
         "patientId", "wardId", "deviceId", "timestamp", F.inline(last_entries("measurements")).alias("vitalCode", "raw")
     )
-    return one.withColumn("value", normalized(F.col("vitalCode"), F.col("raw"))).where(F.col("value").isNotNull()).drop("raw")
+    read = once(one, "value", normalized(F.col("vitalCode"), F.col("raw")))
+    return read.where(F.col("value").isNotNull()).drop("raw")
 
 
 def normalized(code: Column, raw: Column) -> Column:

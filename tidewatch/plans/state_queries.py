@@ -148,18 +148,17 @@ STATUS = f"""{STEPS}, {clamped_sql('hospital')}, rated AS (SELECT *, -delta AS o
     FROM moved WHERE status <> previous_status)"""
 
 
-def bed_steps(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
-    rows = inputs.admissions(spark, folder) if rows is None else rows
-    until = inputs.watermark(inputs.events(spark, folder))
+def bed_steps(rows: DataFrame, until: int) -> DataFrame:
     return occupancy.stay_steps(rows, ["hospital", "region", "capacity", "event_id"], "ts", inputs.stay_ms(), until)
 
 
 def bed_line(spark: SparkSession, folder: str) -> dict:
     """Steps of all known hospitals and what to count them on, as arguments of the occupancy operators."""
+    until = inputs.watermark(inputs.events(spark, folder))
     part = inputs.admission_sample(spark, folder)
-    measure = Sample(bed_steps(spark, folder, part.rows), part.weight)
+    measure = Sample(bed_steps(part.rows, until), part.weight)
     return {
-        "deltas": bed_steps(spark, folder), "key": "hospital", "ts": "ts", "delta": "delta", "capacity": "capacity",
+        "deltas": bed_steps(inputs.admissions(spark, folder), until), "key": "hospital", "ts": "ts", "delta": "delta", "capacity": "capacity",
         "ties": ["event_id"], "measure": measure,
     }
 
@@ -240,7 +239,8 @@ def dynamic_capacity(spark: SparkSession, folder: str) -> DataFrame:
         (60 + F.col("o_orderkey") % 60).cast("int").alias("capacity"),
         F.col("o_orderkey").alias("event_id"),
     )
-    changes = occupancy.dynamic_capacity(bed_steps(spark, folder).drop("region"), updates, "hospital", "ts", "delta", "capacity", ["event_id"])
+    steps = bed_steps(inputs.admissions(spark, folder), inputs.watermark(inputs.events(spark, folder))).drop("region")
+    changes = occupancy.dynamic_capacity(steps, updates, "hospital", "ts", "delta", "capacity", ["event_id"])
     return changes.select("hospital", "event_id", "ts", "previous_status", "status", "occupied", "capacity")
 
 
