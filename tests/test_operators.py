@@ -420,7 +420,7 @@ def test_rules_change_while_running(spark):
     ])])
     got = sorted((r["patientId"], r["ruleId"]) for r in rules.threshold_alerts(readings, held, "ts").collect())
     assert got == [("P0", "D"), ("P2", "R-HR"), ("P3", "R-HR"), ("P5", "R-HR")]
-    large = rules.match_rules_large(readings, held, "ts", "id")
+    large = rules.match_rules(readings, held, "ts", "id", max_rows=2)
     assert sorted((r["patientId"], r["ruleId"]) for r in large.where("value > rule_max").collect()) == got
 
 

@@ -54,15 +54,18 @@ def rule_set(rules: DataFrame, defaults: DataFrame) -> DataFrame:
     return rules.unionByName(past)
 
 
-def match_rules(readings: DataFrame, rules: DataFrame, ts: str, max_rows: int = 10_000) -> DataFrame:
+def match_rules(readings: DataFrame, rules: DataFrame, ts: str, row_id: str | None = None, max_rows: int = 10_000) -> DataFrame:
     """Each reading with each rule in force for its vital and ward; ward rules override ``*`` rules.
 
-    Rules are packed into one array per vital (counted to be small first), so readings are
-    matched in place, without a shuffle.
+    Up to ``max_rows`` rule versions are packed into one array per vital, so readings are
+    matched in place, without a shuffle.  More than that go through ``match_rules_large``,
+    which needs the column that identifies a reading.
     """
     held = rules.select("vitalCode", *RECORD).limit(max_rows + 1).collect()
     if len(held) > max_rows:
-        raise ValueError(f"more than {max_rows} rule versions; use match_rules_large")
+        if row_id is None:
+            raise ValueError(f"more than {max_rows} rule versions need a row_id")
+        return match_rules_large(readings, rules, ts, row_id)
     by_vital: dict[str, list] = {}
     for row in held:
         by_vital.setdefault(row["vitalCode"], []).append(tuple(row[c] for c in RECORD))
@@ -109,9 +112,9 @@ def outside(value: Column, low: Column, high: Column) -> Column:
     return (value < low) | (value > high)
 
 
-def threshold_alerts(readings: DataFrame, rules: DataFrame, ts: str) -> DataFrame:
+def threshold_alerts(readings: DataFrame, rules: DataFrame, ts: str, row_id: str | None = None) -> DataFrame:
     """Reading x matching rule whose value is outside [min, max]."""
-    matched = match_rules(readings, rules, ts)
+    matched = match_rules(readings, rules, ts, row_id)
     return matched.where(outside(F.col("value"), F.col("rule_min"), F.col("rule_max")))
 
 

@@ -503,7 +503,7 @@ PLANNED = f"""{RULED}, pc AS (SELECT ts, f[2] AS op, f[3] AS patient, f[4] AS vi
     f'WITH {RULED} SELECT event_id, patient AS "patientId", rule_id AS "ruleId", value FROM matched WHERE value < lo OR value > hi',
 )
 def threshold_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    alerts = rules.threshold_alerts(ward_readings(spark, folder), rules_in_force(spark, folder), "ts")
+    alerts = rules.threshold_alerts(ward_readings(spark, folder), rules_in_force(spark, folder), "ts", "event_id")
     return alerts.select("event_id", "patientId", "ruleId", "value")
 
 
@@ -519,7 +519,7 @@ def threshold_alerts_large(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def planned_readings(spark: SparkSession, folder: str) -> DataFrame:
-    matched = rules.match_rules(ward_readings(spark, folder), rules_in_force(spark, folder), "ts")
+    matched = rules.match_rules(ward_readings(spark, folder), rules_in_force(spark, folder), "ts", "event_id")
     return rules.with_care_plan(matched, care_plans(spark, folder), "ts")
 
 
