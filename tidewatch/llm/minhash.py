@@ -38,8 +38,8 @@ BASE = 1.001
 #: below the threshold by this much, a likelihood estimate rules a pair out (over 5 deviations)
 SLACK = 0.2
 #: nodes of a bucket compared at once, and pairs looked at together
-BLOCK = 512
-PAIRS = 100_000
+BLOCK = 2048
+PAIRS = 50_000
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
