@@ -1,0 +1,205 @@
+"""Every operator on odd rows and on empty tables, and on sample tables against brute force."""
+
+from __future__ import annotations
+
+import itertools
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from conftest import SMALL
+from tidewatch.llm import bpe, embeddings, html_text, langid, lm, minhash, mixing, pii, quality, quotes
+from tidewatch.llm.components import components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, size string, spans string, label int, kept string, row string"
+LONG = " ".join(f"w{k}" for k in range(3000))
+BASE = " ".join(f"word{k}" for k in range(60))
+ROWS = [
+    (1, BASE, "en", "s1"), (2, BASE, "en", "s1"), (3, BASE + " tail", None, "s2"), (3, BASE + " tail", None, "s2"), (None, BASE, "en", None),
+    (5, None, None, None), (6, "", "de", "s2"), (7, " \n", "de", "s2"), (8, LONG, "en", "s1"), (9, "one two", "fr", ""), (10, "mail me: bob@site.example.org now", "en", "s1"),
+]
+VOCABULARY = bpe.read_vocabulary("/opt/tokenizers/word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module", params=["odd", "empty"])
+def docs(request, spark):
+    rows = ROWS if request.param == "odd" else []
+    return spark.createDataFrame([(*r, len(r[1] or ""), 1, "x", "y", 0, "z", "q") for r in rows], SCHEMA)
+
+
+def test_components(spark):
+    links = [(5, 4), (4, 3), (3, 9), (9, 8), (20, 21), (7, 7), (None, 1), (5, 4)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {3: 3, 4: 3, 5: 3, 8: 3, 9: 3, 20: 20, 21: 20}
+
+
+def test_near_duplicates(docs):
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(docs, size=4).collect()}
+    assert len(got) == len({r["doc_id"] for r in docs.collect()})
+    if got:
+        assert [got[k]["component_id"] for k in (1, 2, 3, 5, 6, 7, 8, 9)] == [1, 1, 1, 5, 6, 7, 8, 9]
+        assert got[None]["component_id"] is None and got[5]["n_shingles"] == 0 and got[9]["n_shingles"] == 1
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = sorted((r["doc_id"] for r in kept.collect()), key=lambda x: (x is None, x))
+    assert ids == ([1, 5, 6, 7, 8, 9, 10, None] if got else [])
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    sets = {}
+    for r in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))
+        sets[r["doc_id"]] = {tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))} if w else set()
+    label = {k: k for k in sets}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    while any(label[a] != label[b] for a, b in links):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    got = minhash.near_duplicates(spark.read.parquet(f"{SMALL}/documents.parquet"), size=4).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == {k: (len(s), label[k], label[k] == k) for k, s in sets.items()}
+
+
+def test_language(docs):
+    got = langid.predict(docs, langid.fit(docs, per_language=5)).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert (r["lang_pred"] == "und") == (not any(c.isalpha() for c in r["text"] or "")) and 0 <= r["score"] <= 1
+
+
+def test_language_held_out(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    got = langid.predict(rows, langid.fit(rows, per_language=150)).where(held).select((F.col("lang") == F.col("lang_pred")).cast("int").alias("right"))
+    assert got.agg(F.avg("right")).first()[0] > 0.97
+
+
+def test_main_text_rows(spark):
+    pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<p>a<p>b", "x"), (3, "u", "<p>a<p>b", "x")], "page_id long, url string, html string, text string")
+    assert [r["text"] for r in html_text.extract(pages).orderBy("page_id").collect()] == ["", "", "a\nb", "a\nb"]
+    assert html_text.extract(pages.limit(0)).collect() == []
+
+
+def test_lm_score(docs):
+    got = lm.score(docs, lm.fit(lm.learning(docs))).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert np.isfinite(r["score"]) and r["n_tokens"] >= r["n_known"] >= 0
+
+
+def test_lm_joins_rare_words(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet")
+    whole = lm.fit(lm.learning(rows))
+    few = lm.Fitted(lm.vocabulary(whole.counts, whole.words.ends, frequent=lm.HEAD), whole.model, whole.counts)
+    a, b = ({r["doc_id"]: r for r in lm.score(rows, f).collect()} for f in (whole, few))
+    assert sum(r["score"] > r["base_score"] for r in a.values()) > 0.9 * len(a)
+    for k in a:
+        assert a[k]["n_known"] == b[k]["n_known"] and a[k]["base_score"] == pytest.approx(b[k]["base_score"]) and a[k]["score"] == pytest.approx(b[k]["score"], rel=1e-5)
+
+
+def test_quotes(spark):
+    rows = [
+        (1, 0, "user", "Hello there\nsecond line"), (1, 1, "assistant", "> hello  THERE\nHi"), (1, 2, "user", "Ann wrote:\n> Hi\n> > Hello there\nbye"),
+        (2, 0, "user", "> Hi\nelsewhere"), (2, 1, "user", None), (None, 0, None, "> Hi"), (3, None, "user", ""),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r for r in quotes.linked(table).collect()}
+    assert len(got) == 7
+    assert (got[1, 1]["reply_turn"], got[1, 2]["reply_turn"], got[1, 2]["depth"], got[1, 2]["text"]) == (0, 1, 2, "bye")
+    assert (got[2, 0]["reply_conv"], got[2, 0]["reply_turn"], got[2, 1]["reply_turn"], got[2, 1]["text"]) == (1, 1, 0, "")
+    assert got[None, 0]["reply_turn"] is None and got[3, None]["text"] == ""
+    assert quotes.formatted(table.limit(0)).collect() == []
+
+
+def test_personal_data(docs):
+    got = pii.with_spans(docs).collect()
+    assert [s["kind"] for r in got for s in r["spans"]] == (["email"] if got else [])
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+    assert {r["doc_id"]: r["text"] for r in out.collect()}.get(10, "mail me: <EMAIL> now") == "mail me: <EMAIL> now"
+
+
+def test_patterns_discover_unseen_identifiers(spark):
+    rows = [(k, f"please write to contact address: user{k}@host{k}.example.com today") for k in range(20)]
+    rows += [(100, "please write to contact address: root@localhost today"), (101, "odd thing: root@localhost today")]
+    got = {r["doc_id"]: r["spans"] for r in pii.with_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s["kind"], s["found"]) for s in got[100]] == [("email", "pattern")] and got[101] == []
+
+
+def test_mixture(docs):
+    got = mixing.mixture(docs).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert r["taken"] <= 2 * r["size"] and r["target"] <= 2 * r["source_size"] + 1e-6
+    assert mixing.mixed(docs).columns == docs.columns
+
+
+def test_mixture_targets(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = mixing.mixture(rows).join(rows.select("doc_id", "source"), "doc_id").toPandas()
+    again = mixing.mixture(rows.repartition(7)).toPandas()
+    assert got.set_index("doc_id").taken.sort_index().equals(again.set_index("doc_id").taken.sort_index())
+    size, largest = got.groupby("source")["size"].sum(), got.groupby("source")["size"].max()
+    names = sorted(size.index, key=lambda s: s.encode())
+    goal, capped = {}, set()
+    while True:
+        weights = {n: mixing.WEIGHTS[k % 3] for k, n in enumerate(names) if n not in capped}
+        left = 1.5 * size.sum() - sum(2 * size[n] for n in capped)
+        goal = {n: left * w / sum(weights.values()) for n, w in weights.items()} | {n: 2.0 * size[n] for n in capped}
+        over = {n for n in weights if goal[n] > 2 * size[n]}
+        if not over:
+            break
+        capped |= over
+    for n in names:
+        part = got[got.source == n]
+        assert part.target.iloc[0] == pytest.approx(goal[n]) and abs(part.taken.sum() - goal[n]) <= largest[n]
+
+
+def test_quality(docs, spark):
+    labels = docs.where("doc_id is not null").select("doc_id", F.lit(1).alias("quality"))
+    ratio = quality.fit(docs, labels)
+    got = quality.quality_report(docs, ratio).collect()
+    assert len(got) == docs.count() and all(r["base_failed"] == (r["n_words"] < 10) for r in got)
+    assert quality.keep_good(docs, ratio).columns == docs.columns
+
+
+def test_quality_follows_the_labels(spark):
+    rows, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.quality_report(rows, quality.fit(rows, labels)).join(labels, "doc_id").where("not base_failed")
+    assert got.where("quality = 1 and not kept").count() == 0 and got.where("quality = 0 and kept").count() <= 1
+
+
+def test_near_vectors(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((30, 16))
+    rows = [(k, (centres[k % 30] + 0.12 * rng.standard_normal(16)).tolist()) for k in range(300)]
+    rows += [(300, rows[0][1]), (301, None), (302, [0.0] * 16), (303, [float("nan")] * 16), (304, [1.0, None]), (305, []), (306, [1.0, 2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in embeddings.near_vectors(table).collect()}
+    v = np.array([x for _, x in rows[:301]])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    near = v @ v.T >= 0.9
+    label = np.arange(301)
+    while (new := np.where(near, label[None, :], 10**6).min(axis=1)).tolist() != label.tolist():
+        label = new
+    assert [got[k]["n_links"] for k in range(301)] == (near.sum(axis=1) - 1).tolist()
+    assert [got[k]["component_id"] for k in range(301)] == label.tolist()
+    assert all(got[k]["n_links"] == 0 and got[k]["kept"] for k in range(301, 307))
+    assert embeddings.near_vectors(table.limit(0)).collect() == []
+
+
+def test_tokens(docs):
+    rows = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect()
+    assert len(rows) == docs.count()
+    assert all((len(r["ids"]) == 0) == (not (r["text"] or "").strip()) for r in rows)
+
+
+def test_pipeline(docs, spark, scratch):
+    docs.withColumn("n_chars", F.col("n_chars")).write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (9, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    rows = corpus_pipeline.run(spark, scratch)
+    assert rows.columns == [*docs.columns, "ids", "decoded"]
+    assert {r["doc_id"] for r in rows.collect()} <= {1, 8, None}

@@ -69,6 +69,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.combine_chunks()
     if column.null_count:
         column = pc.fill_null(column, "")
+    if not len(column):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
     column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]

@@ -48,6 +48,8 @@ def normalised(line: str) -> str:
 
 def hashed(lines: list[str]) -> np.ndarray:
     """64-bit hashes of non-empty lines."""
+    if not lines:
+        return np.zeros(0, dtype=np.int64)
     raw = [x.encode() for x in lines]
     lengths = np.array([len(x) for x in raw], dtype=np.int64)
     return segment_hashes(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths).view(np.int64)
