@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions import draw, frames, news2, registry, render
-from tidewatch.operators import admissions, detect, keys, occupancy, paging, rows, rules, windows
+from tidewatch.operators import admissions, detect, keys, occupancy, paging, rows, rules, running, windows
 from tidewatch.operators.timeline import SEG, Sample, Timeline, highest, latest, lowest, planning_sample, previous, tally, total
 
 UTC = datetime.timezone.utc
@@ -513,3 +513,17 @@ def test_rendered_lines(spark):
         "[01:00:00] ALERT: Hospital HS1 (Region S) at 90/100 beds (90.0% capacity)",
         "[01:00:00] S -> HS1: Hospital HS1 (Region S) at 90/100 beds (90.0% occupancy)",
     ]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 50])
+@pytest.mark.parametrize("level, step", [(36.6, 0.0), (1e8, 1.0)])
+def test_steady_readings_have_no_outliers(spark, hot_rows, level, step):
+    rows = spark.range(600).selectExpr("id", "1 AS k", f"double({level}) + {step} * (id % 3) AS x", "timestamp_seconds(id) AS ts")
+    assert running.baseline_outliers(rows, ["k"], "ts", "x", ["id"], hot_rows=hot_rows).where("is_outlier").count() == 0
+
+
+def test_early_counts_end_with_a_final_row(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (200, "a"), (3700, "b")], "s long, k string").selectExpr("timestamp_seconds(s) AS ts", "k")
+    got = windows.early_counts(rows, "ts", "1 hour", "15 minutes", ["k"], F.lit(1)).collect()
+    assert [r["partial_count"] for r in sorted(got, key=lambda r: (r["k"], r["fire_time"]))] == [3, 3, 3, 3, 1, 1, 1, 1]
+    assert sum(r["is_final"] for r in got) == 2

@@ -50,22 +50,29 @@ def expiring_sum(df: DataFrame, keys: Sequence[str], ts: str, value: str, ttl: s
 def baseline_outliers(df: DataFrame, keys: Sequence[str], ts: str, value: str, ties: Sequence[str] = (), sigmas: float = 3.0, hot_rows: int | None = None) -> DataFrame:
     """Flag a reading more than ``sigmas`` standard deviations from the key's own earlier readings.
 
-    With n, S, Q the count, sum and square sum so far, ``|x - mean| > k * sd`` is compared as
-    ``(n*x - S)^2 > k^2 * (n*Q - S^2)``, which is exact for whole-number readings.
+    Sums are taken of d = x - the key's first reading, so a large common level cancels before
+    anything is squared: with n, S, Q the count, sum and square sum of the earlier d,
+    ``|x - mean| > k * sd`` is ``(n*d - S)^2 > k^2 * (n*Q - S^2)``.  Readings without any spread
+    flag nothing.
     """
     number = F.col(value).cast("double")
     line = Timeline.of(df, keys, ts, ties, hot_rows)
+    line = line.scan(__place=tally(F.lit(True))).scan(__first=latest(F.when(F.col("__place") == 1, F.coalesce(number, F.lit(0.0)))))
+    off_first = number - F.col("__first")
     line = line.scan(
-        __n=tally(F.lit(True), before=True), __s=total(number, before=True), __q=total(number * number, before=True)
+        __n=tally(F.lit(True), before=True),
+        __sum=total(number, before=True),
+        __s=total(off_first, before=True),
+        __q=total(off_first * off_first, before=True),
     )
     n, s, q = F.col("__n"), F.col("__s"), F.col("__q")
     spread = n * q - s * s
-    off = n * number - s
+    off = n * off_first - s
     done = line.frame().withColumns(
         {
             "baseline_n": F.coalesce(n, F.lit(0)),
-            "baseline_mean": s / n,
-            "is_outlier": F.coalesce((n >= 2) & (off * off > F.lit(sigmas * sigmas) * spread), F.lit(False)),
+            "baseline_mean": F.col("__sum") / n,
+            "is_outlier": F.coalesce((n >= 2) & (spread > 0) & (off * off > F.lit(sigmas * sigmas) * spread), F.lit(False)),
         }
     )
-    return done.drop("__n", "__s", "__q")
+    return done.drop("__place", "__first", "__n", "__sum", "__s", "__q")

@@ -113,15 +113,24 @@ def crossings(averages: DataFrame, keys: Sequence[str], order: str, value: str,
 
 
 def early_counts(df: DataFrame, ts: str, width: str, every: str, keys: Sequence[str], value: Column) -> DataFrame:
-    """Running count at each ``every`` mark inside the window; the mark at the window end is final."""
+    """Running count at each ``every`` mark from a window's first row on; the mark at the window end is final.
+
+    ``every`` divides ``width``.  Marks without new rows repeat the count, so every window with
+    a row has its final result.
+    """
     marked = df.withColumns(
         {"window_start": window_start(ts, width), "fire_time": shift(window_start(ts, every), span_us(every))}
     ).withColumn("__v", value)
     parts = marked.groupBy("window_start", *keys, "fire_time").agg(F.sum("__v").alias("__part"))
-    upto = Window.partitionBy("window_start", *keys).orderBy("fire_time").rowsBetween(Window.unboundedPreceding, 0)
-    counted = parts.withColumn("partial_count", F.sum("__part").over(upto))
+    seen = Window.partitionBy("window_start", *keys).orderBy("fire_time")
+    counted = parts.withColumns(
+        {"partial_count": F.sum("__part").over(seen.rowsBetween(Window.unboundedPreceding, 0)), "__next": F.lead("fire_time").over(seen)}
+    )
     end = shift("window_start", span_us(width))
-    return counted.select("window_start", *keys, "fire_time", "partial_count", (F.col("fire_time") == end).alias("is_final"))
+    # a count holds until the mark before the next part, the last one until the window ends
+    holds = F.coalesce(shift("__next", -span_us(every)), end)
+    marks = F.sequence("fire_time", holds, F.expr(f"INTERVAL {every}"))
+    return counted.select("window_start", *keys, F.explode(marks).alias("fire_time"), "partial_count").withColumn("is_final", F.col("fire_time") == end)
 
 
 def fire_every_nth(

@@ -41,8 +41,8 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str, delay: str = "1 millisecond") -> DataFrame:
-    # as a pattern the path may be one file or a directory of files
-    rows = read_events(spark, f"{folder}/event*.parquet", stream=True, delay=delay)
+    # as a pattern the path may be one file or a directory of files; it matches this one name
+    rows = read_events(spark, f"{folder}/event[s].parquet", stream=True, delay=delay)
     return rows.withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
 
 

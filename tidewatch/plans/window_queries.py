@@ -274,10 +274,11 @@ def topk_window_all(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "early_results",
-    f"""WITH {ADM}, p AS (SELECT time_bucket(INTERVAL '6 hours', ts) AS window_start, region, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS fire_time,
-        count(*) FILTER (value > 65) AS part FROM adm GROUP BY ALL)
-    SELECT window_start, region, fire_time, sum(part) OVER (PARTITION BY window_start, region ORDER BY fire_time {ROWS_SO_FAR})::BIGINT AS partial_count,
-      fire_time = window_start + INTERVAL '6 hours' AS is_final FROM p""",
+    f"""WITH {ADM}, w AS (SELECT time_bucket(INTERVAL '6 hours', ts) AS window_start, region, min(time_bucket(INTERVAL '1 hour', ts)) + INTERVAL '1 hour' AS opening
+        FROM adm GROUP BY ALL),
+      m AS (SELECT window_start, region, unnest(generate_series(opening, window_start + INTERVAL '6 hours', INTERVAL '1 hour')) AS fire_time FROM w)
+    SELECT m.window_start, m.region, m.fire_time, count(*) FILTER (a.value > 65) AS partial_count, m.fire_time = m.window_start + INTERVAL '6 hours' AS is_final
+    FROM m JOIN adm a ON a.region IS NOT DISTINCT FROM m.region AND a.ts >= m.window_start AND a.ts < m.fire_time GROUP BY m.window_start, m.region, m.fire_time""",
 )
 def early_results(spark: SparkSession, folder: str) -> DataFrame:
     senior = F.when(adm_ops.senior("value"), F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
@@ -396,10 +397,10 @@ def duration_stats_window(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "three_sigma",
-    f"""WITH {EV}, b AS (SELECT event_id, user_id, cents::DOUBLE AS x, count(*) OVER w AS n, sum(cents) OVER w::DOUBLE AS s, sum(cents * cents) OVER w::DOUBLE AS q
+    f"""WITH {EV}, b AS (SELECT event_id, user_id, cents::HUGEINT AS x, count(*) OVER w AS n, sum(cents) OVER w AS s, sum(cents * cents) OVER w AS q
       FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-    SELECT event_id, user_id, n AS baseline_n, s / nullif(n, 0) AS baseline_mean,
-      coalesce(n >= 2 AND (n * x - s) * (n * x - s) > 9.0::DOUBLE * (n * q - s * s), false) AS is_outlier FROM b""",
+    SELECT event_id, user_id, n AS baseline_n, s::DOUBLE / nullif(n, 0) AS baseline_mean,
+      coalesce(n >= 2 AND n * q > s * s AND (n * x - s) * (n * x - s) > 9 * (n * q - s * s), false) AS is_outlier FROM b""",
 )
 def three_sigma(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.events(spark, folder).select("event_id", "ts", "user_id", "cents")

@@ -535,7 +535,7 @@ class LateRouter(StatefulProcessor):
 
 
 class BaselineOutliers(Buffered):
-    """Flags a reading far from the key's own earlier readings, from n, sum and square sum."""
+    """Flags a reading far from the key's own earlier readings, from n, sum and square sum around the first."""
 
     def __init__(self, key: str, sigmas: float, slot_ms: int):
         super().__init__(key, [("tie", "bigint"), ("x", "double")], slot_ms)
@@ -543,18 +543,19 @@ class BaselineOutliers(Buffered):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.stats = handle.getValueState("runningStats", "n bigint, s double, q double")
+        self.stats = handle.getValueState("runningStats", "n bigint, first double, s double, q double")
 
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
-        n, s, q = self.stats.get() if self.stats.exists() else (0, 0.0, 0.0)
+        n, first, s, q = self.stats.get() if self.stats.exists() else (0, rows[0][2] if rows else 0.0, 0.0, 0.0)
         for us, tie, x in rows:
-            off = n * x - s
+            d = x - first
+            off, spread = n * d - s, n * q - s * s
             yield {
                 self.key: key[0], "us": us, "tie": tie, "baseline_n": n,
-                "is_outlier": bool(n >= 2 and off * off > self.sigmas**2 * (n * q - s * s)),
+                "is_outlier": bool(n >= 2 and spread > 0 and off * off > self.sigmas**2 * spread),
             }
-            n, s, q = n + 1, s + x, q + x * x
-        self.stats.update((n, s, q))
+            n, s, q = n + 1, s + d, q + d * d
+        self.stats.update((n, first, s, q))
 
 
 class CrossingAlert(StatefulProcessor):
