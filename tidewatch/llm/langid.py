@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import held_out_share, pieces, text_bytes
+from tidewatch.llm.common import held_out_share, lowest_share, pieces, text_bytes
 from tidewatch.llm.gru import Adam, Gru
 
 UNKNOWN = "und"
@@ -112,6 +112,9 @@ def sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int
     """Passages of learning documents, at most ``per_language`` of each language."""
     rows = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0) & (held_out_share(doc_id, 4) != 2) & F.col(doc_id).isNotNull())
     order = Window.partitionBy("lang").orderBy("h", "id")
+    # a language's share that holds about twice what is wanted, so that no task sends many rows
+    share = rows.groupBy(F.col(lang).alias("__lang")).agg((F.lit(2.0 * (per_language + 100)) / F.count("*")).alias("__share"))
+    rows = rows.join(share, rows[lang] == share["__lang"]).where(lowest_share(doc_id) < F.col("__share"))
     room = F.greatest(F.length(text) - PASSAGE, F.lit(0)) + 1
     picked = rows.select(
         F.col(lang).alias("lang"),
