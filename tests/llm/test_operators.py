@@ -93,7 +93,9 @@ def test_lm_score(docs):
 def test_lm_joins_rare_words(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet")
     whole = lm.fit(lm.learning(rows))
-    few = lm.Fitted(lm.vocabulary(whole.counts, whole.words.ends, frequent=lm.HEAD), whole.model, whole.counts)
+    few = lm.Fitted(lm.vocabulary(whole.counts, whole.words.ends, frequent=5 * lm.HEAD), whole.model, whole.counts)
+    # the limit is an upper bound: the head has to fit in it, and words have to be left for the join
+    assert len(few.words.head_class) == lm.HEAD and lm.HEAD < len(few.words.frequent) < len(whole.words.frequent)
     a, b = ({r["doc_id"]: r for r in lm.score(rows, f).collect()} for f in (whole, few))
     assert sum(r["score"] > r["base_score"] for r in a.values()) > 0.9 * len(a)
     for k in a:
