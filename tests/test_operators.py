@@ -420,8 +420,34 @@ def test_rules_change_while_running(spark):
     ])])
     got = sorted((r["patientId"], r["ruleId"]) for r in rules.threshold_alerts(readings, held, "ts").collect())
     assert got == [("P0", "D"), ("P2", "R-HR"), ("P3", "R-HR"), ("P5", "R-HR")]
-    large = rules.match_rules(readings, held, "ts", "id", max_rows=2)
-    assert sorted((r["patientId"], r["ruleId"]) for r in large.where("value > rule_max").collect()) == got
+    for bucket in ("1 millisecond", "1 hour", "3650 days"):
+        again = rules.threshold_alerts(readings, held, "ts", bucket)
+        assert sorted((r["patientId"], r["ruleId"]) for r in again.collect()) == got
+
+
+@pytest.mark.parametrize("bucket", ["1 millisecond", "10 seconds", "3650 days"])
+def test_equal_readings_and_odd_rows_are_matched_once_each(spark, bucket, monkeypatch):
+    feed = commands(spark, (100, "RULE|UPSERT|R-A|ICU-A|HR|0|110|60|HIGH"), (200, "RULE|UPSERT|R-ALL|*|HR|0|110|60|HIGH"))
+    held = rules.versions(feed, ["ruleId"], "ts", rules.RULE_FIELDS)
+    rows = hr(spark, ("P", "ICU-A", 115, 50), ("P", "ICU-A", 115, 250), ("P", "ICU-A", 115, 250), ("P", "ICU-B", 115, 250), ("P", None, 115, 30_000))
+    rows = rows.unionByName(rows.limit(1).withColumn("ts", F.lit(None).cast("timestamp")))
+    expected = sorted([("ICU-A", "R-A"), ("ICU-A", "R-A"), ("ICU-B", "R-ALL"), (None, "R-ALL")], key=str)
+    for copies in (rules.BROADCAST_COPIES, 0):
+        monkeypatch.setattr(rules, "BROADCAST_COPIES", copies)
+        got = [(r["wardId"], r["ruleId"]) for r in rules.match_rules(rows, held, "ts", bucket).collect()]
+        assert sorted(got, key=str) == expected
+    assert rules.match_rules(rows, held.limit(0), "ts", bucket).isEmpty()
+    assert rules.match_rules(rows.limit(0), held, "ts", bucket).isEmpty()
+
+
+def test_many_rule_versions_need_no_row_id(spark):
+    feed = spark.range(20_000).select(
+        F.timestamp_millis(F.col("id") * 1000).alias("ts"), "id", F.lit("R").alias("ruleId"), F.lit("*").alias("wardId"), F.lit("HR").alias("vitalCode"),
+        F.lit(0.0).alias("min"), F.col("id").cast("double").alias("max"), F.lit(60).alias("sustainSeconds"), F.lit("LOW").alias("severity"), F.lit("UPSERT").alias("op"),
+    )
+    held = rules.versions(feed, ["ruleId"], "ts", rules.RULE_FIELDS, ["id"])
+    found = rules.match_rules(hr(spark, ("P", "ICU-A", 115, 7_500), ("P", "ICU-A", 115, 19_999_999)), held, "ts", "1 hour")
+    assert sorted(r["rule_max"] for r in found.collect()) == [7.0, 19_999.0]
 
 
 def test_deleted_rule_does_not_fire(spark):

@@ -45,24 +45,26 @@ def sustained_breach(
     until_us: int,
     ties: Sequence[str] = (),
     deadline_before: Column | None = None,
+    carry: Sequence[str] = (),
     hot_rows: int | None = None,
 ) -> DataFrame:
     """One alert per episode in which ``breach`` holds without interruption for the sustain time.
 
     The alert time is episode start + sustain, even if no row arrives then.  It needs the
     watermark ``until_us`` to have passed, and, if ``deadline_before`` (microseconds) is
-    given, the alert time to be before that.
+    given, the alert time to be before that.  ``carry`` columns keep the value of the row that
+    opens the episode.
     """
     wait = F.lit(sustain_us) if isinstance(sustain_us, int) else sustain_us
     limit = deadline_before if deadline_before is not None else F.lit(None).cast("bigint")
     rows = df.select(
-        *keys, ts, *ties, F.coalesce(breach, F.lit(False)).alias("__breach"), wait.alias("__wait"), limit.alias("__limit")
+        *keys, ts, *ties, *carry, F.coalesce(breach, F.lit(False)).alias("__breach"), wait.alias("__wait"), limit.alias("__limit")
     )
     line = Timeline.of(with_closing_rows(rows, keys, ts, until_us), keys, ts, ["__closing", *ties], hot_rows, measure=Sample(rows))
     line = line.scan(__was=previous("__breach"))
     opens = F.col("__breach") & ~F.coalesce(F.col("__was"), F.lit(False))
     start = F.struct(
-        F.unix_micros(F.col(ts)).alias("us"), F.col("__wait").alias("wait"), F.col("__limit").alias("limit")
+        F.unix_micros(F.col(ts)).alias("us"), F.col("__wait").alias("wait"), F.col("__limit").alias("limit"), *carry
     )
     line = line.scan(__episode=latest(F.when(opens, start), before=True))
     ended = F.coalesce(F.col("__was"), F.lit(False)) & (~F.coalesce(F.col("__breach"), F.lit(False)))
@@ -72,5 +74,5 @@ def sustained_breach(
     return (
         line.frame()
         .where(ended & in_time & alive & (due <= F.lit(until_us)))
-        .select(*keys, F.timestamp_micros("__episode.us").alias("breach_start"), F.timestamp_micros(due).alias("alert_time"))
+        .select(*keys, F.timestamp_micros("__episode.us").alias("breach_start"), F.timestamp_micros(due).alias("alert_time"), *[F.col(f"__episode.{c}").alias(c) for c in carry])
     )

@@ -6,13 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch.functions.registry import small_side
 from tidewatch.operators.detect import sustained_breach
 from tidewatch.operators.timeline import Timeline, latest, previous
+from tidewatch.operators.windows import span_us
 
 ANY_WARD = "*"
+#: narrow copies of rule versions, a few MB, up to which the rule side carries a broadcast hint
+BROADCAST_COPIES = 50_000
 RECORD = ["ruleId", "wardId", "min", "max", "sustainSeconds", "severity", "valid_from", "valid_to", "life_end"]
 RULE_FIELDS = ["wardId", "vitalCode", "min", "max", "sustainSeconds", "severity"]
 
@@ -54,67 +56,66 @@ def rule_set(rules: DataFrame, defaults: DataFrame) -> DataFrame:
     return rules.unionByName(past)
 
 
-def match_rules(readings: DataFrame, rules: DataFrame, ts: str, row_id: str | None = None, max_rows: int = 10_000) -> DataFrame:
+def match_rules(readings: DataFrame, rules: DataFrame, ts: str, bucket: str = "1 day") -> DataFrame:
     """Each reading with each rule in force for its vital and ward; ward rules override ``*`` rules.
 
-    Up to ``max_rows`` rule versions are packed into one array per vital, so readings are
-    matched in place, without a shuffle.  More than that go through ``match_rules_large``,
-    which needs the column that identifies a reading.
+    A rule version is copied to the time buckets it is in force in, and the versions of one
+    (vital, ward, bucket) become one array.  A reading finds its arrays by two many-to-one equi-joins
+    and is matched in place, so readings are never multiplied before their rules are known, equal
+    readings stay apart, and an array grows with the changes inside a bucket, not with the history.
+    Before the first change and after the last one nothing changes any more, so readings from there
+    share the first and the last bucket.
+
+    A reading without a time matches only versions without bounds; one without a ward matches ``*`` rules.
     """
-    held = rules.select("vitalCode", *RECORD).limit(max_rows + 1).collect()
-    if len(held) > max_rows:
-        if row_id is None:
-            raise ValueError(f"more than {max_rows} rule versions need a row_id")
-        return match_rules_large(readings, rules, ts, row_id)
-    by_vital: dict[str, list] = {}
-    for row in held:
-        by_vital.setdefault(row["vitalCode"], []).append(tuple(row[c] for c in RECORD))
-    kind = T.ArrayType(T.StructType([rules.schema[c] for c in RECORD]))
-    schema = T.StructType([T.StructField("__vital", T.StringType()), T.StructField("__rules", kind)])
-    packed = readings.sparkSession.createDataFrame(list(by_vital.items()), schema)
-    joined = readings.join(F.broadcast(packed), F.col("vitalCode") == F.col("__vital"))
+    width = span_us(bucket)
+
+    def slot(time: Column) -> Column:
+        return F.floor(F.unix_micros(time) / F.lit(width))
+
+    span = rules.agg(
+        F.least(F.min(slot(F.col("valid_from"))), F.min(slot(F.col("valid_to")))).alias("lo"),
+        F.greatest(F.max(slot(F.col("valid_from"))), F.max(slot(F.col("valid_to")))).alias("hi"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    lo, hi = F.lit(span["lo"] or 0).cast("bigint"), F.lit(span["hi"] or 0).cast("bigint")
+    first, last = F.coalesce(slot(F.col("valid_from")), lo), F.coalesce(slot(F.col("valid_to")), hi)
+    copies = rules.where(first <= last).withColumn("__slot", F.explode(F.sequence(first, last)))
+    narrow = span["n"] * ((span["hi"] or 0) - (span["lo"] or 0) + 1) <= BROADCAST_COPIES
+
+    def packed(side: DataFrame, on: Sequence[str], name: str) -> tuple[DataFrame, Column]:
+        held = side.groupBy(*on, "__slot").agg(F.collect_list(F.struct(*RECORD)).alias(name))
+        held = held.withColumnsRenamed({k: f"{name}_{k}" for k in (*on, "__slot")})
+        equal = F.col("__slot") == F.col(f"{name}___slot")
+        for k in on:
+            equal = equal & (F.col(k) == F.col(f"{name}_{k}"))
+        return (F.broadcast(held) if narrow else held), equal
 
     def in_force(rule: Column) -> Column:
         started = rule["valid_from"].isNull() | (rule["valid_from"] <= F.col(ts))
         return started & (rule["valid_to"].isNull() | (F.col(ts) < rule["valid_to"]))
 
-    own = F.filter("__rules", lambda r: in_force(r) & (r["wardId"] == F.col("wardId")))
-    general = F.filter("__rules", lambda r: in_force(r) & (r["wardId"] == ANY_WARD))
-    joined = joined.withColumn("__own", own).withColumn(
-        "__rule", F.explode(F.when(F.size("__own") > 0, F.col("__own")).otherwise(general))
+    own, same_ward = packed(copies, ["vitalCode", "wardId"], "__own")
+    general, same_vital = packed(copies.where(F.col("wardId") == ANY_WARD), ["vitalCode"], "__any")
+    # greatest and least skip nulls, so a reading without a time has a bucket too
+    placed = readings.withColumn("__slot", F.greatest(lo, F.least(hi, slot(F.col(ts)))))
+    joined = placed.join(own, same_ward, "left").join(general, same_vital, "left")
+    own_rules = F.filter(F.coalesce("__own", F.array()), in_force)
+    any_rules = F.filter(F.coalesce("__any", F.array()), in_force)
+    joined = joined.withColumn("__held", own_rules).withColumn(
+        "__rule", F.explode(F.when(F.size("__held") > 0, F.col("__held")).otherwise(any_rules))
     )
     chosen = {f"rule_{c}": F.col(f"__rule.{c}") for c in ("min", "max", "sustainSeconds", "severity", "life_end")}
-    return joined.withColumns({"ruleId": F.col("__rule.ruleId"), **chosen}).drop("__rules", "__vital", "__own", "__rule")
-
-
-def match_rules_large(readings: DataFrame, rules: DataFrame, ts: str, row_id: str) -> DataFrame:
-    """The same matching for a rule table of any size, as a shuffled join on the vital code and ward."""
-    own = _as_of(readings, rules, ts, ["vitalCode", "wardId"])
-    general = _as_of(readings, rules.where(F.col("wardId") == ANY_WARD).drop("wardId"), ts, ["vitalCode"])
-    return own.unionByName(general.join(own.select(row_id).distinct(), row_id, "left_anti"))
-
-
-def _as_of(readings: DataFrame, rules: DataFrame, ts: str, on: Sequence[str]) -> DataFrame:
-    side = rules.select(
-        *[F.col(k).alias(f"__k_{k}") for k in on],
-        "ruleId",
-        *[F.col(c).alias(f"rule_{c}") for c in ("min", "max", "sustainSeconds", "severity", "life_end")],
-        F.col("valid_from").alias("__from"),
-        F.col("valid_to").alias("__to"),
-    )
-    holds = (F.col("__from").isNull() | (F.col("__from") <= F.col(ts))) & (F.col("__to").isNull() | (F.col(ts) < F.col("__to")))
-    for k in on:
-        holds = holds & (F.col(k) == F.col(f"__k_{k}"))
-    return readings.join(side, holds).drop("__from", "__to", *[f"__k_{k}" for k in on])
+    return joined.select(*readings.columns, F.col("__rule.ruleId").alias("ruleId"), *[c.alias(n) for n, c in chosen.items()])
 
 
 def outside(value: Column, low: Column, high: Column) -> Column:
     return (value < low) | (value > high)
 
 
-def threshold_alerts(readings: DataFrame, rules: DataFrame, ts: str, row_id: str | None = None) -> DataFrame:
+def threshold_alerts(readings: DataFrame, rules: DataFrame, ts: str, bucket: str = "1 day") -> DataFrame:
     """Reading x matching rule whose value is outside [min, max]."""
-    matched = match_rules(readings, rules, ts, row_id)
+    matched = match_rules(readings, rules, ts, bucket)
     return matched.where(outside(F.col("value"), F.col("rule_min"), F.col("rule_max")))
 
 
@@ -158,7 +159,8 @@ def sustained_rule_breach(
     """Episodes per (patient, rule) that outlast the rule's sustain time.
 
     An episode belongs to one unbroken life of its rule: it does not outlive a delete, and
-    a rule deleted at or before the deadline does not alert.
+    a rule deleted at or before the deadline does not alert.  Where care plans were applied,
+    ``by_plan`` says whether one set the bounds when the episode began.
     """
     rows = matched.withColumn("__life", F.coalesce(F.unix_micros("rule_life_end"), F.lit(-1)))
     low, high = (F.col("min"), F.col("max")) if "by_plan" in matched.columns else (F.col("rule_min"), F.col("rule_max"))
@@ -171,6 +173,7 @@ def sustained_rule_breach(
         until_us,
         ties,
         deadline_before=F.unix_micros("rule_life_end"),
+        carry=["by_plan"] if "by_plan" in matched.columns else [],
         hot_rows=hot_rows,
     )
     return alerts.drop("__life")

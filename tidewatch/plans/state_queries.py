@@ -407,14 +407,14 @@ def news2_points(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "news2_score",
-    f"""WITH {SCORED}, t AS (SELECT event_id, user_id, ts, {" + ".join(f"p{i}" for i in range(7))} AS total, greatest({", ".join(f"p{i}" for i in range(7))}) AS top FROM gaps WHERE missing = ''),
+    f"""WITH {SCORED}, t AS (SELECT *, {" + ".join(f"p{i}" for i in range(7))} AS total, greatest({", ".join(f"p{i}" for i in range(7))}) AS top FROM gaps WHERE missing = ''),
       b AS (SELECT *, CASE WHEN total >= 7 THEN 'HIGH' WHEN total >= 5 THEN 'MEDIUM' WHEN top = 3 THEN 'LOW-MEDIUM' ELSE 'LOW' END AS band FROM t),
       c AS (SELECT *, lag(total) OVER w AS pt, lag(band) OVER w AS pb FROM b WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-    SELECT event_id, user_id, ts, total, band FROM c WHERE pt IS NULL OR pt <> total OR pb <> band""",
+    SELECT event_id, user_id, ts, total, band, {", ".join(f"p{i} AS {c.lower()}_points" for i, c in enumerate(CODES))} FROM c WHERE pt IS NULL OR pt <> total OR pb <> band""",
 )
 def news2_score(spark: SparkSession, folder: str) -> DataFrame:
     changes = vitals.news2_changes(vital_readings(spark, folder), "user_id", "ts", "code", "v", ["event_id"], _FRESH_FOR)
-    return changes.select("event_id", "user_id", "ts", "total", "band")
+    return changes.select("event_id", "user_id", "ts", "total", "band", *[f"{code.lower()}_points" for code in CODES])
 
 
 def greedy_sql(source: str, key: str, step_us: int) -> str:
@@ -503,23 +503,46 @@ PLANNED = f"""{RULED}, pc AS (SELECT ts, f[2] AS op, f[3] AS patient, f[4] AS vi
     f'WITH {RULED} SELECT event_id, patient AS "patientId", rule_id AS "ruleId", value FROM matched WHERE value < lo OR value > hi',
 )
 def threshold_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    alerts = rules.threshold_alerts(ward_readings(spark, folder), rules_in_force(spark, folder), "ts", "event_id")
+    alerts = rules.threshold_alerts(ward_readings(spark, folder), rules_in_force(spark, folder), "ts")
     return alerts.select("event_id", "patientId", "ruleId", "value")
 
 
+def changing_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule versions that grow with the readings: every event sets or deletes one of eight rules of its type."""
+    eighth = F.col("user_id") % 8
+    commands = inputs.events(spark, folder).select(
+        F.concat_ws("-", "event_type", eighth.cast("string")).alias("ruleId"),
+        F.when(eighth % 3 == 0, rules.ANY_WARD).when(eighth % 3 == 1, "ICU-A").otherwise("ICU-B").alias("wardId"),
+        F.col("event_type").alias("vitalCode"),
+        F.lit(1.0).alias("min"),
+        F.col("value").cast("double").alias("max"),
+        F.lit(60).alias("sustainSeconds"),
+        F.lit("LOW").alias("severity"),
+        F.when(F.col("event_id") % 3 == 0, "DELETE").otherwise("UPSERT").alias("op"),
+        "ts",
+        "event_id",
+    )
+    return rules.versions(commands, ["ruleId"], "ts", rules.RULE_FIELDS, ["event_id"])
+
+
 @query(
     "threshold_alerts_large",
-    f'WITH {RULED} SELECT event_id, patient AS "patientId", rule_id AS "ruleId", value FROM matched WHERE value < lo OR value > hi',
+    """WITH cmd AS (SELECT concat_ws('-', event_type, user_id % 8) AS rule_id, ts, value AS hi, event_type AS vital, event_id % 3 <> 0 AS held,
+        CASE user_id % 8 % 3 WHEN 0 THEN '*' WHEN 1 THEN 'ICU-A' ELSE 'ICU-B' END AS ward,
+        lead(ts) OVER (PARTITION BY event_type, user_id % 8 ORDER BY ts, event_id) AS vt FROM events),
+      rd AS (SELECT event_id, ts, concat('P-', user_id) AS patient, CASE WHEN user_id % 2 = 0 THEN 'ICU-A' ELSE 'ICU-B' END AS ward, event_type AS vital, value FROM events),
+      cand AS (SELECT rd.*, rule_id, cmd.ward AS rule_ward, hi, max(cmd.ward <> '*') OVER (PARTITION BY rd.event_id) AS own
+        FROM rd JOIN cmd ON held AND cmd.vital = rd.vital AND cmd.ward IN ('*', rd.ward) AND cmd.ts <= rd.ts AND (vt IS NULL OR rd.ts < vt))
+    SELECT event_id, patient AS "patientId", rule_id AS "ruleId", value FROM cand WHERE (rule_ward <> '*') = own AND (value < 1 OR value > hi)""",
 )
 def threshold_alerts_large(spark: SparkSession, folder: str) -> DataFrame:
-    """The same alerts through the shuffled match that takes a rule table of any size."""
-    matched = rules.match_rules_large(ward_readings(spark, folder), rules_in_force(spark, folder), "ts", "event_id")
-    breach = rules.outside(F.col("value"), F.col("rule_min"), F.col("rule_max"))
-    return matched.where(breach).select("event_id", "patientId", "ruleId", "value")
+    """Alerts under a rule table that has as many versions as there are readings."""
+    alerts = rules.threshold_alerts(ward_readings(spark, folder), changing_rules(spark, folder), "ts", "1 hour")
+    return alerts.select("event_id", "patientId", "ruleId", "value")
 
 
 def planned_readings(spark: SparkSession, folder: str) -> DataFrame:
-    matched = rules.match_rules(ward_readings(spark, folder), rules_in_force(spark, folder), "ts", "event_id")
+    matched = rules.match_rules(ward_readings(spark, folder), rules_in_force(spark, folder), "ts")
     return rules.with_care_plan(matched, care_plans(spark, folder), "ts")
 
 
@@ -536,16 +559,16 @@ def careplan_override(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "sustained_rule_breach",
-    f"""WITH {PLANNED}, fl AS (SELECT patient, rule_id, life_end, epoch_us(ts) AS us, event_id, sustain * 10000000::BIGINT AS wait_us, (value < elo OR value > ehi) AS hot FROM planned),
+    f"""WITH {PLANNED}, fl AS (SELECT patient, rule_id, life_end, epoch_us(ts) AS us, event_id, sustain * 10000000::BIGINT AS wait_us, by_plan, (value < elo OR value > ehi) AS hot FROM planned),
       g AS (SELECT *, sum(CASE WHEN hot THEN 0 ELSE 1 END) OVER (PARTITION BY patient, rule_id, life_end ORDER BY us, event_id {ROWS_SO_FAR}) AS run FROM fl),
-      ep AS (SELECT patient, rule_id, life_end, run, min(us) FILTER (hot) AS start_us, arg_min(wait_us, us) FILTER (hot) AS wait_us FROM g GROUP BY ALL HAVING start_us IS NOT NULL),
+      ep AS (SELECT patient, rule_id, life_end, run, min(us) FILTER (hot) AS start_us, arg_min(wait_us, us) FILTER (hot) AS wait_us, arg_min(by_plan, us) FILTER (hot) AS by_plan FROM g GROUP BY ALL HAVING start_us IS NOT NULL),
       en AS (SELECT ep.*, (SELECT min(g.us) FROM g WHERE g.patient = ep.patient AND g.rule_id = ep.rule_id AND g.life_end IS NOT DISTINCT FROM ep.life_end AND g.run = ep.run + 1 AND NOT g.hot) AS end_us FROM ep)
-    SELECT patient AS "patientId", rule_id AS "ruleId", make_timestamp(start_us) AS breach_start, make_timestamp(start_us + wait_us) AS alert_time FROM en
+    SELECT patient AS "patientId", rule_id AS "ruleId", make_timestamp(start_us) AS breach_start, make_timestamp(start_us + wait_us) AS alert_time, by_plan FROM en
     WHERE (end_us IS NULL OR end_us >= start_us + wait_us) AND start_us + wait_us <= (SELECT max(epoch_us(ts)) - 1000 FROM events)
       AND (life_end IS NULL OR start_us + wait_us < epoch_us(life_end))""",
 )
 def sustained_rule_breach(spark: SparkSession, folder: str) -> DataFrame:
-    """Breaches that outlast their rule's sustain time (a second of the rule is ten here)."""
+    """Breaches that outlast their rule's sustain time (a second of the rule is ten here), and whether a care plan set their bounds."""
     until = inputs.watermark(inputs.events(spark, folder))
     return rules.sustained_rule_breach(planned_readings(spark, folder), "ts", until, ["event_id"], us_per_second=10_000_000)
 
