@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions import draw, frames, news2, registry, render
-from tidewatch.operators import admissions, detect, keys, occupancy, paging, rows, rules, running, windows
+from tidewatch.operators import admissions, detect, keys, occupancy, paging, rows, rules, running, timeline, windows
 from tidewatch.operators.timeline import SEG, Sample, Timeline, highest, latest, lowest, planning_sample, previous, tally, total
 
 UTC = datetime.timezone.utc
@@ -553,3 +553,22 @@ def test_early_counts_end_with_a_final_row(spark):
     got = windows.early_counts(rows, "ts", "1 hour", "15 minutes", ["k"], F.lit(1)).collect()
     assert [r["partial_count"] for r in sorted(got, key=lambda r: (r["k"], r["fire_time"]))] == [3, 3, 3, 3, 1, 1, 1, 1]
     assert sum(r["is_final"] for r in got) == 2
+
+
+# ---- cutting long keys ----
+
+
+@pytest.mark.parametrize("collected", [50_000, 1])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_every_long_key_and_every_burst_is_cut(spark, monkeypatch, collected, keyed):
+    monkeypatch.setattr(timeline, "MAX_COLLECTED_CUTS", collected if keyed else 50_000)
+    # a third of each key's rows lie within 200 microseconds of thirty days
+    points = [(k, i * 12_960_000_000 if i % 3 else 1_000_000 + i, i) for k in range(4) for i in range(200)]
+    df = spark.createDataFrame(points, "k int, us long, i long").withColumn("ts", F.timestamp_micros("us"))
+    line = Timeline.of(df, ["k"] if keyed else [], "ts", ["i", "k"], 20)
+    longest = line.rows.groupBy(*line.keys, SEG).count().agg(F.max("count")).first()[0]
+    assert longest <= 20
+    got = {(r["k"], r["i"]): r["n"] for r in line.scan(n=total(F.lit(1).cast("long"))).frame().collect()}
+    groups = [[p for p in points if p[0] == k] for k in range(4)] if keyed else [points]
+    expected = {(p[0], p[2]): n for g in groups for n, p in enumerate(sorted(g, key=lambda p: (p[1], p[2], p[0])), 1)}
+    assert got == expected

@@ -9,16 +9,17 @@ every segmentation, and nothing is dropped.
 
 Size of what is broadcast: one row per hot key and one per segment, both bounded by
 ``rows / hot_rows`` times a constant; the count is known here and checked before the hint.
+More hot keys or segments than the hint allows are joined by a shuffle; all of them are cut.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +27,9 @@ from tidewatch.session import hot_rows as configured_hot_rows
 
 SEG = "__segment"
 OVERSPLIT = 4
-MAX_HOT_KEYS = 50_000
+#: cuts up to this many are collected and hinted; more are joined where they lie
+MAX_COLLECTED_CUTS = 50_000
 MAX_BROADCAST_SEGMENTS = 1_000_000
-MAX_LEVELS = 3
 
 
 @dataclass(frozen=True)
@@ -258,48 +259,54 @@ def _cut(df: DataFrame, keys: list[str], order: str, limit: int, sample: Sample)
     """Add the segment number of rows that belong to a hot key (null for all other rows).
 
     Each level cuts the groups that are still too long into equal spans of the order
-    column, so a burst inside one span is cut again at the next level.
+    column, so a burst inside one span is cut again at the next level, until no group is too
+    long, or its rows share one time, or segment numbers would leave 62 bits.
     """
     place = order_number(df, order)
-    rows, segments, measure = df, 0, sample.rows
-    for level in range(MAX_LEVELS):
+    rows, segments, numbers, measure = df, 0, 1, sample.rows
+    size = F.col("__n") * F.lit(sample.weight)
+    for level in count():
         groups = keys if level == 0 else [*keys, SEG]
         profiled = measure if level == 0 else measure.where(F.col(SEG).isNotNull())
         measured = profiled.select(*groups, place.alias("__place")).groupBy(*groups)
         hot = (
             measured.agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__lo"), F.max("__place").alias("__hi"))
-            .where((F.col("__n") * F.lit(sample.weight) > limit) & (F.col("__hi") > F.col("__lo")))
-            .orderBy(F.desc("__n"))
-            .limit(MAX_HOT_KEYS)
+            .where((size > limit) & (F.col("__hi") > F.col("__lo")))
+            .withColumn("__pieces", F.least(F.ceil(size / limit) * OVERSPLIT, F.col("__hi") - F.col("__lo") + 1).cast("long"))
+            .select(
+                *[F.col(g).alias(f"__h_{g}") for g in groups],
+                F.col("__lo").alias("__h_lo"),
+                F.expr("(__hi - __lo + __pieces) div __pieces").alias("__h_width"),
+                (F.col("__pieces") - 1).alias("__h_last"),
+            )
         )
-        found = hot.collect()
+        found = hot.limit(MAX_COLLECTED_CUTS + 1).collect()
         if not found:
             break
-        plan, widest = [], 1
-        for row in found:
-            pieces = min(math.ceil(row["__n"] * sample.weight / limit) * OVERSPLIT, row["__hi"] - row["__lo"] + 1)
-            width = -(-(row["__hi"] - row["__lo"] + 1) // pieces)
-            plan.append((*[row[g] for g in groups], row["__lo"], width, pieces - 1))
-            widest = max(widest, pieces)
-            segments += pieces
-        fields = [T.StructField(f"__h_{g}", measure.schema[g].dataType) for g in groups]
-        fields += [T.StructField(f"__h_{name}", T.LongType()) for name in ("lo", "width", "last")]
-        cuts = df.sparkSession.createDataFrame(plan, T.StructType(fields))
+        few = len(found) <= MAX_COLLECTED_CUTS
+        if few:
+            added, widest = sum(r["__h_last"] + 1 for r in found), max(r["__h_last"] + 1 for r in found)
+        else:
+            added, widest = hot.agg(F.sum(F.col("__h_last") + 1), F.max(F.col("__h_last") + 1)).first()
+        numbers *= widest + 1
+        if numbers >= 2**62:
+            break
+        segments += added
+        cuts = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema)) if few else hot
         scale = None if level == 0 else widest + 1
         same = measure is rows
-        rows = _number(rows, groups, place, cuts, plan, scale)
-        measure = rows if same else _number(measure, groups, place, cuts, plan, scale)
+        rows = _number(rows, groups, place, cuts, found, scale)
+        measure = rows if same else _number(measure, groups, place, cuts, found, scale)
     return rows, segments
 
 
-def _number(rows: DataFrame, groups: list[str], place: Column, cuts: DataFrame, plan: list[tuple], scale: int | None) -> DataFrame:
+def _number(rows: DataFrame, groups: list[str], place: Column, cuts: DataFrame, found: list[Row], scale: int | None) -> DataFrame:
     placed = rows.withColumn("__place", place)
     if groups:
         on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__h_{g}")) for g in groups])
-        placed = placed.join(F.broadcast(cuts), on, "left")
+        placed = placed.join(cuts, on, "left")
     else:
-        lo, width, last = plan[0]
-        placed = placed.withColumns({"__h_lo": F.lit(lo), "__h_width": F.lit(width), "__h_last": F.lit(last)})
+        placed = placed.withColumns({name: F.lit(found[0][name]) for name in ("__h_lo", "__h_width", "__h_last")})
     # a row outside the measured span goes to the first or last piece, so order is kept
     piece = F.expr("greatest(0, least(__h_last, (__place - __h_lo) div __h_width))")
     piece = F.when(F.col("__h_lo").isNotNull(), piece)
