@@ -123,6 +123,9 @@ def test_spans_match_plain_patterns():
 
 def test_spans_of_long_runs_take_no_retries():
     assert pii.base_spans("1" * 200_000 + "." + "a" * 200_000 + "." * 50_000) == []
+    # long runs and many candidates cost one pass each
+    text = "a" * 1_000_000 + " b@c x [at] foo[at]bar.com " + "123 4567 " * 50_000
+    assert len(pii.unseen(text, pii.base_spans(text))) == 2 + 25_000
 
 
 def test_replaced():

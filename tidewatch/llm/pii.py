@@ -32,7 +32,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 #: what may be an identifier that the rules miss, by kind; first match wins
 LIKE = (
-    ("email", re.compile(r"[^\s@<>()\[\]\"',;:]+(?:@|\[at\]|\(at\))[^\s@<>()\[\]\"',;:]+")),
+    # only from the start of a run, so a long run costs one pass
+    ("email", re.compile(r"(?<![^\s@<>()\[\]\"',;:])[^\s@<>()\[\]\"',;:]++(?:@|\[at\]|\(at\))[^\s@<>()\[\]\"',;:]++")),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3,5}(?![0-9.])")),
     ("phone", re.compile(r"(?<![0-9A-Za-z+])(?:\(?[0-9]{2,4}\)?[\x20.-]){1,3}[0-9]{3,6}(?![0-9A-Za-z])")),
     ("card", re.compile(r"(?<![0-9A-Za-z])[0-9]{12,19}(?![0-9A-Za-z])")),
@@ -82,14 +83,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def unseen(text: str, seeds: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of identifier-like runs that touch no seed and no earlier run."""
-    taken = [(s, e) for s, _, e in seeds]
+    taken = bytearray(len(text))
+    for start, _, end in seeds:
+        taken[start:end] = b"\1" * (end - start)
     found = []
     for kind, shape in LIKE:
         if kind == "email" and "@" not in text and "at]" not in text and "at)" not in text:
             continue
         for m in shape.finditer(text):
-            if not any(s < m.end() and m.start() < e for s, e in taken):
-                taken.append(m.span())
+            if taken.find(1, m.start(), m.end()) < 0:
+                taken[m.start() : m.end()] = b"\1" * (m.end() - m.start())
                 found.append((m.start(), KINDS.index(kind), m.end()))
     return sorted(found)
 
