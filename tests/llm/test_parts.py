@@ -157,6 +157,15 @@ def test_tokens_of_random_words_match_exact_merging():
         assert ids.tolist() == coder.merge(coder.symbols(word + bpe.END))
 
 
+def test_a_piece_may_have_more_words_than_are_remembered(monkeypatch):
+    coder = bpe.Encoder(bpe.read_vocabulary("/opt/tokenizers/word_bpe_49k.json"))
+    text = " ".join(f"word{k} number" for k in range(40))
+    want = [ids.tolist() for ids in coder.encode([text, "word7 of"])]
+    monkeypatch.setattr(bpe, "MEMORY", 3)
+    for _ in range(2):
+        assert [ids.tolist() for ids in coder.encode([text, "word7 of"])] == want
+
+
 def test_walk_keeps_words_and_leaves_one_open():
     rng = np.random.default_rng(3)
     for n in (1, 2, 50, 500):

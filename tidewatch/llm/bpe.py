@@ -127,8 +127,6 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         """Encode words not met before, all together."""
-        if len(self.known) > MEMORY:
-            self.known.clear()
         shown = [w.encode().decode("latin-1").translate(self.alphabet) for w in words]
         proposed = [self.propose(s) for s in shown]
         flat = np.array([k for p in proposed for k in p], dtype=np.int64)
@@ -155,10 +153,11 @@ class Encoder:
             for k, words in enumerate(row):
                 if k % 2:
                     row[k] = [np.array([self.added[words[0]]], dtype=np.int32)]
+        if len(self.known) > MEMORY:  # between pieces only: a piece needs all its words at once
+            self.known.clear()
         new = {w for row in rows for words in row[::2] for w in words} - self.known.keys()
-        while new:
+        if new:
             self.learn(sorted(new))
-            new = {w for row in rows for words in row[::2] for w in words} - self.known.keys()
         known, empty = self.known, np.zeros(0, dtype=np.int32)
         out = []
         for row in rows:
@@ -171,8 +170,6 @@ class Encoder:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-
-
 def read_vocabulary(path: str) -> str:
     with open(path, encoding="utf-8") as file:
         return file.read()
