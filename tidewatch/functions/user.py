@@ -1,12 +1,68 @@
-"""Doors for user code: accumulators, flatMap and window functions over Arrow batches."""
+"""Doors for user code over Arrow batches: map and flatMap, lookups, window functions, aggregates."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidewatch.operators import windows
+
+#: accumulators a task holds before it sends them on
+HELD = 10_000
+#: middle merges of one key; its last merge reads at most so many rows
+SALTS = 64
+
+
+def map_batches(
+    df: DataFrame,
+    fn: Callable[..., pd.DataFrame],
+    schema: str,
+    open: Callable[[], Any] | None = None,
+    close: Callable[[Any], None] | None = None,
+) -> DataFrame:
+    """A user map, flatMap or filter: ``fn`` turns each batch of rows into any number of rows.
+
+    With ``open``, its result (a connection, a model, a table) is made once per partition on
+    the worker and handed to ``fn(batch, resource)``, so a lookup goes out once per batch;
+    ``close`` gets it when the partition ends, also when it fails or is cut short.  An empty
+    partition opens and closes too.  Works on bounded tables and streams alike.
+    """
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if open is None:
+            yield from map(fn, batches)
+            return
+        resource = open()
+        try:
+            for batch in batches:
+                yield fn(batch, resource)
+        finally:
+            if close is not None:
+                close(resource)
+
+    return df.mapInPandas(task, schema)
+
+
+def window_apply(
+    df: DataFrame,
+    ts: str,
+    width: str,
+    keys: Sequence[str],
+    aggs: Mapping[str, Column],
+    fn: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+) -> DataFrame:
+    """A user window function over what the windows' rows were reduced to.
+
+    Rows are aggregated per tumbling window and key before and after the shuffle; ``fn`` gets
+    batches of finished windows: their bounds, keys and aggregates.
+    """
+    return map_batches(windows.tumbling(df, ts, width, keys, aggs), fn, schema)
 
 
 def aggregate_with(
@@ -17,39 +73,38 @@ def aggregate_with(
     merge: Callable[[dict, dict], dict],
     result: Callable[[dict], dict],
     output: Mapping[str, str],
+    held_keys: int = HELD,
 ) -> DataFrame:
-    """A user aggregate as add / merge / result.
+    """A user aggregate as add / merge / result; ``merge`` takes accumulators in any order.
 
-    ``add`` turns the rows of one key in one Arrow batch into an accumulator before the
-    shuffle, so a busy key reaches its merging task as one row per batch.  Accumulators are
-    merged as they stream in; the group is never held whole.
+    ``add`` turns the rows of one key in one Arrow batch into an accumulator, and a task merges
+    those of a key before the shuffle.  A busy key's accumulators then meet in ``SALTS`` tasks
+    and at last in one.  They are merged as they stream in; no group is ever held whole.
     """
     kind = df.schema[key].dataType.simpleString()
     state = ", ".join([f"{key} {kind}", *[f"{n} {t}" for n, t in accumulator.items()]])
     final = ", ".join([f"{key} {kind}", *[f"{n} {t}" for n, t in output.items()]])
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
         for batch in batches:
-            yield pd.DataFrame([{key: k, **add(rows)} for k, rows in batch.groupby(key, dropna=False)])
-
-    def combine(groups: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = (row for batch in batches for row in batch[list(accumulator)].to_dict("records"))
-        yield pd.DataFrame([{key: groups[0], **result(reduce(merge, parts))}])
+            for k, rows in batch.groupby(key, dropna=False):
+                k = None if pd.isna(k) else k
+                held[k] = merge(held[k], add(rows)) if k in held else add(rows)
+            if len(held) > held_keys:
+                yield pd.DataFrame([{key: k, **parts} for k, parts in held.items()])
+                held = {}
+        if held:
+            yield pd.DataFrame([{key: k, **parts} for k, parts in held.items()])
 
-    return df.mapInPandas(partial, state).groupBy(key).applyInPandas(combine, final)
+    def merged(batches: Iterator[pd.DataFrame]) -> dict:
+        return reduce(merge, (row for batch in batches for row in batch[list(accumulator)].to_dict("records")))
 
+    def middle(groups: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame([{key: groups[0], **merged(batches)}])
 
-def warn_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Zero, one or two rows per reading, by level."""
-    for batch in batches:
-        warm = batch[batch["value"] >= 28].assign(level="warm")
-        hot = batch[batch["value"] > 32].assign(level="hot")
-        yield pd.concat([warm, hot])[["user_id", "event_id", "level", "value"]]
-
+    def combine(groups: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame([{key: groups[0], **result(merged(batches))}])
 
-def describe_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One text line per window and key from the window's aggregate."""
-    for batch in batches:
-        average = (batch["s"] // batch["n"]).astype(str)
-        line = batch["user_id"].astype(str) + " average = " + average + " cents"
-        yield batch[["window_start", "user_id"]].assign(line=line)
+    salted = df.mapInPandas(partial, state).withColumn("__salt", F.spark_partition_id() % SALTS)
+    return salted.groupBy(key, "__salt").applyInPandas(middle, state).groupBy(key).applyInPandas(combine, final)

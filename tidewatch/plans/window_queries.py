@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.registry import with_registry
-from tidewatch.functions.user import aggregate_with, describe_windows, warn_batches
+from tidewatch.functions.user import aggregate_with, map_batches
+from tidewatch.functions.user import window_apply as apply_to_windows
 from tidewatch.operators import admissions as adm_ops
 from tidewatch.operators import joins, keys, running, windows
 from tidewatch.operators.rows import drop_faulty, split_words
@@ -539,7 +540,7 @@ def interval_left_join(spark: SparkSession, folder: str) -> DataFrame:
     f"WITH {EV} SELECT event_type, sum(cents)::DOUBLE / count(*) AS average, count(*) AS n FROM ev GROUP BY ALL",
 )
 def udaf_avg(spark: SparkSession, folder: str) -> DataFrame:
-    """A user accumulator in Python: partial per Arrow batch, merged per key."""
+    """A user accumulator in Python: partial per task, merged per key."""
     def add(rows: pd.DataFrame) -> dict:
         return {"s": int(rows["cents"].sum()), "n": len(rows)}
 
@@ -561,7 +562,13 @@ def udaf_avg(spark: SparkSession, folder: str) -> DataFrame:
 def udtf_warnings(spark: SparkSession, folder: str) -> DataFrame:
     """The free-form door: a user flatMap over Arrow batches."""
     valid = drop_faulty(faulty_readings(spark, folder), "temperature").select("user_id", "event_id", "value")
-    return valid.mapInPandas(warn_batches, "user_id bigint, event_id bigint, level string, value double")
+
+    def warn(readings: pd.DataFrame) -> pd.DataFrame:
+        warm = readings[readings["value"] >= 28].assign(level="warm")
+        hot = readings[readings["value"] > 32].assign(level="hot")
+        return pd.concat([warm, hot])[["user_id", "event_id", "level", "value"]]
+
+    return map_batches(valid, warn, "user_id bigint, event_id bigint, level string, value double")
 
 
 @query(
@@ -571,5 +578,10 @@ def udtf_warnings(spark: SparkSession, folder: str) -> DataFrame:
 )
 def window_apply(spark: SparkSession, folder: str) -> DataFrame:
     """A user window function that gets the window's pre-aggregated row, bounds and key."""
-    sums = windows.tumbling(inputs.events(spark, folder), "ts", "1 day", ["user_id"], {"s": F.sum("cents"), "n": n_rows()})
-    return sums.mapInPandas(describe_windows, "window_start timestamp, user_id bigint, line string")
+
+    def describe(sums: pd.DataFrame) -> pd.DataFrame:
+        average = (sums["s"] // sums["n"]).astype(str)
+        return sums[["window_start", "user_id"]].assign(line=sums["user_id"].astype(str) + " average = " + average + " cents")
+
+    aggs = {"s": F.sum("cents"), "n": n_rows()}
+    return apply_to_windows(inputs.events(spark, folder), "ts", "1 day", ["user_id"], aggs, describe, "window_start timestamp, user_id bigint, line string")
