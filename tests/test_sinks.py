@@ -104,11 +104,32 @@ def test_window_state_is_dropped_behind_the_watermark(spark, scratch):
     counted = windows.tumbling(
         metrics.observed(rows, "seen", readings_processed=F.count(F.lit(1))), "ts", "1 hour", ["user_id"], {"n": F.count("ts")}
     )
+    counters = metrics.Counters.attached(spark)
     query = write_labelled(counted, "cleaned", f"{scratch}/state", "memory")
     query.awaitTermination()
+    counters.wait(query)
+    spark.streams.removeListener(counters)
     assert metrics.state_rows(query) <= 1
-    assert metrics.observed_totals(query, "seen") == {"readings_processed": read_events(spark, feed).count()}
-    assert metrics.rows_dropped_late(query) == 0
+    assert counters.totals(query, "seen") == {"readings_processed": read_events(spark, feed).count()}
+    assert counters.rows_dropped_late(query) == 0
+
+
+def test_counters_outlive_the_batches_a_query_remembers(spark, scratch):
+    feed = event_files(SMALL, scratch, files=8)
+    rows = read_events(spark, feed, stream=True, files_per_trigger=1)
+    counters = metrics.Counters.attached(spark)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = write_labelled(metrics.observed(rows, "seen", n=F.count(F.lit(1)), users=F.count("user_id")), "counted", f"{scratch}/state", "memory")
+        query.awaitTermination()
+        counters.wait(query)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(counters)
+    total = read_events(spark, feed).count()
+    assert len(query.recentProgress) <= 2 and sum(p["numInputRows"] for p in query.recentProgress) < total
+    assert counters.totals(query, "seen") == {"n": total, "users": total}
+    assert counters.totals(query, "unseen") == {}
 
 
 def test_rules_can_change_between_batches(spark, scratch, tmp_path):

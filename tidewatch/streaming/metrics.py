@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql.streaming import StreamingQuery
+import threading
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def observed(df: DataFrame, name: str, **counters: Column) -> DataFrame:
@@ -11,22 +13,65 @@ def observed(df: DataFrame, name: str, **counters: Column) -> DataFrame:
     return df.observe(name, *[column.alias(counter) for counter, column in counters.items()])
 
 
-def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
-    """The counters summed over the batches the query still remembers."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress["observedMetrics"].get(name)
-        for counter, value in (row.asDict() if row is not None else {}).items():
-            totals[counter] = totals.get(counter, 0) + (value or 0)
-    return totals
+class Counters(StreamingQueryListener):
+    """Totals of every query started after :meth:`attached`, over all of its batches.
+
+    Each batch's figures are added as they are reported, so totals do not depend on how many
+    batches a query remembers.  They count from the start or restart of a query's run.
+    """
+
+    def __init__(self) -> None:
+        self._lock = threading.Condition()
+        self._totals: dict[str, dict[str, dict[str, int]]] = {}
+        self._late: dict[str, int] = {}
+        self._ended: set[str] = set()
+
+    @classmethod
+    def attached(cls, spark: SparkSession) -> Counters:
+        counters = cls()
+        spark.streams.addListener(counters)
+        return counters
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        with self._lock:
+            run = str(progress.runId)
+            for name, row in progress.observedMetrics.items():
+                totals = self._totals.setdefault(run, {}).setdefault(name, {})
+                for counter, value in row.asDict().items():
+                    totals[counter] = totals.get(counter, 0) + (value or 0)
+            late = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+            self._late[run] = self._late.get(run, 0) + late
+
+    def onQueryTerminated(self, event) -> None:
+        with self._lock:
+            self._ended.add(str(event.runId))
+            self._lock.notify_all()
+
+    def wait(self, query: StreamingQuery, seconds: float = 30) -> None:
+        """Wait until the last report of a query that has ended is in; reports come behind the query."""
+        with self._lock:
+            if not self._lock.wait_for(lambda: query.runId in self._ended, seconds):
+                raise TimeoutError(f"no end of query {query.runId} was reported")
+
+    def totals(self, query: StreamingQuery, name: str) -> dict[str, int]:
+        """The counters attached under ``name`` by :func:`observed`, summed over all batches so far."""
+        with self._lock:
+            return dict(self._totals.get(query.runId, {}).get(name, {}))
+
+    def rows_dropped_late(self, query: StreamingQuery) -> int:
+        """Rows that came behind the watermark and were left out, over all batches so far."""
+        with self._lock:
+            return self._late.get(query.runId, 0)
 
 
 def state_rows(query: StreamingQuery) -> int:
     """Rows in the query's state store after its last batch."""
     progress = query.lastProgress
     return sum(op["numRowsTotal"] for op in progress["stateOperators"]) if progress else 0
-
-
-def rows_dropped_late(query: StreamingQuery) -> int:
-    """Rows that came behind the watermark and were left out."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
