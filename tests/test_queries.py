@@ -18,7 +18,7 @@ assert entry.oracle_sql().items() >= SQL.items()
 ORDERED = [
     "running_count", "running_total", "running_avg", "deferred_emit_single", "occupancy", "occupancy_floor", "occupancy_alerts",
     "dynamic_capacity", "littles_law", "metrics_counts", "silence_resume", "sustained_breach", "sustained_rule_breach", "news2_score",
-    "news2_unavailable", "rule_audit", "page_batches", "suppress_repeats", "suppress_repeats_dense", "three_sigma", "ttl_running_sum",
+    "news2_unavailable", "rule_audit", "page_batches", "paged_alerts", "suppress_repeats", "suppress_repeats_dense", "three_sigma", "ttl_running_sum",
     "ttl_running_avg", "rolling_sum_alert", "moving_avg", "sessions", "late_split", "early_fire", "sliding_cross_alert",
     "spread_partition", "duration_stats", "login_attempts", "word_count_running",
 ]

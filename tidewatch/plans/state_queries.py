@@ -600,14 +600,19 @@ ALERTS = f"""{EV}, al AS (SELECT event_id, user_id, event_type AS alert_type, CA
   ts, epoch_us(ts) AS us, user_id % 2 AS shard, concat(user_id, '|', event_type) AS who FROM ev WHERE value > 50)"""
 
 
-@query(
-    "page_batches",
-    f"""WITH RECURSIVE {ALERTS}, numbered AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY ts, event_id) AS rn FROM al),
+def page_fold(source: str, order: str) -> str:
+    """Pages of ten or up to an urgent alert, one row at a time in each shard."""
+    return f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY {order}) AS rn FROM {source}),
       fold AS (SELECT shard, rn, severity, ts, 1 AS held, 1 AS page FROM numbered WHERE rn = 1
         UNION ALL SELECT n.shard, n.rn, n.severity, n.ts, CASE WHEN f.held = 10 OR f.severity = 'HIGH' THEN 1 ELSE f.held + 1 END,
           CASE WHEN f.held = 10 OR f.severity = 'HIGH' THEN f.page + 1 ELSE f.page END FROM fold f JOIN numbered n ON n.shard = f.shard AND n.rn = f.rn + 1)
     SELECT shard, count(*) AS alerts, max(CASE WHEN severity = 'HIGH' THEN 1 ELSE 0 END) AS has_urgent, min(ts) AS first_alert, max(ts) AS flushed_at
-    FROM fold GROUP BY shard, page HAVING count(*) = 10 OR max(CASE WHEN severity = 'HIGH' THEN 1 ELSE 0 END) = 1""",
+    FROM fold GROUP BY shard, page HAVING count(*) = 10 OR max(CASE WHEN severity = 'HIGH' THEN 1 ELSE 0 END) = 1"""
+
+
+@query(
+    "page_batches",
+    f"WITH RECURSIVE {ALERTS}, {page_fold('al', 'ts, event_id')}",
 )
 def page_batches(spark: SparkSession, folder: str) -> DataFrame:
     pages = paging.page_batches(breach_alerts(spark, folder), ["shard"], "ts", F.col("severity") == "HIGH", ["event_id"])
@@ -636,14 +641,15 @@ def suppress_repeats_dense(spark: SparkSession, folder: str) -> DataFrame:
     return paging.suppress_repeats(alerts, ["who"], "ts", "2 hours", ["event_id"]).drop("ts")
 
 
-@query(
-    "union_alerts",
-    f"""WITH {STATUS}, n AS (SELECT user_id, epoch_us(ts) AS us, lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events)
-    SELECT concat('P-', user_id) AS patient_id, 'THRESHOLD' AS alert_type, CASE WHEN value > 150 THEN 'HIGH' WHEN value > 90 THEN 'MEDIUM' ELSE 'LOW' END AS severity, ts AS alert_time FROM events WHERE value > 50
-    UNION ALL SELECT hospital, concat('BEDS_', status), CASE status WHEN 'FULL' THEN 'HIGH' WHEN 'HIGH' THEN 'MEDIUM' ELSE 'LOW' END, ts FROM changes
-    UNION ALL SELECT concat('P-', user_id), 'SILENT', 'MEDIUM', make_timestamp(us + {12 * HOUR_US}) FROM n WHERE nx - us > {12 * HOUR_US} OR (nx IS NULL AND us + {12 * HOUR_US} <= (SELECT us FROM mark))
-    UNION ALL SELECT concat('P-', user_id), 'RESUMED', 'LOW', make_timestamp(nx) FROM n WHERE nx - us > {12 * HOUR_US}""",
-)
+#: the tables behind the union, and the union
+ALERT_PARTS = f"""{STATUS}, n AS (SELECT user_id, epoch_us(ts) AS us, lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events)"""
+ALERT_UNION = f"""SELECT concat('P-', user_id) AS patient_id, 'THRESHOLD' AS alert_type, CASE WHEN value > 150 THEN 'HIGH' WHEN value > 90 THEN 'MEDIUM' ELSE 'LOW' END AS severity, ts AS alert_time FROM events WHERE value > 50
+  UNION ALL SELECT hospital, concat('BEDS_', status), CASE status WHEN 'FULL' THEN 'HIGH' WHEN 'HIGH' THEN 'MEDIUM' ELSE 'LOW' END, ts FROM changes
+  UNION ALL SELECT concat('P-', user_id), 'SILENT', 'MEDIUM', make_timestamp(us + {12 * HOUR_US}) FROM n WHERE nx - us > {12 * HOUR_US} OR (nx IS NULL AND us + {12 * HOUR_US} <= (SELECT us FROM mark))
+  UNION ALL SELECT concat('P-', user_id), 'RESUMED', 'LOW', make_timestamp(nx) FROM n WHERE nx - us > {12 * HOUR_US}"""
+
+
+@query("union_alerts", f"WITH {ALERT_PARTS} {ALERT_UNION}")
 def union_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Threshold, occupancy and silence alerts as one stream of one shape."""
     patient = F.concat(F.lit("P-"), F.col("user_id").cast("string")).alias("patient_id")
@@ -661,3 +667,21 @@ def union_alerts(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("alert") == "SILENT", "MEDIUM").otherwise("LOW").alias("severity"), "alert_time",
     )
     return paging.union_alerts(breaches, beds, quiet)
+
+
+@query(
+    "paged_alerts",
+    f"""WITH RECURSIVE {ALERT_PARTS}, un AS ({ALERT_UNION}),
+    sent AS (SELECT *, alert_time AS ts, epoch_us(alert_time) AS us, concat(patient_id, '|', alert_type) AS who, ascii(right(patient_id, 1)) % 2 AS shard FROM un),
+    nxt AS (SELECT DISTINCT who, us, min(us) OVER (PARTITION BY who ORDER BY us RANGE BETWEEN {24 * HOUR_US} FOLLOWING AND UNBOUNDED FOLLOWING) AS nu FROM sent),
+    paged AS (SELECT who, min(us) AS us FROM sent GROUP BY ALL
+      UNION ALL SELECT n.who, n.nu FROM paged k JOIN nxt n ON n.who = k.who AND n.us = k.us WHERE n.nu IS NOT NULL),
+    quiet AS (SELECT s.* FROM sent s JOIN paged k ON k.who = s.who AND k.us = s.us), {page_fold("quiet", "ts, patient_id, alert_type, severity")}""",
+)
+def paged_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """All kinds of alerts, each patient and type at most once a day, batched into pages per shard."""
+    alerts = union_alerts(spark, folder).withColumnRenamed("alert_time", "ts")
+    quiet = paging.suppress_repeats(alerts, ["patient_id", "alert_type"], "ts", "1 day", ["severity"])
+    shard = (F.ascii(F.right("patient_id", F.lit(1))) % 2).alias("shard")
+    pages = paging.page_batches(quiet.select("*", shard), ["shard"], "ts", F.col("severity") == "HIGH", ["patient_id", "alert_type", "severity"])
+    return pages.drop("urgent_before", "page_in_run")
