@@ -188,6 +188,18 @@ def test_main_text():
     assert html_text.main_text("<p>") == "" and html_text.main_text("plain") == "plain"
 
 
+def test_main_text_clusters_every_page():
+    long = ["A long paragraph of the real text, with many words in it. " * 6 + str(k) for k in range(4)]
+    teaser = "<article class=card><a href=x>Read this too</a></article>"
+    real = "<div class=story>" + "".join(f"<p>{x}</p>" for x in long) + "<p>End.</p></div>"
+    want = "\n".join([*long, "End."])
+    assert html_text.main_text(f"<body>{teaser}{real}</body>") == want
+    assert html_text.main_text(f"<body>{teaser * 3}{real.replace('div', 'article')}</body>") == want
+    assert html_text.main_text(f"<body><main>{teaser}<div>{real.replace('div', 'article')}</div></main></body>") == want
+    whole = "<article><h1>Title</h1><div><p>Lead.</p></div><div>" + real + "</div></article>"
+    assert html_text.main_text(whole) == "Title\nLead.\n" + want
+
+
 def test_quote_levels():
     text = "On Monday Ann wrote:\n> > deep\n> shallow\n\nMy answer."
     assert quotes.parse(text) == [(2, "deep"), (1, "shallow"), (0, ""), (0, "My answer.")]

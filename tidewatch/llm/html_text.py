@@ -4,8 +4,10 @@ Standard-library parser events cut a page into lines (blocks).  A line knows its
 tags and the element that contains it.  Lines inside menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles are marked as they are read.  The
 text-to-tag ratios of the other lines are smoothed with a Gaussian and split into two clusters
-by a threshold; the region with most text in content lines is the article, and all its lines
-stay.  An ``article`` or ``main`` element is a region by itself.
+by a threshold, on every page.  Text of content lines adds up from a region to all regions
+around it; the smallest region that covers the content is the article, and all its lines stay
+but lists of links without content.  Text in an ``article`` or ``main`` element weighs more, and
+such an element is not cut further.
 
 Null and empty pages give an empty text.  Whole pages are read, of any length; markup that
 is never closed ends with its container.
@@ -40,6 +42,10 @@ ASIDE = re.compile(
 CLOSES = {"p": frozenset(["p"]), "li": frozenset(["li", "p"]), "tr": frozenset(["tr", "td", "th", "p"]), "td": frozenset(["td", "th", "p"]), "th": frozenset(["td", "th", "p"]), "option": frozenset(["option"]), "dt": frozenset(["dt", "dd", "p"]), "dd": frozenset(["dt", "dd", "p"])}
 WALLS = frozenset("article main section div td th body ul ol dl table nav header footer aside form blockquote".split())
 SIGMA = 1.0
+#: share of the content's weight that a region has to hold to be the article
+COVER = 0.9
+#: weight of content in an article or main element
+HINT = 2.0
 
 
 class Lines(HTMLParser):
@@ -47,20 +53,20 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, skipped, region
+        self.open: list[tuple[str, bool, int, bool]] = []  # tag, skipped, region, in a link
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.links = 0
         self.regions = [("page", -1)]  # tag, parent
-        self.lines: list[tuple[str, int, int]] = []  # text, tags, region
+        self.lines: list[tuple[str, int, int, int]] = []  # text, tags, region, characters in links
 
-    def state(self) -> tuple[bool, int]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+    def state(self) -> tuple[bool, int, bool]:
+        return self.open[-1][1:] if self.open else (False, 0, False)
 
     def flush(self) -> None:
-        skipped, region = self.state()
+        skipped, region, _ = self.state()
         if self.parts and not skipped and (line := " ".join("".join(self.parts).split())):
-            self.lines.append((line, self.tags, region))
-        self.parts, self.tags = [], 0
+            self.lines.append((line, self.tags, region, self.links))
+        self.parts, self.tags, self.links = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "br":
@@ -72,14 +78,14 @@ class Lines(HTMLParser):
             if shut:
                 self.shut(shut)
         self.tags += 1
-        skipped, region = self.state()
+        skipped, region, link = self.state()
         skipped = skipped or tag in SKIPPED or self.beside(tag, attrs)
         if tag in VOID:
             return
         if tag in REGIONS and not skipped:
             self.regions.append((tag, region))
             region = len(self.regions) - 1
-        self.open.append((tag, skipped, region))
+        self.open.append((tag, skipped, region, link or tag == "a"))
 
     def beside(self, tag: str, attrs: list) -> bool:
         if tag in INLINE or tag in ("html", "body", "article", "main") and not any(k == "class" and v and "comment" in v.lower() for k, v in attrs):
@@ -115,13 +121,15 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self.state()[0]:
+        skipped, _, link = self.state()
+        if not skipped:
             self.parts.append(data)
+            self.links += len(data.strip()) if link else 0
 
 
-def content_lines(lines: list[tuple[str, int, int]]) -> np.ndarray:
+def content_lines(lines: list[tuple[str, int, int, int]]) -> np.ndarray:
     """Cluster lines by their smoothed text-to-tag ratio; True for content."""
-    ratio = np.array([len(text) / max(tags, 1) for text, tags, _ in lines], dtype=float)
+    ratio = np.array([len(line[0]) / max(line[1], 1) for line in lines], dtype=float)
     reach = np.arange(-3, 4)
     kernel = np.exp(-(reach**2) / (2 * SIGMA**2))
     smooth = np.convolve(np.pad(ratio, 3, mode="edge"), kernel / kernel.sum(), mode="valid")
@@ -136,6 +144,32 @@ def content_lines(lines: list[tuple[str, int, int]]) -> np.ndarray:
     return smooth >= (low + high) / 2
 
 
+def added_up(parents: list[int], values: np.ndarray) -> np.ndarray:
+    """Per region, the values of itself and of all regions inside it; parents come first."""
+    total = values.copy()
+    for k in range(len(parents) - 1, 0, -1):
+        total[parents[k]] += total[k]
+    return total
+
+
+def covering(regions: list[tuple[str, int]], mass: np.ndarray) -> int:
+    """The smallest region that holds the content; an article stays whole, a main element unless one article has it all."""
+    within: list[list[int]] = [[] for _ in regions]
+    for k, (_, parent) in enumerate(regions[1:], 1):
+        within[parent].append(k)
+    enough = COVER * mass[0]
+    articles = np.array([tag == "article" and mass[k] >= enough for k, (tag, _) in enumerate(regions)], dtype=float)
+    holds = added_up([parent for _, parent in regions], articles) > 0
+    at, in_main = 0, False
+    while regions[at][0] != "article":
+        in_main = in_main or regions[at][0] == "main"
+        inner = [k for k in within[at] if mass[k] >= enough and (holds[k] or not in_main)]
+        if not inner:
+            break
+        at = inner[0]
+    return at
+
+
 def main_text(html: str) -> str:
     """The article of one page, one block a line."""
     page = Lines()
@@ -145,23 +179,22 @@ def main_text(html: str) -> str:
     if not page.lines:
         return ""
     parents = [parent for _, parent in page.regions]
-    tops = {}
+    named = np.zeros(len(parents), dtype=bool)  # in an article or main element
     for k, (tag, parent) in enumerate(page.regions):
-        tops[k] = tops.get(parent, -1) if tops.get(parent, -1) >= 0 else k if tag in ("article", "main") else -1
-    kept = [line for line in page.lines if tops[line[2]] >= 0]
-    if not kept:
-        content = content_lines(page.lines)
-        mass = np.zeros(len(parents))
-        for line, good in zip(page.lines, content):
-            if good:
-                mass[line[2]] += len(line[0])
-        best = int(mass.argmax())
-        within = {best}
-        for k, parent in enumerate(parents):
-            if parent in within:
-                within.add(k)
-        kept = [line for line in page.lines if line[2] in within]
-    return "\n".join(line[0] for line in kept)
+        named[k] = tag in ("article", "main") or k > 0 and named[parent]
+    mass, size, links = (np.zeros(len(parents)) for _ in range(3))
+    for (text, _, region, linked), good in zip(page.lines, content_lines(page.lines)):
+        mass[region] += len(text) * good * (HINT if named[region] else 1.0)
+        size[region] += len(text)
+        links[region] += linked
+    mass, size, links = (added_up(parents, x) for x in (mass, size, links))
+    best = covering(page.regions, mass)
+    kept = np.zeros(len(parents), dtype=bool)
+    kept[best] = True
+    for k, parent in enumerate(parents):
+        if k and kept[parent]:
+            kept[k] = named[k] or mass[k] > 0 or 2 * links[k] <= size[k]
+    return "\n".join(line[0] for line in page.lines if kept[line[2]])
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
