@@ -200,6 +200,23 @@ def test_main_text_clusters_every_page():
     assert html_text.main_text(whole) == "Title\nLead.\n" + want
 
 
+def test_main_text_of_split_and_wrapped_articles():
+    long = ["A long paragraph of the real text, with many words in it. " * (6 + k) + str(k) for k in range(4)]
+    want, links = "\n".join(long), "<a href=x>Home</a> <a href=y>News</a>"
+    for tag in ("div", "section", "td"):
+        parts = "".join(f"<{tag}><p>{x}</p></{tag}>" for x in long)
+        body = f"<table><tr><td>{links}</td>{parts}</tr></table>" if tag == "td" else f"<div>{links}</div>{parts}"
+        assert html_text.main_text(f"<body>{body}</body>") == want
+    uneven = f"<div><p>{want * 9}</p></div><div><p>{long[0]}</p></div>"
+    assert html_text.main_text(uneven) == want.replace("\n", " ") * 9 + "\n" + long[0]
+    story = "".join(f"<p>{x}</p>" for x in long)
+    for wrapper in ("class='with-sidebar'", "class='has-header'", "id='search-results'"):
+        for inner in ("div", "article"):
+            page = f"<div {wrapper}><{inner}>{story}</{inner}><div class=sidebar>Buy this</div></div><div class=notice>Old site.</div>"
+            assert html_text.main_text(page) == want
+    assert html_text.main_text("<div class=notice>A notice, longer than the text of its page.</div><article><p>Short but whole.</article>") == "Short but whole."
+
+
 def test_quote_levels():
     text = "On Monday Ann wrote:\n> > deep\n> shallow\n\nMy answer."
     assert quotes.parse(text) == [(2, "deep"), (1, "shallow"), (0, ""), (0, "My answer.")]

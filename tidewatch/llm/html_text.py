@@ -2,11 +2,12 @@
 
 Standard-library parser events cut a page into lines (blocks).  A line knows its text, its
 tags and the element that contains it.  Lines inside menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts and styles are marked as they are read.  The
+notices, adverts, forms, comments, scripts and styles are marked as they are read.  A class, id
+or role word marks an element only if it does not hold most of the page's text or articles.  The
 text-to-tag ratios of the other lines are smoothed with a Gaussian and split into two clusters
 by a threshold, on every page.  Text of content lines adds up from a region to all regions
-around it; the smallest region that covers the content is the article, and all its lines stay
-but lists of links without content.  Text in an ``article`` or ``main`` element weighs more, and
+around it; the smallest region that covers the content is the article, together with the content
+of sibling regions of the same tag and class; all its lines stay but lists of links without content.  Text in an ``article`` or ``main`` element weighs more, and
 such an element is not cut further.
 
 Null and empty pages give an empty text.  Whole pages are read, of any length; markup that
@@ -42,6 +43,8 @@ ASIDE = re.compile(
 CLOSES = {"p": frozenset(["p"]), "li": frozenset(["li", "p"]), "tr": frozenset(["tr", "td", "th", "p"]), "td": frozenset(["td", "th", "p"]), "th": frozenset(["td", "th", "p"]), "option": frozenset(["option"]), "dt": frozenset(["dt", "dd", "p"]), "dd": frozenset(["dt", "dd", "p"])}
 WALLS = frozenset("article main section div td th body ul ol dl table nav header footer aside form blockquote".split())
 SIGMA = 1.0
+#: characters a tag from which a line is text, however long it is
+DENSE = 100.0
 #: share of the content's weight that a region has to hold to be the article
 COVER = 0.9
 #: weight of content in an article or main element
@@ -53,19 +56,20 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, bool]] = []  # tag, skipped, region, in a link
+        self.open: list[tuple[str, bool, int, bool, int]] = []  # tag, skipped, region, in a link, aside
         self.parts: list[str] = []
         self.tags = self.links = 0
-        self.regions = [("page", -1)]  # tag, parent
-        self.lines: list[tuple[str, int, int, int]] = []  # text, tags, region, characters in links
+        self.regions = [("page", -1, "")]  # tag, parent, class
+        self.asides = [-1]  # parent of each element marked by its class, id or role; 0 is none
+        self.lines: list[tuple[str, int, int, int, int]] = []  # text, tags, region, characters in links, aside
 
-    def state(self) -> tuple[bool, int, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False)
+    def state(self) -> tuple[bool, int, bool, int]:
+        return self.open[-1][1:] if self.open else (False, 0, False, 0)
 
     def flush(self) -> None:
-        skipped, region, _ = self.state()
+        skipped, region, _, aside = self.state()
         if self.parts and not skipped and (line := " ".join("".join(self.parts).split())):
-            self.lines.append((line, self.tags, region, self.links))
+            self.lines.append((line, self.tags, region, self.links, aside))
         self.parts, self.tags, self.links = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -78,20 +82,30 @@ class Lines(HTMLParser):
             if shut:
                 self.shut(shut)
         self.tags += 1
-        skipped, region, link = self.state()
-        skipped = skipped or tag in SKIPPED or self.beside(tag, attrs)
+        skipped, region, link, aside = self.state()
+        skipped = skipped or tag in SKIPPED or self.hidden(tag, attrs)
         if tag in VOID:
             return
-        if tag in REGIONS and not skipped:
-            self.regions.append((tag, region))
+        if not skipped and (beside := self.beside(tag, attrs)):
+            self.asides.append(aside)
+            aside = len(self.asides) - 1
+        if not skipped and (tag in REGIONS or beside):
+            self.regions.append((tag, region, next((v for k, v in attrs if k == "class" and v), "")))
             region = len(self.regions) - 1
-        self.open.append((tag, skipped, region, link or tag == "a"))
+        self.open.append((tag, skipped, region, link or tag == "a", aside))
+
+    def plain(self, tag: str, attrs: list) -> bool:
+        """Not to be marked: inline, the page itself, an article that is no comment."""
+        return tag in INLINE or tag in ("html", "body", "article", "main") and not any(k == "class" and v and "comment" in v.lower() for k, v in attrs)
+
+    def hidden(self, tag: str, attrs: list) -> bool:
+        return not self.plain(tag, attrs) and any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
 
     def beside(self, tag: str, attrs: list) -> bool:
-        if tag in INLINE or tag in ("html", "body", "article", "main") and not any(k == "class" and v and "comment" in v.lower() for k, v in attrs):
+        if self.plain(tag, attrs):
             return False
         hints = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-        return bool(hints) and ASIDE.search(hints.lower()) is not None or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
+        return bool(hints) and ASIDE.search(hints.lower()) is not None
 
     def shut(self, tags: frozenset) -> None:
         """End the nearest open element of ``tags``, if no container lies between."""
@@ -121,18 +135,21 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        skipped, _, link = self.state()
+        skipped, _, link, _ = self.state()
         if not skipped:
             self.parts.append(data)
             self.links += len(data.strip()) if link else 0
 
 
-def content_lines(lines: list[tuple[str, int, int, int]]) -> np.ndarray:
-    """Cluster lines by their smoothed text-to-tag ratio; True for content."""
-    ratio = np.array([len(line[0]) / max(line[1], 1) for line in lines], dtype=float)
+def content_lines(lines: list[tuple]) -> np.ndarray:
+    """Cluster lines by their smoothed text-to-tag ratio; True for content.
+
+    Ratios count up to DENSE, and clusters are of logarithms, so that a very long block does not put others below the cut.
+    """
+    ratio = np.array([min(len(line[0]) / max(line[1], 1), DENSE) for line in lines])
     reach = np.arange(-3, 4)
     kernel = np.exp(-(reach**2) / (2 * SIGMA**2))
-    smooth = np.convolve(np.pad(ratio, 3, mode="edge"), kernel / kernel.sum(), mode="valid")
+    smooth = np.log1p(np.convolve(np.pad(ratio, 3, mode="edge"), kernel / kernel.sum(), mode="valid"))
     low, high = smooth.min(), smooth.max()
     for _ in range(20):  # two clusters, split halfway between their means
         cut = (low + high) / 2
@@ -152,20 +169,56 @@ def added_up(parents: list[int], values: np.ndarray) -> np.ndarray:
     return total
 
 
-def covering(regions: list[tuple[str, int]], mass: np.ndarray) -> int:
-    """The smallest region that holds the content; an article stays whole, a main element unless one article has it all."""
+def named_regions(regions: list[tuple[str, int, str]]) -> np.ndarray:
+    """True for regions in an article or main element."""
+    named = np.zeros(len(regions), dtype=bool)
+    for k, (tag, parent, _) in enumerate(regions):
+        named[k] = tag in ("article", "main") or k > 0 and named[parent]
+    return named
+
+
+def unmarked(page: Lines) -> list[tuple]:
+    """The lines outside of marked elements; one that holds most of the text, or of the articles' text, is a wrapper and marks nothing.
+
+    What a page has only in marked elements stays.
+    """
+    if len(page.asides) == 1:
+        return page.lines
+    named = named_regions(page.regions)
+    size, article, count = (np.zeros(len(page.asides)) for _ in range(3))
+    for text, _, region, _, aside in page.lines:
+        size[aside] += len(text)
+        count[aside] += 1
+        article[aside] += len(text) * named[region]
+    size, article, count = (added_up(page.asides, x) for x in (size, article, count))
+    marked = np.zeros(len(page.asides), dtype=bool)
+    for k, parent in enumerate(page.asides[1:], 1):
+        other = article[0] - article[k]  # is not outweighed by a long notice
+        wrapper = article[k] > other or 2 * size[k] > size[0] and (not other or 4 * other < size[0] and count[k] > 2)
+        marked[k] = marked[parent] or not wrapper
+    return [line for line in page.lines if not marked[line[4]]] or page.lines
+
+
+def covering(regions: list[tuple[str, int, str]], mass: np.ndarray) -> int:
+    """The smallest region that holds the content; an article stays whole, a main element unless one article has it all.
+
+    A region is not entered if a sibling of the same tag and class has content too: both are parts of one text.
+    """
     within: list[list[int]] = [[] for _ in regions]
-    for k, (_, parent) in enumerate(regions[1:], 1):
+    for k, (_, parent, _) in enumerate(regions[1:], 1):
         within[parent].append(k)
     enough = COVER * mass[0]
-    articles = np.array([tag == "article" and mass[k] >= enough for k, (tag, _) in enumerate(regions)], dtype=float)
-    holds = added_up([parent for _, parent in regions], articles) > 0
+    articles = np.array([tag == "article" and mass[k] >= enough for k, (tag, _, _) in enumerate(regions)], dtype=float)
+    holds = added_up([parent for _, parent, _ in regions], articles) > 0
     at, in_main = 0, False
     while regions[at][0] != "article":
         in_main = in_main or regions[at][0] == "main"
         inner = [k for k in within[at] if mass[k] >= enough and (holds[k] or not in_main)]
         if not inner:
             break
+        tag, _, name = regions[inner[0]]
+        if tag not in ("article", "main") and any(k != inner[0] and mass[k] and (regions[k][0], regions[k][2]) == (tag, name) for k in within[at]):
+            break
         at = inner[0]
     return at
 
@@ -178,12 +231,11 @@ def main_text(html: str) -> str:
     page.flush()
     if not page.lines:
         return ""
-    parents = [parent for _, parent in page.regions]
-    named = np.zeros(len(parents), dtype=bool)  # in an article or main element
-    for k, (tag, parent) in enumerate(page.regions):
-        named[k] = tag in ("article", "main") or k > 0 and named[parent]
+    lines = unmarked(page)
+    parents = [parent for _, parent, _ in page.regions]
+    named = named_regions(page.regions)
     mass, size, links = (np.zeros(len(parents)) for _ in range(3))
-    for (text, _, region, linked), good in zip(page.lines, content_lines(page.lines)):
+    for (text, _, region, linked, _), good in zip(lines, content_lines(lines)):
         mass[region] += len(text) * good * (HINT if named[region] else 1.0)
         size[region] += len(text)
         links[region] += linked
@@ -194,7 +246,7 @@ def main_text(html: str) -> str:
     for k, parent in enumerate(parents):
         if k and kept[parent]:
             kept[k] = named[k] or mass[k] > 0 or 2 * links[k] <= size[k]
-    return "\n".join(line[0] for line in page.lines if kept[line[2]])
+    return "\n".join(line[0] for line in lines if kept[line[2]])
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
