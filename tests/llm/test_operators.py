@@ -193,6 +193,29 @@ def test_near_vectors(spark):
     assert embeddings.near_vectors(table.limit(0)).collect() == []
 
 
+def planted_pairs(spark, pairs):
+    rng = np.random.default_rng(8)
+    x, noise = rng.standard_normal((2, pairs, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    noise -= (noise * x).sum(axis=1, keepdims=True) * x
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    v = np.stack([x, 0.91 * x + np.sqrt(1 - 0.91**2) * noise], axis=1).reshape(-1, 64)
+    return spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(v)], "vec_id long, embedding array<double>")
+
+
+def test_near_vectors_do_not_depend_on_partitions(spark):
+    table, before, got = planted_pairs(spark, 500), spark.conf.get("spark.sql.shuffle.partitions"), {}
+    try:
+        for parts in (2, 30):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got[parts] = {tuple(r) for r in embeddings.near_vectors(table).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[2] == got[30] and sum(r[1] for r in got[2]) >= 0.98 * 1000
+    copies = spark.range(2500).selectExpr("id AS vec_id", "array(1.0D, 2.0D) AS embedding")
+    assert {tuple(r)[1:3] for r in embeddings.near_vectors(copies).collect()} == {(2499, 0)}
+
+
 def test_tokens(docs):
     rows = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect()
     assert len(rows) == docs.count()

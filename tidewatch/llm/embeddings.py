@@ -1,15 +1,16 @@
 """Embedding near-duplicates by sorted projection passes.
 
-Each pass draws random rotations; a vector's hash under a rotation is its longest coordinate
-with its sign, and its key is several such hashes in a row.  Vectors are range-partitioned and
-sorted by key, and every block of the order is compared with itself and the block before it
-by matrix products.  Verified pairs are united across passes.
+Equal vectors are one node, the smallest id among them.  Each pass draws random rotations; a
+node's hash under a rotation is its longest coordinate with its sign, and its key is several
+such hashes in a row.  Nodes are sorted by key and numbered over all partitions, and every block
+of the order is compared with itself and the block before it by matrix products, so results do
+not depend on the number of partitions.  Verified pairs are united across passes.
 
 Passes ship vectors in half precision; its error is at most EPSILON in the cosine, so only
 pairs that close to the threshold are looked up and decided in double precision.  A task
 reports a spanning forest of the links it finds.  Links are then counted inside each
-component on the full double-precision vectors, in blocks of bounded size, where equal
-vectors are one node that counts as often as it occurs.
+component on the full double-precision vectors, in blocks of bounded size, where a node counts
+as often as its vector occurs.
 
 Vectors that are null, empty, zero or hold null or non-finite numbers link with nothing, and
 neither do vectors of different lengths.  A null id takes no part.
@@ -17,10 +18,12 @@ neither do vectors of different lengths.  A null id takes no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,14 +66,17 @@ def rotations(dim: int, turn: int) -> np.ndarray:
     return np.random.default_rng([SEED, dim, turn]).standard_normal((HASHES, dim, dim)).astype(np.float32)
 
 
-def keyed(vectors: DataFrame, turn: int) -> DataFrame:
-    """(dim, place, id, half): the key of a pass and the vector in half precision."""
+def keyed(vectors: DataFrame, turn: int, plans: dict[int, tuple[int, int]]) -> DataFrame:
+    """(dim, place, run, id): the key of a pass and its first hashes, for lengths that this pass is for."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drawn: dict[int, np.ndarray] = {}
         for batch in batches:
             dims = batch.column(1).to_numpy()
             for dim in np.unique(dims).tolist():
+                hashes, passes = plans[dim]
+                if turn >= passes:
+                    continue
                 part = batch.filter(pa.array(dims == dim))
                 v = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype=np.float64).reshape(-1, dim).astype(np.float32)
                 turned = drawn.setdefault(dim, rotations(dim, turn))
@@ -79,10 +85,56 @@ def keyed(vectors: DataFrame, turn: int) -> DataFrame:
                     w = v @ rotation
                     top = np.abs(w).argmax(axis=1)
                     place = place * (2 * dim) + 2 * top + (w[np.arange(len(w)), top] < 0)
-                half = [x.tobytes() for x in v.astype(np.float16)]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(place), part.column(0), pa.array(half, pa.binary())], ["dim", "place", "id", "half"])
+                run = place // (2 * dim) ** (HASHES - hashes)
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(place), pa.array(run), part.column(0)], ["dim", "place", "run", "id"])
+
+    return vectors.mapInArrow(task, "dim int, place long, run long, id long")
+
+
+def halves(vectors: DataFrame) -> DataFrame:
+    """(id, half): the vectors in half precision."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            half = [np.frombuffer(x).astype(np.float16).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(half, pa.binary())], ["id", "half"])
+
+    return vectors.select("id", "vec").mapInArrow(task, "id long, half binary")
+
+
+def numbered(ordered: DataFrame) -> tuple[DataFrame, int]:
+    """(dim, run, id, rank) with ranks from 0 over all sorted partitions, and the number of rows."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, done = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), batch.column(3), pa.array(np.full(n, part, dtype=np.int32)), pa.array(np.arange(done, done + n, dtype=np.int64))],
+                ["dim", "run", "id", "part", "at"],
+            )
+            done += n
+
+    placed = stored(ordered.mapInArrow(task, "dim int, run long, id long, part int, at long"), "order")
+    starts, total = [], 0
+    for r in placed.groupBy("part").count().orderBy("part").collect():
+        starts.append((r["part"], total))
+        total += r["count"]
+    first = ordered.sparkSession.createDataFrame(starts, "part int, first long")
+    return placed.join(F.broadcast(first), "part").select("dim", "run", "id", (F.col("first") + F.col("at")).alias("rank")), total
+
+
+def met(ranked: DataFrame, half: DataFrame, total: int, parts: int, block: int = BLOCK) -> DataFrame:
+    """(task, other, rank, dim, id, half) sorted: blocks in a row with the one before.
 
-    return vectors.mapInArrow(task, "dim int, place long, id long, half binary")
+    ``other`` is -1 for the blocks in a row.
+    """
+    at = ranked.withColumn("block", F.floor(F.col("rank") / block))
+    across = max(1, math.ceil(total / block / parts))  # blocks a task walks
+    mine = F.floor(F.col("block") / across)
+    in_rows = F.array(mine, F.when((F.col("block") + 1) % across == 0, mine + 1))
+    rows = at.withColumn("task", F.explode(F.filter(in_rows, lambda x: x.isNotNull()))).select("task", F.lit(-1).cast("long").alias("other"), "rank", "dim", "id")
+    return rows.join(half, "id").select("task", "other", "rank", "dim", "id", "half").repartition(parts, "task", "other").sortWithinPartitions("task", "other", "rank")
 
 
 def forest_edges(near: np.ndarray) -> list[tuple[int, int]]:
@@ -101,8 +153,8 @@ def forest_edges(near: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def neighbour_links(ordered: DataFrame, cosine: float) -> DataFrame:
-    """(a, b, sure) among each sorted partition's blocks; unsure pairs are close to the threshold."""
+def neighbour_links(ordered: DataFrame, cosine: float, block: int = BLOCK) -> DataFrame:
+    """(a, b, sure) among the blocks that meet; unsure pairs are close to the threshold."""
 
     def block_links(ids: np.ndarray, vectors: np.ndarray) -> Iterator[pa.RecordBatch]:
         product = vectors @ vectors.T
@@ -117,28 +169,30 @@ def neighbour_links(ordered: DataFrame, cosine: float) -> DataFrame:
         )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before: tuple[int, np.ndarray, np.ndarray] | None = None
-        held: list[tuple[int, int, bytes]] = []
+        before: tuple[tuple, np.ndarray, np.ndarray] | None = None
+        held: list[tuple[int, bytes]] = []
+        place: tuple = ()  # task, other, dim, block
 
-        def close(rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        def close() -> Iterator[pa.RecordBatch]:
             nonlocal before
-            dim = rows[0][0]
-            ids = np.array([r[1] for r in rows], dtype=np.int64)
-            vectors = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.float16).reshape(-1, dim).astype(np.float32)
-            if before is not None and before[0] == dim:
+            ids = np.array([r[0] for r in held], dtype=np.int64)
+            vectors = np.frombuffer(b"".join(r[1] for r in held), dtype=np.float16).reshape(-1, place[2]).astype(np.float32)
+            if before is not None and before[0] == place[:3]:
                 yield from block_links(np.concatenate([before[1], ids]), np.concatenate([before[2], vectors]))
             else:
                 yield from block_links(ids, vectors)
-            before = (dim, ids, vectors)
+            before = (place[:3], ids, vectors)
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
-                if held and (len(held) == BLOCK or held[0][0] != row[0]):
-                    yield from close(held)
+            for work, other, rank, dim, vec_id, half in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                here = (work, other, dim, rank // block)
+                if held and here != place:
+                    yield from close()
                     held = []
-                held.append(row)
+                place = here
+                held.append((vec_id, half))
         if held:
-            yield from close(held)
+            yield from close()
 
     return ordered.mapInArrow(task, "a long, b long, sure boolean")
 
@@ -157,10 +211,10 @@ def dots(frame: DataFrame, cosine: float) -> DataFrame:
     return frame.select("a", "b", "vec_a", "vec_b").mapInArrow(task, "a long, b long")
 
 
-def link_counts(vectors: DataFrame, labels: DataFrame, cosine: float) -> DataFrame:
+def link_counts(nodes: DataFrame, labels: DataFrame, cosine: float) -> DataFrame:
     """(rep, label, dim, vec, links): per distinct vector of a component, how many rows it links."""
-    inside = vectors.join(labels, vectors["id"] == labels["node"])
-    nodes = stored(inside.groupBy("label", "dim", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("rows")), "nodes")
+    nodes = nodes.join(labels, nodes["id"] == labels["node"]).select("label", "dim", "vec", F.col("id").alias("rep"), "rows")
+    nodes = stored(nodes, "nodes")
     sizes = nodes.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = nodes.join(sizes, "label").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -199,25 +253,29 @@ def link_counts(vectors: DataFrame, labels: DataFrame, cosine: float) -> DataFra
     return nodes.select("rep", "label", "dim", "vec").join(links, "rep")
 
 
-def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = 0.9, passes: int = PASSES) -> DataFrame:
+def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = 0.9, block: int = BLOCK) -> DataFrame:
     """Per vector: the id, n_links, component_id (smallest id reachable by links) and kept."""
     vectors = stored(unit_vectors(rows, vec_id, embedding), "vectors")
+    nodes = stored(vectors.groupBy("dim", "vec").agg(F.min("id").alias("id"), F.count("*").alias("rows")).select("id", "dim", "vec", "rows"), "distinct")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plans = {r["dim"]: (HASHES, PASSES) for r in nodes.groupBy("dim").count().collect()}
+    half = halves(nodes)
     found = None
-    for turn in range(passes):
-        # the id breaks ties, so a run of one key can be cut between partitions
-        ordered = keyed(vectors, turn).repartitionByRange(parts, "dim", "place", "id").sortWithinPartitions("dim", "place", "id")
-        links = neighbour_links(ordered, cosine)
+    for turn in range(max((passes for _, passes in plans.values()), default=1)):
+        ordered = keyed(nodes, turn, plans).repartitionByRange(parts, "dim", "place", "id").sortWithinPartitions("dim", "place", "id")
+        ranked, total = numbered(ordered)
+        links = stored(neighbour_links(met(ranked, half, total, parts, block), cosine, block), "links")
         found = links if found is None else found.union(links)
-    found = stored(found, "links")
     unsure = found.where("not sure").select("a", "b").distinct()
-    full_a = vectors.select(F.col("id").alias("a"), F.col("vec").alias("vec_a"))
-    full_b = vectors.select(F.col("id").alias("b"), F.col("vec").alias("vec_b"))
+    full_a = nodes.select(F.col("id").alias("a"), F.col("vec").alias("vec_a"))
+    full_b = nodes.select(F.col("id").alias("b"), F.col("vec").alias("vec_b"))
     decided = dots(unsure.join(full_a, "a").join(full_b, "b"), cosine)
     labels = stored(components(found.where("sure").select("a", "b").union(decided)), "labels")
 
-    counts = link_counts(vectors, labels, cosine).select("dim", "vec", "label", "links")
-    linked = vectors.join(labels, vectors["id"] == labels["node"]).join(counts, ["label", "dim", "vec"]).select("id", "label", "links").dropDuplicates(["id"])
+    counts = link_counts(nodes, labels, cosine).select("dim", "vec", "label", "links")
+    alone = nodes.where("rows > 1").join(labels, nodes["id"] == labels["node"], "left_anti")
+    counts = counts.union(alone.select("dim", "vec", F.col("id").alias("label"), F.col("rows").alias("links")))
+    linked = vectors.join(counts, ["dim", "vec"]).select("id", "label", "links").dropDuplicates(["id"])
     out = rows.select(F.col(vec_id).cast("long").alias("__id")).join(linked, F.col("__id") == F.col("id"), "left")
     component = F.coalesce("label", "__id")
     return out.select(
