@@ -216,6 +216,21 @@ def test_near_vectors_do_not_depend_on_partitions(spark):
     assert {tuple(r)[1:3] for r in embeddings.near_vectors(copies).collect()} == {(2499, 0)}
 
 
+def test_near_vectors_recall_over_many_windows(spark):
+    assert [embeddings.plan(64, n, 0.9)[0] for n in (10**5, 10**6, 10**8)] == [1, 2, 3]
+    # 1,000 vectors are 125 blocks
+    assert embeddings.near_vectors(planted_pairs(spark, 500), block=8).where("n_links > 0").count() >= 0.98 * 1000
+
+
+def test_near_vectors_of_one_run_all_meet(spark):
+    v = np.eye(40)
+    v[39] = v[0]
+    ranked = spark.createDataFrame([(40, 7, k, k) for k in range(40)], "dim int, run long, id long, rank long")
+    half = spark.createDataFrame([(k, bytearray(x.astype(np.float16).tobytes())) for k, x in enumerate(v)], "id long, half binary")
+    links = embeddings.neighbour_links(embeddings.met(ranked, half, 40, 2, block=4), 0.9, block=4)
+    assert {frozenset((r["a"], r["b"])) for r in links.collect()} == {frozenset((0, 39))}
+
+
 def test_tokens(docs):
     rows = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect()
     assert len(rows) == docs.count()

@@ -6,6 +6,11 @@ such hashes in a row.  Nodes are sorted by key and numbered over all partitions,
 of the order is compared with itself and the block before it by matrix products, so results do
 not depend on the number of partitions.  Verified pairs are united across passes.
 
+Two nodes whose keys agree in the first hashes always meet: where such a run is longer than two
+blocks, all pairs of its blocks are compared.  How many hashes make a run grows with the rows,
+so that a run of evenly spread vectors stays within a block, and the number of passes follows
+from it, so that a pair at the threshold agrees in one pass with probability RECALL.
+
 Passes ship vectors in half precision; its error is at most EPSILON in the cosine, so only
 pairs that close to the threshold are looked up and decided in double precision.  A task
 reports a spanning forest of the links it finds.  Links are then counted inside each
@@ -30,7 +35,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import stored
 from tidewatch.llm.components import components
 
-PASSES = 6
+#: probability that a pair at the threshold agrees in the first hashes of one pass at least
+RECALL = 0.99
 HASHES = 3
 #: neighbours: a vector is compared with its block of the sorted order and the one before
 BLOCK = 1024
@@ -66,6 +72,32 @@ def rotations(dim: int, turn: int) -> np.ndarray:
     return np.random.default_rng([SEED, dim, turn]).standard_normal((HASHES, dim, dim)).astype(np.float32)
 
 
+def agreement(dim: int, cosine: float, draws: int = 20_000) -> float:
+    """Probability that one hash agrees for two vectors of this cosine, by drawing pairs.
+
+    A Gaussian matrix turns such a pair into Gaussian coordinates of that correlation.
+    """
+    rng = np.random.default_rng([SEED, dim])
+    same, left = 0, draws
+    while left:
+        n = min(left, max(1, 1_000_000 // dim))
+        x, noise = rng.standard_normal((2, n, dim), dtype=np.float32)
+        y = cosine * x + np.sqrt(max(0.0, 1 - cosine**2)) * noise
+        a, b, rows = np.abs(x).argmax(axis=1), np.abs(y).argmax(axis=1), np.arange(n)
+        same += int(((a == b) & (x[rows, a] * y[rows, a] > 0)).sum())
+        left -= n
+    return max(same, 1) / draws
+
+
+def plan(dim: int, nodes: int, cosine: float, block: int = BLOCK) -> tuple[int, int]:
+    """(hashes of a run, passes) for so many vectors of a length."""
+    hashes = 1
+    while hashes < HASHES and nodes > block * (2 * dim) ** hashes:
+        hashes += 1
+    agree = agreement(dim, cosine) ** hashes
+    return hashes, 1 if agree >= RECALL else math.ceil(math.log(1 - RECALL) / math.log1p(-agree))
+
+
 def keyed(vectors: DataFrame, turn: int, plans: dict[int, tuple[int, int]]) -> DataFrame:
     """(dim, place, run, id): the key of a pass and its first hashes, for lengths that this pass is for."""
 
@@ -125,7 +157,7 @@ def numbered(ordered: DataFrame) -> tuple[DataFrame, int]:
 
 
 def met(ranked: DataFrame, half: DataFrame, total: int, parts: int, block: int = BLOCK) -> DataFrame:
-    """(task, other, rank, dim, id, half) sorted: blocks in a row with the one before.
+    """(task, other, rank, dim, id, half) sorted: blocks in a row with the one before, and far blocks of one run.
 
     ``other`` is -1 for the blocks in a row.
     """
@@ -134,6 +166,11 @@ def met(ranked: DataFrame, half: DataFrame, total: int, parts: int, block: int =
     mine = F.floor(F.col("block") / across)
     in_rows = F.array(mine, F.when((F.col("block") + 1) % across == 0, mine + 1))
     rows = at.withColumn("task", F.explode(F.filter(in_rows, lambda x: x.isNotNull()))).select("task", F.lit(-1).cast("long").alias("other"), "rank", "dim", "id")
+    runs = stored(at.groupBy("dim", "run").agg(F.min("block").alias("low"), F.max("block").alias("high")).where("high > low + 1"), "runs")
+    if not runs.isEmpty():
+        pairs = runs.select(F.explode(F.sequence("low", F.col("high") - 2)).alias("i"), "high").select("i", F.explode(F.sequence(F.col("i") + 2, "high")).alias("j")).distinct()
+        sides = pairs.select("i", "j", F.explode(F.array("i", "j")).alias("block"))
+        rows = rows.unionByName(at.join(sides, "block").select(F.col("i").alias("task"), F.col("j").alias("other"), "rank", "dim", "id"))
     return rows.join(half, "id").select("task", "other", "rank", "dim", "id", "half").repartition(parts, "task", "other").sortWithinPartitions("task", "other", "rank")
 
 
@@ -258,7 +295,7 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
     vectors = stored(unit_vectors(rows, vec_id, embedding), "vectors")
     nodes = stored(vectors.groupBy("dim", "vec").agg(F.min("id").alias("id"), F.count("*").alias("rows")).select("id", "dim", "vec", "rows"), "distinct")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    plans = {r["dim"]: (HASHES, PASSES) for r in nodes.groupBy("dim").count().collect()}
+    plans = {r["dim"]: plan(r["dim"], r["count"], cosine, block) for r in nodes.groupBy("dim").count().collect()}
     half = halves(nodes)
     found = None
     for turn in range(max((passes for _, passes in plans.values()), default=1)):
