@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, embeddings, html_text, langid, lm, minhash, mixing, pii, quality, quotes
+from tidewatch.llm import bpe, embeddings, html_text, langid, lm, minhash, mixing, pii, quality, quotes, runs
 from tidewatch.llm.common import documents, held_out_share
 
 #: folder of the public vocabulary files
@@ -100,3 +100,16 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tailed = runs.with_repeated_tail(documents(spark, sf_dir).select("doc_id", "text"))
+    found = runs.periodic_runs(tailed)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[name].cast("string") for name in ("start", "length", "period"))), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")),
+        runs.exponent_milli("best").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
