@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import re
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL
-from tidewatch.llm import bpe, embeddings, html_text, langid, lm, minhash, mixing, pii, quality, quotes
+from tidewatch.llm import bpe, embeddings, html_text, langid, lm, minhash, mixing, pii, quality, queries, quotes
 from tidewatch.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, size string, spans string, label int, kept string, row string"
@@ -232,11 +233,29 @@ def test_near_vectors_of_one_run_all_meet(spark):
 
 
 def test_tokens(docs):
-    rows = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect()
-    assert len(rows) == docs.count()
+    rows = bpe.decode(bpe.encode(docs, VOCABULARY, decoded="row"), VOCABULARY).collect()
+    assert len(rows) == docs.count() and all(r["row"] == r["decoded"] for r in rows)
     assert all((len(r["ids"]) == 0) == (not (r["text"] or "").strip()) for r in rows)
 
 
+def test_tokens_query_matches_the_library(spark, scratch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file("/opt/tokenizers/word_bpe_49k.json")
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    rows += [(None, "It's <|endoftext|> ΣΑΣ"), (-1, None), (-2, ""), (-2, ""), (-3, "word's " * 400_000), (-4, "é" * 300)]
+    spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, ids string, n_tokens int").write.parquet(f"{scratch}/documents.parquet")
+
+    def want(text):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        shown = " ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False)
+        return len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in shown)
+
+    got = queries.op10_tokens(spark, scratch)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(((i, *want(t)) for i, t in rows), key=repr)
+
+
 def test_pipeline(docs, spark, scratch):
     docs.withColumn("n_chars", F.col("n_chars")).write.parquet(f"{scratch}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (9, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")

@@ -17,9 +17,12 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +30,14 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import pieces
 
 END = "</w>"
-#: distinct words and pairs a task remembers; more are worked out again
-MEMORY = 400_000
+#: distinct words and pairs a worker remembers between pieces and tasks; more are worked out again
+MEMORY = 150_000
+#: longer words are not remembered
+REMEMBERED_CHARS = 64
+#: the one word pattern that is read: contractions, runs of letters, single digits, runs of the rest
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPACE, LETTER, NUMBER, OTHER = range(4)
+APOSTROPHE = ord("'")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -38,41 +47,89 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(spare)) for b in sorted(range(256), key=lambda b: (b not in plain, b))}
 
 
-class Encoder:
-    """The vocabulary of one file, with what has been worked out about words and pairs."""
-
-    def __init__(self, source: str):
-        spec = json.loads(source)
+@lru_cache(maxsize=1)
+def character_classes() -> np.ndarray:
+    """The class of every code point, made once in a process."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    classes = np.full(0x110000, OTHER, dtype=np.uint8)
+    for kind, pattern in ((SPACE, r"\s+"), (LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
+        for run in regex.findall(pattern, every):
+            # a run may jump over the surrogates, which are no characters
+            classes[np.frombuffer(run.encode("utf-32-le"), dtype=np.uint32)] = kind
+    return classes
+
+
+def word_starts(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start in a run of code points, and which points lie in a word, as PATTERN says."""
+    kind = character_classes()[points]
+    n = len(points)
+    inside = kind != SPACE
+    start = inside.copy()
+    start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+    # an apostrophe that opens a run of its own may begin a contraction
+    at = np.flatnonzero(start & (points == APOSTROPHE))
+    at = at[at + 1 < n]
+    at = at[kind[at + 1] == LETTER]
+    if len(at):
+        first = points[at + 1]
+        second = np.where(at + 2 < n, points[np.minimum(at + 2, n - 1)], 0)
+        length = np.where(np.isin(first, [ord(c) for c in "stmd"]), 2, 0)
+        for pair in ("re", "ve", "ll"):
+            length[(first == ord(pair[0])) & (second == ord(pair[1]))] = 3
+        at, length = at[length > 0], length[length > 0]
+        start[at + 1] = False
+        rest = at + length
+        rest = rest[rest < n]
+        start[rest] |= inside[rest]
+    return start, inside
+
+
+class Decoder:
+    """Token texts by id."""
+
+    def __init__(self, spec: dict):
         model = spec["model"]
-        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
-        if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or model["end_of_word_suffix"] != END:
-            raise ValueError("only lower-casing BPE files with word ends are read")
         self.vocab: dict[str, int] = model["vocab"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.rank = {pair: k for k, pair in enumerate(merges)}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*self.vocab.values(), *self.added.values()]) + 1
         self.tokens = [""] * size
         for token, k in [*self.vocab.items(), *self.added.items()]:
             self.tokens[k] = token
-        self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
+        self.shown = pa.array(self.tokens, pa.string())
+
+    def decode(self, ids: pa.Array, offsets: pa.Array) -> pa.Array:
+        """The file names no decoder, so a row's tokens are joined by one space."""
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, self.shown.take(ids)), " ")
+
+
+class Encoder(Decoder):
+    """The vocabulary of one file, with what has been worked out about words and pairs."""
+
+    def __init__(self, spec: dict):
+        model = spec["model"]
+        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
         pattern = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
-        self.words = regex.compile(pattern).findall
+        if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or model["end_of_word_suffix"] != END or pattern != PATTERN:
+            raise ValueError("only lower-casing BPE files with word ends are read")
+        super().__init__(spec)
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.rank = {pair: k for k, pair in enumerate(merges)}
+        self.longest = max(len(t.removesuffix(END)) for t in self.vocab)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.alphabet = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, list[int]] = {}
         self.fits: dict[int, bool] = {}
 
     def symbols(self, token: str) -> list[str]:
         body = token.removesuffix(END)
         return [*body[:-1], token[len(body) - 1 :]] if body else [token]
 
-    def split(self, text: str) -> list[str]:
-        """The words of normalised text."""
+    @staticmethod
+    def normal(text: str) -> str:
         if not text.isascii():
             # single characters are lowered, so a capital sigma has one small form
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.words(text.lower())
+        return text.lower()
 
     def merge(self, symbols: list[str]) -> list[int]:
         """Merge neighbours of lowest rank, leftmost first, until no rule applies."""
@@ -125,8 +182,8 @@ class Encoder:
             verdicts[n] = fit
         return verdicts[inverse]
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words not met before, all together."""
+    def learn(self, words: list[str]) -> dict[str, list[int]]:
+        """Token ids of words not met before, worked out all together."""
         shown = [w.encode().decode("latin-1").translate(self.alphabet) for w in words]
         proposed = [self.propose(s) for s in shown]
         flat = np.array([k for p in proposed for k in p], dtype=np.int64)
@@ -134,10 +191,11 @@ class Encoder:
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         fits = self.compatible(flat[inner] << 32 | flat[inner + 1])
         wrong = set(owner[inner[~fits]].tolist())
+        out = {}
         for n, (word, ids) in enumerate(zip(words, proposed)):
             alone = len(ids) == 1 and not self.reachable(ids[0])
-            exact = self.merge(self.symbols(shown[n] + END)) if n in wrong or alone else ids
-            self.known[word] = np.array(exact, dtype=np.int32)
+            out[word] = self.merge(self.symbols(shown[n] + END)) if n in wrong or alone else ids
+        return out
 
     def reachable(self, token: int) -> bool:
         """Whether merging a token's own symbols gives the token (a pair's verdict implies it)."""
@@ -146,28 +204,76 @@ class Encoder:
             fit = self.fits[key] = self.merge(self.symbols(self.tokens[token])) == [token]
         return fit
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self.specials.split(t) if self.specials else [t] for t in texts]
-        rows = [[[p] if k % 2 else self.split(p) for k, p in enumerate(row)] for row in parts]
-        for row in rows:  # a special token is known by its own text
-            for k, words in enumerate(row):
-                if k % 2:
-                    row[k] = [np.array([self.added[words[0]]], dtype=np.int32)]
-        if len(self.known) > MEMORY:  # between pieces only: a piece needs all its words at once
+    def found(self, words: list[str]) -> list[list[int]]:
+        """Token ids of distinct words, from memory or worked out."""
+        if len(self.known) > MEMORY:
             self.known.clear()
-        new = {w for row in rows for words in row[::2] for w in words} - self.known.keys()
+        known = self.known
+        ids = list(map(known.get, words))
+        new = [w for w, k in zip(words, ids) if k is None]
         if new:
-            self.learn(sorted(new))
-        known, empty = self.known, np.zeros(0, dtype=np.int32)
-        out = []
-        for row in rows:
-            found = [known[w] if isinstance(w, str) else w for words in row for w in words]
-            out.append(np.concatenate(found) if found else empty)
-        return out
-
-    def decode(self, ids: list[int]) -> str:
-        """The file names no decoder, so tokens are joined by one space."""
-        return " ".join(map(self.tokens.__getitem__, ids))
+            learnt = self.learn(new)
+            ids = [learnt[w] if k is None else k for w, k in zip(words, ids)]
+            known.update((w, k) for w, k in learnt.items() if len(w) <= REMEMBERED_CHARS)
+        return ids
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The token ids of all texts in one array, and the n + 1 bounds of the texts in it."""
+        # special tokens are cut out before a text is normalised; every second part is one
+        parts = [self.specials.split(t) if self.specials else [t] for t in texts]
+        plain: list[str] = []
+        special: list[tuple[int, int]] = []
+        for row in parts:
+            for k, part in enumerate(row):
+                if k % 2:
+                    special.append((len(plain), self.added[part]))
+                plain.append("" if k % 2 else self.normal(part))
+        sizes = np.array([len(p) + 1 for p in plain], dtype=np.int64)
+        joined = "\n".join(plain)
+        points = np.frombuffer(joined.encode("ascii"), dtype=np.uint8) if joined.isascii() else np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        start, inside = word_starts(points)
+        begins = np.flatnonzero(start)
+        ids, lens, which = self.looked_up(points, begins, inside)
+        borders = np.searchsorted(begins, np.concatenate([[0], np.cumsum(sizes)]))  # words before each part
+        if special:
+            which = np.insert(which, borders[[k for k, _ in special]], np.arange(len(lens), len(lens) + len(special)))
+            ids = np.concatenate([ids, [token for _, token in special]])
+            lens = np.concatenate([lens, np.ones(len(special), dtype=np.int64)])
+            more = np.zeros(len(borders), dtype=np.int64)
+            more[[k + 1 for k, _ in special]] = 1
+            borders = borders + np.cumsum(more)
+        first = np.cumsum(lens) - lens
+        taken = lens[which]
+        total = np.concatenate([[0], np.cumsum(taken)])
+        at = np.arange(total[-1]) + np.repeat(first[which] - total[:-1], taken)
+        rows = np.cumsum([0, *map(len, parts)])
+        return ids[at].astype(np.int32), total[borders[rows]]
+
+    def looked_up(self, points: np.ndarray, begins: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token ids of the distinct words in a row, how many each has, and each word's number among them."""
+        if not len(begins):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        width = points.itemsize
+        solid = points[inside]
+        place = np.cumsum(inside)[begins] - 1
+        offsets = np.append(place, len(solid)).astype(np.int64) * width
+        words = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(solid))]).dictionary_encode()
+        coding = "ascii" if width == 1 else "utf-32-le"
+        ids = self.found([w.decode(coding) for w in words.dictionary.to_pylist()])
+        lens = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(lens.sum()))
+        return flat, lens, words.indices.to_numpy(zero_copy_only=False)
+
+
+@lru_cache(maxsize=2)
+def encoder(source: str) -> Encoder:
+    """One encoder per vocabulary and worker process: tasks share it and what it has learnt."""
+    return Encoder(json.loads(source))
+
+
+@lru_cache(maxsize=2)
+def decoder(source: str) -> Decoder:
+    return Decoder(json.loads(source))
 
 
 def read_vocabulary(path: str) -> str:
@@ -175,23 +281,27 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, source: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, source: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """The rows with a further column: the token ids of the whole text (array of int).
 
     ``source`` is the content of the vocabulary file (:func:`read_vocabulary`), a few MB that
-    each executor gets once.  A column of the name ``ids`` that is already there is replaced.
+    each executor gets once.  With ``decoded``, a column of that name gets the text that the
+    ids decode to, in the same pass.  Columns of these names that are already there are replaced.
     """
-    docs = docs.drop(ids)
+    docs = docs.drop(ids, *([decoded] if decoded else []))
     shared = docs.sparkSession.sparkContext.broadcast(source)
-    schema = docs.withColumn(ids, F.lit(None).cast("array<int>")).schema
+    added = {ids: "array<int>", **({decoded: "string"} if decoded else {})}
+    schema = docs.withColumns({name: F.lit(None).cast(kind) for name, kind in added.items()}).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(shared.value)
+        coder = encoder(shared.value)
         for piece in pieces(batches, text):
-            rows = coder.encode([t or "" for t in piece.column(piece.schema.get_field_index(text)).to_pylist()])
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-            values = pa.array(np.concatenate(rows).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*piece.columns, pa.ListArray.from_arrays(pa.array(offsets), values)], [*piece.schema.names, ids])
+            flat, bounds = coder.encode([t or "" for t in piece.column(piece.schema.get_field_index(text)).to_pylist()])
+            values, offsets = pa.array(flat), pa.array(bounds.astype(np.int32))
+            columns = [pa.ListArray.from_arrays(offsets, values)]
+            if decoded:
+                columns.append(coder.decode(values, offsets))
+            yield pa.RecordBatch.from_arrays([*piece.columns, *columns], [*piece.schema.names, *added])
 
     return docs.mapInArrow(task, schema)
 
@@ -203,12 +313,13 @@ def decode(rows: DataFrame, source: str, ids: str = "ids", text: str = "decoded"
     schema = rows.withColumn(text, F.lit("")).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(shared.value)
+        coder = decoder(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 column = part.column(part.schema.get_field_index(ids))
-                texts = [coder.decode(x.values.to_pylist()) if x.is_valid else "" for x in column]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, text])
+                counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*part.columns, coder.decode(column.flatten(), offsets)], [*part.schema.names, text])
 
     return rows.mapInArrow(task, schema)

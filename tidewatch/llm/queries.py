@@ -99,7 +99,7 @@ def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = bpe.read_vocabulary(f"{TOKENIZERS}/{VOCABULARY}")
-    rows = bpe.decode(bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), source).drop("text"), source)
+    rows = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), source, decoded="decoded")
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
