@@ -36,7 +36,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the whole text, and the text they decode to."""
     source = bpe.read_vocabulary(f"{TOKENIZERS}/{VOCABULARY}")
-    return bpe.decode(bpe.encode(docs, source), source)
+    return bpe.encode(docs, source, decoded="decoded")
 
 
 STAGES = [
