@@ -210,9 +210,7 @@ def render_status(spark: SparkSession, folder: str) -> DataFrame:
     return bed_status_changes(spark, folder).select("event_id", line.alias("line"))
 
 
-@query(
-    "dynamic_capacity",
-    f"""WITH {ALL_STEPS}, sized AS (SELECT o_orderkey AS event_id, hospital, us, size FROM (SELECT o_orderkey, n_name AS hospital,
+RESIZED = f"""{ALL_STEPS}, sized AS (SELECT o_orderkey AS event_id, hospital, us, size FROM (SELECT o_orderkey, n_name AS hospital,
         epoch_us(o_orderdate) - epoch_us(TIMESTAMP '1995-01-01') AS off_us, CAST(60 + o_orderkey % 60 AS INTEGER) AS size
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
         CROSS JOIN (SELECT epoch_us(TIMESTAMP '2024-01-01') AS base) CROSS JOIN LATERAL (SELECT base + off_us // 80 AS us)),
@@ -221,24 +219,30 @@ def render_status(spark: SparkSession, folder: str) -> DataFrame:
       cap AS (SELECT *, last_value(size IGNORE NULLS) OVER (PARTITION BY hospital ORDER BY us, ord, event_id {ROWS_SO_FAR}) AS capacity FROM tl),
       run AS (SELECT *, sum(CASE WHEN capacity > 0 THEN delta ELSE 0 END) OVER (PARTITION BY hospital ORDER BY us, ord, event_id {ROWS_SO_FAR}) AS s FROM cap),
       low AS (SELECT *, min(s) OVER (PARTITION BY hospital ORDER BY us, ord, event_id {ROWS_SO_FAR}) AS m FROM run),
-      rated AS (SELECT *, (s - least(0, m))::BIGINT AS occupied, (s - least(0, m))::DOUBLE / capacity AS ratio FROM low), {LATCHED}
-    SELECT hospital, event_id, make_timestamp(us) AS ts, previous_status, status, occupied, capacity FROM moved WHERE status <> previous_status""",
-)
-def dynamic_capacity(spark: SparkSession, folder: str) -> DataFrame:
-    """Capacity updates, taken from the orders of a nation's customers, re-evaluate its status at once."""
-    orders = read_table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+      rated AS (SELECT *, (s - least(0, m))::BIGINT AS occupied, (s - least(0, m))::DOUBLE / capacity AS ratio FROM low), {LATCHED}"""
+
+
+def capacity_updates(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
+    """Orders (bounded or a stream) as new capacities of the hospitals of their customers."""
     customer = read_table(spark, folder, "customer", "c_custkey", "c_nationkey")
     nation = F.broadcast(read_table(spark, folder, "nation", "n_nationkey", "n_name"))
-    rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    rows = rows.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     off = F.unix_micros(F.col("o_orderdate").cast("timestamp")) - F.unix_micros(F.lit("1995-01-01").cast("timestamp"))
     base = F.unix_micros(F.lit("2024-01-01").cast("timestamp"))
-    updates = rows.withColumn("__off", off).select(
-        F.col("n_name").alias("hospital"),
-        F.timestamp_micros(base + F.expr("__off div 80")).alias("ts"),
-        (60 + F.col("o_orderkey") % 60).cast("int").alias("capacity"),
-        F.col("o_orderkey").alias("event_id"),
-    )
+    timed = orders.withColumn("__off", off).withColumn("ts", F.timestamp_micros(base + F.expr("__off div 80")))
+    if timed.isStreaming:
+        timed = timed.withWatermark("ts", "1 millisecond")
+    rows = timed.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    size = (60 + F.col("o_orderkey") % 60).cast("int")
+    return rows.select(F.col("n_name").alias("hospital"), "ts", size.alias("capacity"), F.col("o_orderkey").alias("event_id"))
+
+
+@query(
+    "dynamic_capacity",
+    f"WITH {RESIZED} SELECT hospital, event_id, make_timestamp(us) AS ts, previous_status, status, occupied, capacity FROM moved WHERE status <> previous_status",
+)
+def dynamic_capacity(spark: SparkSession, folder: str) -> DataFrame:
+    """Capacity updates, taken from the orders of a nation's customers, re-evaluate its status at once."""
+    updates = capacity_updates(spark, folder, read_table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate"))
     steps = bed_steps(inputs.admissions(spark, folder), inputs.watermark(inputs.events(spark, folder))).drop("region")
     changes = occupancy.dynamic_capacity(steps, updates, "hospital", "ts", "delta", "capacity", ["event_id"])
     return changes.select("hospital", "event_id", "ts", "previous_status", "status", "occupied", "capacity")
@@ -473,10 +477,11 @@ def care_plans(spark: SparkSession, folder: str) -> DataFrame:
     return rules.versions(commands, ["patientId", "vitalCode"], "ts", ["min", "max"])
 
 
-def ward_readings(spark: SparkSession, folder: str) -> DataFrame:
+def ward_readings(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
     ward = F.when(F.col("user_id") % 2 == 0, "ICU-A").otherwise("ICU-B")
     patient = F.concat(F.lit("P-"), F.col("user_id").cast("string"))
-    return inputs.events(spark, folder).select(
+    rows = inputs.events(spark, folder) if rows is None else rows
+    return rows.select(
         "event_id", "ts", patient.alias("patientId"), ward.alias("wardId"), F.col("event_type").alias("vitalCode"), "value"
     )
 
@@ -557,15 +562,18 @@ def careplan_override(spark: SparkSession, folder: str) -> DataFrame:
     return routed.select("event_id", "patientId", "ruleId", "value", "by_plan", "route")
 
 
-@query(
-    "sustained_rule_breach",
-    f"""WITH {PLANNED}, fl AS (SELECT patient, rule_id, life_end, epoch_us(ts) AS us, event_id, sustain * 10000000::BIGINT AS wait_us, by_plan, (value < elo OR value > ehi) AS hot FROM planned),
+SUSTAINED = f"""fl AS (SELECT patient, rule_id, life_end, epoch_us(ts) AS us, event_id, sustain * 10000000::BIGINT AS wait_us, by_plan, (value < elo OR value > ehi) AS hot FROM planned),
       g AS (SELECT *, sum(CASE WHEN hot THEN 0 ELSE 1 END) OVER (PARTITION BY patient, rule_id, life_end ORDER BY us, event_id {ROWS_SO_FAR}) AS run FROM fl),
       ep AS (SELECT patient, rule_id, life_end, run, min(us) FILTER (hot) AS start_us, arg_min(wait_us, us) FILTER (hot) AS wait_us, arg_min(by_plan, us) FILTER (hot) AS by_plan FROM g GROUP BY ALL HAVING start_us IS NOT NULL),
-      en AS (SELECT ep.*, (SELECT min(g.us) FROM g WHERE g.patient = ep.patient AND g.rule_id = ep.rule_id AND g.life_end IS NOT DISTINCT FROM ep.life_end AND g.run = ep.run + 1 AND NOT g.hot) AS end_us FROM ep)
-    SELECT patient AS "patientId", rule_id AS "ruleId", make_timestamp(start_us) AS breach_start, make_timestamp(start_us + wait_us) AS alert_time, by_plan FROM en
+      en AS (SELECT ep.*, (SELECT min(g.us) FROM g WHERE g.patient = ep.patient AND g.rule_id = ep.rule_id AND g.life_end IS NOT DISTINCT FROM ep.life_end AND g.run = ep.run + 1 AND NOT g.hot) AS end_us FROM ep),
+      sustained AS (SELECT patient AS "patientId", rule_id AS "ruleId", make_timestamp(start_us) AS breach_start, make_timestamp(start_us + wait_us) AS alert_time, by_plan FROM en
     WHERE (end_us IS NULL OR end_us >= start_us + wait_us) AND start_us + wait_us <= (SELECT max(epoch_us(ts)) - 1000 FROM events)
-      AND (life_end IS NULL OR start_us + wait_us < epoch_us(life_end))""",
+      AND (life_end IS NULL OR start_us + wait_us < epoch_us(life_end)))"""
+
+
+@query(
+    "sustained_rule_breach",
+    f"WITH {PLANNED}, {SUSTAINED} SELECT * FROM sustained",
 )
 def sustained_rule_breach(spark: SparkSession, folder: str) -> DataFrame:
     """Breaches that outlast their rule's sustain time (a second of the rule is ten here), and whether a care plan set their bounds."""

@@ -48,6 +48,17 @@ def read_events(
     return rows.withWatermark("ts", delay) if delay else rows
 
 
+def read_stream(spark: SparkSession, folder: str, name: str, *columns: str, files_per_trigger: int | None = None) -> DataFrame:
+    """A table of the folder as a stream of its files; declare event time on it with ``withWatermark``."""
+    # as a pattern the path may be one file or a directory of files; it matches this one name
+    path = f"{folder}/{name[:-1]}[{name[-1]}].parquet"
+    reader = spark.readStream.schema(read_table(spark, folder, name).schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    rows = reader.parquet(path)
+    return rows.select(*columns) if columns else rows
+
+
 def stamp_ingest(df: DataFrame, name: str = "ingest_time") -> DataFrame:
     """Processing time of the row, for pipelines that run without event time."""
     return df.withColumn(name, F.current_timestamp())

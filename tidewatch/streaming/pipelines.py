@@ -12,6 +12,7 @@ from tidewatch.functions.registry import ALERT_RATIO
 from tidewatch.operators import rules as rule_ops
 from tidewatch.operators.paging import PAGE_SIZE, REPEAT_WITHIN
 from tidewatch.operators.windows import sliding, span_us, window_start
+from tidewatch.streaming import live
 from tidewatch.streaming import processors as p
 
 NEVER_US = 2**62
@@ -194,3 +195,87 @@ def with_live_rules(
         deliver(rule_ops.threshold_alerts(batch, read_rules(batch.sparkSession), ts), batch_id)
 
     return consume
+
+
+def dynamic_capacity(
+    admissions: DataFrame, updates: DataFrame, key: str, ts: str, wait_ms: Column, capacity: str, tie: str, slot: str = SLOT
+) -> DataFrame:
+    """Admissions and capacity updates in, status changes out; an update re-evaluates its key at once.
+
+    Both inputs declare a watermark.  What holds is the smaller one, so results wait for the
+    input that is behind.
+    """
+    start = F.unix_micros(F.col(ts))
+    plus = F.struct(start.alias("us"), F.lit(1).alias("turn"), F.lit(1).alias("delta"))
+    minus = F.struct((start + wait_ms * 1000).alias("us"), F.lit(2).alias("turn"), F.lit(-1).alias("delta"))
+    steps = admissions.where(F.col(key).isNotNull()).withColumn("__step", F.explode(F.array(plus, minus))).select(
+        key, ts, "__step.us", "__step.turn", F.col(tie).alias("tie"), "__step.delta", F.lit(None).cast("int").alias("size")
+    )
+    sizes = updates.select(
+        key, ts, micros(ts), F.lit(0).alias("turn"), F.col(tie).alias("tie"), F.lit(0).alias("delta"), F.col(capacity).cast("int").alias("size")
+    )
+    out = run(steps.union(sizes), key, live.DynamicCapacity(key, _ms(slot)), live.DynamicCapacity.OUTPUT.format(key=key))
+    return _at(out).withColumn("occupancy_pct", F.col("occupied").cast("double") / F.col("capacity") * 100.0)
+
+
+def rule_monitor(
+    readings: DataFrame, commands: DataFrame, ts: str, tie: str, defaults: Sequence[tuple] = (), shards: int = 64, us_per_second: int = 1_000_000, slot: str = SLOT
+) -> DataFrame:
+    """Readings and live rule commands in; tagged ``alert``, ``suppressed`` and ``sustained`` rows out.
+
+    ``commands`` are parsed rule and care-plan lines (:func:`tidewatch.functions.frames.parse_rules`)
+    with a watermark of their own.  Patients are spread over ``shards`` keys, and each command goes
+    to every shard: commands are few, readings are many.  ``defaults`` are tuples (rule, ward, vital,
+    min, max, sustain seconds).
+    """
+    nothing = {name: F.lit(None).cast(kind) for name, kind in live.RuleMonitor.PAYLOAD}
+    names = ["shard", ts, "us", *nothing]
+
+    def laid_out(rows: DataFrame, given: dict[str, Column]) -> DataFrame:
+        columns = nothing | given
+        return rows.select(columns.pop("shard").alias("shard"), ts, micros(ts), *[columns[n].cast(k).alias(n) for n, k in live.RuleMonitor.PAYLOAD])
+
+    data = laid_out(
+        readings,
+        {
+            "shard": F.pmod(F.xxhash64("patientId"), F.lit(shards)), "turn": F.lit(1), "tie": F.col(tie), "kind": F.lit("READING"), "who": F.col("patientId"),
+            "ward": F.col("wardId"), "vital": F.col("vitalCode"), "value": F.col("value"),
+        },
+    )
+    copied = commands.withColumn("__shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
+    control = laid_out(
+        copied,
+        {
+            "shard": F.col("__shard"), "turn": F.lit(0), "tie": F.lit(0), "kind": F.concat("kind", F.when(F.col("op") == "DELETE", "_DELETE").otherwise("")),
+            "who": F.col("patientId"), "ward": F.col("wardId"), "vital": F.col("vitalCode"), "rule": F.col("ruleId"), "low": F.col("min"), "high": F.col("max"),
+            "wait_us": F.col("sustainSeconds").cast("bigint") * us_per_second,
+        },
+    )
+    rows = data.select(names).union(control.select(names))
+    held = [(rule, ward, vital, low, high, seconds * us_per_second) for rule, ward, vital, low, high, seconds, *_ in defaults]
+    out = run(rows, "shard", live.RuleMonitor("shard", held, _ms(slot)), live.RuleMonitor.OUTPUT.format(key="shard"))
+    named = out.select("tag", F.col("who").alias("patientId"), F.col("rule").alias("ruleId"), "us", "start_us", F.col("tie").alias(tie), "value", "by_plan")
+    return _at(_at(named, "breach_start", "start_us"), "alert_time")
+
+
+def rolling_panes(df: DataFrame, key: str, ts: str, amount: str, pane: str, panes: int, tie: str, slot: str = SLOT) -> DataFrame:
+    """Per row, sum and count of the key's last ``panes`` panes of time; state grows with panes, not rows."""
+    rows = df.select(key, ts, micros(ts), F.col(tie).alias("tie"), F.col(amount).alias("amount"))
+    output = f"{key} {_kind(df, key)}, us bigint, tie bigint, rolling_sum bigint, rolling_count bigint"
+    return _at(run(rows, key, live.RollingPanes(key, span_us(pane), panes, _ms(slot)), output))
+
+
+def running_moments(df: DataFrame, key: str, ts: str, value: Column, width: str, spread: Column, salts: int = 32) -> DataFrame:
+    """Count, mean, variance and maximum of whole-number values so far per key, at the end of every window.
+
+    Windows are first aggregated per key and salt (a hash of ``spread``), so a busy key's rows
+    meet in many tasks; per window at most ``salts`` parts of a key reach its one running state.
+    """
+    salted = df.withColumns({"__v": value.cast("bigint"), "__salt": F.pmod(F.xxhash64(spread), F.lit(salts))}).where(F.col("__v").isNotNull())
+    wide = F.col("__v").cast("decimal(19,0)")
+    parts = salted.groupBy(F.window(ts, width).alias("__w"), key, "__salt").agg(
+        F.count("__v").alias("n"), F.sum(wide).cast("decimal(38,0)").alias("s"), F.sum(wide * wide).alias("q"), F.max("__v").alias("hi")
+    )
+    rows = parts.select(key, F.unix_micros("__w.start").alias("us"), "n", "s", "q", "hi")
+    output = f"{key} {_kind(df, key)}, us bigint, n bigint, mean double, variance double, max bigint"
+    return _at(run(rows, key, live.RunningMoments(key), output, time="None"), "window_start")
