@@ -9,7 +9,7 @@ from conftest import SMALL
 from streams import HEARTBEAT_USER, drain, event_files, values
 from tidewatch.functions import news2
 from tidewatch.operators import admissions as adm_ops
-from tidewatch.operators import detect, joins, occupancy, paging, running, vitals, windows
+from tidewatch.operators import detect, joins, occupancy, paging, rules, running, vitals, windows
 from tidewatch.sources.tables import read_events
 from tidewatch.streaming import pipelines
 
@@ -293,3 +293,161 @@ def test_late_rows_go_to_the_side(spark, scratch, tmp_path):
     got = dict(values(drain(out, "late", scratch), "tie", "route"))
     # after file a the logical watermark is 35, after file b it is 95
     assert got == {5: "on_time", 15: "on_time", 40: "on_time", 6: "refire", 27: "refire", 29: "refire", 100: "on_time", 7: "late", 91: "on_time"}
+
+
+def closed(ts, slower, delay):
+    """Whether a time is behind the watermark of two inputs, of which ``slower`` ends first."""
+    behind = windows.span_us(delay)
+    mark = occupancy.closed_until(slower, "ts", behind) // 1000 * 1000
+    return F.unix_micros(ts) <= mark
+
+
+def sized(rows):
+    """Every ninth event sets its hospital's capacity, sometimes to nothing."""
+    size = F.when(F.col("event_id") % 63 == 0, 0).otherwise(20 + F.col("event_id") % 50).cast("int")
+    return rows.where("event_id % 9 = 0").select("hospital", "ts", size.alias("capacity"), "event_id", "user_id")
+
+
+@pytest.mark.parametrize("which, slot", [("feed", "1 hour"), ("mixed_feed", "1 millisecond")])
+def test_dynamic_capacity(spark, request, scratch, which, slot):
+    feed = request.getfixturevalue(which)
+    delay = MS if which == "feed" else "6 hours"
+    admitted, updates = stream(spark, feed, delay), sized(stream(spark, feed, delay))
+    ours = drain(pipelines.dynamic_capacity(admitted, updates, "hospital", "ts", stay(), "capacity", "event_id", slot), f"sized_{which}", scratch)
+    rows = batch(spark, feed)
+    steps = occupancy.stay_steps(rows, ["hospital", "event_id"], "ts", stay())
+    expected = occupancy.dynamic_capacity(steps.withColumn("capacity", F.lit(0)), sized(rows).drop("user_id"), "hospital", "ts", "delta", "capacity", ["event_id"])
+    columns = ("hospital", "ts", "event_id", "previous_status", "status", "occupied", "capacity", "occupancy_pct")
+    got = values(ours.withColumnRenamed("tie", "event_id"), *columns)
+    assert got == values(expected.where(closed("ts", sized(rows), delay)), *columns) and len(got) > 50
+    # a capacity update alone changes the status
+    at_update = ours.join(sized(rows).select("hospital", "ts", F.col("event_id").alias("tie")), ["hospital", "ts", "tie"], "left_semi")
+    assert at_update.count() > 5
+
+
+def test_dynamic_capacity_waits_for_the_slower_input(spark, feed, scratch):
+    updates = sized(stream(spark, feed)).where("user_id >= 0")
+    middle = real(batch(spark, feed)).agg(F.expr("timestamp_micros(cast(avg(unix_micros(ts)) as bigint))")).first()[0]
+    cut = read_events(spark, feed, stream=True, files_per_trigger=1).where(F.col("ts") < F.lit(middle)).withWatermark("ts", MS)
+    ours = drain(pipelines.dynamic_capacity(prepared(cut), updates, "hospital", "ts", stay(), "capacity", "event_id", "1 hour"), "slower", scratch)
+    assert ours.count() and ours.agg(F.max("ts")).first()[0] < middle
+
+
+def commanded(rows):
+    """Rules of each event type, set and deleted by events, and care plans of some patients."""
+    eighth = F.col("event_id") % 8
+    kind = F.when(F.col("event_id") % 5 == 0, "CAREPLAN").otherwise("RULE")
+    ward = F.when(eighth % 3 == 0, rules.ANY_WARD).when(eighth % 3 == 1, "ICU-A").otherwise("ICU-B")
+    return rows.where("event_id % 6 = 1").select(
+        "ts", "event_id", kind.alias("kind"), F.when(F.col("event_id") % 4 == 3, "DELETE").otherwise("UPSERT").alias("op"),
+        F.when(kind == "RULE", F.concat_ws("-", "event_type", eighth.cast("string"))).alias("ruleId"), ward.alias("wardId"), F.col("event_type").alias("vitalCode"),
+        F.concat(F.lit("P-"), F.col("user_id").cast("string")).alias("patientId"), F.lit(1.0).alias("min"), (F.col("value") / 2).alias("max"),
+        (F.col("event_id") % 7 * 36_000).cast("int").alias("sustainSeconds"), F.lit("LOW").alias("severity"),
+    )
+
+
+def read_wards(rows):
+    ward = F.when(F.col("user_id") % 2 == 0, "ICU-A").otherwise("ICU-B")
+    patient = F.concat(F.lit("P-"), F.col("user_id").cast("string"))
+    return rows.select("event_id", "ts", patient.alias("patientId"), ward.alias("wardId"), F.col("event_type").alias("vitalCode"), "value")
+
+
+DEFAULTS = [("DEFAULT", "*", "view", 5.0, 40.0, 7200, "LOW")]
+
+
+@pytest.mark.parametrize("which, shards", [("feed", 3), ("mixed_feed", 1)])
+def test_live_rules(spark, request, scratch, which, shards):
+    feed = request.getfixturevalue(which)
+    delay = MS if which == "feed" else "6 hours"
+    watched = pipelines.rule_monitor(read_wards(stream(spark, feed, delay)), commanded(stream(spark, feed, delay)), "ts", "event_id", DEFAULTS, shards, slot="1 hour")
+    ours = drain(watched, f"rules_{which}", scratch)
+    rows = batch(spark, feed)
+    commands = commanded(rows)
+    versions = rules.versions(commands.where("kind = 'RULE'"), ["ruleId"], "ts", rules.RULE_FIELDS, ["event_id"])
+    held = spark.createDataFrame(DEFAULTS, "ruleId string, wardId string, vitalCode string, min double, max double, sustainSeconds int, severity string")
+    plans = rules.versions(commands.where("kind = 'CAREPLAN'"), ["patientId", "vitalCode"], "ts", ["min", "max"], ["event_id"])
+    planned = rules.with_care_plan(rules.match_rules(read_wards(rows), rules.rule_set(versions, held), "ts"), plans, "ts")
+    columns = ("event_id", "patientId", "ruleId", "value", "by_plan", "tag")
+    routed = planned.where("route <> 'ok'").where(closed("ts", commands, delay)).withColumnRenamed("route", "tag")
+    got = values(ours.where("tag <> 'sustained'"), *columns)
+    assert got == values(routed, *columns) and len({r[-1] for r in got}) == 2
+    sustained = rules.sustained_rule_breach(planned, "ts", until(rows), ["event_id"])
+    columns = ("patientId", "ruleId", "breach_start", "alert_time", "by_plan")
+    got = values(ours.where("tag = 'sustained'"), *columns)
+    assert got == values(sustained.where(closed("alert_time", commands, delay)), *columns) and len(got) > 10
+
+
+def test_a_delete_ends_the_episode(spark, scratch, tmp_path):
+    import pandas as pd
+
+    from streams import write
+
+    at = [pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=m) for m in (0, 1, 2, 5, 6, 30, 90)]
+    kinds = ["set", "read", "read", "delete", "set", "read", "beat"]
+    write(pd.DataFrame({"event_id": range(7), "ts": at, "user_id": 1, "event_type": kinds, "value": 9.0, "props": "{}"}), f"{tmp_path}/a.parquet")
+    rows = read_events(spark, str(tmp_path), stream=True, delay=MS)
+    readings = rows.where("event_type in ('read', 'beat')").select("event_id", "ts", F.lit("P").alias("patientId"), F.lit("W").alias("wardId"), F.when(F.col("event_type") == "read", "HR").alias("vitalCode"), "value")
+    commands = rows.where("event_type not in ('read')").select(
+        "ts", "event_id", F.when(F.col("event_type") == "beat", "BEAT").otherwise("RULE").alias("kind"), F.when(F.col("event_type") == "delete", "DELETE").otherwise("UPSERT").alias("op"),
+        F.lit("R").alias("ruleId"), F.lit("*").alias("wardId"), F.lit("HR").alias("vitalCode"), F.lit(None).cast("string").alias("patientId"),
+        F.lit(0.0).alias("min"), F.lit(5.0).alias("max"), F.lit(600).alias("sustainSeconds"), F.lit("LOW").alias("severity"),
+    )
+    ours = drain(pipelines.rule_monitor(readings, commands, "ts", "event_id", (), 2, slot="1 minute"), "deleted", scratch)
+    sustained = ours.where("tag = 'sustained'").select(F.minute("breach_start"), F.minute("alert_time")).collect()
+    # the episode from minute 1 would alert at 11, but its rule was deleted at 5; the next life's lasts from 30 to 40
+    assert [tuple(r) for r in sustained] == [(30, 40)]
+
+
+@pytest.mark.parametrize("which", ["feed", "mixed_feed"])
+def test_rolling_panes(spark, request, scratch, which):
+    feed = request.getfixturevalue(which)
+    delay = MS if which == "feed" else "6 hours"
+    ours = drain(pipelines.rolling_panes(stream(spark, feed, delay), "user_id", "ts", "cents", "2 hours", 30, "event_id", "7 hours"), f"panes_{which}", scratch)
+    rows = batch(spark, feed).select("user_id", "event_id", "ts", "cents")
+    expected = windows.rolling_panes(rows, ["user_id"], "ts", "cents", "2 hours", 30, ["event_id"]).withColumnRenamed("event_id", "tie")
+    columns = ("user_id", "tie", "rolling_sum", "rolling_count")
+    assert values(real(ours), *columns) == values(real(expected), *columns)
+
+
+def test_rolling_panes_keep_a_bounded_state(spark, scratch, tmp_path):
+    import json
+
+    import pandas as pd
+
+    from streams import write
+
+    # one busy key: every file has 400 rows in the same four minutes' span, one file per hour
+    for i in range(5):
+        at = [pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i, milliseconds=600 * k) for k in range(400)]
+        write(pd.DataFrame({"event_id": range(400 * i, 400 * i + 400), "ts": at, "user_id": 1, "event_type": "x", "value": 1.0, "props": "{}"}), f"{tmp_path}/part-{i}.parquet")
+    rows = read_events(spark, str(tmp_path), stream=True, delay=MS, files_per_trigger=1).withColumn("cents", F.lit(1).cast("bigint"))
+    out = pipelines.rolling_panes(rows, "user_id", "ts", "cents", "1 minute", 3, "event_id", "1 minute")
+    query = (
+        out.writeStream.format("memory").queryName("busy").outputMode("append")
+        .option("checkpointLocation", f"{scratch}/busy").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    held = [json.loads(p.json)["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if json.loads(p.json)["stateOperators"]]
+    assert spark.table("busy").count() == 1999 and max(held) <= 40 and max(held[2:]) <= held[0] + 10
+
+
+def test_running_moments_of_few_keys_use_many_tasks(spark, feed, scratch):
+    rows = stream(spark, feed).withColumn("stay", stay())
+    ours = drain(pipelines.running_moments(rows, "region", "ts", F.col("stay"), "1 day", F.col("event_id"), salts=6), "moments", scratch)
+    bounded = batch(spark, feed).withColumn("stay", stay())
+    closed = bounded.withColumn("day", windows.window_start("ts", "1 day")).where(F.unix_micros("day") + 24 * HOUR_US <= until(bounded)).toPandas()
+    assert len({(r, hash(k) % 6) for r, k in zip(closed["region"], closed["event_id"])}) > closed["region"].nunique()
+    got = {(r["region"], r["window_start"]): r for r in ours.collect()}
+    for region, part in closed.groupby("region"):
+        for day in sorted(part["day"].unique()):
+            so_far = part[part["day"] <= day]["stay"]
+            r = got.pop((region, pd_time(day)))
+            assert (r["n"], r["max"]) == (len(so_far), so_far.max())
+            assert r["mean"] == pytest.approx(so_far.mean()) and r["variance"] == pytest.approx(so_far.var(ddof=0), rel=1e-9)
+    assert not got
+
+
+def pd_time(day):
+    import pandas as pd
+
+    return pd.Timestamp(day).to_pydatetime()

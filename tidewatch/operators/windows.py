@@ -171,10 +171,23 @@ def rolling_sum(
     Each row enters the running sum at its time and leaves it just after ``time + period``,
     so the range frame becomes one ordered running sum that can be split.
     """
+    return _rolled(df, keys, ts, value, shift(ts, span_us(period)), 1, ties, hot_rows)
+
+
+def rolling_panes(
+    df: DataFrame, keys: Sequence[str], ts: str, value: str, pane: str, panes: int, ties: Sequence[str], hot_rows: int | None = None
+) -> DataFrame:
+    """Per row, sum and count of the key's rows so far in the last ``panes`` panes, the present one included.
+
+    A pane's rows leave together when the pane falls out, before the rows of that moment enter.
+    """
+    return _rolled(df, keys, ts, value, shift(window_start(ts, pane), panes * span_us(pane)), -1, ties, hot_rows)
+
+
+def _rolled(df: DataFrame, keys: Sequence[str], ts: str, value: str, out: Column, turn: int, ties: Sequence[str], hot_rows: int | None) -> DataFrame:
+    """Running sums over rows that enter at ``ts`` and leave at ``out``, after (1) or before (-1) what enters then."""
     entering = df.withColumns({"__leaves": F.lit(0), "__at": F.col(ts), "__v": F.col(value), "__c": F.lit(1).cast("bigint")})
-    leaving = entering.withColumns(
-        {"__leaves": F.lit(1), "__at": shift(ts, span_us(period)), "__v": -F.col(value), "__c": F.lit(-1).cast("bigint")}
-    )
+    leaving = df.withColumns({"__leaves": F.lit(turn), "__at": out, "__v": -F.col(value), "__c": F.lit(-1).cast("bigint")})
     line = Timeline.of(entering.unionByName(leaving), keys, "__at", ["__leaves", *ties], hot_rows)
     summed = line.scan(rolling_sum=total("__v"), rolling_count=total("__c")).frame()
     return summed.where(F.col("__leaves") == 0).drop("__leaves", "__at", "__v", "__c")

@@ -65,6 +65,7 @@ class RuleMonitor(Buffered):
     """
 
     order = 3
+    alarms = True
     PAYLOAD = [
         ("turn", "int"), ("tie", "bigint"), ("kind", "string"), ("who", "string"), ("ward", "string"), ("vital", "string"),
         ("value", "double"), ("rule", "string"), ("low", "double"), ("high", "double"), ("wait_us", "bigint"),
@@ -157,6 +158,8 @@ class RollingPanes(Buffered):
     It does not grow with the rows of a pane.
     """
 
+    alarms = True
+
     def __init__(self, key: str, pane_us: int, panes: int, slot_ms: int):
         super().__init__(key, [("tie", "bigint"), ("amount", "bigint")], slot_ms)
         self.pane_us, self.panes = pane_us, panes

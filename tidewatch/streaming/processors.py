@@ -40,6 +40,7 @@ class Buffered(StatefulProcessor):
     """
 
     order = 2  # rows are sorted by this many leading columns
+    alarms = False  # whether something may fall due between rows
 
     def __init__(self, key: str, payload: Sequence[tuple[str, str]], slot_ms: int = 60_000):
         self.key = key
@@ -91,6 +92,11 @@ class Buffered(StatefulProcessor):
         rows = self.released(slot, mark_ms)
         # every row of the key up to here has now been applied
         self.now_ms = min(mark_ms, (slot + 1) * self.slot_ms - 1)
+        if self.alarms and self.now_ms < mark_ms:
+            # a timer set now for a time already passed would wait for another batch, so what falls
+            # due before the key's next slot is applied at once
+            later = [s for (s,) in self.pending.keys() if s > slot]
+            self.now_ms = min(mark_ms, min(later) * self.slot_ms - 1) if later else mark_ms
         out = list(self.apply(key, rows, self.now_ms))
         if out:
             yield pd.DataFrame(out)
@@ -231,6 +237,8 @@ class DeferredSlot(StatefulProcessor):
 class SilenceDetector(Buffered):
     """SILENT one gap after the last row of a key, RESUMED at the next one, in event time."""
 
+    alarms = True
+
     def __init__(self, key: str, gap_us: int, slot_ms: int):
         super().__init__(key, [], slot_ms)
         self.gap_us = gap_us
@@ -299,6 +307,8 @@ class SustainedBreach(Buffered):
     An alert is not raised if its time is not before ``limit_us`` (the rule's delete).
     """
 
+    alarms = True
+
     def __init__(self, key: str, slot_ms: int):
         payload = [("tie", "bigint"), ("rule", "string"), ("breach", "boolean"), ("wait_us", "bigint"), ("limit_us", "bigint")]
         super().__init__(key, payload, slot_ms)
@@ -345,6 +355,7 @@ class News2Scorer(Buffered):
     Rows are (us, tie, code, points).  Readings older than ``evict_us`` are removed by a timer.
     """
 
+    alarms = True
     SIGNS = ["RR", "SPO2", "O2", "SBP", "HR", "CONSC", "TEMP"]
 
     def __init__(self, key: str, fresh_us: int, notice_us: int, evict_us: int, slot_ms: int):
@@ -407,6 +418,8 @@ class Pager(Buffered):
     the shard, so both survive a restart and move with the shard.
     """
 
+    alarms = True
+
     def __init__(self, key: str, within_us: int, size: int, slot_ms: int):
         super().__init__(key, [("tie", "bigint"), ("who", "string"), ("urgent", "boolean")], slot_ms)
         self.within_us, self.size = within_us, size
@@ -450,6 +463,8 @@ class Pager(Buffered):
 class ExpiringSum(Buffered):
     """Running sum per key that starts over after ``ttl_us`` without a row; state goes when it expires."""
 
+    alarms = True
+
     def __init__(self, key: str, ttl_us: int, slot_ms: int):
         super().__init__(key, [("tie", "bigint"), ("amount", "bigint")], slot_ms)
         self.ttl_us = ttl_us
