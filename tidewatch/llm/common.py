@@ -18,8 +18,13 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: bytes of text a task looks at together; a longer text is looked at alone, and whole
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
+
+#: rows of an Arrow batch where a row holds a text
+TEXT_ROWS = 2_000
 
 WORD_BYTES = np.ones(256, dtype=bool)
 WORD_BYTES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -78,7 +83,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each piece has at most ``limit`` bytes of text, or one row."""
+    """The batches cut so that each piece has at most ``limit`` bytes of text, or one row.
+
+    At the end of the task's rows, memory that Arrow holds in reserve goes back to the system.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -89,6 +97,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
             stop = max(start + 1, int(np.searchsorted(total, done + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,11 +137,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows to the shared folder and read them back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write the rows to the shared folder and read them back: cuts lineage, survives lost executors.
+
+    ``batch_rows`` bounds the Arrow batches that Python workers get while the table is written,
+    for rows that are wide.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidewatch-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(BATCH_CONF)
+    try:
+        if batch_rows:
+            spark.conf.set(BATCH_CONF, min(batch_rows, int(before)) if int(before) > 0 else batch_rows)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(BATCH_CONF, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._tidewatch_path = path
     return back

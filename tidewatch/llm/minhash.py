@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import LOWER, find_words, mix64, pieces, segment_hashes, stored, text_bytes
+from tidewatch.llm.common import LOWER, TEXT_ROWS, find_words, mix64, pieces, segment_hashes, stored, text_bytes
 from tidewatch.llm.components import components
 
 REGISTERS = 128
@@ -37,9 +37,12 @@ BANDS = REGISTERS // ROWS
 BASE = 1.001
 #: below the threshold by this much, a likelihood estimate rules a pair out (over 5 deviations)
 SLACK = 0.2
-#: nodes of a bucket compared at once, and pairs looked at together
+#: nodes of a bucket compared at once, bytes of their sets, and pairs looked at together
 BLOCK = 2048
+BLOCK_BYTES = 8_000_000
 PAIRS = 50_000
+#: rows of an Arrow batch where a row holds one or two whole sets
+SET_ROWS = 500
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -205,13 +208,14 @@ def dealt(nodes: DataFrame, group: str) -> DataFrame:
     """Rows of groups that hold several labels, dealt out as pairs (i, j) of bounded blocks.
 
     A row goes to every pair with its block, so each two rows of a group meet in one task,
-    whatever the group's size.
+    whatever the group's size.  With a column ``bytes`` blocks are bounded by that as well.
     """
+    held = F.sum("bytes") if "bytes" in nodes.columns else F.lit(0)
     mixed = (
         nodes.groupBy(group)
-        .agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .agg(F.count("*").alias("size"), held.alias("held"), F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low < high")
-        .select(group, F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        .select(group, F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("held") / BLOCK_BYTES)).cast("int").alias("blocks"))
     )
     placed = nodes.join(mixed, group).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -314,6 +318,7 @@ def family_links(groups: DataFrame, sets: DataFrame, labels: DataFrame, items: D
     threshold = percent / 100
     nodes = groups.select(F.col("node").alias("rep"), F.col("label").alias("family"))
     nodes = nodes.join(labels, nodes["rep"] == labels["node"], "left").select("family", "rep", F.coalesce("label", "rep").alias("label"))
+    nodes = nodes.join(sets.select("rep", (8 * F.col("n")).alias("bytes")), "rep")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
@@ -341,7 +346,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Links are pairs with 100 * intersection >= percent * union of their shingle sets.
     """
     threshold = percent / 100
-    rows = stored(sketched(docs, doc_id, text, size), "sketches")
+    rows = stored(sketched(docs, doc_id, text, size), "sketches", TEXT_ROWS)
     sets = stored(
         rows.where("n > 0 and id is not null").groupBy("sum_a", "sum_b", "n").agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch")),
         "sets",
@@ -349,14 +354,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = bands(sets)
     centres = buckets.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last").select("key", "centre")
     members = stored(buckets.join(centres, "key"), "members")
-    items = stored(full_sets(docs, members.select("rep").distinct(), doc_id, text, size), "items")
+    items = stored(full_sets(docs, members.select("rep").distinct(), doc_id, text, size), "items", TEXT_ROWS)
 
     stars = members.where("rep > centre").select(F.col("centre").alias("x"), F.col("rep").alias("y")).distinct()
-    links = stored(confirmed(estimated(stars, sets, threshold), items, percent), "links")
+    links = stored(confirmed(stored(estimated(stars, sets, threshold), "pairs"), items, percent), "links", SET_ROWS)
     labels = stored(components(links, "x", "y"), "labels")
 
     groups = families(members, sets, labels, threshold)
-    more = stored(family_links(groups, sets, labels, items, percent), "links")
+    more = stored(family_links(groups, sets, labels, items, percent), "links", SET_ROWS)
     labels = stored(components(links.union(more), "x", "y"), "labels")
 
     known = sets.select("sum_a", "sum_b", "n", "rep").join(labels, sets["rep"] == labels["node"], "left")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import pieces, stored
+from tidewatch.llm.common import TEXT_ROWS, pieces, stored
 
 KINDS = ("email", "ip", "card", "phone")
 AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -130,7 +130,7 @@ def discovered(docs: DataFrame, text: str = "text", turns: int = TURNS, seeds: i
     The key is the text's hash; texts without a discovery have no row.
     """
     texts = docs.select(F.xxhash64(text).alias("key"), F.col(text).alias("text"))
-    found = stored(occurrences(texts), "occurrences")
+    found = stored(occurrences(texts), "occurrences", TEXT_ROWS)
     # distinct pairs with a hash of the instance: the graph's edges
     edges = found.groupBy("pattern", F.xxhash64("instance", "kind").alias("item")).agg(F.max("seed").alias("seed"), F.min("key").alias("some_key"))
     good = edges.groupBy("pattern").agg(F.count(F.when(F.col("seed"), 1)).alias("seeds"), F.countDistinct(F.when(F.col("seed"), F.col("some_key"))).alias("texts"))
@@ -155,6 +155,18 @@ def spans_of(text: str | None, more: list[dict] | None) -> list[dict]:
     return [{"start": s, "kind": KINDS[k], "end": e, "found": f} for s, k, e, f in sorted(spans)]
 
 
+def with_discovered(docs: DataFrame, text: str) -> DataFrame:
+    """The rows and, last, what patterns add to their texts."""
+    extra = discovered(docs, text).select(F.col("key").alias("__key"), F.col("more").alias("__more"))
+    return docs.join(extra, F.xxhash64(docs[text]) == extra["__key"], "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__more")
+
+
+def read_spans(piece: pa.RecordBatch, text: str) -> tuple[list[str | None], list[list[dict]]]:
+    """The texts of a piece of :func:`with_discovered`, and all spans of each."""
+    texts, more = (piece.column(piece.schema.get_field_index(c)).to_pylist() for c in (text, "__more"))
+    return texts, [spans_of(t, m) for t, m in zip(texts, more)]
+
+
 def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """The rows with a further column: all spans of personal data in the whole text."""
     docs = docs.drop(spans)
@@ -164,13 +176,10 @@ def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> Dat
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
-            texts, more = (piece.column(piece.schema.get_field_index(c)).to_pylist() for c in (text, "__more"))
-            found = pa.array([spans_of(t, m) for t, m in zip(texts, more)], kind)
+            found = pa.array(read_spans(piece, text)[1], kind)
             yield pa.RecordBatch.from_arrays([*piece.columns[: len(names)], found], [*names, spans])
 
-    extra = discovered(docs, text).select(F.col("key").alias("__key"), F.col("more").alias("__more"))
-    joined = docs.join(extra, F.xxhash64(docs[text]) == extra["__key"], "left").select(*[F.col(f"`{c}`") for c in names], "__more")
-    return joined.mapInArrow(task, schema)
+    return with_discovered(docs, text).mapInArrow(task, schema)
 
 
 def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
@@ -180,15 +189,13 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     ``length`` gets the new number of characters.
     """
     names, schema = docs.columns, docs.schema
-    found = with_spans(docs, text, "__spans")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            texts = [replaced(t, s) for t, s in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index("__spans")).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text else batch.column(k) for k, n in enumerate(names)], names)
+        for piece in pieces(batches, text):
+            texts = pa.array([replaced(t, s) for t, s in zip(*read_spans(piece, text))], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if n == text else piece.column(k) for k, n in enumerate(names)], names)
 
-    out = found.mapInArrow(task, schema)
+    out = with_discovered(docs, text).mapInArrow(task, schema)
     if length in names:
         out = out.withColumn(length, F.when(F.col(text).isNotNull(), F.length(text)).otherwise(F.col(length)).cast(schema[length].dataType))
     return out
