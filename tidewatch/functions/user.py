@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from itertools import groupby
 from typing import Any
 
 import pandas as pd
@@ -65,6 +66,49 @@ def window_apply(
     return map_batches(windows.tumbling(df, ts, width, keys, aggs), fn, schema)
 
 
+def window_rows_apply(
+    df: DataFrame,
+    ts: str,
+    width: str,
+    keys: Sequence[str],
+    fn: Callable[[dict, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    schema: str,
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """A user window function over all rows of each tumbling window and key, in order.
+
+    Rows are shuffled by window and key and sorted by ``order`` (by ``ts`` if none is given).
+    ``fn`` gets the window's start, end and keys, and its rows as an iterator of pieces that
+    stream in, so a window of any size is never held whole unless ``fn`` holds it; it may stop
+    early, and gives any number of frames.  For bounded tables.
+    """
+    start = windows.window_start(ts, width)
+    names = ["window_start", "window_end", *keys]
+    placed = df.withColumn("window_start", start).withColumn("window_end", windows.shift("window_start", windows.span_us(width)))
+    ranked = placed.repartition(*names).sortWithinPartitions(*names, *(order or [ts]))
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for values, group in groupby(runs_of(batches, names), key=lambda run: run[0]):
+            yield from fn(dict(zip(names, values)), (rows for _, rows in group))
+
+    return ranked.mapInPandas(task, schema)
+
+
+def runs_of(batches: Iterator[pd.DataFrame], names: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """Sorted batches cut where the named values change; nulls are alike."""
+    for batch in batches:
+        if batch.empty:
+            continue
+        held = batch[list(names)]
+        before = held.shift()
+        changed = ((held != before) & ~(held.isna() & before.isna())).any(axis=1).to_numpy()
+        changed[0] = True
+        cuts = [*changed.nonzero()[0], len(batch)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            values = tuple(None if pd.isna(v) else v for v in held.iloc[a])
+            yield values, batch.iloc[a:b].reset_index(drop=True)
+
+
 def aggregate_with(
     df: DataFrame,
     key: str,

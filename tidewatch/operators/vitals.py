@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import news2
 from tidewatch.operators.paging import suppress_repeats
-from tidewatch.operators.timeline import Timeline, latest
+from tidewatch.operators.timeline import Timeline, latest, previous
 from tidewatch.operators.windows import span_us
 
 FRESH_FOR = "5 minutes"
@@ -58,6 +58,12 @@ def news2_changes(
     return done.where(moved).drop("__before", *[f"__{name}" for name in news2.VITALS])
 
 
+def band_changes(changes: DataFrame, patient: str, ts: str, ties: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+    """Of the rows of :func:`news2_changes`, those on which the band is not the one before."""
+    line = Timeline.of(changes, [patient], ts, ties, hot_rows).scan(previous_band=previous("band"))
+    return line.frame().where(~F.col("band").eqNullSafe(F.col("previous_band")))
+
+
 def news2_unavailable(
     readings: DataFrame,
     patient: str,

@@ -136,12 +136,20 @@ def early_counts(df: DataFrame, ts: str, width: str, every: str, keys: Sequence[
 def fire_every_nth(
     df: DataFrame, ts: str, width: str, keys: Sequence[str], nth: int, ties: Sequence[str] = (), hot_rows: int | None = None, measure: Sample | None = None
 ) -> DataFrame:
-    """A row each time a window's count reaches a multiple of ``nth``."""
+    """A row each time a window's count reaches a multiple of ``nth``, and a final one per window.
+
+    The final row is the window's last one with the whole count and ``is_final``, also where
+    the count has just fired.
+    """
     placed = df.withColumn("window_start", window_start(ts, width))
     if measure is not None:
         measure = Sample(measure.rows.withColumn("window_start", window_start(ts, width)), measure.weight)
     line = Timeline.of(placed, ["window_start", *keys], ts, ties, hot_rows, measure).scan(fired_count=tally(F.lit(True)))
-    return line.frame().where(F.col("fired_count") % nth == 0)
+    fired = line.frame().where(F.col("fired_count") % nth == 0).withColumn("is_final", F.lit(False))
+    kept = [c for c in placed.columns if c not in ("window_start", *keys)]
+    last = F.max_by(F.struct(*kept), F.struct(ts, *ties)).alias("__last")
+    final = placed.groupBy("window_start", *keys).agg(last, F.count(F.lit(1)).alias("fired_count"), F.lit(True).alias("is_final"))
+    return fired.unionByName(final.select("window_start", *keys, "__last.*", "fired_count", "is_final"))
 
 
 def late_routes(

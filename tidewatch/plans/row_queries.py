@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions import frames, render
+from tidewatch.functions.lookup import lookup_async
 from tidewatch.operators import admissions as adm_ops
 from tidewatch.operators import rows as ops
 from tidewatch.operators.joins import enrich
@@ -486,3 +488,19 @@ def enrich_tier_weighted(spark: SparkSession, folder: str) -> DataFrame:
         {"weighted": F.sum(cents * F.col("percent")) / F.lit(10000.0), "n": F.count(F.lit(1))},
     )
     return daily.drop("window_end")
+
+
+@query(
+    "lookup_async",
+    f"WITH {ADM} SELECT event_id, hospital, region, capacity FROM adm",
+)
+def lookup_async_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The registry asked as an outside service, many calls in flight, answers as they come."""
+    listed = {r["hospital"]: (r["region"], r["capacity"]) for r in inputs.registry(spark, folder).collect()}  # at most 25 rows
+    rows = inputs.admissions(spark, folder).select("event_id", "hospital")
+
+    def ask(part: pd.DataFrame, service: dict) -> pd.DataFrame:
+        found = [service.get(name, (None, -1)) for name in part["hospital"]]
+        return part.assign(region=[f[0] for f in found], capacity=[f[1] for f in found])
+
+    return lookup_async(rows, ask, "event_id bigint, hospital string, region string, capacity int", open=lambda: listed, ordered=False, timeout=60.0, retries=1)

@@ -650,16 +650,21 @@ def suppress_repeats_dense(spark: SparkSession, folder: str) -> DataFrame:
 
 
 #: the tables behind the union, and the union
-ALERT_PARTS = f"""{STATUS}, n AS (SELECT user_id, epoch_us(ts) AS us, lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events)"""
+BANDED = f"""t AS (SELECT *, {" + ".join(f"p{i}" for i in range(7))} AS total, greatest({", ".join(f"p{i}" for i in range(7))}) AS top FROM gaps WHERE missing = ''),
+      b AS (SELECT *, CASE WHEN total >= 7 THEN 'HIGH' WHEN total >= 5 THEN 'MEDIUM' WHEN top = 3 THEN 'LOW-MEDIUM' ELSE 'LOW' END AS band FROM t),
+      bands AS (SELECT * FROM b QUALIFY lag(band) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS DISTINCT FROM band)"""
+ALERT_PARTS = f"""{STATUS}, {PLANNED}, {SUSTAINED}, {SCORED.removeprefix(EV + ", ")}, {BANDED}, n AS (SELECT user_id, epoch_us(ts) AS us, lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events)"""
 ALERT_UNION = f"""SELECT concat('P-', user_id) AS patient_id, 'THRESHOLD' AS alert_type, CASE WHEN value > 150 THEN 'HIGH' WHEN value > 90 THEN 'MEDIUM' ELSE 'LOW' END AS severity, ts AS alert_time FROM events WHERE value > 50
   UNION ALL SELECT hospital, concat('BEDS_', status), CASE status WHEN 'FULL' THEN 'HIGH' WHEN 'HIGH' THEN 'MEDIUM' ELSE 'LOW' END, ts FROM changes
   UNION ALL SELECT concat('P-', user_id), 'SILENT', 'MEDIUM', make_timestamp(us + {12 * HOUR_US}) FROM n WHERE nx - us > {12 * HOUR_US} OR (nx IS NULL AND us + {12 * HOUR_US} <= (SELECT us FROM mark))
-  UNION ALL SELECT concat('P-', user_id), 'RESUMED', 'LOW', make_timestamp(nx) FROM n WHERE nx - us > {12 * HOUR_US}"""
+  UNION ALL SELECT concat('P-', user_id), 'RESUMED', 'LOW', make_timestamp(nx) FROM n WHERE nx - us > {12 * HOUR_US}
+  UNION ALL SELECT "patientId", concat('SUSTAINED_', "ruleId"), 'HIGH', alert_time FROM sustained
+  UNION ALL SELECT concat('P-', user_id), concat('NEWS2_', band), CASE band WHEN 'HIGH' THEN 'HIGH' WHEN 'MEDIUM' THEN 'MEDIUM' ELSE 'LOW' END, ts FROM bands"""
 
 
 @query("union_alerts", f"WITH {ALERT_PARTS} {ALERT_UNION}")
 def union_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    """Threshold, occupancy and silence alerts as one stream of one shape."""
+    """Threshold, occupancy, silence and sustained alerts and changes of score band as one stream of one shape."""
     patient = F.concat(F.lit("P-"), F.col("user_id").cast("string")).alias("patient_id")
     breaches = breach_alerts(spark, folder).select(
         patient, F.lit("THRESHOLD").alias("alert_type"), "severity", F.col("ts").alias("alert_time")
@@ -674,7 +679,15 @@ def union_alerts(spark: SparkSession, folder: str) -> DataFrame:
         patient, F.col("alert").alias("alert_type"),
         F.when(F.col("alert") == "SILENT", "MEDIUM").otherwise("LOW").alias("severity"), "alert_time",
     )
-    return paging.union_alerts(breaches, beds, quiet)
+    lasting = sustained_rule_breach(spark, folder).select(
+        F.col("patientId").alias("patient_id"), F.concat(F.lit("SUSTAINED_"), F.col("ruleId")).alias("alert_type"), F.lit("HIGH").alias("severity"), "alert_time"
+    )
+    scores = vitals.news2_changes(vital_readings(spark, folder), "user_id", "ts", "code", "v", ["event_id"], _FRESH_FOR)
+    banded = vitals.band_changes(scores, "user_id", "ts", ["event_id"]).select(
+        patient, F.concat(F.lit("NEWS2_"), F.col("band")).alias("alert_type"),
+        F.when(F.col("band").isin("HIGH", "MEDIUM"), F.col("band")).otherwise("LOW").alias("severity"), F.col("ts").alias("alert_time"),
+    )
+    return paging.union_alerts(breaches, beds, quiet, lasting, banded)
 
 
 @query(

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.registry import with_registry
-from tidewatch.functions.user import aggregate_with, map_batches
+from tidewatch.functions.user import aggregate_with, map_batches, window_rows_apply
 from tidewatch.functions.user import window_apply as apply_to_windows
 from tidewatch.operators import admissions as adm_ops
 from tidewatch.operators import joins, keys, running, windows
@@ -288,11 +292,13 @@ def early_results(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "early_fire",
-    f"""WITH {ADM} SELECT * FROM (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, region, event_id, ts,
-      row_number() OVER (PARTITION BY time_bucket(INTERVAL '1 day', ts), region ORDER BY ts, event_id) AS fired_count FROM adm) WHERE fired_count % 50 = 0""",
+    f"""WITH {ADM}, c AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, region, event_id, ts, row_number() OVER w AS fired_count, lead(event_id) OVER w IS NULL AS is_last
+        FROM adm WINDOW w AS (PARTITION BY time_bucket(INTERVAL '1 day', ts), region ORDER BY ts, event_id))
+    SELECT window_start, region, event_id, ts, fired_count, false AS is_final FROM c WHERE fired_count % 50 = 0
+    UNION ALL SELECT window_start, region, event_id, ts, fired_count, true FROM c WHERE is_last""",
 )
 def early_fire(spark: SparkSession, folder: str) -> DataFrame:
-    """A speculative result each time a window's count reaches another fifty."""
+    """A speculative result each time a window's count reaches another fifty, and the final one."""
     rows = inputs.admissions(spark, folder).select("event_id", "ts", "region")
     measure = inputs.admission_sample(spark, folder)
     return windows.fire_every_nth(rows, "ts", "1 day", ["region"], 50, ["event_id"], measure=measure)
@@ -585,3 +591,55 @@ def window_apply(spark: SparkSession, folder: str) -> DataFrame:
 
     aggs = {"s": F.sum("cents"), "n": n_rows()}
     return apply_to_windows(inputs.events(spark, folder), "ts", "1 day", ["user_id"], aggs, describe, "window_start timestamp, user_id bigint, line string")
+
+
+@query(
+    "window_rows_median",
+    f"""WITH {EV} SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, event_type, count(*) AS n, quantile_cont(cents, 0.5)::DOUBLE AS median_cents,
+      max(cents) - min(cents) AS spread FROM ev GROUP BY ALL""",
+)
+def window_rows_median(spark: SparkSession, folder: str) -> DataFrame:
+    """A full-window function per key and day: rows come ordered by value, and only those from the middle on are held."""
+
+    def summarise(window: dict, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: deque = deque()  # pieces from the lower middle on
+        n = dropped = 0
+        for part in rows:
+            values = part["cents"].to_numpy()
+            lowest = values[0] if not n else lowest
+            held.append(values)
+            n += len(values)
+            while dropped + len(held[0]) <= (n - 1) // 2:
+                dropped += len(held.popleft())
+        middle = np.concatenate(held)
+        a, b = ((n - 1) // 2 - dropped, n // 2 - dropped)
+        median = (int(middle[a]) + int(middle[b])) / 2
+        yield pd.DataFrame([{"window_start": window["window_start"], "event_type": window["event_type"], "n": n, "median_cents": median, "spread": middle[-1] - lowest}])
+
+    schema = "window_start timestamp, event_type string, n bigint, median_cents double, spread bigint"
+    return window_rows_apply(inputs.events(spark, folder), "ts", "1 day", ["event_type"], summarise, schema, ["cents"])
+
+
+@query(
+    "window_rows_pairs",
+    f"""WITH {EV}, p AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_id, cents, lag(event_id) OVER w AS before_id, lag(cents) OVER w AS before_cents FROM ev
+      WINDOW w AS (PARTITION BY time_bucket(INTERVAL '1 hour', ts) ORDER BY ts, event_id))
+    SELECT window_start, before_id, event_id, before_cents - cents AS fall FROM p WHERE before_cents - cents > 5000""",
+)
+def window_rows_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """A full-window function over all rows of an hour, with no or many outputs: neighbours of which the second is far lower."""
+
+    def falls(window: dict, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for part in rows:
+            part = part[["event_id", "cents"]]
+            joined = part if last is None else pd.concat([last, part], ignore_index=True)
+            before = joined.shift()
+            fall = before["cents"] - joined["cents"]
+            low = fall > 5000
+            if low.any():
+                yield pd.DataFrame({"window_start": window["window_start"], "before_id": before["event_id"][low].astype("int64"), "event_id": joined["event_id"][low], "fall": fall[low].astype("int64")})
+            last = part.tail(1)
+
+    schema = "window_start timestamp, before_id bigint, event_id bigint, fall bigint"
+    return window_rows_apply(inputs.events(spark, folder), "ts", "1 hour", [], falls, schema, ["ts", "event_id"])
