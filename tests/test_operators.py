@@ -572,3 +572,22 @@ def test_every_long_key_and_every_burst_is_cut(spark, monkeypatch, collected, ke
     groups = [[p for p in points if p[0] == k] for k in range(4)] if keyed else [points]
     expected = {(p[0], p[2]): n for g in groups for n, p in enumerate(sorted(g, key=lambda p: (p[1], p[2], p[0])), 1)}
     assert got == expected
+
+
+def test_highest_before_scans_ranges_without_one_task(spark):
+
+    rng = random.Random(4)
+    rows = [(k // 3 if k % 5 else k, rng.randrange(1000) if rng.random() < 0.9 else None) for k in range(400)] + [(None, 5)]
+    table = spark.createDataFrame([(k, o, v) for k, (o, v) in enumerate(rows)], "id long, o long, v long").repartition(4)
+    distinct = table.dropDuplicates(["o"]).where("o is not null")
+    for ranges in (1, 2, 7, 64):
+        got = windows.highest_before(distinct, "o", F.col("v"), "top", ranges)
+        held, top = {r["o"]: r for r in got.collect()}, None
+        for o in sorted(held):
+            assert held[o]["top"] == top
+            top = held[o]["v"] if top is None else max(top, held[o]["v"] or 0)
+        assert set(got.columns) == {"id", "o", "v", "top"}
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ranges == 1 or "SinglePartition" not in plan
+    assert windows.highest_before(table, "o", F.col("v"), "top").count() == 401
+    assert windows.highest_before(table.limit(0), "o", F.col("v"), "top").collect() == []

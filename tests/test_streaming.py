@@ -453,3 +453,20 @@ def pd_time(day):
     import pandas as pd
 
     return pd.Timestamp(day).to_pydatetime()
+
+
+def test_alerts_do_not_depend_on_arrow_batches(spark, feed, scratch):
+    """One micro-batch in reverse order, in Arrow batches of seven rows: the alert row is still the one by event time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        rows = prepared(read_events(spark, feed, stream=True, delay=MS))
+        tagged = drain(pipelines.capacity_alerts(rows, "hospital", "ts", "capacity", "event_id"), "chunks", scratch)
+        slots = drain(pipelines.deferred_slot(rows, "user_id", "ts", F.lit(10**13), ["event_id"]), "chunk_slots", scratch)
+    finally:
+        spark.conf.set(name, before)
+    expected = occupancy.capacity_alerts(batch(spark, feed), "hospital", "ts", "capacity", ["event_id"])
+    ours = tagged.where("tag = 'alert'").select("hospital", F.col("tie").alias("event_id"), "occupied")
+    assert values(ours, "hospital", "event_id", "occupied") == values(expected, "hospital", "event_id", "occupied")
+    assert tagged.where("tag = 'main'").count() == batch(spark, feed).count() and slots.count() == 0

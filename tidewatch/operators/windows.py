@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.timeline import Sample, Timeline, highest, latest, previous, tally, total
+from tidewatch.operators.timeline import Sample, Timeline, latest, order_number, previous, tally, total
 
 _UNIT_US = {
     "microsecond": 1,
@@ -152,19 +152,44 @@ def fire_every_nth(
     return fired.unionByName(final.select("window_start", *keys, "__last.*", "fired_count", "is_final"))
 
 
-def late_routes(
-    df: DataFrame, ts: str, arrival: str, width: str, bound: str, lateness: str, hot_rows: int | None = None
-) -> DataFrame:
+#: ranges an unkeyed order is scanned in
+RANGES = 64
+
+
+def highest_before(df: DataFrame, order: str, value: Column, name: str, ranges: int = RANGES) -> DataFrame:
+    """Add the largest ``value`` of all rows before a row in ``order``, over the whole table, without one task for it.
+
+    Rows are scanned in ranges of the order cut at its quantiles (a sketch of one pass; where the
+    cuts fall changes no result), and each range's maximum is carried to the later ones: a
+    prefix scan over at most ``ranges`` rows.  Rows of one and the same place are one range's.
+    """
+    place = order_number(df, order)
+    steps = [F.lit(k / ranges) for k in range(1, ranges)]
+    cuts = df.agg(F.percentile_approx(place, F.array(*steps), F.lit(100 * ranges)).alias("c")).first()["c"]
+    cuts = sorted(set(cuts or []))
+    part = F.lit(0)
+    for cut in cuts:
+        part = part + (place > F.lit(cut)).cast("int")
+    rows = df.withColumns({"__part": F.coalesce(part, F.lit(-1)), "__v": value})
+    inside = Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    scanned = rows.withColumn("__in", F.max("__v").over(inside))
+    tops = rows.groupBy("__part").agg(F.max("__v").alias("__top")).withColumn("__all", F.col("__part").isNull())
+    earlier = Window.partitionBy("__all").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.broadcast(tops.select(F.col("__part").alias("__to"), F.max("__top").over(earlier).alias("__carry")))
+    joined = scanned.join(carried, F.col("__part") == F.col("__to"))
+    return joined.withColumn(name, F.greatest("__carry", "__in")).drop("__part", "__v", "__in", "__to", "__carry")
+
+
+def late_routes(df: DataFrame, ts: str, arrival: str, width: str, bound: str, lateness: str, ranges: int = RANGES) -> DataFrame:
     """Where each row goes when rows come in ``arrival`` order.
 
     The watermark a row meets is the largest earlier event time minus ``bound``.  A row
     whose window ends after it is ``on_time``; up to ``lateness`` past the end the window
     fires again (``refire``); after that the row goes to the ``late`` side.
     """
-    line = Timeline.of(df, [], arrival, (), hot_rows).scan(__max=highest(F.unix_micros(F.col(ts)), before=True))
+    routed = highest_before(df, arrival, F.unix_micros(F.col(ts)), "__max", ranges).withColumn("window_start", window_start(ts, width))
     mark = F.col("__max") - span_us(bound)
     end = F.unix_micros(F.col("window_start")) + span_us(width)
-    routed = line.frame().withColumn("window_start", window_start(ts, width))
     return routed.withColumn(
         "route",
         F.when(mark.isNull() | (end > mark), "on_time").when(end + span_us(lateness) > mark, "refire").otherwise("late"),

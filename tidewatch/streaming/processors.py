@@ -159,7 +159,12 @@ def next_status(status: str, ratio: float) -> str:
 
 
 class CapacityAlert(StatefulProcessor):
-    """Forwards every admission and raises one alert per key when its count reaches the ratio."""
+    """Forwards every admission and raises one alert per key when its count reaches the ratio.
+
+    Rows of a micro-batch count in event-time order, however they are split into Arrow
+    batches: of those that may hold the alert row, the earliest ones are kept, at most as many
+    as the key has beds.
+    """
 
     def __init__(self, key: str, ratio: float):
         self.columns = [key, "us", "tie", "capacity", "tag", "occupied"]
@@ -170,20 +175,24 @@ class CapacityAlert(StatefulProcessor):
         self.alerted = handle.getValueState("capacityAlerted", "yes boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n = self.count.get()[0] if self.count.exists() else 0
-        done = self.alerted.exists()
+        before = self.count.get()[0] if self.count.exists() else 0
+        open_alert, n, first = not self.alerted.exists(), before, None
         for batch in rows:
-            batch = batch.sort_values(["us", "tie"], ignore_index=True)
             yield batch.assign(tag="main", occupied=None)[self.columns]
-            counts = n + 1 + np.arange(len(batch))
             n += len(batch)
-            capacity = batch["capacity"].to_numpy()
-            reached = (capacity > 0) & (counts >= 1) & (counts / np.where(capacity > 0, capacity, 1) >= self.ratio)
-            if not done and reached.any():
+            if open_alert:
+                most = max(int(batch["capacity"].max()), 0 if first is None else int(first["capacity"].max()))
+                first = batch if first is None else pd.concat([first, batch])
+                # the alert comes at the latest when every bed is counted
+                first = first.sort_values(["us", "tie"], ignore_index=True).head(max(most - before, 1))
+        if open_alert and first is not None:
+            counts = before + 1 + np.arange(len(first))
+            capacity = first["capacity"].to_numpy()
+            reached = (capacity > 0) & (counts / np.where(capacity > 0, capacity, 1) >= self.ratio)
+            if reached.any():
                 at = int(np.argmax(reached))
-                yield batch.iloc[[at]].assign(tag="alert", occupied=int(counts[at]))[self.columns]
+                yield first.iloc[[at]].assign(tag="alert", occupied=int(counts[at]))[self.columns]
                 self.alerted.update((True,))
-                done = True
         self.count.update((n,))
 
     def close(self) -> None:
@@ -216,10 +225,14 @@ class DeferredSlot(StatefulProcessor):
         self.slot = handle.getValueState("pendingDischarge", kinds)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest = None
         for batch in rows:
             for due in batch["due_us"]:
                 self.handle.registerTimer(up_to_ms(int(due)))
-            newest = batch.sort_values("us").tail(1)
+            # the latest row of the whole micro-batch, however it is split into Arrow batches
+            newest = batch if newest is None else pd.concat([newest, batch])
+            newest = newest.sort_values("us", kind="stable").tail(1)
+        if newest is not None:
             self.slot.update(tuple(plain(newest[n], kind)[0] for n, kind in self.columns))
         return iter([])
 
