@@ -173,7 +173,7 @@ def highest_before(df: DataFrame, order: str, value: Column, name: str, ranges:
     rows = df.withColumns({"__part": F.coalesce(part, F.lit(-1)), "__v": value})
     inside = Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     scanned = rows.withColumn("__in", F.max("__v").over(inside))
-    tops = rows.groupBy("__part").agg(F.max("__v").alias("__top")).withColumn("__all", F.col("__part").isNull())
+    tops = rows.groupBy("__part").agg(F.max("__v").alias("__top")).withColumn("__all", F.col("__part") < -1)
     earlier = Window.partitionBy("__all").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.broadcast(tops.select(F.col("__part").alias("__to"), F.max("__top").over(earlier).alias("__carry")))
     joined = scanned.join(carried, F.col("__part") == F.col("__to"))
