@@ -26,7 +26,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 #: documents of one walk, and open documents that meet in a node of the tree
-CHUNK = 50_000
+CHUNK = 2_000
 SEED = 17
 
 
