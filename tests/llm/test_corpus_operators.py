@@ -37,6 +37,15 @@ def test_components(spark):
     assert got == {3: 3, 4: 3, 5: 3, 8: 3, 9: 3, 20: 20, 21: 20}
 
 
+def test_components_of_hubs(spark):
+    """Stars far above the hub limit, joined by a path, and a second graph beside them."""
+    links = [(0, k) for k in range(1, 1500)] + [(5000 + k, 4999) for k in range(1500)] + [(1499, 5200), (9001, 9000), (9002, 9001)]
+    rows = components(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()
+    got = {r["node"]: r["label"] for r in rows}
+    assert len(rows) == len(got) == 1500 + 1501 + 3
+    assert {got[k] for k in range(1500)} | {got[4999 + k] for k in range(1501)} == {0} and {got[k] for k in (9000, 9001, 9002)} == {9000}
+
+
 def test_near_duplicates(docs):
     got = {r["doc_id"]: r for r in minhash.near_duplicates(docs, size=4).collect()}
     assert len(got) == len({r["doc_id"] for r in docs.collect()})
@@ -71,6 +80,13 @@ def test_language(docs):
         assert (r["lang_pred"] == "und") == (not any(c.isalpha() for c in r["text"] or "")) and 0 <= r["score"] <= 1
 
 
+def test_texts_without_a_letter(spark):
+    rows = spark.createDataFrame([(1, "½ ² ① Ⅷ 12 !"), (2, "é"), (3, "日本"), (4, "² x"), (5, "٣٤")], "doc_id long, text string")
+    learnt = langid.fit(spark.read.parquet(f"{SMALL}/documents.parquet"), per_language=5)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(rows, learnt).collect()}
+    assert got[1] == got[5] == "und" and "und" not in (got[2], got[3], got[4])
+
+
 def test_language_held_out(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -194,6 +210,17 @@ def test_near_vectors(spark):
     assert embeddings.near_vectors(table.limit(0)).collect() == []
 
 
+def test_near_vectors_at_the_threshold_and_repeated_ids(spark):
+    above, below = 0.9 + 1e-13, 0.9 - 1e-13
+    a, near = [1.0, 0.0], [above, (1 - above**2) ** 0.5]
+    rows = [(1, a), (2, near), (11, [0.0, 0.0, 1.0]), (12, [0.0, (1 - below**2) ** 0.5, below]), (7, a), (7, [-1.0, 0.0]), (8, [-1.0, 0.0]), (9, [-1.0, 0.0])]
+    got = [tuple(r) for r in embeddings.near_vectors(spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, n_links string, label int")).collect()]
+    by_id = {r[0]: r[1:] for r in got}
+    assert len(got) == 8 and sum(r[0] == 7 for r in got) == 2
+    assert by_id[2] == (2, 1, False) and by_id[11] == (0, 11, True) and by_id[12] == (0, 12, True)
+    assert by_id[7] == (2, 1, False) and by_id[8] == by_id[9] == (2, 7, False)
+
+
 def planted_pairs(spark, pairs):
     rng = np.random.default_rng(8)
     x, noise = rng.standard_normal((2, pairs, 64))

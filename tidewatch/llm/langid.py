@@ -32,7 +32,12 @@ PASSAGE = 400
 UPDATES = 240
 BATCH = 512
 WINDOWS = 2048
-LETTER = re.compile(r"[^\W\d_]")
+LATIN = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; digits, fractions and numerals of any script are none."""
+    return LATIN.search(text) is not None or (not text.isascii() and any(map(str.isalpha, text)))
 
 
 class Reader:
@@ -151,7 +156,7 @@ def predict(docs: DataFrame, reader: Reader | None, text: str = "text") -> DataF
         net = model.value
         for piece in pieces(batches, text):
             column = piece.column(piece.schema.get_field_index(text))
-            readable = np.array([net is not None and t is not None and LETTER.search(t) is not None for t in column.to_pylist()], dtype=bool)
+            readable = np.array([net is not None and t is not None and has_letter(t) for t in column.to_pylist()], dtype=bool)
             names, score = np.full(piece.num_rows, UNKNOWN, dtype=object), np.zeros(piece.num_rows)
             if readable.any():
                 p = net.probabilities(*text_bytes(column))
