@@ -8,13 +8,29 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import dropped, stored
 
 
-def stars(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over edges (u, v) with u > v."""
+#: a node with more than this share of the edges is a hub; there are at most twice as many hubs
+HUBS = 1000
+
+
+def with_lowest(edges: DataFrame, n: int) -> DataFrame:
+    """The edges (u, v) with m, the smallest v of each u.
+
+    The value of a hub is sent by broadcast and its edges stay where they are; the other nodes
+    have few edges each and meet by a shuffle.
+    """
+    lowest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    limit = max(n // HUBS, 100)
+    hubs = F.broadcast(lowest.where(F.col("n") > limit).select(F.col("u").alias("hub"), F.col("m").alias("m")))
+    at_hub = edges.join(hubs, F.col("u") == F.col("hub")).select("u", "v", "m")
+    elsewhere = edges.join(hubs.select("hub"), F.col("u") == F.col("hub"), "left_anti")
+    return at_hub.union(elsewhere.join(lowest.where(F.col("n") <= limit).select("u", "m"), "u").select("u", "v", "m"))
+
+
+def stars(edges: DataFrame, n: int) -> DataFrame:
+    """One large-star and one small-star step over n edges (u, v) with u > v."""
     both = edges.union(edges.select("v", "u")).toDF("u", "v")
-    lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-    joined = large.join(lowest, "u")
+    large = with_lowest(both, n).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+    joined = with_lowest(large, n)
     small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.union(joined.select("u", F.col("m").alias("v"))).distinct()
 
@@ -34,7 +50,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = stored(edges, "edges")
     seen = digest(edges)
     while seen[0]:
-        after = stored(stars(edges), "edges")
+        after = stored(stars(edges, seen[0]), "edges")
         dropped(edges)
         edges, before, seen = after, seen, digest(after)
         if before == seen:

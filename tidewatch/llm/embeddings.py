@@ -18,7 +18,9 @@ component on the full double-precision vectors, in blocks of bounded size, where
 as often as its vector occurs.
 
 Vectors that are null, empty, zero or hold null or non-finite numbers link with nothing, and
-neither do vectors of different lengths.  A null id takes no part.
+neither do vectors of different lengths.  A null id takes no part.  Rows that repeat an id each
+get a row; an id with several vectors has the smallest component and the most links of them.
+An empty table gives an empty table; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -234,13 +236,22 @@ def neighbour_links(ordered: DataFrame, cosine: float, block: int = BLOCK) -> Da
     return ordered.mapInArrow(task, "a long, b long, sure boolean")
 
 
+#: products this near to the threshold are taken again, one pair at a time
+DOUBT = 1e-9
+
+
+def reaches(x: np.ndarray, y: np.ndarray, cosine: float) -> bool:
+    """The one test of two unit vectors in double precision; sums of products are rounded once."""
+    return math.fsum((x * y).tolist()) >= cosine
+
+
 def dots(frame: DataFrame, cosine: float) -> DataFrame:
     """Pairs whose double-precision cosine reaches the threshold."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = [
-                len(x) == len(y) and float(np.frombuffer(x) @ np.frombuffer(y)) >= cosine - 1e-12
+                len(x) == len(y) and reaches(np.frombuffer(x), np.frombuffer(y), cosine)
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             ]
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
@@ -265,7 +276,10 @@ def link_counts(nodes: DataFrame, labels: DataFrame, cosine: float) -> DataFrame
         raw = rows.column("vec").to_pylist()
         for start, stop in zip(np.concatenate([[0], change]), np.append(change, len(rep))):
             v = np.frombuffer(b"".join(raw[start:stop]), dtype=np.float64).reshape(stop - start, -1)
-            near = v @ v.T >= cosine - 1e-12
+            products = v @ v.T
+            near = products >= cosine
+            for a, b in zip(*np.nonzero(np.abs(products - cosine) <= DOUBT)):
+                near[a, b] = reaches(v[a], v[b], cosine)
             if i[start] != j[start]:  # rows of one block meet in that block's own pair
                 near &= mine[start:stop][:, None] != mine[start:stop][None, :]
             yield pa.RecordBatch.from_arrays([pa.array(rep[start:stop]), pa.array(near @ times[start:stop])], ["rep", "links"])
@@ -312,7 +326,7 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
     counts = link_counts(nodes, labels, cosine).select("dim", "vec", "label", "links")
     alone = nodes.where("rows > 1").join(labels, nodes["id"] == labels["node"], "left_anti")
     counts = counts.union(alone.select("dim", "vec", F.col("id").alias("label"), F.col("rows").alias("links")))
-    linked = vectors.join(counts, ["dim", "vec"]).select("id", "label", "links").dropDuplicates(["id"])
+    linked = vectors.join(counts, ["dim", "vec"]).groupBy("id").agg(F.min("label").alias("label"), F.max("links").alias("links"))
     out = rows.select(F.col(vec_id).cast("long").alias("__id")).join(linked, F.col("__id") == F.col("id"), "left")
     component = F.coalesce("label", "__id")
     return out.select(
