@@ -72,7 +72,6 @@ def test_empty_table(spark):
 
 def test_long_and_many_conversations(spark, monkeypatch):
     monkeypatch.setattr(trie, "STRETCH", 7)
-    monkeypatch.setattr(trie, "HEAVY", 20)
     rng = random.Random(3)
     rows = [(c, t, "user", rng.choice("ab") if t else "go") for c in range(120) for t in range(rng.randrange(12))]
     rows += [(1000, t, "user", "go" if t == 0 else "a") for t in range(60)] + [(c, 0, "user", f"alone {c}") for c in range(2000, 2100)]

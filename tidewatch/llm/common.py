@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -166,6 +166,54 @@ def dropped(df: DataFrame) -> None:
         target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
+#: low bits that hold a row's place in its partition in a number from monotonically_increasing_id
+PLACE_BITS = 33
+#: a key with more than this share of the rows is a heavy one; there are at most so many
+HEAVY = 1000
+
+
+def numbered_within(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """The rows with their number in their group, from 0, in the order of ``order`` (nulls first).
+
+    Rows are range-partitioned by group and order, with the input's row number as the last tie, so
+    no group has to fit into a task.  Only the first group of a partition can have rows in an
+    earlier one, so what is carried over has at most a row per partition.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*group, *order, "__tie"]
+    ranged = rows.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    placed = stored(ranged.drop("__tie").withColumn("__place", F.monotonically_increasing_id()), "placed").withColumn("__part", F.shiftright("__place", PLACE_BITS))
+    held = placed.groupBy(*group, "__part").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    spread = held.withColumn("__before", F.sum("__n").over(earlier)).where("__before > 0")
+    spread = spread.select(*[F.col(g).alias(f"__c_{g}") for g in group], F.col("__part").alias("__in"), "__before")
+    inside = F.row_number().over(Window.partitionBy(*group, "__part").orderBy("__place")) - 1
+    on = F.col("__part") == F.col("__in")
+    for g in group:
+        on = on & F.col(g).eqNullSafe(F.col(f"__c_{g}"))
+    counted = placed.withColumn("__inside", inside).join(F.broadcast(spread), on, "left")
+    return counted.select(*rows.columns, (F.col("__inside") + F.coalesce("__before", F.lit(0))).cast("long").alias(name))
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` left-joined to a table whose ``key`` is unique; null keys find nothing.
+
+    Keys of more than a thousandth of the rows, of which there are at most a thousand, are looked
+    up in a broadcast; their rows are not gathered in one task.  Both inputs are read more than once.
+    """
+    counts = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.count("*").alias("__n"))
+    limit = max(rows.count() // HEAVY, 100)
+    names = [c for c in table.columns if c != key]
+    heavy = table.join(counts.where(F.col("__n") > limit), F.col(key) == F.col("__k"), "left_semi")
+    heavy = F.broadcast(heavy.select(F.col(key).alias("__hot"), F.struct(*names).alias("__found")))
+    first = rows.join(heavy, F.col(key) == F.col("__hot"), "left")
+    at_heavy = first.where("__hot is not null").select(*rows.columns, *[F.col(f"__found.{n}").alias(n) for n in names])
+    rest = first.where("__hot is null").select(*rows.columns)
+    keyed = rest.where(F.col(key).isNotNull()).join(table, key, "left").select(*rows.columns, *names)
+    unkeyed = rest.where(F.col(key).isNull()).select(*rows.columns, *[F.lit(None).cast(table.schema[n].dataType).alias(n) for n in names])
+    return at_heavy.union(keyed).union(unkeyed)
+
+
 def held_out_share(column: str, parts: int) -> F.Column:
     """crc32 of the id as text, modulo ``parts``; 0 for a null id."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(parts), F.lit(0))

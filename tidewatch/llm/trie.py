@@ -9,8 +9,9 @@ the parent's sums, so no step runs once per depth and no conversation has to fit
 Totals over subtrees come from contraction in rounds of joins.  A round rakes all leaves into
 their parents, and compresses chains: of nodes with one child, an independent set is cut out,
 what they hold going to the edge of their child.  Which nodes of a chain go is told by the
-bits of the depth in the first rounds (every second one, then every fourth) and by hashes of
-the ids after that, so rounds grow with the logarithm of the tree.  A raked node's total is
+lowest bit in which the depths of a node and its present parent differ (on an evenly spaced
+chain that is every second node), in every fourth round by hashes of the ids, so rounds grow
+with the logarithm of the tree.  A raked node's total is
 known when it goes; the nodes cut out get theirs when the rounds are undone, last one first:
 what they held plus the total of the child they had.  Each round is written to the shared
 folder.  Sums over children combine before the shuffle, joins are on node ids, which are
@@ -33,15 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import dropped, stored
+from tidewatch.llm.common import dropped, looked_up, numbered_within, stored
 
-PLACE_BITS = 33
 #: turns of one conversation summed in one group
 STRETCH = 4096
 SUMS = ("s0", "s1", "s2", "s3")
 WORD = r"[^\x20\x09-\x0D]+"
-#: more than this share of all nodes as children: the parent is sent by broadcast
-HEAVY = 1000
 
 
 class Trie(NamedTuple):
@@ -58,17 +56,7 @@ def numbered(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
         F.col(conv).cast("long").alias("conv_id"), F.col(turn).alias("turn"),
         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    order = ["conv_id", "turn", "role", "text"]
-    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(parts, *order, "tie").sortWithinPartitions(*order, "tie")
-    placed = stored(ranged.drop("tie").withColumn("place", F.monotonically_increasing_id()), "turns").withColumn("part", F.shiftright("place", PLACE_BITS))
-    held = placed.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # only the first conversation of a partition can have turns in an earlier one
-    spread = held.withColumn("before", F.sum("n").over(before)).where("before > 0").select("conv_id", "part", "before")
-    inside = F.row_number().over(Window.partitionBy("conv_id", "part").orderBy("place")) - 1
-    counted = placed.withColumn("inside", inside).join(F.broadcast(spread), ["conv_id", "part"], "left")
-    return counted.select("conv_id", (F.col("inside") + F.coalesce("before", F.lit(0))).cast("long").alias("at"), "role", "text")
+    return numbered_within(rows, ["conv_id"], ["turn", "role", "text"], "at").select("conv_id", "at", "role", "text")
 
 
 def turn_sums() -> list[Column]:
@@ -120,13 +108,16 @@ def build(rows: DataFrame, members: DataFrame | None = None) -> Trie:
     return Trie(nodes, ends)
 
 
-def contract(active: DataFrame, values: Sequence[str], turn: int, bits: int) -> DataFrame:
-    """One round over (id, parent, depth, *values, *edge values): what becomes of each node.
+def contract(active: DataFrame, values: Sequence[str], turn: int) -> DataFrame:
+    """One round over (id, parent, depth, above, *values, *edge values): what becomes of each node.
+
+    ``above`` is the depth of the present parent.
 
     ``fate`` is rake (a leaf: its values are its totals), splice (cut out of a chain: ``child``
     is the child it had, ``held_*`` what it and the edge to that child held) or stay.
     """
-    coin = F.shiftright("depth", turn).bitwiseAND(F.lit(1)) == 1 if turn < bits else F.xxhash64("id", F.lit(turn)).bitwiseAND(F.lit(1)) == 1
+    differ = F.col("depth").bitwiseXOR(F.col("above"))
+    coin = F.col("depth").bitwiseAND(differ).bitwiseAND(-differ) != 0 if turn % 4 < 3 else F.xxhash64("id", F.lit(turn)).bitwiseAND(F.lit(1)) == 1
     counts = active.where("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("n"))
     known = active.join(counts, "id", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("coin", coin)
     known = known.withColumn("unary", F.expr("n = 1 and parent is not null"))
@@ -142,7 +133,7 @@ def contract(active: DataFrame, values: Sequence[str], turn: int, bits: int) ->
     spliced = F.expr("unary and inner = 1 and coin and not child_goes")
     fate = F.when(F.expr("n = 0 and parent is not null"), "rake").when(spliced, "splice").otherwise("stay")
     return met.select(
-        "id", "parent", "depth", fate.alias("fate"),
+        "id", "parent", "depth", "above", fate.alias("fate"),
         *((F.col(v) + F.coalesce(f"raked_{v}", F.lit(0))).alias(v) for v in values),
         *(f"edge_{v}" for v in values),
         "child",
@@ -155,19 +146,19 @@ def subtree_totals(nodes: DataFrame, values: Sequence[str]) -> DataFrame:
 
     ``nodes`` has a unique id, parent (null for a root; there may be several), depth and values.
     """
-    active = nodes.select("id", "parent", "depth", *values, *(F.lit(0).cast("long").alias(f"edge_{v}") for v in values))
-    bits = max(int(nodes.agg(F.max("depth")).first()[0] or 0).bit_length(), 1)
+    above = F.when(F.col("parent").isNotNull(), F.col("depth") - 1).alias("above")
+    active = nodes.select("id", "parent", "depth", above, *values, *(F.lit(0).cast("long").alias(f"edge_{v}") for v in values))
     rounds: list[DataFrame] = []
     while True:
-        done = stored(contract(active, values, len(rounds), bits), "round")
+        done = stored(contract(active, values, len(rounds)), "round")
         rounds.append(done)
         if done.where("fate = 'stay' and parent is not null").isEmpty():
             break
         cut = done.where("fate = 'splice'").select(
-            F.col("child").alias("id"), F.col("parent").alias("above"), *((F.col(v) + F.col(f"edge_{v}")).alias(f"cut_{v}") for v in values)
+            F.col("child").alias("id"), F.col("parent").alias("higher"), F.col("above").alias("higher_depth"), *((F.col(v) + F.col(f"edge_{v}")).alias(f"cut_{v}") for v in values)
         )
         active = done.where("fate = 'stay'").join(cut, "id", "left").select(
-            "id", F.coalesce("above", "parent").alias("parent"), "depth", *values,
+            "id", F.coalesce("higher", "parent").alias("parent"), "depth", F.coalesce("higher_depth", "above").alias("above"), *values,
             *((F.col(f"edge_{v}") + F.coalesce(f"cut_{v}", F.lit(0))).alias(f"edge_{v}") for v in values),
         )
     columns = ["id", *values]
@@ -193,16 +184,9 @@ def with_totals(trie: Trie) -> DataFrame:
         F.col("key").alias("id"), "parent", "depth", (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens")
     )
     totals = subtree_totals(valued, ["n_leaves", "saved_tokens"])
-    limit = nodes.count() // HEAVY
-    parents = nodes.where("n_children > 0")
-    heavy = parents.where(F.col("n_children") > limit) if limit else parents.where("depth = 0")
-    light = parents.where(F.col("n_children") <= limit) if limit else parents
-    named = nodes.join(F.broadcast(heavy.select(F.col("key").alias("parent"), F.col("conv_id").alias("heavy_conv"))), "parent", "left")
-    # a row that has found its parent asks for itself: such rows do not meet in one task
-    asked = F.when(F.col("heavy_conv").isNull() & F.col("parent").isNotNull(), F.col("parent")).otherwise(F.col("key"))
-    named = named.withColumn("asked", asked).join(light.select(F.col("key").alias("asked"), F.col("conv_id").alias("light_conv")), "asked", "left")
-    above = F.when(F.col("parent").isNotNull(), F.coalesce("heavy_conv", "light_conv"))
-    return named.join(totals.withColumnRenamed("id", "key"), "key").select(*nodes.columns, above.alias("parent_conv_id"), "n_leaves", "saved_tokens")
+    parents = nodes.where("n_children > 0").select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
+    named = looked_up(nodes, parents, "parent")
+    return named.join(totals.withColumnRenamed("id", "key"), "key").select(*nodes.columns, "parent_conv_id", "n_leaves", "saved_tokens")
 
 
 def end_digests(ends: DataFrame) -> DataFrame:
