@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL
-from tidewatch.llm import bpe, embeddings, html_text, langid, lm, minhash, mixing, pii, quality, queries, quotes
+from tidewatch.llm import bpe, embeddings, html_text, langid, lm, minhash, mixing, pii, quality, queries
 from tidewatch.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, size string, spans string, label int, kept string, row string"
@@ -119,20 +119,6 @@ def test_lm_joins_rare_words(spark):
         assert a[k]["n_known"] == b[k]["n_known"] and a[k]["base_score"] == pytest.approx(b[k]["base_score"]) and a[k]["score"] == pytest.approx(b[k]["score"], rel=1e-5)
 
 
-def test_quotes(spark):
-    rows = [
-        (1, 0, "user", "Hello there\nsecond line"), (1, 1, "assistant", "> hello  THERE\nHi"), (1, 2, "user", "Ann wrote:\n> Hi\n> > Hello there\nbye"),
-        (2, 0, "user", "> Hi\nelsewhere"), (2, 1, "user", None), (None, 0, None, "> Hi"), (3, None, "user", ""),
-    ]
-    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {(r["conv_id"], r["turn"]): r for r in quotes.linked(table).collect()}
-    assert len(got) == 7
-    assert (got[1, 1]["reply_turn"], got[1, 2]["reply_turn"], got[1, 2]["depth"], got[1, 2]["text"]) == (0, 1, 2, "bye")
-    assert (got[2, 0]["reply_conv"], got[2, 0]["reply_turn"], got[2, 1]["reply_turn"], got[2, 1]["text"]) == (1, 1, 0, "")
-    assert got[None, 0]["reply_turn"] is None and got[3, None]["text"] == ""
-    assert quotes.formatted(table.limit(0)).collect() == []
-
-
 def test_personal_data(docs):
     got = pii.with_spans(docs).collect()
     assert [s["kind"] for r in got for s in r["spans"]] == (["email"] if got else [])

@@ -63,7 +63,8 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.linked(table(spark, sf_dir, "conversations"))
+    chat = quotes.formatted(table(spark, sf_dir, "conversations"))
+    return chat.select("conv_id", "turn", "role", "reply_conv", "reply_turn", "root_conv", "root_turn", "depth", "place", "n_quoted_lines", "chat")
 
 
 @query
