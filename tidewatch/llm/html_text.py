@@ -3,15 +3,18 @@
 Standard-library parser events cut a page into lines (blocks).  A line knows its text, its
 tags and the element that contains it.  Lines inside menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles are marked as they are read.  A class, id
-or role word marks an element only if it does not hold most of the page's text or articles.  The
-text-to-tag ratios of the other lines are smoothed with a Gaussian and split into two clusters
+or role word, a form or a header marks an element only if it does not hold most of the page's
+text or articles, as where a whole page is a form or a header is never closed; inside an
+article, the id of a part is an anchor and marks it only by an unmistakable word.  The text-to-tag ratios of the other lines are smoothed with a Gaussian and split into two clusters
 by a threshold, on every page.  Text of content lines adds up from a region to all regions
 around it; the smallest region that covers the content is the article, together with the content
 of sibling regions of the same tag and class; all its lines stay but lists of links without content.  Text in an ``article`` or ``main`` element weighs more, and
 such an element is not cut further.
 
-Null and empty pages give an empty text.  Whole pages are read, of any length; markup that
-is never closed ends with its container.
+Null and empty pages give an empty text.  Whole pages are read, of any length, in time in
+proportion to it; markup that is never closed ends with its container, and end tags without a
+start are dropped.  Rows are read one by one, so nulls in other columns, ties and repeated rows
+change nothing; a column of the output's name is replaced, an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,15 +34,19 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 SKIPPED = frozenset(
-    "head title script style noscript template nav header footer aside form button select textarea input iframe object svg canvas menu dialog audio video".split()
+    "head title script style noscript template nav footer aside button select textarea input iframe object svg canvas menu dialog audio video".split()
 )
+#: left out as well, unless they hold the page
+SOFT = frozenset(["form", "header"])
 REGIONS = frozenset("article main section div td body center".split())
 #: class, id or role words of parts that are not the article
-ASIDE = re.compile(
-    r"(?<![a-z])(ads?|adverts?|advertisement|advertising|sponsor(ed)?|promo(tion)?|banner|navbar|nav(igation)?|menu|breadcrumbs?|sidebar|footer|masthead|header"
-    r"|comments?|commentlist|disqus|replies|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social|related"
-    r"|recommended|widget|toolbar|pagination|pager|login|signup|search|complementary|contentinfo|alert)(?![a-z])"
+SURE = (
+    r"ads?|adverts?|advertisement|advertising|sponsor(ed)?|navbar|nav(igation)?|menu|breadcrumbs?|sidebar|footer|masthead|comments?|commentlist|disqus|replies|cookies?|consent"
+    r"|gdpr|popup|modal|overlay|newsletter|subscribe|widget|toolbar|pagination|pager|login|signup|complementary|contentinfo"
 )
+LIKELY = r"promo(tion)?|banner|header|notice|subscription|share|sharing|social|related|recommended|search|alert"
+ASIDE = re.compile(rf"(?<![a-z])({SURE}|{LIKELY})(?![a-z])")
+SURE_ASIDE = re.compile(rf"(?<![a-z])({SURE})(?![a-z])")
 CLOSES = {"p": frozenset(["p"]), "li": frozenset(["li", "p"]), "tr": frozenset(["tr", "td", "th", "p"]), "td": frozenset(["td", "th", "p"]), "th": frozenset(["td", "th", "p"]), "option": frozenset(["option"]), "dt": frozenset(["dt", "dd", "p"]), "dd": frozenset(["dt", "dd", "p"])}
 WALLS = frozenset("article main section div td th body ul ol dl table nav header footer aside form blockquote".split())
 SIGMA = 1.0
@@ -49,6 +56,8 @@ DENSE = 100.0
 COVER = 0.9
 #: weight of content in an article or main element
 HINT = 2.0
+#: share of a page's text from which a form or header is the page
+WHOLE = 0.8
 
 
 class Lines(HTMLParser):
@@ -57,10 +66,13 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int, bool, int]] = []  # tag, skipped, region, in a link, aside
+        self.at: dict[str, list[int]] = {}  # places of the open elements of a tag
+        self.walls: list[int] = []  # places of the open containers
         self.parts: list[str] = []
         self.tags = self.links = 0
         self.regions = [("page", -1, "")]  # tag, parent, class
-        self.asides = [-1]  # parent of each element marked by its class, id or role; 0 is none
+        self.named = [False]  # whether a region is an article or main element, or in one
+        self.asides = [(-1, False)]  # parent of each marked element (0 is none), and whether its tag alone marks it
         self.lines: list[tuple[str, int, int, int, int]] = []  # text, tags, region, characters in links, aside
 
     def state(self) -> tuple[bool, int, bool, int]:
@@ -86,12 +98,18 @@ class Lines(HTMLParser):
         skipped = skipped or tag in SKIPPED or self.hidden(tag, attrs)
         if tag in VOID:
             return
-        if not skipped and (beside := self.beside(tag, attrs)):
-            self.asides.append(aside)
+        beside = not skipped and self.beside(tag, attrs, self.named[region])
+        soft = not skipped and not beside and tag in SOFT
+        if beside or soft:
+            self.asides.append((aside, soft))
             aside = len(self.asides) - 1
-        if not skipped and (tag in REGIONS or beside):
+        if not skipped and (tag in REGIONS or beside or soft):
             self.regions.append((tag, region, next((v for k, v in attrs if k == "class" and v), "")))
+            self.named.append(self.named[region] or tag in ("article", "main"))
             region = len(self.regions) - 1
+        self.at.setdefault(tag, []).append(len(self.open))
+        if tag in WALLS:
+            self.walls.append(len(self.open))
         self.open.append((tag, skipped, region, link or tag == "a", aside))
 
     def plain(self, tag: str, attrs: list) -> bool:
@@ -101,20 +119,25 @@ class Lines(HTMLParser):
     def hidden(self, tag: str, attrs: list) -> bool:
         return not self.plain(tag, attrs) and any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
 
-    def beside(self, tag: str, attrs: list) -> bool:
+    def beside(self, tag: str, attrs: list, in_article: bool) -> bool:
         if self.plain(tag, attrs):
             return False
-        hints = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-        return bool(hints) and ASIDE.search(hints.lower()) is not None
+        hints = " ".join(v for k, v in attrs if k in ("class", "role") and v).lower()
+        anchors = " ".join(v for k, v in attrs if k == "id" and v).lower()
+        return ASIDE.search(hints) is not None or (SURE_ASIDE if in_article else ASIDE).search(anchors) is not None
+
+    def cut(self, place: int) -> None:
+        """End the open elements from a place on; each is ended once, so this is linear in all."""
+        while len(self.open) > place:
+            self.at[self.open.pop()[0]].pop()
+        while self.walls and self.walls[-1] >= place:
+            self.walls.pop()
 
     def shut(self, tags: frozenset) -> None:
         """End the nearest open element of ``tags``, if no container lies between."""
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] in tags:
-                del self.open[k:]
-                return
-            if self.open[k][0] in WALLS:
-                return
+        place = max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+        if place >= 0 and not (self.walls and self.walls[-1] > place):
+            self.cut(place)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -127,12 +150,9 @@ class Lines(HTMLParser):
         if tag not in INLINE:
             self.flush()
         self.tags += 1
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
-            if tag in INLINE and self.open[k][0] in WALLS:
-                return
+        places = self.at.get(tag)
+        if places and not (tag in INLINE and self.walls and self.walls[-1] > places[-1]):
+            self.cut(places[-1])
 
     def handle_data(self, data: str) -> None:
         skipped, _, link, _ = self.state()
@@ -169,14 +189,6 @@ def added_up(parents: list[int], values: np.ndarray) -> np.ndarray:
     return total
 
 
-def named_regions(regions: list[tuple[str, int, str]]) -> np.ndarray:
-    """True for regions in an article or main element."""
-    named = np.zeros(len(regions), dtype=bool)
-    for k, (tag, parent, _) in enumerate(regions):
-        named[k] = tag in ("article", "main") or k > 0 and named[parent]
-    return named
-
-
 def unmarked(page: Lines) -> list[tuple]:
     """The lines outside of marked elements; one that holds most of the text, or of the articles' text, is a wrapper and marks nothing.
 
@@ -184,17 +196,18 @@ def unmarked(page: Lines) -> list[tuple]:
     """
     if len(page.asides) == 1:
         return page.lines
-    named = named_regions(page.regions)
+    named, parents = page.named, [parent for parent, _ in page.asides]
     size, article, count = (np.zeros(len(page.asides)) for _ in range(3))
     for text, _, region, _, aside in page.lines:
         size[aside] += len(text)
         count[aside] += 1
         article[aside] += len(text) * named[region]
-    size, article, count = (added_up(page.asides, x) for x in (size, article, count))
+    size, article, count = (added_up(parents, x) for x in (size, article, count))
     marked = np.zeros(len(page.asides), dtype=bool)
-    for k, parent in enumerate(page.asides[1:], 1):
+    for k, (parent, soft) in enumerate(page.asides[1:], 1):
         other = article[0] - article[k]  # is not outweighed by a long notice
-        wrapper = article[k] > other or 2 * size[k] > size[0] and (not other or 4 * other < size[0] and count[k] > 2)
+        much = size[k] >= WHOLE * size[0] if soft else 2 * size[k] > size[0]
+        wrapper = article[k] > other or much and (not other or 4 * other < size[0] and count[k] > 2)
         marked[k] = marked[parent] or not wrapper
     return [line for line in page.lines if not marked[line[4]]] or page.lines
 
@@ -233,7 +246,7 @@ def main_text(html: str) -> str:
         return ""
     lines = unmarked(page)
     parents = [parent for _, parent, _ in page.regions]
-    named = named_regions(page.regions)
+    named = page.named
     mass, size, links = (np.zeros(len(parents)) for _ in range(3))
     for (text, _, region, linked, _), good in zip(lines, content_lines(lines)):
         mass[region] += len(text) * good * (HINT if named[region] else 1.0)
