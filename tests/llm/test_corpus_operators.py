@@ -134,6 +134,45 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert [(s["kind"], s["found"]) for s in got[100]] == [("email", "pattern")] and got[101] == []
 
 
+def test_bootstrap_grows_until_nothing_is_added(spark):
+    """Known numbers trust a context, its unseen numbers trust the next context, which knows none by rule."""
+    rows = [(k, f"you can call me at +1 555 000 {1000 + k} any time") for k in range(8)]
+    rows += [(20 + k, f"you can call me at 555-{2000 + k} any time") for k in range(6)]  # 43 % unseen
+    rows += [(40 + k, f"or ring office number 555-{2000 + k} please") for k in range(6)]  # no rule finds one here
+    rows += [(50, "or ring office number 555-9999 please"), (60, "the part is 555-3333 big"), (61, "only once at +1 555 000 4444")]
+    rows += [(70 + k, f"order number was 777-{3000 + k} then") for k in range(30)] + [(110 + k, f"order number was +1 555 777 {3000 + k} then") for k in range(6)]
+    rows += rows[:3] + [(200, None), (201, "")]
+    got = {r["doc_id"]: [(s["kind"], s["found"]) for s in r["spans"]] for r in pii.with_spans(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, key string, more int")).collect()}
+    assert got[0] == [("phone", "rule")] and got[20] == got[40] == got[50] == [("phone", "pattern")]
+    assert got[60] == got[70] == got[200] == got[201] == [] and got[110] == [("phone", "rule")]
+
+
+def plain_trust(edges, seeds, score):
+    known = {i for _, i, seed, _ in edges if seed}
+    while True:
+        trusted = set()
+        for p in {e[0] for e in edges}:
+            mine = [e for e in edges if e[0] == p]
+            ok = [e for e in mine if e[1] in known]
+            if len(ok) >= seeds and len({e[3] for e in ok}) >= seeds and (len(ok) + 0.5 * (len(mine) - len(ok))) / len(mine) >= score:
+                trusted.add(p)
+        more = known | {e[1] for e in edges if e[0] in trusted}
+        if more == known:
+            return trusted
+        known = more
+
+
+def test_bootstrap_against_a_plain_walk(spark):
+    rng = np.random.default_rng(3)
+    pairs = {(int(rng.integers(40)), int(rng.integers(150))) for _ in range(600)}
+    edges = [(f"p{p}", i, i % 4 == 0, int(rng.integers(60))) for p, i in sorted(pairs)]
+    table = spark.createDataFrame(edges, "pattern string, item long, seed boolean, some_key long")
+    for seeds, score in ((3, 0.6), (4, 0.65), (5, 0.75)):
+        got = {r["pattern"] for r in pii.trusted_patterns(table, seeds, score).collect()}
+        assert got == plain_trust(edges, seeds, score)
+    assert pii.trusted_patterns(table.limit(0)).collect() == []
+
+
 def test_mixture(docs):
     got = mixing.mixture(docs).collect()
     assert len(got) == docs.count()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import time
 import re
 
 import numpy as np
@@ -236,6 +237,28 @@ def test_main_text_of_split_and_wrapped_articles():
     assert html_text.main_text("<div class=notice>A notice, longer than the text of its page.</div><article><p>Short but whole.</article>") == "Short but whole."
 
 
+def test_main_text_of_forms_headers_and_anchors():
+    text = "A long paragraph of the real text, with many words in it. " * 6
+    want = f"{text.strip()}\nEnd of it."
+    story = f"<div class=story><p>{text}</p><p>End of it.</p></div>"
+    assert html_text.main_text(f"<body><form id=aspnetForm><input name=x><select><option>one</select>{story}</form></body>") == want
+    assert html_text.main_text(f"<body><header><h1></h1>{story}</body>") == want
+    assert html_text.main_text(f"<body><header><a href=x>Site</a> by us</header>{story}<form>Your name <input></form></body>") == want
+    inner = f"<article><p>{text}</p><section id='search'><p>{text}</p></section><div id='comments'><p>Nice! {text}</p></div><div class='share'>Tell others</div></article>"
+    assert html_text.main_text(f"<body>{inner}</body>") == f"{text.strip()}\n{text.strip()}"
+
+
+def test_html_of_stray_and_open_tags_takes_linear_time():
+    def seconds(n):
+        started = time.process_time()
+        for page in ("<div>" * n + "</section>" * n, "<b><div>" + "<i>" * n + "</b>" * n, "<b>" * n + "<h1>" * n + "x", "<li>" * n + "</ul>" * n, "<p><span>" * n):
+            html_text.main_text(page)
+        return time.process_time() - started
+
+    seconds(1000)
+    assert seconds(16_000) < 16 * seconds(2_000) + 1
+
+
 def test_quote_levels():
     text = "On Monday Ann wrote:\n> > deep\n> shallow\n\nMy answer."
     assert quotes.parse(text) == [(2, "deep"), (1, "shallow"), (0, ""), (0, "My answer.")]

@@ -2,13 +2,16 @@
 
 Rules find e-mail addresses, IPv4 addresses, card numbers and phone numbers.  These seeds
 induce lexical patterns: the two words to the left and the kind of the identifier.  Patterns
-and identifier-like instances form a graph, and Spark scores it in turns: a pattern is as good
-as the mean score of its distinct instances, an unseen instance as good as its best pattern.
-Patterns with enough distinct seeds and a high score discover unseen identifiers (numbers and
-addresses that the rules miss) wherever they occur.
-
-Spans depend on a text alone: a null or empty text has none, repeated rows get the same.
-Positions are code points, ends are exclusive.
+and identifier-like instances form a graph, and Spark scores it in turns: a pattern's score is
+the mean over its distinct instances, where one that is known counts 1 and one that is
+undecided counts half.  Patterns with enough known instances in enough texts and a high score
+are trusted; all their instances become known, and support is counted anew over all patterns,
+until nothing is added.  What stands in a trusted pattern is discovered wherever it occurs:
+numbers and addresses that the rules miss.
+
+Spans depend on the texts alone: a null or empty text has none, repeated rows get the same and
+count once, other columns are carried along; an empty table gives an empty table.  Positions
+are code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import TEXT_ROWS, pieces, stored
+from tidewatch.llm.common import TEXT_ROWS, looked_up, pieces, stored
 
 KINDS = ("email", "ip", "card", "phone")
 AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -41,9 +44,10 @@ LIKE = (
 LEFT = re.compile(r"(\S+)\s+(\S+)[\s\"'(\[<]*$")
 #: characters to the left that hold the context words
 REACH = 80
+#: known instances, and texts that they are in, of a trusted pattern; its score, and that of an undecided instance
 SEEDS = 5
-SCORE = 0.9
-TURNS = 3
+SCORE = 0.75
+UNDECIDED = 0.5
 
 
 def luhn(digits: str) -> bool:
@@ -124,7 +128,30 @@ def occurrences(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(task, "key long, start long, end long, kind int, pattern string, instance string, seed boolean")
 
 
-def discovered(docs: DataFrame, text: str = "text", turns: int = TURNS, seeds: int = SEEDS, score: float = SCORE) -> DataFrame:
+def trusted_patterns(edges: DataFrame, seeds: int = SEEDS, score: float = SCORE) -> DataFrame:
+    """(pattern): those trusted at the end of the bootstrap over edges (pattern, item, seed, some_key).
+
+    Edges are distinct; patterns that could not be trusted if all their instances were known are
+    left out first.  Known instances only grow, so the turns come to an end.
+    """
+    able = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.countDistinct("some_key").alias("texts"))
+    able = able.where((F.col("n") >= seeds) & (F.col("texts") >= seeds)).select("pattern", F.lit(True).alias("able"))
+    edges = stored(looked_up(edges, able, "pattern").where("able").drop("able"), "edges")
+    known = stored(edges.where("seed").select("item").distinct(), "known")
+    n = known.count()
+    while True:
+        marked = looked_up(edges, known.withColumn("ok", F.lit(True)), "item")
+        worth = (F.count("ok") + UNDECIDED * (F.count("*") - F.count("ok"))) / F.count("*")
+        scored = marked.groupBy("pattern").agg(F.count("ok").alias("support"), F.countDistinct(F.when(F.col("ok"), F.col("some_key"))).alias("texts"), worth.alias("worth"))
+        good = (F.col("support") >= seeds) & (F.col("texts") >= seeds) & (F.col("worth") >= score)
+        trusted = stored(scored.where(good).select("pattern", F.lit(True).alias("trusted")), "patterns")
+        known = stored(known.union(looked_up(edges, trusted, "pattern").where("trusted").select("item")).distinct(), "known")
+        before, n = n, known.count()
+        if n == before:
+            return trusted
+
+
+def discovered(docs: DataFrame, text: str = "text", seeds: int = SEEDS, score: float = SCORE) -> DataFrame:
     """(key, more): the spans that patterns add to a text, as an array of (start, kind, end).
 
     The key is the text's hash; texts without a discovery have no row.
@@ -133,18 +160,13 @@ def discovered(docs: DataFrame, text: str = "text", turns: int = TURNS, seeds: i
     found = stored(occurrences(texts), "occurrences", TEXT_ROWS)
     # distinct pairs with a hash of the instance: the graph's edges
     edges = found.groupBy("pattern", F.xxhash64("instance", "kind").alias("item")).agg(F.max("seed").alias("seed"), F.min("key").alias("some_key"))
-    good = edges.groupBy("pattern").agg(F.count(F.when(F.col("seed"), 1)).alias("seeds"), F.countDistinct(F.when(F.col("seed"), F.col("some_key"))).alias("texts"))
-    edges = stored(edges.join(good.where(f"seeds >= {seeds} and texts >= {seeds}").select("pattern"), "pattern"), "edges")
-    items = edges.groupBy("item").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for _ in range(turns):
-        patterns = edges.join(items, "item").groupBy("pattern").agg(F.avg("score").alias("worth"))
-        best = edges.join(patterns, "pattern").groupBy("item").agg(F.max("worth").alias("worth"), F.max("seed").alias("seed"))
-        items = stored(best.select("item", F.when(F.col("seed"), 1.0).when(F.col("worth") >= score, F.col("worth")).otherwise(0.0).alias("score")), "scores")
-    trusted = edges.join(items, "item").groupBy("pattern").agg(F.avg("score").alias("worth")).where(F.col("worth") >= score).select("pattern")
-    spans = found.where("not seed").join(trusted, "pattern").groupBy("key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more"))
-    return stored(spans, "discovered")
+    trusted = trusted_patterns(stored(edges, "pairs"), seeds, score)
+    spans = looked_up(found.where("not seed"), trusted, "pattern").where("trusted")
+    return stored(spans.groupBy("key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more")), "discovered")
 
 
+#: names of two columns while texts are joined with what patterns add to them
+KEY, MORE = "__pii_key", "__pii_more"
 SPANS = "array<struct<start:bigint,kind:string,end:bigint,found:string>>"
 
 
@@ -157,13 +179,13 @@ def spans_of(text: str | None, more: list[dict] | None) -> list[dict]:
 
 def with_discovered(docs: DataFrame, text: str) -> DataFrame:
     """The rows and, last, what patterns add to their texts."""
-    extra = discovered(docs, text).select(F.col("key").alias("__key"), F.col("more").alias("__more"))
-    return docs.join(extra, F.xxhash64(docs[text]) == extra["__key"], "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__more")
+    extra = discovered(docs, text).select(F.col("key").alias(KEY), F.col("more").alias(MORE))
+    return docs.join(extra, F.xxhash64(docs[text]) == extra[KEY], "left").select(*[docs[f"`{c}`"] for c in docs.columns], extra[MORE])
 
 
 def read_spans(piece: pa.RecordBatch, text: str) -> tuple[list[str | None], list[list[dict]]]:
     """The texts of a piece of :func:`with_discovered`, and all spans of each."""
-    texts, more = (piece.column(piece.schema.get_field_index(c)).to_pylist() for c in (text, "__more"))
+    texts, more = (piece.column(k).to_pylist() for k in (piece.schema.get_field_index(text), piece.num_columns - 1))
     return texts, [spans_of(t, m) for t, m in zip(texts, more)]
 
 
