@@ -146,6 +146,14 @@ def test_deferred_emit(spark, feed, scratch):
     assert values(real(ours), *columns) == values(real(expected), *columns)
 
 
+def test_deferred_emit_spread_over_shards(spark, feed, scratch):
+    out = pipelines.deferred_emit(stream(spark, feed), "hospital", "ts", stay(), ["event_id", "user_id"], "1 hour", spread="event_id", shards=3)
+    ours = drain(out, "deferred_shards", scratch)
+    expected = occupancy.deferred_emit(batch(spark, feed), "ts", stay(), until(batch(spark, feed)))
+    columns = ("hospital", "event_id", "due_time")
+    assert values(real(ours), *columns) == values(real(expected), *columns) and set(ours.columns) == {"event_id", "user_id", "hospital", "due_time"}
+
+
 def test_deferred_slot_overwrites(spark, feed, scratch):
     ours = drain(pipelines.deferred_slot(stream(spark, feed), "user_id", "ts", stay(), ["event_id"]), "slot", scratch)
     rows = batch(spark, feed).select("user_id", "event_id", "ts", "cents")
@@ -206,7 +214,7 @@ def test_news2(spark, feed, scratch):
     )
     rows = coded(batch(spark, feed))
     scores = vitals.news2_changes(rows, "user_id", "ts", "code", "v", ["event_id"], "5 days")
-    columns = ("user_id", "ts", "total", "band")
+    columns = ("user_id", "ts", "total", "band", *[f"{code.lower()}_points" for code in news2.VITALS])
     got = values(real(ours).where("tag = 'score'"), *columns)
     assert got == values(real(scores), *columns)
     assert len(got) > 50

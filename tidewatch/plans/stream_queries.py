@@ -78,7 +78,7 @@ def stream_interval_join(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stream_deferred_emit(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.admissions(spark, folder, inputs.event_stream(spark, folder))
-    emitted = pipelines.deferred_emit(rows, "hospital", "ts", inputs.stay_ms(), ["event_id"], slot="1 day")
+    emitted = pipelines.deferred_emit(rows, "hospital", "ts", inputs.stay_ms(), ["event_id"], slot="1 hour", spread="event_id", shards=16)
     return drained(spark, "stream_deferred_emit", emitted)
 
 
@@ -88,7 +88,7 @@ def stream_deferred_emit(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stream_occupancy_alerts(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.admissions(spark, folder, inputs.event_stream(spark, folder))
-    alerts = pipelines.occupancy_alerts(rows, "hospital", "ts", inputs.stay_ms(), "capacity", "region", "event_id", slot="1 day")
+    alerts = pipelines.occupancy_alerts(rows, "hospital", "ts", inputs.stay_ms(), "capacity", "region", "event_id", slot="1 hour", shards=4)
     return drained(spark, "stream_occupancy_alerts", alerts).withColumnRenamed("tie", "event_id")
 
 

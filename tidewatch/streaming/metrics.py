@@ -1,10 +1,12 @@
-"""Counters of a running query: observed on the rows, read from the query's progress."""
+"""Counters of a running query: observed on the rows, read from its progress, or kept with its batches."""
 
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
@@ -75,3 +77,32 @@ def state_rows(query: StreamingQuery) -> int:
     """Rows in the query's state store after its last batch."""
     progress = query.lastProgress
     return sum(op["numRowsTotal"] for op in progress["stateOperators"]) if progress else 0
+
+
+def keeping(path: str, consume: Callable[[DataFrame, int], None], **counters: Column) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that delivers a batch and keeps its counters below ``path``.
+
+    Each batch has a folder of its own with one row, written after the batch was delivered; a batch
+    that is delivered again after a failure or a restart replaces its row.  So totals are exact
+    over stops, replays and restarts, whichever driver runs the query.  Use one path for each
+    query, beside its checkpoint, on storage that outlives the driver.
+    """
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            consume(batch, batch_id)
+            row = batch.agg(*[column.cast("bigint").alias(name) for name, column in counters.items()])
+            row.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return deliver
+
+
+def kept_totals(spark: SparkSession, path: str, *names: str, upto: int | None = None) -> dict[str, int]:
+    """Totals of the counters kept below ``path``, of all batches or those up to a batch id."""
+    kept = spark.read.option("basePath", path).schema(", ".join([*[f"{n} bigint" for n in names], "batch bigint"])).parquet(path)
+    kept = kept if upto is None else kept.where(F.col("batch") <= upto)
+    row = kept.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+    return row.asDict()

@@ -43,21 +43,26 @@ def _at(df: DataFrame, ts: str = "ts", us: str = "us") -> DataFrame:
 
 
 def occupancy_alerts(
-    admissions: DataFrame, key: str, ts: str, wait_ms: Column, capacity: str, region: str, tie: str, slot: str = SLOT
+    admissions: DataFrame, key: str, ts: str, wait_ms: Column, capacity: str, region: str, tie: str, slot: str = SLOT, shards: int = 16
 ) -> DataFrame:
-    """Admissions in, status changes out.  Both steps of a stay go to one processor as pending rows.
+    """Admissions in, status changes out, when the watermark passes them.
 
-    The stay is a pure function of the row, so no second stateful operator has to run in
-    step with this one; results come when the watermark passes them.
+    The stay is a pure function of the row, so both steps of a stay are known on arrival.  They
+    wait in ``shards`` parts of each key; the key's own state only sees steps whose time has come.
     """
     start = F.unix_micros(F.col(ts))
     plus = F.struct(start.alias("us"), F.lit(-1).alias("last"))
     minus = F.struct((start + wait_ms * 1000).alias("us"), F.lit(1).alias("last"))
     steps = admissions.where(F.col(capacity) > 0).withColumn("__step", F.explode(F.array(plus, minus)))
     rows = steps.select(
-        key, ts, "__step.us", "__step.last", F.col(tie).alias("tie"), F.col(capacity).alias("capacity"), F.col(region).alias("region")
+        key, F.pmod(F.xxhash64(F.col(tie)), F.lit(shards)).alias("shard"), ts, "__step.us", "__step.last", F.col(tie).alias("tie"),
+        F.col(capacity).alias("capacity"), F.col(region).alias("region"),
+    )
+    waiting = p.ReleasedSteps(key, _ms(slot))
+    released = rows.groupBy(key, "shard").transformWithStateInPandas(
+        statefulProcessor=waiting, outputStructType=waiting.OUTPUT.format(key=key), outputMode="append", timeMode="EventTime", eventTimeColumnName="due"
     )
-    out = run(rows, key, p.OccupancyMonitor(key, _ms(slot)), p.OccupancyMonitor.OUTPUT.format(key=key))
+    out = run(released, key, p.OccupancyMonitor(key), p.OccupancyMonitor.OUTPUT.format(key=key), time="None")
     return _at(out).withColumn("occupancy_pct", F.col("occupied").cast("double") / F.col("capacity") * 100.0)
 
 
@@ -68,12 +73,24 @@ def capacity_alerts(admissions: DataFrame, key: str, ts: str, capacity: str, tie
     return _at(run(rows, key, p.CapacityAlert(key, ratio), output, time="None"))
 
 
-def deferred_emit(df: DataFrame, key: str, ts: str, wait_ms: Column, payload: Sequence[str], slot: str = SLOT) -> DataFrame:
-    """Every row again once the watermark reaches its event time plus ``wait_ms``."""
-    kinds = [(c, _kind(df, c)) for c in payload]
-    rows = df.select(key, ts, (F.unix_micros(F.col(ts)) + wait_ms * 1000).alias("us"), *payload)
-    output = ", ".join([f"{key} {_kind(df, key)}", "us bigint", *[f"{n} {k}" for n, k in kinds]])
-    return _at(run(rows, key, p.DeferredEmit(key, kinds, _ms(slot)), output), "due_time")
+def deferred_emit(df: DataFrame, key: str, ts: str, wait_ms: Column, payload: Sequence[str], slot: str = SLOT, spread: str | None = None, shards: int = 64) -> DataFrame:
+    """Every row again once the watermark reaches its event time plus ``wait_ms``.
+
+    Rows wait per ``key``.  Where keys are few and busy, rows wait in ``shards`` parts by a hash of
+    the column ``spread`` instead, and the key goes along.
+    """
+    held = [*payload, key] if spread else list(payload)
+    kinds = [(c, _kind(df, c)) for c in held]
+    due = (F.unix_micros(F.col(ts)) + wait_ms * 1000).alias("us")
+    if spread:
+        place, kind = "__shard", "bigint"
+        rows = df.select(F.pmod(F.xxhash64(spread), F.lit(shards)).alias(place), ts, due, *held)
+    else:
+        place, kind = key, _kind(df, key)
+        rows = df.select(key, ts, due, *held)
+    output = ", ".join([f"{place} {kind}", "us bigint", *[f"{n} {k}" for n, k in kinds]])
+    out = _at(run(rows, place, p.DeferredEmit(place, kinds, _ms(slot)), output), "due_time")
+    return out.drop(place) if spread else out
 
 
 def deferred_slot(df: DataFrame, key: str, ts: str, wait_ms: Column, payload: Sequence[str]) -> DataFrame:
@@ -129,7 +146,8 @@ def news2_scores(
     """Score changes (tag ``score``) and missing-sign notices (tag ``unavailable``)."""
     points = news2.points_by_code(F.col(code), F.col(value).cast("double")).alias("points")
     rows = df.select(patient, ts, micros(ts), F.col(tie).alias("tie"), F.col(code).alias("code"), points).where(F.col("points").isNotNull())
-    output = f"{patient} {_kind(df, patient)}, us bigint, tie bigint, tag string, total int, band string, missing string"
+    signs = ", ".join(f"{sign.lower()}_points int" for sign in p.News2Scorer.SIGNS)
+    output = f"{patient} {_kind(df, patient)}, us bigint, tie bigint, tag string, total int, band string, missing string, {signs}"
     scorer = p.News2Scorer(patient, span_us(fresh_for), span_us(notice_every), span_us(evict_after), _ms(slot))
     return _at(run(rows, patient, scorer, output))
 

@@ -117,36 +117,57 @@ class Buffered(StatefulProcessor):
         pass
 
 
-class OccupancyMonitor(Buffered):
-    """Beds in use per key and its status changes; rows are (us, last, tie, capacity, region)."""
+class ReleasedSteps(Buffered):
+    """Pending steps of a shard, passed on when the watermark reaches them; rows are (us, last, tie, capacity, region)."""
 
     order = 3
-    OUTPUT = "{key} string, region string, us bigint, tie bigint, previous_status string, status string, occupied bigint, capacity int"
+    OUTPUT = "{key} string, due timestamp, us bigint, last int, tie bigint, capacity int, region string"
 
     def __init__(self, key: str, slot_ms: int):
         super().__init__(key, [("last", "int"), ("tie", "bigint"), ("capacity", "int"), ("region", "string")], slot_ms)
 
+    def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
+        for us, last, tie, capacity, region in rows:
+            yield {self.key: key[0], "due": pd.Timestamp(us, unit="us"), "us": us, "last": last, "tie": tie, "capacity": capacity, "region": region}
+
+
+class OccupancyMonitor(StatefulProcessor):
+    """Beds in use per key and its status changes, from released steps.
+
+    All shards of a key release what the watermark has reached in one micro-batch, and later
+    batches hold later steps, so a batch's steps are put in order and applied; nothing waits here
+    and the state of a key is two numbers and a status.
+    """
+
+    OUTPUT = "{key} string, region string, us bigint, tie bigint, previous_status string, status string, occupied bigint, capacity int"
+
+    def __init__(self, key: str):
+        self.key = key
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
         self.occupied = handle.getValueState("occupiedBeds", "n bigint, underflows bigint")
         self.status = handle.getValueState("bedOccupancyStatus", "status string")
 
-    def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n, underflows = self.occupied.get() if self.occupied.exists() else (0, 0)
         status = self.status.get()[0] if self.status.exists() else "NORMAL"
-        for us, last, tie, capacity, region in rows:
+        steps = pd.concat(list(rows)).sort_values(["us", "last", "tie"])
+        out = []
+        for us, last, tie, capacity, region in steps[["us", "last", "tie", "capacity", "region"]].itertuples(index=False):
             n -= last
             if n < 0:
                 n, underflows = 0, underflows + 1
             after = next_status(status, n / capacity)
             if after != status:
-                yield {
-                    self.key: key[0], "region": region, "us": us, "tie": tie, "previous_status": status,
-                    "status": after, "occupied": n, "capacity": capacity,
-                }
+                out.append((key[0], region, us, tie, status, after, n, capacity))
             status = after
-        self.occupied.update((n, underflows))
+        self.occupied.update((int(n), int(underflows)))
         self.status.update((status,))
+        if out:
+            yield pd.DataFrame(out, columns=[self.key, "region", "us", "tie", "previous_status", "status", "occupied", "capacity"])
+
+    def close(self) -> None:
+        pass
 
 
 def next_status(status: str, ratio: float) -> str:
@@ -394,10 +415,11 @@ class News2Scorer(Buffered):
                     noticed = us
                     yield self.output(key, us, tie, "unavailable", None, None, ",".join(missing))
                 continue
-            score = self.score([signs[c][1] for c in self.SIGNS])
+            points = [signs[c][1] for c in self.SIGNS]
+            score = self.score(points)
             if score != last:
                 last = score
-                yield self.output(key, us, tie, "score", *score, None)
+                yield self.output(key, us, tie, "score", *score, None, points)
         signs = {c: v for c, v in signs.items() if up_to_ms(v[0] + self.evict_us) > ms}
         for code in before.keys() - signs.keys():
             self.latest.removeKey((code,))
@@ -420,8 +442,9 @@ class News2Scorer(Buffered):
             return total, "MEDIUM"
         return total, "LOW-MEDIUM" if 3 in points else "LOW"
 
-    def output(self, key, us, tie, tag, total, band, missing) -> dict:
-        return {self.key: key[0], "us": us, "tie": tie, "tag": tag, "total": total, "band": band, "missing": missing}
+    def output(self, key, us, tie, tag, total, band, missing, points=(None,) * len(SIGNS)) -> dict:
+        named = {f"{c.lower()}_points": p for c, p in zip(self.SIGNS, points)}
+        return {self.key: key[0], "us": us, "tie": tie, "tag": tag, "total": total, "band": band, "missing": missing, **named}
 
 
 class Pager(Buffered):
