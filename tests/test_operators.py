@@ -450,6 +450,35 @@ def test_many_rule_versions_need_no_row_id(spark):
     assert sorted(r["rule_max"] for r in found.collect()) == [7.0, 19_999.0]
 
 
+@pytest.mark.parametrize("hot_rows", [None, 40])
+def test_matching_in_order_equals_matching_by_buckets(spark, hot_rows):
+    """All in one hour and over ten years, wards with and without rules of their own, rules that move, ties, nulls."""
+    rng = random.Random(8)
+
+    def moment(dense):
+        return rng.randrange(3_600_000) if dense else rng.randrange(10 * 365 * 86_400_000)
+
+    for dense in (True, False):
+        feed = []
+        for k in range(250):
+            rule, ward, vital = f"R{rng.randrange(9)}", rng.choice(["*", "A", "B"]), rng.choice(["HR", "SPO2"])
+            feed.append((moment(dense), f"RULE|UPSERT|{rule}|{ward}|{vital}|{rng.randrange(50)}|{rng.randrange(50, 100)}|60|LOW" if rng.random() < 0.7 else f"RULE|DELETE|{rule}"))
+        feed += [(feed[0][0], "RULE|UPSERT|R0|*|HR|1|2|60|LOW"), (feed[0][0], "RULE|UPSERT|R0|A|HR|3|4|60|LOW")]
+        parsed = commands(spark, *feed).withColumn("tie", F.monotonically_increasing_id())
+        defaults = spark.createDataFrame([("D", "*", "HR", 0.0, 9.0, 60, "LOW"), ("E", "A", "HR", 0.0, 8.0, 60, "LOW")], "ruleId string, wardId string, vitalCode string, min double, max double, sustainSeconds int, severity string")
+        held = rules.rule_set(rules.versions(parsed, ["ruleId"], "ts", rules.RULE_FIELDS, ["tie"]), defaults).cache()
+        times = [t for t, _ in feed]
+        points = [(f"P{k}", rng.choice(["A", "B", "C", None, "*"]), rng.randrange(100), rng.choice(times) if rng.random() < 0.3 else moment(dense)) for k in range(400)]
+        readings = hr(spark, *points).withColumn("vitalCode", F.when(F.col("value") < 70, "HR").otherwise("SPO2"))
+        readings = readings.union(readings.limit(5)).union(readings.limit(5).withColumn("ts", F.lit(None).cast("timestamp"))).cache()
+        got = rules.match_in_order(readings, held, "ts", hot_rows)
+        want = rules.match_rules(readings, held, "ts", "1 minute" if dense else "100 days")
+        assert got.columns == want.columns
+        rows_of = [sorted((tuple(r) for r in df.collect()), key=repr) for df in (got, want)]
+        assert rows_of[0] == rows_of[1] and len(rows_of[0]) > 300
+    assert rules.match_in_order(readings.limit(0), held, "ts").isEmpty() and rules.match_in_order(readings, held.limit(0), "ts").isEmpty()
+
+
 def test_deleted_rule_does_not_fire(spark):
     feed = commands(spark, (0, "RULE|UPSERT|R-HR|*|HR|0|120|60|HIGH"), (30_000, "RULE|DELETE|R-HR"), (40_000, "RULE|UPSERT|R-HR|*|HR|0|120|60|HIGH"))
     held = rules.versions(feed, ["ruleId"], "ts", rules.RULE_FIELDS)

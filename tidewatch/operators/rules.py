@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.registry import small_side
 from tidewatch.operators.detect import sustained_breach
-from tidewatch.operators.timeline import Timeline, latest, previous
+from tidewatch.operators.timeline import Timeline, latest, previous, total
 from tidewatch.operators.windows import span_us
 
 ANY_WARD = "*"
 #: narrow copies of rule versions, a few MB, up to which the rule side carries a broadcast hint
 BROADCAST_COPIES = 50_000
+#: before all times, in microseconds; its negative is after all times
+NEVER_US = -(2**55)
 RECORD = ["ruleId", "wardId", "min", "max", "sustainSeconds", "severity", "valid_from", "valid_to", "life_end"]
 RULE_FIELDS = ["wardId", "vitalCode", "min", "max", "sustainSeconds", "severity"]
 
@@ -109,13 +111,55 @@ def match_rules(readings: DataFrame, rules: DataFrame, ts: str, bucket: str = "1
     return joined.select(*readings.columns, F.col("__rule.ruleId").alias("ruleId"), *[c.alias(n) for n, c in chosen.items()])
 
 
+def match_in_order(readings: DataFrame, rules: DataFrame, ts: str, hot_rows: int | None = None) -> DataFrame:
+    """The same matches as :func:`match_rules`, for bounded readings under very many versions.
+
+    Nothing is copied or packed: changes and readings lie on one timeline.  Per vital and ward a
+    running count of the ward's rules in force tells whether they override the ``*`` rules; per
+    rule, the latest version at a reading is the one it meets.  So a dense hour or a long history
+    costs its rows, cut along time where they are many, and a version is one row however long it
+    holds.  A reading is repeated once per rule of its vital and ward (or ``*``), before it is
+    known which of them are in force.
+    """
+    always = F.timestamp_micros(F.lit(NEVER_US))
+    started = F.coalesce(F.col("valid_from"), always)
+    timed = readings.where(F.col(ts).isNotNull())
+
+    # is any rule of the reading's own ward in force?
+    own = rules.where(F.col("wardId") != ANY_WARD)
+    opened = own.select("vitalCode", "wardId", started.alias("__at"), F.lit(1).cast("bigint").alias("__step"))
+    closed = own.where("valid_to is not null").select("vitalCode", "wardId", F.col("valid_to").alias("__at"), F.lit(-1).cast("bigint").alias("__step"))
+    changes = opened.union(closed).withColumn("__turn", F.lit(0))
+    met = timed.withColumns({"__at": F.col(ts), "__step": F.lit(0).cast("bigint"), "__turn": F.lit(1)})
+    line = Timeline.of(met.unionByName(changes, allowMissingColumns=True), ["vitalCode", "wardId"], "__at", ["__turn"], hot_rows)
+    counted = line.scan(__open=total("__step")).frame().where("__turn = 1")
+    target = F.when(F.col("__open") > 0, F.col("wardId")).otherwise(F.lit(ANY_WARD))
+    asked = counted.select(*readings.columns, target.alias("__ward"))
+
+    names = rules.select(F.col("vitalCode").alias("__v"), F.col("wardId").alias("__w"), F.col("ruleId").alias("__rule")).distinct()
+    spread = asked.join(small_side(names, 10_000), (F.col("vitalCode") == F.col("__v")) & (F.col("__ward") == F.col("__w"))).drop("__ward")
+
+    last = F.coalesce(F.unix_micros("valid_to"), F.lit(-NEVER_US))
+    held = rules.select(
+        F.col("vitalCode").alias("__v"), F.col("wardId").alias("__w"), F.col("ruleId").alias("__rule"), started.alias("__at"), F.lit(0).alias("__turn"),
+        last.alias("__tie"), F.struct("min", "max", "sustainSeconds", "severity", "valid_to", "life_end").alias("__version"),
+    )
+    copies = spread.withColumns({"__at": F.col(ts), "__turn": F.lit(1), "__tie": F.lit(0).cast("bigint")})
+    line = Timeline.of(copies.unionByName(held, allowMissingColumns=True), ["__v", "__w", "__rule"], "__at", ["__turn", "__tie"], hot_rows)
+    found = line.scan(__now=latest("__version")).frame().where("__turn = 1")
+    found = found.where(F.col("__now").isNotNull() & (F.col("__now.valid_to").isNull() | (F.col(ts) < F.col("__now.valid_to"))))
+    chosen = [F.col(f"__now.{c}").alias(f"rule_{c}") for c in ("min", "max", "sustainSeconds", "severity", "life_end")]
+    matched = found.select(*readings.columns, F.col("__rule").alias("ruleId"), *chosen)
+    return matched.unionByName(match_rules(readings.where(F.col(ts).isNull()), rules.where("valid_from is null and valid_to is null"), ts))
+
+
 def outside(value: Column, low: Column, high: Column) -> Column:
     return (value < low) | (value > high)
 
 
-def threshold_alerts(readings: DataFrame, rules: DataFrame, ts: str, bucket: str = "1 day") -> DataFrame:
-    """Reading x matching rule whose value is outside [min, max]."""
-    matched = match_rules(readings, rules, ts, bucket)
+def threshold_alerts(readings: DataFrame, rules: DataFrame, ts: str, bucket: str = "1 day", ordered: bool = False) -> DataFrame:
+    """Reading x matching rule whose value is outside [min, max]; ``ordered`` for very many rule versions."""
+    matched = match_in_order(readings, rules, ts) if ordered else match_rules(readings, rules, ts, bucket)
     return matched.where(outside(F.col("value"), F.col("rule_min"), F.col("rule_max")))
 
 

@@ -542,7 +542,7 @@ def changing_rules(spark: SparkSession, folder: str) -> DataFrame:
 )
 def threshold_alerts_large(spark: SparkSession, folder: str) -> DataFrame:
     """Alerts under a rule table that has as many versions as there are readings."""
-    alerts = rules.threshold_alerts(ward_readings(spark, folder), changing_rules(spark, folder), "ts", "1 hour")
+    alerts = rules.threshold_alerts(ward_readings(spark, folder), changing_rules(spark, folder), "ts", ordered=True)
     return alerts.select("event_id", "patientId", "ruleId", "value")
 
 
