@@ -200,9 +200,10 @@ class Session:
 def test_checkpoint_folder_follows_the_cluster_setting():
     shared = {"spark.checkpoint.dir": "hdfs:///shared/"}
     assert checkpoint_folder(Session("yarn", **shared), "q") == "hdfs:///shared/q"
-    assert checkpoint_folder(Session("local[2]"), "q").endswith("/q")
-    with pytest.raises(ValueError):
-        checkpoint_folder(Session("yarn"), "q")
+    assert checkpoint_folder(Session("local[2]"), "q").endswith("/q") and checkpoint_folder(Session("local"), "q").endswith("/q")
+    for master in ("yarn", "local-cluster[2,1,1024]"):  # executors of their own see no folder of the driver
+        with pytest.raises(ValueError):
+            checkpoint_folder(Session(master), "q")
 
 
 def test_sustained_rule_breach_stream(spark, scratch, tmp_path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -102,12 +103,17 @@ def suppress_repeats(
         need = 0
         for batch in batches:
             picked = []
-            for i, (us, opens, enter) in enumerate(zip(batch["__us"].tolist(), batch["__first"].tolist(), batch["__enter"].tolist())):
-                if opens:
-                    need = enter
-                if us >= need:
-                    picked.append(i)
-                    need = us + step
+            us, enter, opens = batch["__us"].tolist(), batch["__enter"].tolist(), batch["__first"].to_numpy()
+            cuts = [0, *(k for k in opens.nonzero()[0].tolist() if k), len(us)]
+            for start, end in zip(cuts[:-1], cuts[1:]):
+                if start < end and opens[start]:
+                    need = enter[start]
+                # from one kept row to the next, over what lies between
+                at = bisect_left(us, need, start, end)
+                while at < end:
+                    picked.append(at)
+                    need = us[at] + step
+                    at = bisect_left(us, need, at + 1, end)
             yield batch.iloc[picked][names]
 
     return marked.mapInPandas(keep, out)

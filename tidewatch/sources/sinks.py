@@ -11,6 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def one_machine(master: str) -> bool:
+    """Whether driver and tasks are one process, so that a local folder is seen by all."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_folder(spark: SparkSession, name: str) -> str:
     """A folder for one query's offsets and state under the shared checkpoint folder.
 
@@ -20,7 +25,7 @@ def checkpoint_folder(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get(CHECKPOINT_CONF, None)
     if shared:
         return f"{shared.rstrip('/')}/{name}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_machine(spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
     return f"{tempfile.mkdtemp(prefix='tidewatch-')}/{name}"
 
