@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
+from tidewatch.sources.sinks import CHECKPOINT_CONF, one_machine
 
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -125,16 +125,21 @@ def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+#: folders made for applications on one machine that name none
+OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; a fresh local one only on a local master."""
-    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    """The folder that all executors share; a fresh local one only where driver and tasks are one process."""
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not one_machine(context.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidewatch-llm-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    if context.applicationId not in OWN_FOLDERS:
+        OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tidewatch-llm-")
+    return OWN_FOLDERS[context.applicationId]
 
 
 def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
@@ -157,13 +162,27 @@ def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame
     return back
 
 
-def dropped(df: DataFrame) -> None:
-    """Remove a table made by :func:`stored` that nothing reads any more."""
-    path = getattr(df, "_tidewatch_path", None)
-    if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables made by :func:`stored` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_tidewatch_path", None)
+        if path:
+            jvm = df.sparkSession.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Remove all intermediate tables in the shared folder that a job may have left.
+
+    Results that were not written yet read some of them, so call it when results are written and
+    no other job uses the folder.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "tidewatch-*-*")) or []:
+        files.delete(status.getPath(), True)
 
 
 #: low bits that hold a row's place in its partition in a number from monotonically_increasing_id

@@ -40,7 +40,7 @@ def digest(edges: DataFrame) -> tuple:
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, label) for every linked node; the label is the smallest node it reaches.
+    """(node, label) for every linked node, as a stored table; the label is the smallest node it reaches.
 
     Links may repeat and point either way; a link of a node to itself and a link with a
     null end say nothing.  Steps are logarithmic in the longest path; each result is written
@@ -55,6 +55,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         edges, before, seen = after, seen, digest(after)
         if before == seen:
             break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    )
+    nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    labels = stored(nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()), "labels")
+    dropped(edges)
+    return labels

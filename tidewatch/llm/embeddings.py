@@ -321,7 +321,7 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
     full_a = nodes.select(F.col("id").alias("a"), F.col("vec").alias("vec_a"))
     full_b = nodes.select(F.col("id").alias("b"), F.col("vec").alias("vec_b"))
     decided = dots(unsure.join(full_a, "a").join(full_b, "b"), cosine)
-    labels = stored(components(found.where("sure").select("a", "b").union(decided)), "labels")
+    labels = components(found.where("sure").select("a", "b").union(decided))
 
     counts = link_counts(nodes, labels, cosine).select("dim", "vec", "label", "links")
     alone = nodes.where("rows > 1").join(labels, nodes["id"] == labels["node"], "left_anti")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import LOWER, TEXT_ROWS, find_words, mix64, pieces, segment_hashes, stored, text_bytes
+from tidewatch.llm.common import LOWER, TEXT_ROWS, dropped, find_words, mix64, pieces, segment_hashes, stored, text_bytes
 from tidewatch.llm.components import components
 
 REGISTERS = 128
@@ -357,12 +357,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     items = stored(full_sets(docs, members.select("rep").distinct(), doc_id, text, size), "items", TEXT_ROWS)
 
     stars = members.where("rep > centre").select(F.col("centre").alias("x"), F.col("rep").alias("y")).distinct()
-    links = stored(confirmed(stored(estimated(stars, sets, threshold), "pairs"), items, percent), "links", SET_ROWS)
-    labels = stored(components(links, "x", "y"), "labels")
-
-    groups = families(members, sets, labels, threshold)
-    more = stored(family_links(groups, sets, labels, items, percent), "links", SET_ROWS)
-    labels = stored(components(links.union(more), "x", "y"), "labels")
+    pairs = stored(estimated(stars, sets, threshold), "pairs")
+    links = stored(confirmed(pairs, items, percent), "links", SET_ROWS)
+    first = components(links, "x", "y")
+
+    groups = families(members, sets, first, threshold)
+    more = stored(family_links(groups, sets, first, items, percent), "links", SET_ROWS)
+    labels = components(links.union(more), "x", "y")
+    dropped(members, items, pairs, links, first, groups, more)
 
     known = sets.select("sum_a", "sum_b", "n", "rep").join(labels, sets["rep"] == labels["node"], "left")
     known = known.select("sum_a", "sum_b", "n", F.coalesce("label", "rep").alias("label"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import TEXT_ROWS, looked_up, pieces, stored
+from tidewatch.llm.common import TEXT_ROWS, dropped, looked_up, pieces, stored
 
 KINDS = ("email", "ip", "card", "phone")
 AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -145,10 +145,13 @@ def trusted_patterns(edges: DataFrame, seeds: int = SEEDS, score: float = SCORE)
         scored = marked.groupBy("pattern").agg(F.count("ok").alias("support"), F.countDistinct(F.when(F.col("ok"), F.col("some_key"))).alias("texts"), worth.alias("worth"))
         good = (F.col("support") >= seeds) & (F.col("texts") >= seeds) & (F.col("worth") >= score)
         trusted = stored(scored.where(good).select("pattern", F.lit(True).alias("trusted")), "patterns")
-        known = stored(known.union(looked_up(edges, trusted, "pattern").where("trusted").select("item")).distinct(), "known")
-        before, n = n, known.count()
+        grown = stored(known.union(looked_up(edges, trusted, "pattern").where("trusted").select("item")).distinct(), "known")
+        dropped(known)
+        known, before, n = grown, n, grown.count()
         if n == before:
+            dropped(edges, known)
             return trusted
+        dropped(trusted)
 
 
 def discovered(docs: DataFrame, text: str = "text", seeds: int = SEEDS, score: float = SCORE) -> DataFrame:
@@ -160,9 +163,12 @@ def discovered(docs: DataFrame, text: str = "text", seeds: int = SEEDS, score: f
     found = stored(occurrences(texts), "occurrences", TEXT_ROWS)
     # distinct pairs with a hash of the instance: the graph's edges
     edges = found.groupBy("pattern", F.xxhash64("instance", "kind").alias("item")).agg(F.max("seed").alias("seed"), F.min("key").alias("some_key"))
-    trusted = trusted_patterns(stored(edges, "pairs"), seeds, score)
+    edges = stored(edges, "pairs")
+    trusted = trusted_patterns(edges, seeds, score)
     spans = looked_up(found.where("not seed"), trusted, "pattern").where("trusted")
-    return stored(spans.groupBy("key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more")), "discovered")
+    more = stored(spans.groupBy("key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more")), "discovered")
+    dropped(found, edges, trusted)
+    return more
 
 
 #: names of two columns while texts are joined with what patterns add to them

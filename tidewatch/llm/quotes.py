@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import looked_up, numbered_within, pieces, segment_hashes, stored
+from tidewatch.llm.common import dropped, looked_up, numbered_within, pieces, segment_hashes, stored
 
 MARK = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 ATTRIBUTION = re.compile(r"(?:^|\s)(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$", re.IGNORECASE)
@@ -119,7 +119,7 @@ def owners(units: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def owned_levels(units: DataFrame) -> DataFrame:
-    """(conv, turn, level, to_conv, to_turn): the owner of most quoted words of each level of a message."""
+    """(conv, turn, level, to_conv, to_turn), stored: the owner of most quoted words of each level of a message."""
     near, far = owners(units)
     near, far = stored(near, "near"), stored(far, "far")
     quoted = units.where("level > 0").groupBy("conv", "turn", "level", "hash").agg(F.max("words").alias("words"))
@@ -133,7 +133,9 @@ def owned_levels(units: DataFrame) -> DataFrame:
     votes = inside.union(outside).groupBy("conv", "turn", "level", "there").agg(F.sum("words").alias("votes"))
     rank = F.struct("votes", F.col("there.conv") == F.col("conv"), -F.col("there.conv"), F.col("there.to_turn"))
     best = votes.groupBy("conv", "turn", "level").agg(F.max_by("there", rank).alias("there"))
-    return best.select("conv", "turn", "level", F.col("there.conv").alias("to_conv"), F.col("there.to_turn").alias("to_turn"))
+    levels = stored(best.select("conv", "turn", "level", F.col("there.conv").alias("to_conv"), F.col("there.to_turn").alias("to_turn")), "levels")
+    dropped(near, far, met)
+    return levels
 
 
 def roots(nodes: DataFrame) -> DataFrame:
@@ -147,10 +149,11 @@ def roots(nodes: DataFrame) -> DataFrame:
         above = at.select(F.struct("conv", "turn").alias("at"), F.struct("root_conv", "root_turn", "depth").alias("on"))
         joined = looked_up(at.withColumn("at", F.struct(F.col("root_conv").alias("conv"), F.col("root_turn").alias("turn"))), above, "at")
         moved = (F.col("on.root_conv") != F.col("root_conv")) | (F.col("on.root_turn") != F.col("root_turn"))
-        at = stored(
+        before, at = at, stored(
             joined.select("conv", "turn", F.col("on.root_conv").alias("root_conv"), F.col("on.root_turn").alias("root_turn"), (F.col("depth") + F.col("on.depth")).alias("depth"), moved.alias("moved")),
             "threads",
         )
+        dropped(before)
         if at.where("moved").isEmpty():
             return at.drop("moved")
 
@@ -162,7 +165,8 @@ def linked(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     read = stored(parsed(rows, "text").drop("text"), "messages")
     placed = read.where("conv is not null and turn is not null")
     units = stored(placed.select("conv", "turn", F.explode("passages").alias("x")).select("conv", "turn", "x.level", "x.words", "x.hash"), "passages")
-    levels = stored(owned_levels(units), "levels")
+    levels = owned_levels(units)
+    dropped(units)
     quoted = levels.groupBy("conv", "turn").agg(
         F.min_by(F.struct("to_conv", "to_turn"), "level").alias("reply"),
         F.sort_array(F.collect_list(F.struct("level", F.col("to_conv").alias("conv"), F.col("to_turn").alias("turn")))).alias("owners"),

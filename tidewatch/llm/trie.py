@@ -101,9 +101,10 @@ def build(rows: DataFrame, members: DataFrame | None = None) -> Trie:
     met = steps.groupBy("key").agg(
         F.first("parent").alias("parent"), F.first("depth").alias("depth"), F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"), F.first("words").alias("words")
     )
-    nodes = stored(top.unionByName(met), "nodes")
-    children = nodes.where("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count("*").alias("n_children"))
-    nodes = stored(nodes.join(children, "key", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))), "nodes")
+    bare = stored(top.unionByName(met), "nodes")
+    children = bare.where("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count("*").alias("n_children"))
+    nodes = stored(bare.join(children, "key", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))), "nodes")
+    dropped(bare)
     ends = everyone.join(ended, "conv_id", "left").select(F.coalesce("key", root).alias("key"), "conv_id")
     return Trie(nodes, ends)
 
