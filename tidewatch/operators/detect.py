@@ -11,29 +11,20 @@ from tidewatch.operators.timeline import Sample, Timeline, latest, previous
 from tidewatch.operators.windows import shift, span_us
 
 
-def with_closing_rows(df: DataFrame, keys: Sequence[str], ts: str, at_us: int, flag: str = "__closing") -> DataFrame:
-    """Append one marker row per key, after all its rows and not before the watermark ``at_us``."""
-    end = F.greatest(F.max(F.unix_micros(F.col(ts))), F.lit(at_us))
-    ends = df.groupBy(*keys).agg(end.alias("__at")).select(*keys, F.timestamp_micros("__at").alias(ts), F.lit(True).alias(flag))
-    return df.withColumn(flag, F.lit(False)).unionByName(ends, allowMissingColumns=True)
-
-
 def silence_resume(df: DataFrame, keys: Sequence[str], ts: str, gap: str, until_us: int, ties: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
     """SILENT one gap after a key's last row, RESUMED at the next row; one pair per silence.
 
     A key that stays silent gives SILENT only once the watermark ``until_us`` is a gap past
     its last row.
     """
-    marked = with_closing_rows(df.select(*keys, ts, *ties), keys, ts, until_us)
-    line = Timeline.of(marked, keys, ts, ["__closing", *ties], hot_rows, measure=Sample(df)).scan(__prev=previous(ts))
+    line = Timeline.of(df.select(*keys, ts, *ties), keys, ts, ties, hot_rows, measure=Sample(df)).scan(__prev=previous(ts))
     apart = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("__prev"))
-    # a row exactly at the deadline still counts as in time; the closing mark at the deadline does not
-    quiet_at = F.unix_micros(F.col("__prev")) + span_us(gap)
-    broken = F.when(F.col("__closing"), (apart >= span_us(gap)) & (quiet_at <= F.lit(until_us))).otherwise(apart > span_us(gap))
+    # a row exactly at the deadline still counts as in time; the end of the stream at the deadline does not
     silent = F.struct(F.lit("SILENT").alias("alert"), shift("__prev", span_us(gap)).alias("alert_time"))
-    resumed = F.when(~F.col("__closing"), F.struct(F.lit("RESUMED").alias("alert"), F.col(ts).alias("alert_time")))
-    both = F.filter(F.array(silent, resumed), lambda a: a.isNotNull())
-    return line.frame().where(broken).select(*keys, F.inline(both))
+    resumed = F.struct(F.lit("RESUMED").alias("alert"), F.col(ts).alias("alert_time"))
+    broken = line.frame().where(apart > span_us(gap)).select(*keys, F.inline(F.array(silent, resumed)))
+    last = df.groupBy(*keys).agg(shift(F.max(ts), span_us(gap)).alias("alert_time")).where(F.unix_micros("alert_time") <= F.lit(until_us))
+    return broken.unionByName(last.select(*keys, F.lit("SILENT").alias("alert"), "alert_time"))
 
 
 def sustained_breach(
@@ -60,19 +51,18 @@ def sustained_breach(
     rows = df.select(
         *keys, ts, *ties, *carry, F.coalesce(breach, F.lit(False)).alias("__breach"), wait.alias("__wait"), limit.alias("__limit")
     )
-    line = Timeline.of(with_closing_rows(rows, keys, ts, until_us), keys, ts, ["__closing", *ties], hot_rows, measure=Sample(rows))
-    line = line.scan(__was=previous("__breach"))
-    opens = F.col("__breach") & ~F.coalesce(F.col("__was"), F.lit(False))
-    start = F.struct(
-        F.unix_micros(F.col(ts)).alias("us"), F.col("__wait").alias("wait"), F.col("__limit").alias("limit"), *carry
-    )
-    line = line.scan(__episode=latest(F.when(opens, start), before=True))
-    ended = F.coalesce(F.col("__was"), F.lit(False)) & (~F.coalesce(F.col("__breach"), F.lit(False)))
+    line = Timeline.of(rows, keys, ts, ties, hot_rows).scan(__was=previous("__breach"))
+    was = F.coalesce(F.col("__was"), F.lit(False))
+    start = F.struct(F.unix_micros(F.col(ts)).alias("us"), F.col("__wait").alias("wait"), F.col("__limit").alias("limit"), *carry)
+    seen = line.scan(__episode=latest(F.when(F.col("__breach") & ~was, start))).frame()
     due = F.col("__episode.us") + F.col("__episode.wait")
-    in_time = due <= F.unix_micros(F.col(ts))
+    ended = seen.where(was & ~F.col("__breach") & (due <= F.unix_micros(F.col(ts)))).select(*keys, "__episode")
+    # an episode that is open at a key's last row goes on until the watermark
+    last = seen.groupBy(*keys).agg(F.max_by(F.struct("__breach", "__episode"), F.struct(ts, *ties)).alias("__last"))
+    lasting = last.where("__last.__breach").select(*keys, F.col("__last.__episode").alias("__episode"))
     alive = F.col("__episode.limit").isNull() | (due < F.col("__episode.limit"))
     return (
-        line.frame()
-        .where(ended & in_time & alive & (due <= F.lit(until_us)))
+        ended.unionByName(lasting)
+        .where(alive & (due <= F.lit(until_us)))
         .select(*keys, F.timestamp_micros("__episode.us").alias("breach_start"), F.timestamp_micros(due).alias("alert_time"), *[F.col(f"__episode.{c}").alias(c) for c in carry])
     )
