@@ -8,7 +8,9 @@ gives the two tokens back; all neighbouring pairs of a piece are checked togethe
 verdicts kept per distinct pair.  Only words with an incompatible pair are merged exactly, by
 lowest rank first, words of one length in step; a very long word is merged by itself.
 
-A null or empty text has no tokens and decodes to the empty text.
+A null or empty text has no tokens and decodes to the empty text.  Rows are encoded one by one:
+nulls in other columns, ties and repeated rows change nothing, all columns are carried along,
+columns of the outputs' names are replaced.  An empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ backpropagation through time on a bounded sample of labelled documents: at most
 reads whole texts and nothing but the text.
 
 A null text and a text without a letter are ``und`` with score 0.  Without training rows every
-text is ``und``.  Rows are judged one by one.
+text is ``und``.  Rows are judged one by one, so ties and repeated rows change nothing; a null id
+or language is no training row; other columns are carried along, those of the outputs' names
+are replaced.  An empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ smaller and equal; pairs estimated well below the threshold go, every other pair
 components is tested on its full sets.
 
 Null and blank texts have an empty set and are linked with nothing.  A null id takes no part
-in linking: its component is null and it is kept.  Rows with the same id are one node.
+in linking: its component is null and it is kept.  Rows with the same id are one node.  Other
+columns are not looked at, an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ size.  Walks run per source and chunk in parallel; the documents they leave open
 in a reduction tree until one per source is left, which goes to the nearer side.
 
 All draws are hashes of ids: reruns agree.  Rows that agree in id, source and size are one
-unit and get the same copies.  Null texts have size 0 and are taken 0 words.
+unit and get the same copies.  Null texts have size 0 and are taken 0 words; a null source is a
+source of its own, and so is the empty one.  Other columns are carried along by ``mixed``; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
