@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -183,11 +183,11 @@ def dynamic_capacity(
 
 
 def littles_law(
-    deltas: DataFrame, key: str, ts: str, delta: str, ties: Sequence[str] = (), hot_rows: int | None = None, measure: Sample | None = None
+    deltas: DataFrame, key: str, ts: str, delta: str, ties: Sequence[str] = (), hot_rows: int | None = None, measure: Sample | None = None, aggs: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """Time-weighted mean occupancy per key over the key's own span: area, span and arrivals.
 
-    Area is the sum of (occupancy before a step) x (time since the step before), in
+    ``aggs`` are further aggregates of the steps, taken in the same pass.  Area is the sum of (occupancy before a step) x (time since the step before), in
     occupied-microseconds, kept as a whole number.
     """
     ordered = deltas.withColumn("__last", -F.col(delta))
@@ -199,4 +199,5 @@ def littles_law(
         area.alias("area_us"),
         (F.max(F.unix_micros(F.col(ts))) - F.min(F.unix_micros(F.col(ts)))).alias("span_us"),
         F.sum(F.when(F.col(delta) > 0, 1).otherwise(0)).alias("arrivals"),
+        *[column.alias(name) for name, column in (aggs or {}).items()],
     )

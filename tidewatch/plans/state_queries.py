@@ -265,12 +265,12 @@ def littles_law(spark: SparkSession, folder: str) -> DataFrame:
     part = inputs.admission_sample(spark, folder)
 
     def steps(admitted: DataFrame) -> DataFrame:
-        return occupancy.stay_steps(admitted, ["region", "event_id"], "ts", inputs.stay_ms(), until)
+        # the stay goes along with the step up, so nothing is joined back
+        return occupancy.stay_steps(admitted.withColumn("stay", inputs.stay_ms()), ["region", "event_id", "stay"], "ts", F.col("stay"), until)
 
     measure = Sample(steps(part.rows), part.weight)
-    measured = occupancy.littles_law(steps(rows), "region", "ts", "delta", ["event_id"], measure=measure)
-    stays = rows.groupBy("region").agg(F.sum(inputs.stay_ms()).alias("stays"))
-    both = measured.join(stays, "region")
+    stays = F.sum(F.when(F.col("delta") > 0, F.col("stay")))
+    both = occupancy.littles_law(steps(rows), "region", "ts", "delta", ["event_id"], measure=measure, aggs={"stays": stays})
     rate = F.col("arrivals").cast("double") / F.col("span_us")
     return both.select(
         "region",
