@@ -121,7 +121,8 @@ def sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int
     order = Window.partitionBy("lang").orderBy("h", "id")
     # a language's share that holds about twice what is wanted, so that no task sends many rows
     share = rows.groupBy(F.col(lang).alias("__lang")).agg((F.lit(2.0 * (per_language + 100)) / F.count("*")).alias("__share"))
-    rows = rows.join(share, rows[lang] == share["__lang"]).where(lowest_share(doc_id) < F.col("__share"))
+    # a row per language, as the network has an output for each; without the hint whole texts are shuffled by language
+    rows = rows.join(F.broadcast(share), rows[lang] == share["__lang"]).where(lowest_share(doc_id) < F.col("__share"))
     room = F.greatest(F.length(text) - PASSAGE, F.lit(0)) + 1
     picked = rows.select(
         F.col(lang).alias("lang"),
