@@ -8,6 +8,7 @@ change holds from its own time on, whenever it arrives within the watermark dela
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -83,19 +84,28 @@ class RuleMonitor(Buffered):
         self.plans = handle.getMapState("carePlans", "who string, vital string", "low double, high double")
         self.episodes = handle.getMapState("breachStart", "who string, rule string", "start_us bigint, due_us bigint, alerted boolean, by_plan boolean")
 
+    def opened(self, key) -> None:
+        self.known = [{tuple(k): tuple(v) for k, v in state.iterator()} for state in (self.rules, self.plans, self.episodes)]
+        self.live = [dict(held) for held in self.known]
+        self.first_set = self.started.exists()
+        if not self.first_set:
+            self.live[0] = {(r,): v for r, v in self.defaults.items()}
+        #: deadlines, earliest first; one whose episode has ended or begun anew finds another start
+        self.deadlines = [(due, who or "", rule, start, who) for (who, rule), (start, due, alerted, _) in self.live[2].items() if not alerted]
+        heapify(self.deadlines)
+        self.by_vital = {}
+
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
-        started = self.started.exists()
-        before = [{tuple(k): tuple(v) for k, v in state.iterator()} for state in (self.rules, self.plans, self.episodes)]
-        rules, plans, episodes = (dict(held) for held in before)
-        if not started:
-            rules = {(r,): v for r, v in self.defaults.items()}
+        rules, plans, episodes = self.live
         for us, turn, tie, kind, who, ward, vital, value, rule, low, high, wait_us in rows:
             # a control row at the deadline comes before the deadline
-            yield from self.fired(key, rules, episodes, us - 1 if turn == 0 else us)
+            yield from self.fired(key, us - 1 if turn == 0 else us)
+            if turn == 0:
+                self.by_vital = {}
             if kind == "RULE":
-                if not started:
-                    self.started.update((True,))
-                    started, rules = True, {}
+                if not self.first_set:
+                    self.first_set = True
+                    rules.clear()
                     episodes.clear()
                 rules[(rule,)] = (ward, vital, low, high, wait_us)
             elif kind == "RULE_DELETE":
@@ -107,24 +117,38 @@ class RuleMonitor(Buffered):
             elif kind == "CAREPLAN_DELETE":
                 plans.pop((who, vital), None)
             else:
-                yield from self.judged(key, us, tie, who, ward, vital, value, rules, plans, episodes)
-        yield from self.fired(key, rules, episodes, ms * TICK_US)
-        if not started:
-            rules = {}  # defaults are not state
-        for state, old, new in zip((self.rules, self.plans, self.episodes), before, (rules, plans, episodes)):
+                yield from self.judged(key, us, tie, who, ward, vital, value)
+        yield from self.fired(key, ms * TICK_US)
+        while self.deadlines and not self.holds(self.deadlines[0]):
+            heappop(self.deadlines)
+        self.due_ms = up_to_ms(self.deadlines[0][0]) if self.deadlines else None
+
+    def closed(self, key) -> None:
+        if self.first_set and not self.started.exists():
+            self.started.update((True,))
+        if not self.first_set:
+            self.live[0] = {}  # defaults are not state
+        for state, old, new in zip((self.rules, self.plans, self.episodes), self.known, self.live):
             for k in old.keys() - new.keys():
                 state.removeKey(k)
             for k, v in new.items():
                 if old.get(k) != v:
                     state.updateValue(k, v)
-        waiting = [due for _, due, alerted, _ in episodes.values() if not alerted]
-        if waiting:
-            self.handle.registerTimer(up_to_ms(min(waiting)))
-
-    def judged(self, key, us, tie, who, ward, vital, value, rules, plans, episodes) -> Iterator[dict]:
-        own = [(r, v) for (r,), v in rules.items() if v[1] == vital and v[0] == ward and ward != ANY_WARD]
+        self.known = self.live = self.deadlines = None
+
+    def in_force(self, ward, vital) -> list[tuple]:
+        """Rules for a vital and ward in order of their names, looked up once until a control row comes."""
+        found = self.by_vital.get((ward, vital))
+        if found is None:
+            rules = [(r, v) for (r,), v in self.live[0].items() if v[1] == vital]
+            own = [(r, v) for r, v in rules if v[0] == ward and ward != ANY_WARD]
+            found = self.by_vital[ward, vital] = sorted(own or [(r, v) for r, v in rules if v[0] == ANY_WARD])
+        return found
+
+    def judged(self, key, us, tie, who, ward, vital, value) -> Iterator[dict]:
+        _, plans, episodes = self.live
         plan = plans.get((who, vital))
-        for rule, (_, _, low, high, wait_us) in sorted(own or [(r, v) for (r,), v in rules.items() if v[1] == vital and v[0] == ANY_WARD]):
+        for rule, (_, _, low, high, wait_us) in self.in_force(ward, vital):
             low_now, high_now = (low, high) if plan is None else (low if plan[0] is None else plan[0], high if plan[1] is None else plan[1])
             ruled, breach = outside(value, low, high), outside(value, low_now, high_now)
             if ruled or breach:
@@ -133,11 +157,21 @@ class RuleMonitor(Buffered):
                 episodes.pop((who, rule), None)
             elif (who, rule) not in episodes:
                 episodes[who, rule] = (us, us + wait_us, False, plan is not None)
-
-    def fired(self, key, rules, episodes, until_us: int) -> Iterator[dict]:
-        due_now = sorted((due, e) for e, (_, due, alerted, _) in episodes.items() if not alerted and due <= until_us)
-        for due, (who, rule) in due_now:
-            start, _, _, by_plan = episodes[who, rule]
+                heappush(self.deadlines, (us + wait_us, who or "", rule, us, who))
+
+    def holds(self, deadline: tuple) -> bool:
+        due, _, rule, start, who = deadline
+        held = self.live[2].get((who, rule))
+        return held is not None and held[:3] == (start, due, False)
+
+    def fired(self, key, until_us: int) -> Iterator[dict]:
+        rules, _, episodes = self.live
+        while self.deadlines and self.deadlines[0][0] <= until_us:
+            deadline = heappop(self.deadlines)
+            if not self.holds(deadline):
+                continue
+            due, _, rule, start, who = deadline
+            by_plan = episodes[who, rule][3]
             if (rule,) in rules:
                 yield self.output(key, "sustained", who, rule, due, start, None, None, by_plan)
             episodes[who, rule] = (start, due, True, by_plan)
@@ -154,7 +188,7 @@ def outside(value: float | None, low: float | None, high: float | None) -> bool:
 class RollingPanes(Buffered):
     """Sum and count of the last ``panes`` panes of time, the present one included, at every row.
 
-    State is a ring of panes: a map entry per pane that has rows, and a timer at its eviction.
+    State is a ring of panes: a map entry per pane that has rows, and a timer at the oldest one's eviction.
     It does not grow with the rows of a pane.
     """
 
@@ -191,8 +225,7 @@ class RollingPanes(Buffered):
         for pane, held in ring.items():
             if before.get(pane) != held:
                 self.ring.updateValue((pane,), held)
-                if pane not in before:
-                    self.handle.registerTimer(self.out_ms(pane))
+        self.due_ms = self.out_ms(min(ring)) if ring else None
 
     def out_ms(self, pane: int) -> int:
         return up_to_ms((pane + self.panes) * self.pane_us)

@@ -11,11 +11,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import DataType
 
 from tidewatch.operators.occupancy import FULL_ENTER, FULL_EXIT, HIGH_ENTER, HIGH_EXIT
 
 TICK_US = 1_000
+#: rows of a waiting piece that ends with its slot, and of one that ends anywhere
+PIECE_ROWS, MOST_ROWS = 2_000, 16_000
+#: rows of a key that are held in memory at once
+STRETCH_ROWS = 100_000
 
 
 def plain(column: pd.Series, kind: str) -> list:
@@ -24,6 +32,19 @@ def plain(column: pd.Series, kind: str) -> list:
     return [None if pd.isna(v) else read(v) for v in column]
 
 
+def arrow_type(kind: str) -> pa.DataType:
+    """Type of a waiting column; instants stay as pandas shows them, without a zone."""
+    read = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}.get(kind)
+    read = read or to_arrow_type(DataType.fromDDL(kind))
+    return pa.timestamp("us") if pa.types.is_timestamp(read) else read
+
+
+def plain_rows(rows: pa.Table) -> list[tuple]:
+    """Rows as tuples of Python objects, null as None."""
+    whole = [c.null_count == 0 and (pa.types.is_integer(c.type) or pa.types.is_floating(c.type)) for c in rows.columns]
+    return list(zip(*(c.to_numpy().tolist() if fast else c.to_pylist() for c, fast in zip(rows.columns, whole))))
+
+
 def up_to_ms(us: int) -> int:
     """The first whole millisecond at or after a time; watermarks and timers count in those."""
     return -(-us // TICK_US)
@@ -33,10 +54,12 @@ class Buffered(StatefulProcessor):
     """Holds each row until the watermark reaches it, then applies rows in event-time order.
 
     Whatever order rows arrive in within the watermark delay, the result is that of the
-    sorted rows.  Rows wait in time slots of ``slot_ms``: one map entry and one timer (at
-    its earliest row) per key and slot, so state calls grow with slots, not rows.  Slots
-    are disjoint and timers fire in time order, hence a slot is applied as far as the
-    watermark goes before the next one is touched.
+    sorted rows.  Rows wait in pieces: the rows of an arrival in time order, cut at the end of
+    a slot of ``slot_ms`` once a piece has PIECE_ROWS rows.  A piece is one map entry under its
+    earliest time, written once and not added to.  A key has one timer, at the earliest of
+    what waits; when it fires, pieces are read in time order as far as the watermark goes and
+    the rows are applied in stretches, so state calls grow with rows / PIECE_ROWS and with
+    keys, not with slots, and what is in memory with STRETCH_ROWS.
     """
 
     order = 2  # rows are sorted by this many leading columns
@@ -45,73 +68,114 @@ class Buffered(StatefulProcessor):
     def __init__(self, key: str, payload: Sequence[tuple[str, str]], slot_ms: int = 60_000):
         self.key = key
         self.names = [name for name, _ in payload]
-        self.columns = [("us", "bigint"), *payload]
-        self.layout = ", ".join(f"{name} array<{kind}>" for name, kind in self.columns)
+        self.layout = pa.schema([("us", pa.int64()), *((name, arrow_type(kind)) for name, kind in payload)])
         self.slot_ms = slot_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "slot bigint", self.layout)
+        self.pending = handle.getMapState("pending", "us bigint, part bigint", "rows binary")
+        self.clock = handle.getValueState("clock", "wake_ms bigint, parts bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        wake_ms, parts = self.clock.get() or (None, 0)
+        first, held, size = None, [], 0
+
+        def put() -> None:
+            nonlocal first, parts, held, size
+            earliest, parts = self.hold(pa.Table.from_batches(held, self.layout), parts)
+            first, held, size = earliest if first is None else min(first, earliest), [], 0
+
         for batch in rows:
-            slots = -(-batch["us"] // TICK_US) // self.slot_ms
-            for slot, part in batch.groupby(slots, sort=True):
-                self.hold(int(slot), [plain(part[c], kind) for c, kind in self.columns])
+            batch = batch[batch["us"].notna()]
+            held.append(pa.RecordBatch.from_arrays([pa.array(batch[f.name], f.type, from_pandas=True) for f in self.layout], schema=self.layout))
+            size += len(batch)
+            if size >= STRETCH_ROWS:
+                put()
+        if size:
+            put()
+        if first is not None:
+            self.wake(wake_ms, up_to_ms(first) if wake_ms is None else min(wake_ms, up_to_ms(first)), parts)
         return iter([])
 
-    def hold(self, slot: int, columns: list[list]) -> None:
-        held = self.pending.getValue((slot,))
-        first = min(columns[0])
-        if held is not None:
-            if min(held[0]) <= first:
-                first = None
-            columns = [list(old) + new for old, new in zip(held, columns)]
-        self.pending.updateValue((slot,), tuple(columns))
-        if first is not None:
-            self.handle.registerTimer(up_to_ms(first))
-
-    def released(self, slot: int, mark_ms: int) -> list[tuple]:
-        held = self.pending.getValue((slot,))
-        if held is None:
-            return []
-        rows = sorted(zip(*held), key=lambda row: row[: self.order])
-        ready = [row for row in rows if up_to_ms(row[0]) <= mark_ms]
-        rest = rows[len(ready) :]
-        if rest:
-            if ready:
-                self.pending.updateValue((slot,), tuple(list(column) for column in zip(*rest)))
-            self.handle.registerTimer(up_to_ms(rest[0][0]))
-        else:
-            self.pending.removeKey((slot,))
-        return ready
+    def hold(self, rows: pa.Table, parts: int) -> tuple[int, int]:
+        """Write rows as pieces; their earliest time and the number of the next piece."""
+        us = rows.column("us").to_numpy()
+        order = np.argsort(us, kind="stable")
+        us = us[order]
+        (rows,) = rows.take(order).combine_chunks().to_batches()
+        ends = np.flatnonzero(np.diff(up_to_ms(us) // self.slot_ms)) + 1
+        at = 0
+        while at < len(us):
+            full = ends[np.searchsorted(ends, at + PIECE_ROWS) :][:1]
+            end = min([len(us), at + MOST_ROWS, *full.tolist()])
+            self.pending.updateValue((int(us[at]), parts), (rows.slice(at, end - at).serialize().to_pybytes(),))
+            at, parts = end, parts + 1
+        return int(us[0]), parts
+
+    def wake(self, old_ms: int | None, new_ms: int, parts: int) -> None:
+        """Move the key's one timer."""
+        if new_ms != old_ms:
+            if old_ms is not None:
+                self.handle.deleteTimer(old_ms)
+            self.handle.registerTimer(new_ms)
+        self.clock.update((new_ms, parts))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ms, mark_ms = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
-        slot = ms // self.slot_ms
-        rows = self.released(slot, mark_ms)
-        # every row of the key up to here has now been applied
-        self.now_ms = min(mark_ms, (slot + 1) * self.slot_ms - 1)
-        if self.alarms and self.now_ms < mark_ms:
-            # a timer set now for a time already passed would wait for another batch, so what falls
-            # due before the key's next slot is applied at once
-            later = [s for (s,) in self.pending.keys() if s > slot]
-            self.now_ms = min(mark_ms, min(later) * self.slot_ms - 1) if later else mark_ms
-        out = list(self.apply(key, rows, self.now_ms))
-        if out:
-            yield pd.DataFrame(out)
+        mark_ms = timerValues.getCurrentWatermarkInMs()
+        _, parts = self.clock.get()
+        places = sorted(tuple(place) for place in self.pending.keys())
+        n = sum(up_to_ms(us) <= mark_ms for us, _ in places)
+        ready, later = places[:n], places[n:]
+        self.due_ms = None
+        self.opened(key)
+        held = self.layout.empty_table()
+        at = 0
+        while True:
+            # at least as much is read as waits, so rows of pieces that overlap are not sorted again and again
+            fresh, size = [], 0
+            while at < n and size < max(STRETCH_ROWS, held.num_rows):
+                (piece,) = self.pending.getValue(ready[at])
+                fresh.append(pa.ipc.read_record_batch(pa.py_buffer(piece), self.layout))
+                size += fresh[-1].num_rows
+                self.pending.removeKey(ready[at])
+                at += 1
+            if fresh:
+                held = pa.concat_tables([held, pa.Table.from_batches(fresh, self.layout)])
+                held = held.take(pc.sort_indices(held, sort_keys=[(name, "ascending") for name in self.layout.names[: self.order]]))
+            # what may be applied: nothing unread is earlier
+            until_us = mark_ms * TICK_US + 1 if at == n else min(ready[at][0], mark_ms * TICK_US + 1)
+            cut = int(np.searchsorted(held.column("us").to_numpy(), until_us))
+            if cut or at == n:
+                rows, held = plain_rows(held.slice(0, cut)), held.slice(cut)
+                out = list(self.apply(key, rows, (until_us - 1) // TICK_US)) if rows or self.alarms else []
+                if out:
+                    yield pd.DataFrame(out)
+            if at == n:
+                break
+        self.closed(key)
+        waiting = [up_to_ms(us) for us, _ in later[:1]]
+        if held.num_rows:
+            earliest, parts = self.hold(held, parts)
+            waiting.append(up_to_ms(earliest))
+        if self.due_ms is not None:
+            waiting.append(self.due_ms)
+        if waiting:
+            self.wake(None, min(waiting), parts)
+        else:
+            self.clock.clear()
+
+    def opened(self, key) -> None:
+        """Called before the stretches of a timer: read state that they share."""
 
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
-        """Apply released rows; nothing else of the key happens up to ``ms``."""
+        """Apply released rows; nothing else of the key happens up to ``ms``.
+
+        A processor that waits for a time sets ``due_ms`` to it, or to None, each time.
+        """
         raise NotImplementedError
 
-    def set_alarm(self, old_ms: int | None, new_ms: int) -> None:
-        """Move the processor's own timer; a timer a pending slot needs stays."""
-        if old_ms is not None and old_ms > self.now_ms and old_ms != new_ms:
-            held = self.pending.getValue((old_ms // self.slot_ms,))
-            if held is None or up_to_ms(min(held[0])) != old_ms:
-                self.handle.deleteTimer(old_ms)
-        self.handle.registerTimer(new_ms)
+    def closed(self, key) -> None:
+        """Called after the stretches of a timer: write state that they shared."""
 
     def close(self) -> None:
         pass
@@ -283,7 +347,6 @@ class SilenceDetector(Buffered):
 
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
         last, silent = self.last.get() if self.last.exists() else (None, False)
-        before = last
         for (us,) in rows:
             # rows of one key within a millisecond of the deadline: the earlier time goes first
             if last is not None and not silent and us > last + self.gap_us:
@@ -297,8 +360,7 @@ class SilenceDetector(Buffered):
             silent = True
         if last is not None:
             self.last.update((last, silent))
-        if last != before:
-            self.set_alarm(None if before is None else up_to_ms(before + self.gap_us), up_to_ms(last + self.gap_us))
+        self.due_ms = None if last is None or silent else up_to_ms(last + self.gap_us)
 
 
 class IdleDetector(StatefulProcessor):
@@ -371,8 +433,7 @@ class SustainedBreach(Buffered):
                 self.episodes.updateValue(episode, state)
         # one timer for the next deadline; a deadline that was reset finds its episode gone
         waiting = [due for _, due, alerted in episodes.values() if not alerted]
-        if waiting:
-            self.handle.registerTimer(up_to_ms(min(waiting)))
+        self.due_ms = up_to_ms(min(waiting)) if waiting else None
 
     def expired(self, key, episodes: dict, until_us: int) -> Iterator[dict]:
         due_now = [(due, e) for e, (_, due, alerted) in episodes.items() if not alerted and due <= until_us]
@@ -409,7 +470,7 @@ class News2Scorer(Buffered):
         noticed = self.noticed.get()[0] if self.noticed.exists() else None
         for us, tie, code, points in rows:
             signs[code] = (us, points)
-            missing = [c for c in self.SIGNS if c not in signs or us - signs[c][0] > self.fresh_us]
+            missing = [c for c in self.SIGNS if c not in signs or us - signs[c][0] > min(self.fresh_us, self.evict_us)]
             if missing:
                 if noticed is None or us - noticed >= self.notice_us:
                     noticed = us
@@ -430,8 +491,7 @@ class News2Scorer(Buffered):
             self.scored.update(last)
         if noticed is not None:
             self.noticed.update((noticed,))
-        if signs:
-            self.handle.registerTimer(up_to_ms(min(us for us, _ in signs.values()) + self.evict_us))
+        self.due_ms = up_to_ms(min(us for us, _ in signs.values()) + self.evict_us) if signs else None
 
     @staticmethod
     def score(points: list[int]) -> tuple[int, str]:
@@ -492,8 +552,7 @@ class Pager(Buffered):
         for who, us in live.items():
             if before.get(who) != us:
                 self.paged.updateValue((who,), (us,))
-        if live:
-            self.handle.registerTimer(up_to_ms(min(live.values()) + self.within_us))
+        self.due_ms = up_to_ms(min(live.values()) + self.within_us) if live else None
 
 
 class ExpiringSum(Buffered):
@@ -510,21 +569,18 @@ class ExpiringSum(Buffered):
         self.spend = handle.getValueState("rollingSpend", "total bigint, n bigint, us bigint")
 
     def apply(self, key, rows: list[tuple], ms: int) -> Iterator[dict]:
-        total, n, last = self.spend.get() if self.spend.exists() else (0, 0, None)
-        before = last
+        total, n, last = self.spend.get() or (0, 0, None)
         for us, tie, amount in rows:
             if last is not None and us - last >= self.ttl_us:
                 total, n = 0, 0
             total, n, last = total + amount, n + 1, us
             yield {self.key: key[0], "us": us, "tie": tie, "live_sum": total, "live_count": n}
-        if last is None:
-            return
-        if up_to_ms(last + self.ttl_us) <= ms:
+        self.due_ms = None if last is None else up_to_ms(last + self.ttl_us)
+        if self.due_ms is None or self.due_ms <= ms:
+            self.due_ms = None
             self.spend.clear()
             return
         self.spend.update((total, n, last))
-        if last != before:
-            self.set_alarm(None if before is None else up_to_ms(before + self.ttl_us), up_to_ms(last + self.ttl_us))
 
 
 class CountTrigger(StatefulProcessor):
