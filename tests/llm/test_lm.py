@@ -12,6 +12,7 @@ import pytest
 
 from conftest import SMALL
 from tidewatch.llm import lm, queries
+from tidewatch.llm.gru import Gru
 
 
 def words(text):
@@ -73,6 +74,34 @@ def test_learners_are_averaged_in_a_tree(spark, monkeypatch):
     assert deep.totals(ids, bounds).sum() > start.totals(ids, bounds).sum()
 
 
+def test_the_network_learns_from_all_training_text(spark, monkeypatch):
+    """However much text there is: every training document, once, whole."""
+    monkeypatch.setattr(lm, "LEAST_TOKENS", 1000)
+    monkeypatch.setattr(lm, "LEARNER_TOKENS", 30_000)
+    docs = lm.learning(spark.read.parquet(f"{SMALL}/documents.parquet")).select("doc_id", "text")
+    seen = []
+
+    def trained(model, sample, learners, passes, *rest):
+        seen.extend([r["learner"], len(r["ids"])] for r in sample.collect())
+        return model
+
+    monkeypatch.setattr(lm, "trained", trained)
+    fitted = lm.fit(docs)
+    assert sorted(n for _, n in seen) == sorted(len(words(r["text"])) + 1 for r in docs.collect())
+    assert sum(n for _, n in seen) == fitted.words.total and len({k for k, _ in seen}) > 1
+
+
+def test_wide_steps_give_the_same_gradients():
+    rng = np.random.default_rng(3)
+    layer = Gru(9, 4, rng)
+    ids = rng.integers(0, 9, (6, 5))
+    keep = (rng.random((6, 5)) < 0.8).astype(np.float32)
+    states, memory = layer.run(ids, np.zeros((4, 5), dtype=np.float32), keep)
+    wrong = rng.standard_normal(states.shape).astype(np.float32)
+    for a, b in zip(layer.back(ids, memory, wrong, keep), layer.back_wide(ids, memory, wrong, keep)):
+        assert np.abs(a - b).max() < 1e-4
+
+
 def test_no_training_documents(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     row = lm.score(docs, lm.fit(docs.limit(0))).first()

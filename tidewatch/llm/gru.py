@@ -93,6 +93,50 @@ class Gru:
         dw[:, flat[order][first]] = np.add.reduceat(np.concatenate(dw_parts, axis=1)[:, order], first, axis=1)
         return [dw, du]
 
+    def back_wide(self, ids: np.ndarray, memory: list, wrong: np.ndarray, keep: np.ndarray) -> list[np.ndarray]:
+        """What ``back`` gives, for many streams: all that does not depend on later steps is worked out for all steps at once."""
+        k = self.hidden
+        h, gates, un, n = (np.stack(x) for x in zip(*memory))
+        z, r = gates[:, :k], gates[:, k:]
+        slope = 2 * gates
+        slope -= 1
+        np.abs(slope, out=slope)
+        np.subtract(1, slope, out=slope)
+        slope *= slope
+        slope *= 0.5
+        slope[:, :k] *= h - n
+        slope[:, k:] *= un
+        inner = 1 - np.abs(n)
+        inner *= inner
+        inner *= 1 - z
+        steps, _, streams = wrong.shape
+        # feature by step and stream, so that sums over both are one product
+        dx = np.empty((3 * k, steps, streams), dtype=wrong.dtype)
+        dun = np.empty((3 * k, streams), dtype=wrong.dtype)
+        du = np.zeros_like(self.u)
+        turned = np.ascontiguousarray(self.u.T)
+        carried = np.zeros_like(wrong[0])
+        for t in range(steps - 1, -1, -1):
+            d = wrong[t] + carried
+            dn = d * inner[t]
+            np.multiply(d, slope[t, :k], out=dun[:k])
+            np.multiply(dn, slope[t, k:], out=dun[k : 2 * k])
+            np.multiply(dn, r[t], out=dun[2 * k :])
+            dx[: 2 * k, t] = dun[: 2 * k]
+            dx[2 * k :, t] = dn
+            du += dun @ h[t].T
+            carried = turned @ dun
+            d *= z[t]
+            carried += d
+            carried *= keep[t]
+        flat = ids.ravel()
+        order = np.argsort(flat.astype(np.int16) if len(self.w[0]) < 2**15 else flat, kind="stable")
+        ranked = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        dw = np.zeros_like(self.w)
+        dw[:, ranked[first]] = np.add.reduceat(dx.reshape(3 * k, -1).take(order, axis=1), first, axis=1)
+        return [dw, du]
+
 
 class Adam:
     """Adam with gradients clipped by their norm; changes the parameters in place."""
@@ -118,3 +162,13 @@ def log_sum_exp(x: np.ndarray) -> np.ndarray:
     """Over axis 0."""
     top = x.max(axis=0)
     return np.log(np.exp(x - top).sum(axis=0)) + top
+
+
+def soft_max(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares over axis 0, in place of ``x``, and the logarithm of what they were divided by."""
+    top = x.max(axis=0)
+    x -= top
+    np.exp(x, out=x)
+    total = x.sum(axis=0)
+    x *= 1 / total
+    return x, np.log(total) + top

@@ -7,11 +7,11 @@ words fall into tail classes by their last two bytes, and inside a tail class a
 probability is its smoothed share of the class's count.  An unknown word has the share of a
 count of 0.  The network predicts the class, and the word inside a head class.
 
-It is trained in numpy by truncated backpropagation, as Spark tasks over whole documents: a
-share of all training text, so what it learns from grows with the input (small tables give all
-they have, several times over).  The sample is dealt to learners of about equal size; in every
-round each learner goes on from the common weights over its next stretch of text, and their
-weights are averaged in a tree.  Scoring walks whole documents in windows of steps and carries
+It is trained in numpy by truncated backpropagation, as Spark tasks over whole documents: all
+training text (small tables several times over).  The text is dealt to learners of about equal
+size; in every round each learner goes on from the common weights over its next stretch of
+text, and their weights are averaged in a tree.  On larger tables a learner walks more streams
+side by side, so its steps grow wider, not more.  Scoring walks whole documents in windows of steps and carries
 the state from window to window.  Frequent words are looked up in a broadcast table of bounded size; all other
 words are joined with the counts by a shuffle.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import LOWER, TEXT_ROWS, dropped, find_words, held_out_share, lowest_share, pieces, segment_hashes, stored, text_bytes
-from tidewatch.llm.gru import Adam, Gru, log_sum_exp
+from tidewatch.llm.gru import Adam, Gru, soft_max
 
 HEAD = 1000
 HEAD_CLASSES = 32
@@ -41,17 +41,19 @@ TAIL_CLASSES = 48
 #: words looked up from memory, 16 bytes each; the rest is joined
 FREQUENT = 300_000
 HIDDEN = 24
-#: the network learns from this share of the training tokens, or from LEAST_TOKENS where there are fewer
+#: a share of the training tokens, and the least of them, for a trial fit that asks for one; ``fit`` takes all
 SHARE = 1 / 8
 LEAST_TOKENS = 450_000
 #: tokens that are gone over in all, where one pass has fewer; no token more often than PASSES
 WALKED_TOKENS = 2_250_000
 PASSES = 5
 #: tokens of a learner, times the weights are averaged, weights that meet in a node of the tree
-LEARNER_TOKENS = 400_000
+LEARNER_TOKENS = 1_600_000
 ROUNDS = 4
 FAN_IN = 32
-STREAMS = 32
+#: streams that a learner walks side by side: one for so many tokens of all learners, between these bounds
+STREAM_TOKENS = 80_000
+STREAMS, MOST_STREAMS = 32, 128
 SPAN = 24
 WINDOW = 64
 #: tokens that a task walks together
@@ -168,32 +170,38 @@ class Model:
     def log_probabilities(self, h: np.ndarray, ids: np.ndarray, grads: bool = False):
         """ln P(class) + ln P(word | head class) of each column; with gradients of the sum of -ln P."""
         kind = self.class_of(ids)
-        logits = self.classes @ h + self.class_bias
+        # columns in order of their classes, so that a class is a run of columns
+        order = np.argsort(kind.astype(np.int16), kind="stable")
+        kind, ids, h = kind[order], ids[order], h.take(order, axis=1)
+        logits = self.classes @ h
+        logits += self.class_bias
         rows = np.arange(len(ids))
-        norm = log_sum_exp(logits)
-        out = logits[kind, rows] - norm
+        out = logits[kind, rows]
+        p, norm = soft_max(logits)
+        out -= norm
         if grads:
-            p = np.exp(logits - norm)
             p[kind, rows] -= 1
             dh = self.classes.T @ p
             d_classes, d_bias = p @ h.T, p.sum(axis=1, keepdims=True)
             d_words, d_word_bias = np.zeros_like(self.words), np.zeros_like(self.word_bias)
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(HEAD_CLASSES + 1))
+        bounds = np.searchsorted(kind, np.arange(HEAD_CLASSES + 1))
         for c in np.flatnonzero(np.diff(bounds)):
-            at, run = order[bounds[c] : bounds[c + 1]], slice(self.first[c], self.first[c + 1])
+            at, run = slice(bounds[c], bounds[c + 1]), slice(self.first[c], self.first[c + 1])
             inside = h[:, at]
-            logits = self.words[run] @ inside + self.word_bias[run]
-            norm = log_sum_exp(logits)
-            goal, columns = ids[at] - self.first[c], np.arange(len(at))
-            out[at] += logits[goal, columns] - norm
+            logits = self.words[run] @ inside
+            logits += self.word_bias[run]
+            goal, columns = ids[at] - self.first[c], rows[: bounds[c + 1] - bounds[c]]
+            out[at] += logits[goal, columns]
+            p, norm = soft_max(logits)
+            out[at] -= norm
             if grads:
-                p = np.exp(logits - norm)
                 p[goal, columns] -= 1
                 d_words[run] += p @ inside.T
                 d_word_bias[run] += p.sum(axis=1, keepdims=True)
                 dh[:, at] += self.words[run].T @ p
-        return (out, dh, [d_classes, d_bias, d_words, d_word_bias]) if grads else out
+        back = np.empty_like(order)
+        back[order] = rows
+        return (out[back], dh.take(back, axis=1), [d_classes, d_bias, d_words, d_word_bias]) if grads else out[back]
 
     def parameters(self) -> list[np.ndarray]:
         return [self.layer.w, self.layer.u, self.classes, self.class_bias, self.words, self.word_bias]
@@ -207,7 +215,7 @@ class Model:
             p[...] = flat[at : at + p.size].reshape(p.shape)
             at += p.size
 
-    def fit(self, flat: np.ndarray, passes: int = PASSES, turn: int = 0, turns: int = 1) -> None:
+    def fit(self, flat: np.ndarray, passes: int = PASSES, turn: int = 0, turns: int = 1, streams: int = STREAMS) -> None:
         """Truncated backpropagation over a row of documents, each closed by the end.
 
         State flows on over a stream, gradients end at the window.  Of ``passes`` over the row,
@@ -215,7 +223,7 @@ class Model:
         """
         if not len(flat):
             return
-        streams = min(STREAMS, max(1, len(flat) // SPAN))
+        streams = min(streams, max(1, len(flat) // SPAN))
         length = len(flat) // streams
         goal = flat[: streams * length].reshape(streams, length).T
         inputs = np.vstack([np.full((1, streams), self.end), goal[:-1]])
@@ -233,7 +241,7 @@ class Model:
             columns = states.transpose(1, 0, 2).reshape(HIDDEN, -1)
             _, dh, out = self.log_probabilities(columns, want.ravel(), grads=True)
             wrong = dh.reshape(HIDDEN, len(ids), streams).transpose(1, 0, 2) / want.size
-            step.update([*self.layer.back(ids, memory, wrong, live), *[g / want.size for g in out]], 1 - k / all_windows)
+            step.update([*self.layer.back_wide(ids, memory, wrong, live), *[g / want.size for g in out]], 1 - k / all_windows)
 
     def totals(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """ln P of each row's ids and its end (the tail's shares left out), whole rows at once."""
@@ -285,7 +293,7 @@ def training_ids(docs: DataFrame, doc_id: str, text: str, words: Vocabulary, sha
     return picked.select(learner.alias("learner"), F.col(text).alias("__text")).mapInArrow(task, "learner int, ids array<int>")
 
 
-def trained(model: Model, sample: DataFrame, learners: int, passes: int) -> Model:
+def trained(model: Model, sample: DataFrame, learners: int, passes: int, streams: int = STREAMS) -> Model:
     """The model after ROUNDS of learning in parallel and averaging, by tokens, in a tree."""
     schema = "learner int, tokens long, weights binary"
 
@@ -306,7 +314,7 @@ def trained(model: Model, sample: DataFrame, learners: int, passes: int) -> Mode
             ids = np.concatenate([c.flatten().to_numpy() for c in table.column("ids").chunks])
             fresh = Model(shared.value.head_class)
             fresh.set_weights(shared.value.weights())
-            fresh.fit(ids.astype(np.int64), passes, turn, ROUNDS)
+            fresh.fit(ids.astype(np.int64), passes, turn, ROUNDS, streams)
             return pa.table({"learner": table.column("learner")[:1], "tokens": [len(ids)], "weights": [fresh.weights().tobytes()]})
 
         return learn
@@ -333,14 +341,13 @@ class Fitted:
 
 
 def fit(training: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> Fitted:
-    """Count all training documents and train the network on a share of them."""
+    """Count all training documents and train the network on all of them."""
     counts = stored(word_counts(training, text), "counts")
     words = vocabulary(counts, training.count(), frequent)
-    share = min(1.0, max(SHARE, LEAST_TOKENS / max(words.total, 1)))
-    expected = share * words.total
-    learners, passes = max(1, round(expected / LEARNER_TOKENS)), int(min(PASSES, max(1, -(-WALKED_TOKENS // max(expected, 1)))))
-    sample = stored(training_ids(training, doc_id, text, words, share, learners), "training", TEXT_ROWS)
-    model = trained(Model(words.head_class), sample, learners, passes)
+    learners, passes = max(1, round(words.total / LEARNER_TOKENS)), int(min(PASSES, max(1, -(-WALKED_TOKENS // max(words.total, 1)))))
+    streams = max(STREAMS, min(MOST_STREAMS, passes * words.total // STREAM_TOKENS))
+    sample = stored(training_ids(training, doc_id, text, words, 1.0, learners), "training", TEXT_ROWS)
+    model = trained(Model(words.head_class), sample, learners, passes, streams)
     dropped(sample)
     return Fitted(words, model, counts)
 
