@@ -238,16 +238,6 @@ def held_out_share(column: str, parts: int) -> F.Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(parts), F.lit(0))
 
 
-def thinned(rows: DataFrame, column: str, wanted: int) -> DataFrame:
-    """The rows whose id hashes lowest: about twice ``wanted``, or all of a small table.
-
-    An ordered limit sends ``wanted`` rows of every task to one place; after this it sends
-    about twice ``wanted`` in all.
-    """
-    share = min(1.0, 2 * (wanted + 100) / max(rows.count(), 1))
-    return rows if share == 1.0 else rows.where(lowest_share(column) < share)
-
-
 def lowest_share(column: str) -> F.Column:
     """Where the id's hash lies among all hashes, from 0 to 1."""
     return F.xxhash64(column).cast("double") / F.lit(2.0**64) + F.lit(0.5)

@@ -158,12 +158,6 @@ class Adam:
             p -= (self.rate * scale * step).astype(p.dtype)
 
 
-def log_sum_exp(x: np.ndarray) -> np.ndarray:
-    """Over axis 0."""
-    top = x.max(axis=0)
-    return np.log(np.exp(x - top).sum(axis=0)) + top
-
-
 def soft_max(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shares over axis 0, in place of ``x``, and the logarithm of what they were divided by."""
     top = x.max(axis=0)
