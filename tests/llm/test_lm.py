@@ -12,7 +12,8 @@ import pytest
 
 from conftest import SMALL
 from tidewatch.llm import lm, queries
-from tidewatch.llm.gru import Gru
+from tidewatch.llm.common import segment_hashes
+from tidewatch.llm.gru import Gru, Streams
 
 
 def words(text):
@@ -106,3 +107,82 @@ def test_no_training_documents(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     row = lm.score(docs, lm.fit(docs.limit(0))).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["score"]) == (3, 0, 0, 0.0)
+
+
+def test_streams_give_the_states_and_gradients_of_the_layer():
+    rng = np.random.default_rng(4)
+    layer = Gru(9, 4, rng)
+    ids, keep = rng.integers(0, 9, (6, 5)), (rng.random((6, 5)) < 0.8).astype(np.float32)
+    states, memory = layer.run(ids, np.zeros((4, 5), dtype=np.float32), keep)
+    wrong = rng.standard_normal(states.shape).astype(np.float32)
+    streams, fresh = Streams(layer), [np.flatnonzero(x == 0) for x in keep]
+    got, kept = streams.run(ids, np.zeros((5, 4), dtype=np.float32), fresh)
+    assert np.abs(got.transpose(0, 2, 1) - states).max() < 1e-6
+    h = np.zeros((5, 4), dtype=np.float32)
+    for t in range(6):
+        h = streams.step(ids[t], h * keep[t][:, None])
+        assert np.abs(h.T - states[t]).max() < 1e-6
+    want = layer.back(ids, memory, wrong, keep)
+    streams.w, streams.u = streams.back(ids, kept, np.ascontiguousarray(wrong.transpose(0, 2, 1)), fresh)
+    streams.put(layer)
+    assert all(np.abs(a - b).max() < 1e-4 for a, b in zip(want, (layer.w, layer.u)))
+
+
+def test_gradients_of_the_shares():
+    """Against differences, with small scores and with some too large for plain exponentials."""
+    rng = np.random.default_rng(6)
+    model = lm.Model(np.sort(rng.integers(0, lm.HEAD_CLASSES, 90)))
+    for scale in (1, 3000):
+        model.classes *= scale
+        model.words *= scale
+        h, ids = rng.uniform(-1, 1, (600, lm.HIDDEN)).astype(np.float32), rng.integers(0, model.end + 1, 600)
+        out, dh, grads = model.scored(h, ids, grads=True)
+        logits = model.classes.astype(float) @ h.T.astype(float)
+        plain = logits - logits.max(axis=0)
+        plain -= np.log(np.exp(plain).sum(axis=0))
+        for j, i in enumerate(ids):
+            want = plain[model.class_of(i), j]
+            if i < model.head_size:
+                inside = model.words[model.head_class == model.head_class[i]].astype(float) @ h[j].astype(float)
+                want += inside[i - model.first[model.head_class[i]]] - inside.max() - np.log(np.exp(inside - inside.max()).sum())
+            assert out[j] == pytest.approx(want, rel=1e-4, abs=1e-4)
+        if scale == 1:
+            for p, grad, at in zip((model.classes, model.class_bias, model.words, model.word_bias, h), (*grads, dh), ((3, 5), (40, 0), (7, 2), (50, 0), (9, 1))):
+                old, loss = p[at], []
+                for step in (1e-2, -1e-2):
+                    p[at] = old + step
+                    loss.append(-model.scored(h, ids).sum(dtype=float))
+                p[at] = old
+                assert (loss[0] - loss[1]) / 2e-2 == pytest.approx(grad[at], rel=2e-2, abs=2e-2)
+
+
+def test_words_are_hashed_and_found_as_before():
+    rng = np.random.default_rng(2)
+    for n in (1, 8, 9, 70, 3000):
+        data = rng.integers(0, 256, n, dtype=np.uint8)
+        starts = np.arange(n)
+        lengths = np.minimum(rng.integers(1, 60, n), n - starts)
+        assert (lm.word_hashes(data, starts, lengths) == segment_hashes(data, starts, lengths)).all()
+    for frequent in (np.zeros(0, dtype=np.int64), np.unique(rng.integers(-(2**63), 2**63 - 1, 5000)), np.arange(-50, 50)):
+        words = lm.Vocabulary(0, 0, 0, frequent, np.arange(len(frequent)) + 1, np.arange(len(frequent)) - 1, np.zeros(0), np.zeros(0))
+        asked = np.concatenate([frequent, frequent + 1, rng.integers(-(2**63), 2**63 - 1, 100), [-(2**63), 2**63 - 1]])
+        place = {w: k for k, w in enumerate(frequent.tolist())}
+        count, head = words.look_up(asked)
+        assert count.tolist() == [place.get(w, -1) + 1 for w in asked.tolist()]
+        assert head.tolist() == [place.get(w, 0) - 1 for w in asked.tolist()]
+
+
+def test_the_text_is_made_into_ids_once(spark):
+    """However many rounds the learners go."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").limit(30)
+    vocabulary = lm.vocabulary(lm.word_counts(docs, "text"), 30)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    sample = lm.training_ids(docs, "doc_id", "text", vocabulary, 1.0, 3)
+    lm.trained(lm.Model(vocabulary.head_class), sample.mapInArrow(counted, sample.schema), 3, 1)
+    assert lm.ROUNDS > 1 and seen.value == 30

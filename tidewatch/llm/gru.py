@@ -152,17 +152,152 @@ class Adam:
         shrink = min(1.0, 1.0 / max(norm, 1e-9))
         for p, g, m, v in zip(self.params, grads, self.m, self.v):
             g = g * np.float32(shrink)
-            m += 0.1 * (g - m)
-            v += 0.005 * (g * g - v)
-            step = (m / (1 - 0.9**self.turn)) / (np.sqrt(v / (1 - 0.995**self.turn)) + 1e-8)
-            p -= (self.rate * scale * step).astype(p.dtype)
-
-
-def soft_max(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares over axis 0, in place of ``x``, and the logarithm of what they were divided by."""
-    top = x.max(axis=0)
-    x -= top
-    np.exp(x, out=x)
-    total = x.sum(axis=0)
-    x *= 1 / total
-    return x, np.log(total) + top
+            part = g - m
+            part *= 0.1
+            m += part
+            np.multiply(g, g, out=part)
+            part -= v
+            part *= 0.005
+            v += part
+            np.divide(v, 1 - 0.995**self.turn, out=part)
+            np.sqrt(part, out=part)
+            part += 1e-8
+            step = np.divide(m, 1 - 0.9**self.turn, out=g)
+            step /= part
+            step *= self.rate * scale
+            p -= step
+
+
+class Streams:
+    """The same layer stream by feature: a stream's state, and what an id brings to a gate, lie together.
+
+    The gates come in the order r, z, n: ``w`` is (gate, id, feature), ``u`` has a matrix for each gate.
+    """
+
+    def __init__(self, layer: Gru):
+        k = self.hidden = layer.hidden
+        self.rooms: dict[tuple, np.ndarray] = {}
+        self.w, self.u = (np.ascontiguousarray(x.reshape(3, k, -1)[[1, 0, 2]].transpose(0, 2, 1)) for x in (layer.w, layer.u))
+
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """An array to work in, the same each time; it begins where a line of a processor's cache begins."""
+        if (name, shape) not in self.rooms:
+            size = 4 * int(np.prod(shape))
+            raw = np.empty(size + 64, dtype=np.uint8)
+            start = -raw.ctypes.data % 64
+            self.rooms[name, shape] = raw[start : start + size].view(np.float32).reshape(shape)
+        return self.rooms[name, shape]
+
+    def put(self, layer: Gru) -> None:
+        """Write the weights back."""
+        for x, to in ((self.w, layer.w), (self.u, layer.u)):
+            to[...] = x[[1, 0, 2]].transpose(0, 2, 1).reshape(to.shape)
+
+    def step(self, ids: np.ndarray, h: np.ndarray) -> np.ndarray:
+        x, u = self.w.take(ids, axis=1), h @ self.u
+        gates, n, part = x[:2], x[2], u[2]
+        gates += u[:2]
+        gate(gates)
+        part *= gates[0]
+        n += part
+        bend(n)
+        out = h - n
+        out *= gates[1]
+        out += n
+        return out
+
+    def run(self, ids: np.ndarray, h: np.ndarray, fresh: list[np.ndarray]) -> tuple[np.ndarray, tuple]:
+        """States (T, B, H) after each of the T rows of ``ids``; ``fresh`` has the streams whose states are cleared before a step.
+
+        The memory has all states, z, and what the way back multiplies with: r and the slopes of
+        r, z (both halved) and n.  It holds until the next run.
+        """
+        (steps, streams), k = ids.shape, self.hidden
+        x = self.room("x", 3, steps, streams, k)
+        np.take(self.w, ids, axis=1, out=x, mode="clip")
+        factors, states = self.room("factors", 4, steps, streams, k), self.room("states", steps + 1, streams, k)
+        u, d, part = self.room("u", 3, streams, k), self.room("d", 3, streams, k), self.room("part", streams, k)
+        states[0] = h
+        for t in range(steps):
+            old, out, gates, n, slopes = states[t], states[t + 1], x[:2, t], x[2, t], factors[1:, t]
+            if len(fresh[t]):
+                old = old.copy()
+                old[fresh[t]] = 0
+            np.matmul(old, self.u, out=u)
+            gates += u[:2]
+            np.abs(gates, out=d[:2])
+            d[:2] += 1
+            np.divide(0.5, d[:2], out=slopes[:2])
+            gates *= slopes[:2]
+            r, z = factors[0, t], gates[1]
+            np.add(gates[0], 0.5, out=r)
+            z += 0.5
+            np.multiply(r, u[2], out=part)
+            n += part
+            np.abs(n, out=d[2])
+            d[2] += 1
+            np.reciprocal(d[2], out=slopes[2])
+            n *= slopes[2]
+            np.subtract(old, n, out=out)
+            slopes *= slopes
+            slopes[0] *= u[2]
+            slopes[1] *= out
+            np.subtract(1, z, out=part)
+            slopes[2] *= part
+            out *= z
+            out += n
+        return states[1:], (states, x[1], factors)
+
+    def back(self, ids: np.ndarray, memory: tuple, wrong: np.ndarray, fresh: list[np.ndarray]) -> list[np.ndarray]:
+        """Gradients of w and u from the gradients ``wrong`` (T, B, H) of the states."""
+        states, z, factors = memory
+        steps, streams, k = wrong.shape
+        # what came over r * U h, then r, z and n; the last row is none's
+        parts = self.room("parts", 4, steps * streams + 1, k)
+        parts[:, -1] = 0
+        turned = np.ascontiguousarray(self.u[[2, 0, 1]].transpose(0, 2, 1))
+        turned[1:] *= 2
+        carried, d, sent = self.room("carried", streams, k), self.room("part", streams, k), self.room("u", 3, streams, k)
+        carried[...] = 0
+        for t in range(steps - 1, -1, -1):
+            now, by = parts[:, t * streams : (t + 1) * streams], factors[:, t]
+            np.add(wrong[t], carried, out=d)
+            np.multiply(d, by[2:], out=now[2:])
+            np.multiply(now[3], by[:2], out=now[:2])
+            np.matmul(now[:3], turned, out=sent)
+            np.multiply(d, z[t], out=carried)
+            carried += sent[0]
+            carried += sent[1]
+            carried += sent[2]
+            if len(fresh[t]):
+                carried[fresh[t]] = 0
+        before = states[:-1].copy()
+        for t in range(steps):
+            before[t, fresh[t]] = 0
+        du = np.matmul(before.transpose(0, 2, 1), parts[:3, :-1].reshape(3, steps, streams, k)).sum(axis=1)[[1, 2, 0]]
+        du[:2] *= 2
+        at, sums = sums_by(ids.ravel(), parts[1:], self.w.shape[1])
+        sums[:2] *= 2
+        dw = np.zeros_like(self.w)
+        dw[:, at] = sums
+        return [dw, du]
+
+
+def sums_by(keys: np.ndarray, rows: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, below ``most``, and for each table the sums of their rows.
+
+    ``rows`` (tables, keys + 1, features) ends with a row of zeros.  Rows of a key are added by
+    fours, as whole arrays, before the rest is added one by one.
+    """
+    order = np.argsort(keys.astype(np.int16) if most < 2**15 else keys, kind="stable")
+    ranked = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    counts = np.diff(np.append(first, len(order)))
+    ends = np.cumsum(-(-counts // 4))
+    begin = np.append(0, ends[:-1])
+    spot = np.full(4 * int(ends[-1]), len(keys))
+    spot[np.arange(len(keys)) + np.repeat(4 * begin - first, counts)] = order
+    total = rows.take(spot[::4], axis=1)
+    for j in (1, 2, 3):
+        total += rows.take(spot[j::4], axis=1)
+    return ranked[first], np.add.reduceat(total, begin, axis=1)

@@ -9,8 +9,8 @@ count of 0.  The network predicts the class, and the word inside a head class.
 
 It is trained in numpy by truncated backpropagation, as Spark tasks over whole documents: all
 training text (small tables several times over).  The text is dealt to learners of about equal
-size; in every round each learner goes on from the common weights over its next stretch of
-text, and their weights are averaged in a tree.  On larger tables a learner walks more streams
+size, each one's gathered once; in every round each learner goes on from the common weights
+over its next stretch of text, and their weights are averaged in a tree.  On larger tables a learner walks more streams
 side by side, so its steps grow wider, not more.  Scoring walks whole documents in windows of steps and carries
 the state from window to window.  Frequent words are looked up in a broadcast table of bounded size; all other
 words are joined with the counts by a shuffle.
@@ -26,20 +26,23 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import LOWER, TEXT_ROWS, dropped, find_words, held_out_share, lowest_share, pieces, segment_hashes, stored, text_bytes
-from tidewatch.llm.gru import Adam, Gru, soft_max
+from tidewatch.llm.common import BYTE_HASH, LOWER, dropped, find_words, held_out_share, lowest_share, mix64, pieces, powers, segment_hashes, stored, text_bytes
+from tidewatch.llm.gru import Adam, Gru, Streams
 
 HEAD = 1000
 HEAD_CLASSES = 32
 TAIL_CLASSES = 48
 #: words looked up from memory, 16 bytes each; the rest is joined
 FREQUENT = 300_000
+#: bits of a hash that lead to its place among them
+FIRST_BITS = 19
 HIDDEN = 24
 #: a share of the training tokens, and the least of them, for a trial fit that asks for one; ``fit`` takes all
 SHARE = 1 / 8
@@ -57,10 +60,50 @@ STREAMS, MOST_STREAMS = 32, 128
 SPAN = 24
 WINDOW = 64
 #: tokens that a task walks together
-WALK_TOKENS = 1_500_000
+WALK_TOKENS = 4_500_000
+#: rows that are worked on together, so that what belongs to them stays in a processor's cache
+BLOCK = 256
+LOT = 1024
+#: how ids are kept while the network learns: there are HEAD, TAIL_CLASSES and the end
+PACKED = np.int16
 SMOOTH = 0.1
 
 
+#: what eight bytes add to a hash, by pairs of them; what the last of eight zero bytes add; masks of the first bytes
+POWERS = powers(9)
+PAIRS = [(BYTE_HASH[None, :] * POWERS[2 * j] + BYTE_HASH[:, None] * POWERS[2 * j + 1]).ravel() for j in range(4)]
+BEYOND = BYTE_HASH[0] * np.append(np.cumsum(POWERS[7::-1])[::-1], np.uint64(0))
+MASKS = np.array([2 ** (8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The hashes of ``segment_hashes``, eight bytes at a time; long words go there."""
+    eights = np.concatenate([data, np.zeros(16 - len(data) % 8, dtype=np.uint8)]).view("<u8")
+    total, rows, at, left = np.zeros(len(starts), dtype=np.uint64), np.arange(len(starts)), starts, lengths
+    for turn in range(3):
+        place, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        value = eights.take(place) >> shift
+        value |= eights.take(place + 1) << (np.uint64(64) - shift)  # a shift by 64 leaves nothing
+        here = np.minimum(left, 8)
+        value &= MASKS.take(here)
+        pairs = value.view("<u2").reshape(-1, 4)
+        part = PAIRS[0].take(pairs[:, 0])
+        for j in (1, 2, 3):
+            part += PAIRS[j].take(pairs[:, j])
+        part -= BEYOND.take(here)
+        if turn:
+            part *= POWERS[8] ** np.uint64(turn)
+            total[rows] += part
+        else:
+            total = part
+        more = np.flatnonzero(left > 8)
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    total += lengths.astype(np.uint64)
+    total = mix64(total)
+    total[rows] = segment_hashes(data, starts[rows], lengths[rows])
+    return total
+
+
 def words_and_classes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and tail class of each word of a piece, and the bounds of its rows."""
     data, offsets = text_bytes(column)
@@ -68,7 +111,7 @@ def words_and_classes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
     starts, lengths, bounds = find_words(data, offsets)
     last = data[starts + lengths - 1].astype(np.int64)
     other = np.where(lengths > 1, data[starts + np.maximum(lengths - 2, 0)], 0).astype(np.int64)
-    return segment_hashes(data, starts, lengths).view(np.int64), ((last * 31 + other) * 2654435761 >> 7) % TAIL_CLASSES, bounds
+    return word_hashes(data, starts, lengths).view(np.int64), ((last * 31 + other) * 2654435761 >> 7) % TAIL_CLASSES, bounds
 
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -80,12 +123,14 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 
         def merged():
             word, n, kind = (np.concatenate(x) for x in zip(*held))
-            distinct, first, inverse = np.unique(word, return_index=True, return_inverse=True)
-            return distinct, np.bincount(inverse, weights=n).astype(np.int64), kind[first]
+            order = np.argsort(word)  # words that are equal are so in all
+            word = word[order]
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1])[: len(word)])
+            return word[first], np.add.reduceat(n[order], first) if len(first) else n, kind[order[first]]
 
         for piece in pieces(batches, "__text"):
             word, kind, _ = words_and_classes(piece.column(0))
-            held.append((word, np.ones(len(word)), kind.astype(np.int32)))
+            held.append((word, np.ones(len(word), dtype=np.int64), kind.astype(np.int32)))
             size += len(word)
             if size > 2_000_000:
                 held = [merged()]
@@ -113,13 +158,33 @@ class Vocabulary:
     head_class: np.ndarray
     tail_mass: np.ndarray
 
+    @cached_property
+    def padded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The frequent words with a last one that no word is, without a count and outside the head."""
+        return np.append(self.frequent, np.iinfo(np.int64).max), np.append(self.frequent_n, 0), np.append(self.frequent_head, -1)
+
+    @cached_property
+    def begins(self) -> np.ndarray:
+        """Where the words with the same first bits begin among the frequent ones."""
+        return np.searchsorted(self.frequent, np.arange(-(2 ** (FIRST_BITS - 1)), 2 ** (FIRST_BITS - 1)) << (64 - FIRST_BITS)).astype(np.int32)
+
+    def find(self, word: np.ndarray) -> np.ndarray:
+        """The place of each word among the padded ones; the last where it is not frequent."""
+        frequent = self.padded[0]
+        at = self.begins.take((word >> (64 - FIRST_BITS)) + 2 ** (FIRST_BITS - 1))
+        found = frequent.take(at)
+        behind = np.flatnonzero(found < word)
+        while len(behind):  # words that share their first bits are few, as hashes are even
+            at[behind] += 1
+            found[behind] = frequent.take(at[behind])
+            behind = behind[found[behind] < word[behind]]
+        at[found != word] = len(frequent) - 1
+        return at
+
     def look_up(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count (0 if not frequent) and place in the head (-1 outside) of each word."""
-        if not len(self.frequent):
-            return np.zeros(len(word), dtype=np.int64), np.full(len(word), -1)
-        at = np.minimum(np.searchsorted(self.frequent, word), len(self.frequent) - 1)
-        hit = self.frequent[at] == word
-        return np.where(hit, self.frequent_n[at], 0), np.where(hit, self.frequent_head[at], -1)
+        at = self.find(word)
+        return self.padded[1].take(at), self.padded[2].take(at)
 
 
 def vocabulary(counts: DataFrame, ends: int, frequent: int = FREQUENT) -> Vocabulary:
@@ -146,6 +211,18 @@ def vocabulary(counts: DataFrame, ends: int, frequent: int = FREQUENT) -> Vocabu
     )
 
 
+def bounded(weights: np.ndarray) -> bool:
+    """Whether scores of states, which lie between -1 and 1, stay where single precision holds sums of their exponentials."""
+    return float(np.abs(weights).sum(axis=1).max(initial=0.0)) < 60
+
+
+def with_ones(rows: np.ndarray) -> np.ndarray:
+    """The rows with a last column of ones, for the biases."""
+    out = np.ones((len(rows), rows.shape[1] + 1), dtype=rows.dtype)
+    out[:, :-1] = rows
+    return out
+
+
 class Model:
     """The network: ids in, class and word probabilities out."""
 
@@ -163,45 +240,79 @@ class Model:
         # the head is in class order, so a class is a run of rows
         self.first = np.searchsorted(head_class, np.arange(HEAD_CLASSES + 1))
 
+        # the class of each id
+        self.kinds = np.concatenate([head_class, np.arange(HEAD_CLASSES, self.end_class + 1)]).astype(np.int16)
+
     def class_of(self, ids: np.ndarray) -> np.ndarray:
-        head = np.append(self.head_class, 0)[np.minimum(ids, self.head_size)]
-        return np.where(ids < self.head_size, head, ids - self.head_size + HEAD_CLASSES)
-
-    def log_probabilities(self, h: np.ndarray, ids: np.ndarray, grads: bool = False):
-        """ln P(class) + ln P(word | head class) of each column; with gradients of the sum of -ln P."""
-        kind = self.class_of(ids)
-        # columns in order of their classes, so that a class is a run of columns
-        order = np.argsort(kind.astype(np.int16), kind="stable")
-        kind, ids, h = kind[order], ids[order], h.take(order, axis=1)
-        logits = self.classes @ h
-        logits += self.class_bias
-        rows = np.arange(len(ids))
-        out = logits[kind, rows]
-        p, norm = soft_max(logits)
-        out -= norm
-        if grads:
-            p[kind, rows] -= 1
-            dh = self.classes.T @ p
-            d_classes, d_bias = p @ h.T, p.sum(axis=1, keepdims=True)
-            d_words, d_word_bias = np.zeros_like(self.words), np.zeros_like(self.word_bias)
-        bounds = np.searchsorted(kind, np.arange(HEAD_CLASSES + 1))
-        for c in np.flatnonzero(np.diff(bounds)):
-            at, run = slice(bounds[c], bounds[c + 1]), slice(self.first[c], self.first[c + 1])
-            inside = h[:, at]
-            logits = self.words[run] @ inside
-            logits += self.word_bias[run]
-            goal, columns = ids[at] - self.first[c], rows[: bounds[c + 1] - bounds[c]]
-            out[at] += logits[goal, columns]
-            p, norm = soft_max(logits)
-            out[at] -= norm
+        return self.kinds.take(ids)
+
+    def log_probabilities(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """ln P(class) + ln P(word | head class) of each column of ``h``."""
+        return self.scored(np.ascontiguousarray(h.T), ids)
+
+    def scored(self, h: np.ndarray, ids: np.ndarray, grads: bool = False):
+        """ln P(class) + ln P(word | head class) of each row; with gradients of the sum of -ln P.
+
+        Shares are not divided out: exponentials are kept as they are, and what they are
+        multiplied with, which is narrower, is divided by their sums.
+        """
+        n, kind = len(ids), self.class_of(ids)
+        classes, words = np.hstack([self.classes, self.class_bias]), np.hstack([self.words, self.word_bias])
+        tame, turned = bounded(classes), np.ascontiguousarray(classes.T)
+        ones = np.ones(len(classes), dtype=np.float32)
+        out, dh, d_classes = np.empty(n, dtype=np.float32), np.empty_like(h) if grads else None, np.zeros_like(classes)
+        for start in range(0, n, BLOCK):
+            at = slice(start, start + BLOCK)
+            some = with_ones(h[at])
+            p = some @ turned
+            if not tame:
+                p -= p.max(axis=1, keepdims=True)
+            flat, spot = p.ravel(), kind[at] + np.arange(len(some)) * len(classes)
+            own = flat.take(spot)
+            np.exp(p, out=p)
+            total = p @ ones
+            np.subtract(own, np.log(total), out=out[at])
             if grads:
-                p[goal, columns] -= 1
-                d_words[run] += p @ inside.T
-                d_word_bias[run] += p.sum(axis=1, keepdims=True)
-                dh[:, at] += self.words[run].T @ p
-        back = np.empty_like(order)
-        back[order] = rows
-        return (out[back], dh.take(back, axis=1), [d_classes, d_bias, d_words, d_word_bias]) if grads else out[back]
+                flat[spot] -= total
+                share = (1 / total)[:, None]
+                np.matmul(p, self.classes, out=dh[at])
+                dh[at] *= share
+                d_classes += ((some * share).T @ p).T
+        # the head, in order of classes: a class is a run of rows, with a block of scores of its words
+        heads = np.flatnonzero(kind < HEAD_CLASSES)
+        heads = heads[np.argsort(kind[heads], kind="stable")]
+        of, some = kind[heads], with_ones(h.take(heads, axis=0))
+        bounds, sizes = np.searchsorted(of, np.arange(HEAD_CLASSES + 1)), np.diff(self.first)
+        ends = np.cumsum(np.diff(bounds) * sizes)
+        begins = ends - np.diff(bounds) * sizes
+        scores, total = np.empty(int(ends[-1]), dtype=np.float32), np.empty(len(heads), dtype=np.float32)
+        blocks = []
+        for c in np.flatnonzero(np.diff(bounds)).tolist():
+            at, run = slice(int(bounds[c]), int(bounds[c + 1])), slice(int(self.first[c]), int(self.first[c + 1]))
+            block = scores[begins[c] : ends[c]].reshape(at.stop - at.start, -1)
+            np.matmul(some[at], words[run].T, out=block)
+            blocks.append((at, run, block))
+        if not bounded(words):
+            for _, _, block in blocks:
+                block -= block.max(axis=1, keepdims=True)
+        goal = begins[of] + (np.arange(len(heads)) - bounds[of]) * sizes[of] + ids[heads] - self.first[of]
+        own = scores.take(goal)
+        np.exp(scores, out=scores)
+        for at, _, block in blocks:
+            np.add.reduce(block, axis=1, out=total[at])
+        out[heads] += own - np.log(total)
+        if not grads:
+            return out
+        scores[goal] -= total
+        share = (1 / total)[:, None]
+        shared, part, d_words = some * share, np.empty((len(heads), HIDDEN), dtype=np.float32), np.zeros_like(words)
+        for at, run, block in blocks:
+            np.matmul(block.T, shared[at], out=d_words[run])
+            np.matmul(block, self.words[run], out=part[at])
+        part *= share
+        part += dh.take(heads, axis=0)
+        dh[heads] = part
+        return out, dh, [d_classes[:, :HIDDEN], d_classes[:, HIDDEN:], d_words[:, :HIDDEN], d_words[:, HIDDEN:]]
 
     def parameters(self) -> list[np.ndarray]:
         return [self.layer.w, self.layer.u, self.classes, self.class_bias, self.words, self.word_bias]
@@ -226,49 +337,56 @@ class Model:
         streams = min(streams, max(1, len(flat) // SPAN))
         length = len(flat) // streams
         goal = flat[: streams * length].reshape(streams, length).T
-        inputs = np.vstack([np.full((1, streams), self.end), goal[:-1]])
-        keep = (inputs != self.end).astype(np.float32)
-        step, windows = Adam(self.parameters(), 0.02), max(1, -(-length // SPAN))
+        inputs = np.vstack([np.full((1, streams), self.end, dtype=flat.dtype), goal[:-1]])
+        layer = Streams(self.layer)
+        step, windows = Adam([layer.w, layer.u, *self.parameters()[2:]], 0.02), max(1, -(-length // SPAN))
         all_windows = passes * windows
-        h = np.zeros((HIDDEN, streams), dtype=np.float32)
+        h = np.zeros((streams, HIDDEN), dtype=np.float32)
         for k in range(turn * all_windows // turns, (turn + 1) * all_windows // turns):
             t = k % windows * SPAN
             if not t:
-                h = np.zeros((HIDDEN, streams), dtype=np.float32)
-            ids, want, live = inputs[t : t + SPAN], goal[t : t + SPAN], keep[t : t + SPAN]
-            states, memory = self.layer.run(ids, h, live)
+                h = np.zeros((streams, HIDDEN), dtype=np.float32)
+            ids, want = inputs[t : t + SPAN], goal[t : t + SPAN]
+            fresh = [np.flatnonzero(x) for x in ids == self.end]
+            states, memory = layer.run(ids, h, fresh)
             h = states[-1]
-            columns = states.transpose(1, 0, 2).reshape(HIDDEN, -1)
-            _, dh, out = self.log_probabilities(columns, want.ravel(), grads=True)
-            wrong = dh.reshape(HIDDEN, len(ids), streams).transpose(1, 0, 2) / want.size
-            step.update([*self.layer.back_wide(ids, memory, wrong, live), *[g / want.size for g in out]], 1 - k / all_windows)
+            _, wrong, out = self.scored(states.reshape(-1, HIDDEN), want.ravel(), grads=True)
+            wrong /= want.size
+            step.update([*layer.back(ids, memory, wrong.reshape(states.shape), fresh), *[g / want.size for g in out]], 1 - k / all_windows)
+        layer.put(self.layer)
 
     def totals(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """ln P of each row's ids and its end (the tail's shares left out), whole rows at once."""
         sizes = np.diff(bounds) + 1
         rank = np.argsort(-sizes, kind="stable")
-        ordered = sizes[rank]
-        goal = np.full(int(sizes.sum()), self.end, dtype=np.int64)
-        inputs = goal.copy()
-        base = np.cumsum(sizes) - sizes
-        spot = np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), np.diff(bounds))
-        goal[spot] = ids
-        inputs[spot + 1] = ids  # the input of a step is the token before it
+        ids = np.append(ids, self.end).astype(PACKED)
         out = np.zeros(len(sizes))
-        h = np.zeros((HIDDEN, len(sizes)), dtype=np.float32)
-        begin = base[rank]
-        live = np.searchsorted(-ordered, -np.arange(int(ordered[0]) + 1), side="left")  # rows longer than t
-        for t0 in range(0, int(ordered[0]), WINDOW):
-            states, at, owner = [], [], []
-            for t in range(t0, min(t0 + WINDOW, int(ordered[0]))):
-                n = int(live[t])
-                places = begin[:n] + t
-                h = self.layer.step(inputs[places], h[:, :n])
-                states.append(h)
-                at.append(places)
-                owner.append(rank[:n])
-            p = self.log_probabilities(np.concatenate(states, axis=1), goal[np.concatenate(at)])
-            out += np.bincount(np.concatenate(owner), weights=p, minlength=len(out))
+        layer = Streams(self.layer)
+        for lot in range(0, len(sizes), LOT):
+            rows = rank[lot : lot + LOT]
+            long = sizes[rows]
+            steps = np.arange(int(long[0]))
+            live = np.searchsorted(-long, -steps, side="left")  # rows longer than t
+            # the tokens step by step, in each step the longest row first
+            begins = np.cumsum(live) - live
+            t = np.arange(int(long.sum())) - np.repeat(np.cumsum(long) - long, long)
+            place = t + np.repeat(bounds[rows], long)
+            place[np.cumsum(long) - 1] = len(ids) - 1  # a row's last token is its end
+            goal = np.empty(len(t), dtype=PACKED)
+            goal[begins[t] + np.repeat(np.arange(len(rows)), long)] = ids.take(place)
+            before, h, sums = np.full(len(rows), self.end, dtype=PACKED), np.zeros((len(rows), HIDDEN), dtype=np.float32), np.zeros(len(rows))
+            begins, live = begins.tolist(), live.tolist()
+            for t0 in range(0, len(steps), WINDOW):
+                states, span = [], range(t0, min(t0 + WINDOW, len(steps)))
+                for t in span:
+                    h = layer.step(before[: live[t]], h[: live[t]])
+                    before = goal[begins[t] : begins[t] + live[t]]
+                    states.append(h)
+                first = begins[t0]
+                p = self.scored(np.concatenate(states), goal[first : begins[span[-1]] + live[span[-1]]])
+                for t in span:
+                    sums[: live[t]] += p[begins[t] - first : begins[t] - first + live[t]]
+            out[rows] = sums
         return out
 
 
@@ -309,16 +427,22 @@ def trained(model: Model, sample: DataFrame, learners: int, passes: int, streams
         total, mean = averaged(zip(table.column("tokens").to_pylist(), table.column("weights").to_pylist()))
         return pa.table({"learner": pa.array([table.column("learner")[0].as_py() // FAN_IN], pa.int32()), "tokens": [total], "weights": [mean.astype(np.float32).tobytes()]})
 
+    def gathered(table):
+        ids = np.concatenate([c.flatten().to_numpy() for c in table.column("ids").chunks])
+        return pa.table({"learner": table.column("learner")[:1], "ids": pa.array([ids.astype(PACKED).tobytes()], pa.binary())})
+
     def learner(shared, turn: int):
         def learn(table):
-            ids = np.concatenate([c.flatten().to_numpy() for c in table.column("ids").chunks])
+            ids = np.frombuffer(table.column("ids")[0].as_buffer(), dtype=PACKED)
             fresh = Model(shared.value.head_class)
             fresh.set_weights(shared.value.weights())
-            fresh.fit(ids.astype(np.int64), passes, turn, ROUNDS, streams)
+            fresh.fit(ids, passes, turn, ROUNDS, streams)
             return pa.table({"learner": table.column("learner")[:1], "tokens": [len(ids)], "weights": [fresh.weights().tobytes()]})
 
         return learn
 
+    # a learner's text as one value, gathered once
+    sample = stored(sample.groupBy("learner").applyInArrow(gathered, "learner int, ids binary"), "training")
     for turn in range(ROUNDS):
         shared = sample.sparkSession.sparkContext.broadcast(model)
         parts, n = sample.groupBy("learner").applyInArrow(learner(shared, turn), schema), learners
@@ -327,9 +451,10 @@ def trained(model: Model, sample: DataFrame, learners: int, passes: int, streams
             parts = parts.groupBy(F.floor(F.col("learner") / FAN_IN)).applyInArrow(merge, schema)
         _, mean = averaged((r["tokens"], r["weights"]) for r in parts.collect())  # FAN_IN rows at most
         if mean is None:
-            return model
+            break
         model = Model(model.head_class)
         model.set_weights(mean)
+    dropped(sample)
     return model
 
 
@@ -346,9 +471,8 @@ def fit(training: DataFrame, doc_id: str = "doc_id", text: str = "text", frequen
     words = vocabulary(counts, training.count(), frequent)
     learners, passes = max(1, round(words.total / LEARNER_TOKENS)), int(min(PASSES, max(1, -(-WALKED_TOKENS // max(words.total, 1)))))
     streams = max(STREAMS, min(MOST_STREAMS, passes * words.total // STREAM_TOKENS))
-    sample = stored(training_ids(training, doc_id, text, words, 1.0, learners), "training", TEXT_ROWS)
+    sample = training_ids(training, doc_id, text, words, 1.0, learners)
     model = trained(Model(words.head_class), sample, learners, passes, streams)
-    dropped(sample)
     return Fitted(words, model, counts)
 
 
@@ -378,18 +502,21 @@ def walked(docs: DataFrame, fitted: Fitted) -> DataFrame:
         words, model = shared.value
         held, size = [], 0
         log_mass = np.log10(words.tail_mass)
+        _, counts, places = words.padded
+        log_counts = np.where(counts > 0, np.log10(counts + SMOOTH), 0.0)
         for piece in pieces(batches, "__text"):
             word, kind, bounds = words_and_classes(piece.column(1))
-            count, place = words.look_up(word)
+            at = words.find(word)
+            place = places.take(at)
             row = np.repeat(np.arange(piece.num_rows), np.diff(bounds))
-            known = count > 0
-            logs = np.where(known, np.log10(count + SMOOTH), 0.0)
+            known = at < len(words.frequent)
+            logs = log_counts.take(at)
             n = piece.num_rows
             seen = np.bincount(row, weights=logs, minlength=n).astype(float)  # no words: whole zeros
             outside = place < 0
             tail = np.bincount(row, weights=np.where(outside, logs - log_mass[kind], 0.0), minlength=n).astype(float)
             held.append(
-                (piece.column(0), np.where(outside, model.head_size + kind, place), bounds, seen, np.bincount(row, weights=known, minlength=n).astype(np.int64), tail, rare_words(word[~known], row[~known], n, rare_type))
+                (piece.column(0), np.where(outside, model.head_size + kind, place).astype(PACKED), bounds, seen, np.bincount(row, weights=known, minlength=n).astype(np.int64), tail, rare_words(word[~known], row[~known], n, rare_type))
             )
             size += len(word)
             if size >= WALK_TOKENS:
